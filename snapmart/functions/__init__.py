@@ -6,6 +6,7 @@ from snapmart.functions.scalars import (
     escape_markup,
     hours_between,
     interval_hours,
+    micros_between,
     minutes_between,
     money,
     percent_of,
@@ -21,6 +22,7 @@ __all__ = [
     "escape_markup",
     "hours_between",
     "interval_hours",
+    "micros_between",
     "minutes_between",
     "money",
     "percent_of",

@@ -50,16 +50,25 @@ def day_text(at: Column | str) -> Column:
     return F.date_format(_col(at), "yyyy-MM-dd")
 
 
+def micros_between(later: Column, earlier: Column) -> Column:
+    """Exact microseconds from ``earlier`` to ``later``. Subtracting zone-less times keeps the session
+    zone out of it, which ``timestamp_diff`` would not."""
+    gap = later - earlier
+    part = {unit: F.extract(F.lit(unit), gap) for unit in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    minutes = (part["DAY"].cast("bigint") * 24 + part["HOUR"]) * 60 + part["MINUTE"]
+    return minutes * 60_000_000 + (part["SECOND"] * 1_000_000).cast("bigint")
+
+
 def hours_between(later: Column, earlier: Column) -> Column:
-    return F.timestamp_diff("SECOND", earlier, later) / F.lit(3600.0)
+    return micros_between(later, earlier) / F.lit(3.6e9)
 
 
 def minutes_between(later: Column, earlier: Column) -> Column:
-    return F.timestamp_diff("SECOND", earlier, later) / F.lit(60.0)
+    return micros_between(later, earlier) / F.lit(6e7)
 
 
 def interval_hours(hours: Column) -> Column:
-    return F.make_interval(hours=hours)
+    return F.make_dt_interval(hours=hours)
 
 
 def within_days(at: Column | str, as_of: datetime, days: int) -> Column:

@@ -130,7 +130,7 @@ def rank_movers(latest: DataFrame, up: bool, rows: int = MOVER_ROWS) -> DataFram
 
 
 def new_entries(latest: DataFrame) -> DataFrame:
-    columns = ("coin_id", "coin_symbol", "coin_name", "cmc_rank", "market_cap", "date_added_at")
+    columns = (DAY, "coin_id", "coin_symbol", "coin_name", "cmc_rank", "market_cap", "date_added_at")
     return latest.where("is_new_entry").select(*columns).orderBy(F.col("cmc_rank").asc_nulls_last(), "coin_id")
 
 

@@ -101,7 +101,7 @@ def freshness_sla(watched: Mapping[str, Watched], as_of: datetime) -> DataFrame:
             for n, w in watched.items()
         ]
     )
-    late = now - F.col("last_inserted") > interval_hours(F.col("sla_hours")).cast("interval day to second")
+    late = now - F.col("last_inserted") > interval_hours(F.col("sla_hours"))
     return newest.select(
         "table_name",
         "last_inserted",

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import escape_markup
+from snapmart.functions import escape_markup, hours_between
 from snapmart.operators.aggregates import duplicate_keys, duplicate_values, joined_names
 from snapmart.operators.history import STAMP
 from snapmart.operators.joins import orphans
@@ -140,7 +140,7 @@ def _measure(check: Check, as_of: Column) -> Column:
         return F.lit(100.0) * F.count_if(column.isNull()) / F.nullif(F.count("*"), F.lit(0))
     if check.kind == "minimum":
         return F.min(column)
-    return F.timestamp_diff("SECOND", F.max(column), as_of) / F.lit(3600.0)
+    return hours_between(as_of, F.max(column))
 
 
 def _passed(check: Check, measured: Column) -> Column:

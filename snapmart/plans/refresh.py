@@ -15,7 +15,7 @@ from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
 from snapmart.schemas import DATASETS, DataSet, datasets_of, record_schema
 from snapmart.sources.payloads import derive_quotes, land_records, read_if_landed, require_rows
-from snapmart.sources.tables import conform, replace_table, staging_schema
+from snapmart.sources.tables import conform, create_layers, layer_name, replace_table, staging_schema
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Layout:
         return f"{self.landing}/{name}"
 
     def history(self, name: str) -> str:
-        return f"{self.warehouse}/staging/{name}"
+        return f"{self.warehouse}/staging_layer/{name}"
 
 
 def parse(records: DataFrame, dataset: DataSet) -> DataFrame:
@@ -68,7 +68,8 @@ def load_dataset(spark: SparkSession, layout: Layout, dataset: DataSet, run_ts:
     if dataset.historical:
         commit_snapshot(rows, layout.history(dataset.name), run_ts, list(dataset.keys))
     else:
-        replace_table(rows, f"{dataset.name}_current", layout.history(""))
+        create_layers(spark, layout.warehouse)
+        replace_table(rows, f"staging_layer.{dataset.name}", layout.warehouse)
     return rows.count()
 
 
@@ -102,7 +103,7 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
             df = read_history(spark, layout.history(name), schema)
         else:
             schema = staging_schema(name)
-            table = f"{name}_current"
+            table = f"staging_layer.{name}"
             df = spark.table(table) if spark.catalog.tableExists(table) else None
         tables[name] = df if df is not None else spark.createDataFrame([], schema)
     return tables
@@ -110,63 +111,64 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 Model = Callable[[Mapping[str, DataFrame]], DataFrame]
 
-
-def model_registry(as_of: datetime) -> dict[str, tuple[str, str, Model]]:
-    """Models in build order: name -> (layer, materialisation, function of the models before it).
-
-    Staging and marts are views, dimensions and bridge are tables, and the fact is a view, so that it
-    always shows the newest load.
-    """
+# Namespace and materialisation of each model. Staging models and marts are views;
+# dimensions and bridge are tables; the fact is a view, so that it always shows the newest load.
+MATERIALISED = {
+    "dim_coins": ("olap", "table"),
+    "dim_categories": ("olap", "table"),
+    "fact_coin_market": ("olap", "view"),
+    "bridge_category_coin": ("olap", "table"),
+    "market_overview_daily": ("analytics", "view"),
+    "coin_explorer": ("analytics", "view"),
+    "sector_performance": ("analytics", "view"),
+    "coin_momentum_daily": ("analytics", "view"),
+}
+
+
+def model_functions(as_of: datetime) -> dict[str, Model]:
+    """Each model as a function of the models it reads."""
     return {
-        "dim_coins": ("olap", "table", lambda m: core.coins(m["stg_map"], m["stg_info"])),
-        "dim_categories": ("olap", "table", lambda m: core.categories(m["stg_categories"])),
-        "fact_coin_market": (
-            "olap",
-            "view",
-            lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]),
-        ),
-        "bridge_category_coin": (
-            "olap",
-            "table",
-            lambda m: core.bridge(m["stg_category_details"], m["dim_coins"]),
-        ),
-        "market_overview_daily": ("analytics", "view", lambda m: marts.market_overview_daily(m["stg_quotes"])),
-        "coin_explorer": (
-            "analytics",
-            "view",
-            lambda m: marts.coin_explorer(m["fact_coin_market"], m["dim_coins"], as_of),
+        "dim_coins": lambda m: core.coins(m["stg_map"], m["stg_info"]),
+        "dim_categories": lambda m: core.categories(m["stg_categories"]),
+        "fact_coin_market": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]),
+        "bridge_category_coin": lambda m: core.bridge(m["stg_category_details"], m["dim_coins"]),
+        "market_overview_daily": lambda m: marts.market_overview_daily(m["stg_quotes"]),
+        "coin_explorer": lambda m: marts.coin_explorer(m["fact_coin_market"], m["dim_coins"], as_of),
+        "sector_performance": lambda m: marts.sector_performance(
+            m["bridge_category_coin"], m["fact_coin_market"], m["dim_categories"]
         ),
-        "sector_performance": (
-            "analytics",
-            "view",
-            lambda m: marts.sector_performance(m["bridge_category_coin"], m["fact_coin_market"], m["dim_categories"]),
-        ),
-        "coin_momentum_daily": (
-            "analytics",
-            "view",
-            lambda m: marts.coin_momentum_daily(m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]),
+        "coin_momentum_daily": lambda m: marts.coin_momentum_daily(
+            m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]
         ),
     }
 
 
-def models_of(tables: Mapping[str, DataFrame], as_of: datetime) -> dict[str, DataFrame]:
-    """All models as lazy DataFrames over the given staging tables."""
-    models = {f"stg_{name}": staged(df, name) for name, df in tables.items()}
-    for name, (_, _, build) in model_registry(as_of).items():
-        models[name] = build(models)
-    return models
+class Models(dict):
+    """Models by name, each declared from the staging tables when it is first asked for."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], as_of: datetime):
+        super().__init__()
+        self._tables = tables
+        self._functions = model_functions(as_of)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in self._functions:
+            self[name] = self._functions[name](self)
+        else:
+            table = name.removeprefix("stg_")
+            self[name] = staged(self._tables[table], table)
+        return self[name]
 
 
-def build_models(spark: SparkSession, layout: Layout, as_of: datetime) -> dict[str, DataFrame]:
+def build_models(spark: SparkSession, layout: Layout, as_of: datetime) -> Models:
     """Materialise the models: tables are written and replaced as a unit, the rest become views."""
-    models: dict[str, DataFrame] = {}
-    for name, df in staging_tables(spark, layout).items():
-        models[f"stg_{name}"] = staged(df, name)
+    create_layers(spark, layout.warehouse)
+    models = Models(staging_tables(spark, layout), as_of)
+    for name in DATASETS:
         models[f"stg_{name}"].createOrReplaceTempView(f"stg_{name}")
-    for name, (_, kind, build) in model_registry(as_of).items():
-        models[name] = build(models)
+    for name, (layer, kind) in MATERIALISED.items():
         if kind == "table":
-            models[name] = replace_table(models[name], name, f"{layout.warehouse}/models")
+            models[name] = replace_table(models[name], f"{layer_name(layer)}.{name}", layout.warehouse)
         else:
             models[name].createOrReplaceTempView(name)
     return models

@@ -21,9 +21,10 @@ def layer_name(custom: str | None) -> str:
     return DEFAULT_LAYER if custom is None else custom.strip()
 
 
-def create_layers(spark: SparkSession, names: Iterable[str] = LAYERS) -> None:
+def create_layers(spark: SparkSession, root: str, names: Iterable[str] = LAYERS) -> None:
+    """Declare the namespaces below the warehouse folder; existing ones are left as they are."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root.rstrip('/')}/{name}'")
 
 
 def create_staging_tables(spark: SparkSession, database: str = "staging_layer") -> None:
