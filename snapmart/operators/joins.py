@@ -1,14 +1,16 @@
-"""Equi-joins of the warehouse. Broadcasts are left to the size check of Catalyst and AQE
+"""Equi-joins of the warehouse. Apart from counted key sets, broadcasts are left to the size check of Catalyst and AQE
 (``autoBroadcastJoinThreshold``); larger sides are shuffled, and AQE splits skewed partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import day_of
+from snapmart.operators.latest import latest_per_key
 
 
 def enrich(df: DataFrame, attributes: DataFrame, key: str) -> DataFrame:
@@ -16,11 +18,42 @@ def enrich(df: DataFrame, attributes: DataFrame, key: str) -> DataFrame:
     return df.join(attributes, on=[key], how="left")
 
 
+BROADCAST_KEYS = 1_000_000  # a key set up to this size is sent to every executor (tens of MB)
+
+
+@dataclass(frozen=True)
+class Universe:
+    """The keys of a tracked universe (unique by its checks) and whether they are few enough to send
+    to every executor."""
+
+    keys: DataFrame
+    small: bool
+
+    @classmethod
+    def of(cls, keys: DataFrame, limit: int = BROADCAST_KEYS) -> Universe:
+        """Counts at most ``limit + 1`` keys to decide."""
+        return cls(keys, keys.limit(limit + 1).count() <= limit)
+
+
 def scoped(df: DataFrame, universe: DataFrame, key: str) -> DataFrame:
-    """Rows whose key belongs to the tracked universe (unique by its checks)."""
+    """Rows whose key belongs to the universe."""
     return df.join(universe.select(key), on=[key], how="inner")
 
 
+def scoped_latest(
+    df: DataFrame, universe: Universe, key: str, keys: Sequence[str], at: str, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Newest row per ``keys`` (``key`` is one of them) within the universe.
+
+    The scope depends on the key alone, so it may come before or after the newest row is taken. A
+    small universe filters the history on the map side, before anything is shuffled. A large one is
+    joined to the newest rows instead: shuffling the whole history on ``key`` would gather a hot key.
+    """
+    if universe.small:
+        return latest_per_key(scoped(df, F.broadcast(universe.keys), key), keys, at, ties)
+    return scoped(latest_per_key(df, keys, at, ties), universe.keys, key)
+
+
 def join_same_day(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str) -> DataFrame:
     """Left join on the key and the calendar day of two timestamps, as a two-column equi-join."""
     dated = right.withColumn("_day", day_of(right_at))

@@ -8,21 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import day_of
+from snapmart.operators.ranking import top_per_group
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = ()) -> DataFrame:
     """The row with the greatest ``at`` for each key; a null ``at`` counts as newest.
 
-    Equal ``at`` values are decided by the greatest ``ties``. Written as an aggregate, so every
-    map task sends at most one row per key and a hot key costs no more than a cold one. All
-    columns of ``df`` are carried: select the needed ones first.
+    Equal ``at`` values are decided by the greatest ``ties``. The rank limit is also applied on the
+    map side (WindowGroupLimit), so every task sends at most one row per key and a hot key costs no
+    more than a cold one. Columns that are not used later are pruned from the scan.
     """
-    payload = [c for c in df.columns if c not in keys]
-    if not payload:
-        return df.distinct()
-    order = F.struct(F.col(at).isNull(), F.col(at), *ties)
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_row"))
-    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    order = [F.col(at).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in ties]]
+    return top_per_group(df, keys, order, 1)
 
 
 def latest_per_key_day(

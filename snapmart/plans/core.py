@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.operators.joins import enrich, scoped
+from snapmart.operators.joins import Universe, enrich, scoped_latest
 from snapmart.operators.latest import latest_per_key
 
 # Output columns of the models, in order.
@@ -42,31 +42,32 @@ def categories(stg_categories: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["category_id"], "inserted_at", ties=["last_updated_at", "market_cap", "volume_24h"])
 
 
-def bridge(stg_category_details: DataFrame, dim_coins: DataFrame) -> DataFrame:
-    """Category-coin pairs of tracked coins, newest row per pair.
+def tracked_coins(stg_map: DataFrame) -> Universe:
+    """The coin universe: the keys of the coin dimension."""
+    return Universe.of(stg_map.select("coin_id"))
 
-    The newest row is taken first: it shrinks the history to one row per pair before the join.
-    """
+
+def bridge(stg_category_details: DataFrame, tracked: Universe) -> DataFrame:
+    """Category-coin pairs of tracked coins, newest row per pair."""
     rows = stg_category_details.select(*BRIDGE)
-    pairs = latest_per_key(rows, ["category_id", "coin_id"], "inserted_at", ties=["last_updated_at"])
-    return scoped(pairs, dim_coins, "coin_id").select(*BRIDGE)
+    pair = ["category_id", "coin_id"]
+    return scoped_latest(rows, tracked, "coin_id", pair, "inserted_at", ties=["last_updated_at"]).select(*BRIDGE)
 
 
-def coin_market(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coins: DataFrame) -> DataFrame:
+def coin_market(stg_listings: DataFrame, stg_quotes: DataFrame, tracked: Universe) -> DataFrame:
     """Fact: the newest listing of each tracked coin, with its newest quote where there is one.
 
     Times are the later one of listing and quote. Each history is reduced to one row per coin
-    before it meets the other, so the joins have no hot keys.
+    before it meets the other, so that join has no hot keys.
     """
     times = ("last_updated_at", "inserted_at")
     listing_rows = stg_listings.select(*FACT_FROM_LISTINGS, *times)
     quote_rows = stg_quotes.select("coin_id", *FACT_FROM_QUOTES, *times)
-    listing = scoped(
-        latest_per_key(listing_rows, ["coin_id"], "inserted_at", ties=["last_updated_at", "cmc_rank"]),
-        dim_coins,
-        "coin_id",
-    ).alias("l")
-    quote = latest_per_key(quote_rows, ["coin_id"], "inserted_at", ties=["last_updated_at", "market_cap"]).alias("q")
+
+    def newest(rows: DataFrame, last_tie: str) -> DataFrame:
+        return scoped_latest(rows, tracked, "coin_id", ["coin_id"], "inserted_at", ["last_updated_at", last_tie])
+
+    listing, quote = newest(listing_rows, "cmc_rank").alias("l"), newest(quote_rows, "market_cap").alias("q")
     return listing.join(quote, on=["coin_id"], how="left").select(
         "coin_id",
         *[F.col(f"l.{c}") for c in FACT_FROM_LISTINGS[1:]],

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators.history import DAY, commit_snapshot, read_history
+from snapmart.operators.joins import Universe
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
@@ -109,7 +111,7 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return tables
 
 
-Model = Callable[[Mapping[str, DataFrame]], DataFrame]
+Model = Callable[["Models"], DataFrame]
 
 # Namespace and materialisation of each model. Staging models and marts are views;
 # dimensions and bridge are tables; the fact is a view, so that it always shows the newest load.
@@ -130,8 +132,8 @@ def model_functions(as_of: datetime) -> dict[str, Model]:
     return {
         "dim_coins": lambda m: core.coins(m["stg_map"], m["stg_info"]),
         "dim_categories": lambda m: core.categories(m["stg_categories"]),
-        "fact_coin_market": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]),
-        "bridge_category_coin": lambda m: core.bridge(m["stg_category_details"], m["dim_coins"]),
+        "fact_coin_market": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m.tracked),
+        "bridge_category_coin": lambda m: core.bridge(m["stg_category_details"], m.tracked),
         "market_overview_daily": lambda m: marts.market_overview_daily(m["stg_quotes"]),
         "coin_explorer": lambda m: marts.coin_explorer(m["fact_coin_market"], m["dim_coins"], as_of),
         "sector_performance": lambda m: marts.sector_performance(
@@ -151,6 +153,10 @@ class Models(dict):
         self._tables = tables
         self._functions = model_functions(as_of)
 
+    @cached_property
+    def tracked(self) -> Universe:
+        return core.tracked_coins(self["stg_map"])
+
     def __missing__(self, name: str) -> DataFrame:
         if name in self._functions:
             self[name] = self._functions[name](self)
