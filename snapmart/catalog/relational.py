@@ -248,7 +248,7 @@ def daily_values(t: Tables):
 
 @query("rank_in_day", RANKED_SQL)
 def rank_in_day(t: Tables):
-    return rank_in_group(daily_values(t), ["snapshot_date"], "value", "user_id")
+    return rank_in_group(daily_values(t), ["snapshot_date"], "value", "user_id", cuts_from=t["events"])
 
 
 @query("top_in_day", f"SELECT snapshot_date, user_id, value FROM ({RANKED_SQL}) WHERE rank <= 10")

@@ -39,9 +39,15 @@ def replace_same_day(history: DataFrame, batch: DataFrame, run_ts: datetime, at:
     return append_by_name(kept, batch)
 
 
-def read_history(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The stored history, or None before the first commit."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+def read_history(
+    spark: SparkSession, path: str, schema: StructType | None = None, merge: bool = False
+) -> DataFrame | None:
+    """The stored history, or None before the first commit.
+
+    Give the ``schema`` where it is known. ``merge`` reads the columns of every file instead, for a
+    history whose columns have changed; without it they are taken from one file.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", merge)
     try:
         return reader.parquet(path)
     except AnalysisException as error:
@@ -50,6 +56,17 @@ def read_history(spark: SparkSession, path: str, schema: StructType | None = Non
         raise
 
 
+def newest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of the newest run with the columns that run had; only its day partition is read."""
+    history = read_history(spark, path)
+    if history is None:
+        return None
+    day = history.select(F.max(DAY)).first()[0]
+    if day is None:
+        return None
+    return latest_batch(spark.read.parquet(f"{path}/{DAY}={day.isoformat()}"), STAMP).drop(STAMP)
+
+
 def replace_days(stamped: DataFrame, path: str, at: str = STAMP) -> None:
     """Write the batch as the only content of the days it holds; other days stay untouched.
 
@@ -66,19 +83,15 @@ def replace_days(stamped: DataFrame, path: str, at: str = STAMP) -> None:
     )
 
 
-def unchanged(batch: DataFrame, history: DataFrame | None, keys: list[str]) -> bool:
+def unchanged(batch: DataFrame, last: DataFrame | None, keys: list[str]) -> bool:
     """Whether the batch equals the newest snapshot: same columns, same rows, any order.
 
-    Reads only the newest day partition. A count and hash sum decide most unequal pairs; only equal
-    ones are compared row by row.
+    False without a snapshot or without the key columns. A count and hash sum decide most unequal
+    pairs; only equal ones are compared row by row.
     """
-    if history is None or STAMP not in history.columns or not set(keys) <= set(history.columns):
-        return False
-    last = latest_batch(history, STAMP, day=DAY).drop(STAMP, DAY)
-    if set(last.columns) != set(batch.columns) or batch.isEmpty():
+    if last is None or not set(keys) <= set(last.columns) or set(last.columns) != set(batch.columns):
         return False
-    new_print, last_print = fingerprint(batch).first(), fingerprint(last).first()
-    if new_print != last_print:
+    if fingerprint(batch).first() != fingerprint(last).first():
         return False
     return same_rows(batch, last).first()["same"]
 
@@ -89,8 +102,7 @@ def commit_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[st
     An unchanged batch is skipped before the same-day rule is applied; a changed one replaces the
     run's calendar day.
     """
-    history = read_history(batch.sparkSession, path)
-    if unchanged(batch, history, keys):
+    if unchanged(batch, newest_snapshot(batch.sparkSession, path), keys):
         return False
     replace_days(stamp(batch, run_ts), path)
     return True

@@ -46,11 +46,13 @@ def scoped_latest(
     """Newest row per ``keys`` (``key`` is one of them) within the universe.
 
     The scope depends on the key alone, so it may come before or after the newest row is taken. A
-    small universe filters the history on the map side, before anything is shuffled. A large one is
-    joined to the newest rows instead: shuffling the whole history on ``key`` would gather a hot key.
+    small universe filters the history on the map side, before anything is shuffled, and bounds the
+    number of keys. A large one is joined to the newest rows instead: shuffling the whole history on
+    ``key`` would gather a hot key.
     """
     if universe.small:
-        return latest_per_key(scoped(df, F.broadcast(universe.keys), key), keys, at, ties)
+        inside = scoped(df, F.broadcast(universe.keys), key)
+        return latest_per_key(inside, keys, at, ties, few_keys=list(keys) == [key])
     return scoped(latest_per_key(df, keys, at, ties), universe.keys, key)
 
 

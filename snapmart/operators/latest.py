@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,13 +12,27 @@ from snapmart.functions import day_of
 from snapmart.operators.ranking import top_per_group
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = ()) -> DataFrame:
+FAR_FUTURE = datetime(9999, 12, 31, 23, 59, 59, 999999)  # stands in for a null time, which counts as newest
+
+
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = (), few_keys: bool = False
+) -> DataFrame:
     """The row with the greatest ``at`` for each key; a null ``at`` counts as newest.
 
     Equal ``at`` values are decided by the greatest ``ties``. The rank limit is also applied on the
     map side (WindowGroupLimit), so every task sends at most one row per key and a hot key costs no
     more than a cold one. Columns that are not used later are pruned from the scan.
+
+    ``few_keys`` says that the caller has counted the keys and found them few enough to send to every
+    executor (see ``Universe``). Then the newest times are aggregated first, from two columns, and
+    only the rows at those times are ranked: the history itself is neither sorted nor shuffled.
     """
+    if few_keys:
+        known = F.coalesce(F.col(at), F.lit(FAR_FUTURE).cast(df.schema[at].dataType))
+        newest = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(known).alias("_newest"))
+        matches = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [known == F.col("_newest")]
+        df = df.join(F.broadcast(newest), matches, "left_semi")
     order = [F.col(at).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in ties]]
     return top_per_group(df, keys, order, 1)
 

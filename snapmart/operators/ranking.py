@@ -30,7 +30,13 @@ def _count_where(cuts: list, test) -> Column:
 
 
 def rank_in_group(
-    df: DataFrame, group: Sequence[str], by: str, tie: str, name: str = "rank", pieces: int = 64
+    df: DataFrame,
+    group: Sequence[str],
+    by: str,
+    tie: str,
+    name: str = "rank",
+    pieces: int = 64,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Full ``row_number`` in each group by ``by`` descending (nulls last), then ``tie`` ascending.
 
@@ -39,9 +45,10 @@ def rank_in_group(
     cut point, and the null value, get pieces of their own that are split again along ``tie``. So no
     piece holds more than about ``1/pieces`` of all rows, however large a group or a run of equal
     values is. A row's rank is its place in the piece plus the sizes of the pieces before it. The
-    cut points only steer the split; the ranks are exact for any cut points.
+    cut points only steer the split; the ranks are exact for any cut points, so they may be taken
+    from a cheaper relation with about the same values (``cuts_from``).
     """
-    value_cuts, tie_cuts = _cut_points(df, [by, tie], pieces)
+    value_cuts, tie_cuts = _cut_points(df if cuts_from is None else cuts_from, [by, tie], pieces)
     value, key = F.col(by), F.col(tie)
     single = value.isNull() | value.isin(value_cuts)
     above = _count_where(value_cuts, lambda cut: cut > value)

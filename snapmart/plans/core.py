@@ -36,10 +36,16 @@ def coins(stg_map: DataFrame, stg_info: DataFrame) -> DataFrame:
     return enrich(stg_map, stg_info, "coin_id").select(*DIM_COINS)
 
 
-def categories(stg_categories: DataFrame) -> DataFrame:
+def known_categories(stg_categories: DataFrame) -> Universe:
+    """All category keys, counted."""
+    return Universe.of(stg_categories.select("category_id").distinct())
+
+
+def categories(stg_categories: DataFrame, known: Universe) -> DataFrame:
     """Category dimension: the newest row per category."""
     rows = stg_categories.select(*DIM_CATEGORIES)
-    return latest_per_key(rows, ["category_id"], "inserted_at", ties=["last_updated_at", "market_cap", "volume_24h"])
+    ties = ["last_updated_at", "market_cap", "volume_24h"]
+    return latest_per_key(rows, ["category_id"], "inserted_at", ties, few_keys=known.small)
 
 
 def tracked_coins(stg_map: DataFrame) -> Universe:

@@ -112,10 +112,11 @@ def coin_momentum_daily(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coin
     quote_rows = stg_quotes.select("coin_id", "inserted_at", "last_updated_at", *quote_columns)
     quoted = latest_per_key_day(quote_rows, ["coin_id"], "inserted_at", ties=["last_updated_at", "market_cap"])
 
-    moves = with_previous(listed, ["coin_id"], DAY, "cmc_rank").alias("l")
+    # Both sides are hash-partitioned by coin and day already, so this join adds no shuffle.
+    priced = listed.join(quoted.drop("inserted_at", "last_updated_at"), on=["coin_id", DAY], how="left")
+    moves = with_previous(priced, ["coin_id"], DAY, "cmc_rank").alias("q")
     names = dim_coins.select("coin_id", "coin_name", "coin_symbol").alias("d")
-    joined = moves.join(quoted.alias("q"), on=["coin_id", DAY], how="left").join(names, on=["coin_id"], how="left")
-    return joined.select(
+    return moves.join(names, on=["coin_id"], how="left").select(
         DAY,
         "coin_id",
         F.coalesce("d.coin_name", "q.coin_name").alias("coin_name"),
@@ -125,9 +126,9 @@ def coin_momentum_daily(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coin
         "rank_change",
         "is_new_entry",
         f"prev_{DAY}",
-        "q.price",
-        "q.market_cap",
-        "q.volume_24h",
-        "q.percent_change_24h",
+        "price",
+        "market_cap",
+        "volume_24h",
+        "percent_change_24h",
         "date_added_at",
     )

@@ -131,7 +131,7 @@ def model_functions(as_of: datetime) -> dict[str, Model]:
     """Each model as a function of the models it reads."""
     return {
         "dim_coins": lambda m: core.coins(m["stg_map"], m["stg_info"]),
-        "dim_categories": lambda m: core.categories(m["stg_categories"]),
+        "dim_categories": lambda m: core.categories(m["stg_categories"], core.known_categories(m["stg_categories"])),
         "fact_coin_market": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m.tracked),
         "bridge_category_coin": lambda m: core.bridge(m["stg_category_details"], m.tracked),
         "market_overview_daily": lambda m: marts.market_overview_daily(m["stg_quotes"]),
