@@ -124,7 +124,7 @@ def missing_pct(t: Tables):
 
 RUN_LOG = """
 SELECT event_type AS job_id, CASE WHEN value > 10 THEN 'success' ELSE 'failed' END AS state, ts AS start_date,
-       ts + to_minutes((value::DECIMAL(18,2) // 1)::INT) AS end_date
+       ts + to_minutes(floor(value::DECIMAL(18,2))::INT) AS end_date
 FROM events"""
 
 
@@ -301,7 +301,11 @@ def dq_not_null(t: Tables):
 
 
 def _market_missing_sql() -> str:
-    quote_nulls = {"quote_market_cap": "event_type = 'error'", "quote_tvl": "event_type = 'view'"}
+    quote_nulls = {
+        "quote_market_cap": "event_type = 'error'",
+        "quote_percent_change_7d": "event_type = 'purchase'",
+        "quote_tvl": "event_type = 'view'",
+    }
     listing_nulls = {
         "infinite_supply": "event_type = 'click'",
         "max_supply": "event_type = 'signup'",

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from snapmart.catalog.registry import Tables
 from snapmart.plans.refresh import Models
@@ -18,134 +17,93 @@ from snapmart.sources.tables import conform, staging_schema
 
 AS_OF = datetime(2024, 2, 3)
 
-def _exact(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
-
-
-def listings(t: Tables) -> DataFrame:
-    k = F.from_json("props", "k INT")["k"]
-    value, kind = _exact("value"), F.col("event_type")
-    nothing = F.lit(None).cast("string")
-    return t["events"].select(
-        F.col("user_id").alias("id"),
-        F.when(kind == "view", True).when(kind != "click", False).alias("infinite_supply"),
-        value.alias("circulating_supply"),
-        (value * 2).alias("total_supply"),
-        F.when(kind != "signup", k).alias("max_supply"),
-        (F.col("ts") - F.make_dt_interval(days=k * 3)).alias("date_added"),
-        k.alias("num_market_pairs"),
-        k.alias("cmc_rank"),
-        F.col("ts").alias("last_updated"),
-        nothing.alias("tvl_ratio"),
-        nothing.alias("self_reported_circulating_supply"),
-        nothing.alias("self_reported_market_cap"),
-        (value * 3).alias("minted_market_cap"),
-        F.col("ts").alias("inserted_at"),
-    )
-
-
-def quotes(t: Tables) -> DataFrame:
-    k = F.from_json("props", "k INT")["k"]
-    value, kind, user = _exact("value"), F.col("event_type"), F.col("user_id").cast("string")
-    return t["events"].select(
-        F.col("user_id").alias("id"),
-        F.concat(F.lit("User "), user).alias("name"),
-        F.concat(F.lit("U"), user).alias("symbol"),
-        F.concat(F.lit("user-"), user).alias("slug"),
-        F.lit(0).alias("is_fiat"),
-        F.lit(2781).alias("quote_id"),
-        F.lit("USD").alias("quote_symbol"),
-        value.alias("quote_price"),
-        (value * k).alias("quote_volume_24h"),
-        (value - k).alias("quote_volume_change_24h"),
-        (value * 10).alias("quote_cex_volume_24h"),
-        (value * k).alias("quote_dex_volume_24h"),
-        (k - 50).alias("quote_percent_change_1h"),
-        (value - k).alias("quote_percent_change_24h"),
-        F.when(kind != "purchase", k - 50).alias("quote_percent_change_7d"),
-        k.alias("quote_percent_change_30d"),
-        (k * 2).alias("quote_percent_change_60d"),
-        (k * 3).alias("quote_percent_change_90d"),
-        F.when(kind != "error", value * 1000).alias("quote_market_cap"),
-        (value / 100).cast("decimal(20,6)").alias("quote_market_cap_dominance"),
-        (value * 1500).alias("quote_fully_diluted_market_cap"),
-        (value * 3).alias("quote_minted_market_cap"),
-        F.when(kind != "view", k).alias("quote_tvl"),
-        F.col("ts").alias("quote_last_updated"),
-        F.col("ts").alias("inserted_at"),
-    )
-
-
-def categories(t: Tables) -> DataFrame:
-    supplier = F.col("l_suppkey").cast("string")
-    return t["lineitem"].select(
-        supplier.alias("id"),
-        F.concat(F.lit("Sector "), supplier).alias("name"),
-        F.concat(F.lit("Sector no. "), supplier).alias("title"),
-        F.lit(None).cast("string").alias("description"),
-        _exact("l_extendedprice").alias("volume"),
-        _exact("l_quantity").alias("num_tokens"),
-        _exact("l_discount").alias("avg_price_change"),
-        (_exact("l_extendedprice") * 10).alias("market_cap"),
-        F.when(F.col("l_returnflag") != "R", _exact("l_tax")).alias("market_cap_change"),
-        _exact("l_tax").alias("volume_change"),
-        F.col("l_shipdate").alias("last_updated"),
-        F.col("l_shipdate").alias("inserted_at"),
-    )
-
-
-def category_details(t: Tables) -> DataFrame:
-    supplier = F.col("l_suppkey").cast("string")
-    price = _exact("l_extendedprice")
-    return t["lineitem"].select(
-        supplier.alias("id"),
-        F.concat(F.lit("Sector "), supplier).alias("name"),
-        F.concat(F.lit("Sector no. "), supplier).alias("title"),
-        F.lit(None).cast("string").alias("description"),
-        price.alias("volume"),
-        _exact("l_quantity").alias("num_tokens"),
-        F.col("l_shipdate").alias("last_updated"),
-        _exact("l_discount").alias("avg_price_change"),
-        (price * 10).alias("market_cap"),
-        F.when(F.col("l_returnflag") != "R", _exact("l_tax")).alias("market_cap_change"),
-        _exact("l_tax").alias("volume_change"),
-        F.col("l_partkey").alias("coins_id"),
-        F.col("l_shipdate").alias("inserted_at"),
-    )
-
-
-def coin_map(t: Tables) -> DataFrame:
-    key = F.col("s_suppkey").cast("string")
-    nothing = F.lit(None).cast("string")
-    return t["supplier"].select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_name").alias("name"),
-        F.concat(F.lit("S"), key).alias("symbol"),
-        F.concat(F.lit("supplier-"), key).alias("slug"),
-        F.when(F.col("s_acctbal") > 0, 1).otherwise(0).alias("is_active"),
-        nothing.alias("first_historical_data"),
-        nothing.alias("last_historical_data"),
-    )
-
-
-def coin_info(t: Tables) -> DataFrame:
-    launched = F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=F.col("p_size"))
-    return t["part"].select(
-        F.col("p_partkey").alias("id"),
-        F.col("p_type").alias("category"),
-        F.col("p_name").alias("description"),
-        F.col("p_brand").alias("logo"),
-        F.when(F.col("p_size") > 5, launched).alias("date_launched"),
-    )
-
-
+# Amounts are exact two-decimal numbers; k is the number in ``props``.
+EVENTS_WITH_AMOUNT = ("*", "cast(value as decimal(18,2)) as v", "from_json(props, 'k INT').k as k")
+LINES_WITH_AMOUNT = ("*", "cast(l_extendedprice as decimal(18,2)) as price", "cast(l_suppkey as string) as sector")
+
+LISTINGS = (
+    "user_id as id",
+    "case when event_type = 'view' then true when event_type <> 'click' then false end as infinite_supply",
+    "v as circulating_supply",
+    "v * 2 as total_supply",
+    "case when event_type <> 'signup' then k end as max_supply",
+    "ts - make_dt_interval(k * 3) as date_added",
+    "k as num_market_pairs",
+    "k as cmc_rank",
+    "ts as last_updated",
+    "null as tvl_ratio",
+    "null as self_reported_circulating_supply",
+    "null as self_reported_market_cap",
+    "v * 3 as minted_market_cap",
+    "ts as inserted_at",
+)
+QUOTES = (
+    "user_id as id",
+    "'User ' || user_id as name",
+    "'U' || user_id as symbol",
+    "'user-' || user_id as slug",
+    "0 as is_fiat",
+    "2781 as quote_id",
+    "'USD' as quote_symbol",
+    "v as quote_price",
+    "v * k as quote_volume_24h",
+    "v - k as quote_volume_change_24h",
+    "v * 10 as quote_cex_volume_24h",
+    "v * k as quote_dex_volume_24h",
+    "k - 50 as quote_percent_change_1h",
+    "v - k as quote_percent_change_24h",
+    "case when event_type <> 'purchase' then k - 50 end as quote_percent_change_7d",
+    "k as quote_percent_change_30d",
+    "k * 2 as quote_percent_change_60d",
+    "k * 3 as quote_percent_change_90d",
+    "case when event_type <> 'error' then v * 1000 end as quote_market_cap",
+    "v / 100 as quote_market_cap_dominance",
+    "v * 1500 as quote_fully_diluted_market_cap",
+    "v * 3 as quote_minted_market_cap",
+    "case when event_type <> 'view' then k end as quote_tvl",
+    "ts as quote_last_updated",
+    "ts as inserted_at",
+)
+CATEGORIES = (
+    "sector as id",
+    "'Sector ' || sector as name",
+    "'Sector no. ' || sector as title",
+    "null as description",
+    "price as volume",
+    "cast(l_quantity as decimal(18,2)) as num_tokens",
+    "cast(l_discount as decimal(18,2)) as avg_price_change",
+    "price * 10 as market_cap",
+    "case when l_returnflag <> 'R' then cast(l_tax as decimal(18,2)) end as market_cap_change",
+    "cast(l_tax as decimal(18,2)) as volume_change",
+    "l_shipdate as last_updated",
+    "l_shipdate as inserted_at",
+)
+COIN_MAP = (
+    "s_suppkey as id",
+    "s_name as name",
+    "'S' || s_suppkey as symbol",
+    "'supplier-' || s_suppkey as slug",
+    "if(s_acctbal > 0, 1, 0) as is_active",
+    "null as first_historical_data",
+    "null as last_historical_data",
+)
+COIN_INFO = (
+    "p_partkey as id",
+    "p_type as category",
+    "p_name as description",
+    "p_brand as logo",
+    "case when p_size > 5 then timestamp_ntz'2020-01-01' + make_dt_interval(p_size) end as date_launched",
+)
+
+
+# Staging table -> given table, columns added to it, and its columns as staging columns.
 ROLES = {
-    "listings_latest": listings,
-    "quotes": quotes,
-    "categories": categories,
-    "category_details": category_details,
-    "map": coin_map,
-    "info": coin_info,
+    "listings_latest": ("events", EVENTS_WITH_AMOUNT, LISTINGS),
+    "quotes": ("events", EVENTS_WITH_AMOUNT, QUOTES),
+    "categories": ("lineitem", LINES_WITH_AMOUNT, CATEGORIES),
+    "category_details": ("lineitem", LINES_WITH_AMOUNT, (*CATEGORIES, "l_partkey as coins_id")),
+    "map": ("supplier", ("*",), COIN_MAP),
+    "info": ("part", ("*",), COIN_INFO),
 }
 
 
@@ -157,7 +115,8 @@ class StagingRoles(dict):
         self._given = t
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = conform(ROLES[name](self._given), staging_schema(name))
+        table, added, columns = ROLES[name]
+        self[name] = conform(self._given[table].selectExpr(*added).selectExpr(*columns), staging_schema(name))
         return self[name]
 
 

@@ -17,7 +17,7 @@ from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
 from snapmart.schemas import DATASETS, DataSet, datasets_of, record_schema
 from snapmart.sources.payloads import derive_quotes, land_records, read_if_landed, require_rows
-from snapmart.sources.tables import conform, create_layers, layer_name, replace_table, staging_schema
+from snapmart.sources.tables import conform, create_layers, layer_name, replace_table, staging_schema, stored_schema
 
 
 @dataclass(frozen=True)
@@ -101,10 +101,10 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     tables = {}
     for name, dataset in DATASETS.items():
         if dataset.historical:
-            schema = staging_schema(name).add(DAY, "date")
+            schema = stored_schema(name, DAY)
             df = read_history(spark, layout.history(name), schema)
         else:
-            schema = staging_schema(name)
+            schema = stored_schema(name)
             table = f"staging_layer.{name}"
             df = spark.table(table) if spark.catalog.tableExists(table) else None
         tables[name] = df if df is not None else spark.createDataFrame([], schema)

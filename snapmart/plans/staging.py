@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from snapmart.functions import as_flag
+from pyspark.sql import DataFrame
 
 # Model column <- table column [: type]. ``flag`` turns a 0/1 number into a boolean.
 COLUMNS = {
@@ -94,17 +91,14 @@ COLUMNS = {
 }
 
 
-def _column(line: str) -> Column:
-    target, _, rest = line.partition(" <- ")
+def _expression(line: str) -> str:
+    target, _, rest = line.strip().partition(" <- ")
     source, _, to = rest.partition(" : ")
-    value = F.col(source.strip())
     if to == "flag":
-        value = as_flag(value)
-    elif to:
-        value = value.cast(to)
-    return value.alias(target.strip())
+        return f"{source} = 1 as {target}"
+    return f"cast({source} as {to}) as {target}" if to else f"{source} as {target}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The staging model of one table. Decimal columns keep their declared precision."""
-    return df.select(*[_column(line.strip()) for line in COLUMNS[name].strip().splitlines()])
+    return df.selectExpr(*[_expression(line) for line in COLUMNS[name].strip().splitlines()])

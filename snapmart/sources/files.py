@@ -1,11 +1,17 @@
-"""CSV files with header, quoted multi-line text included."""
+"""CSV files with header, quoted multi-line text included. An empty value is null."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
+_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,  # the writer trims by default
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType, VarcharType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType, StringType, StructField, StructType, VarcharType
 
 from snapmart.schemas import STAGING_DDL
 
@@ -33,17 +33,27 @@ def create_staging_tables(spark: SparkSession, database: str = "staging_layer")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet")
 
 
+@cache
 def staging_schema(name: str, stamped: bool = True) -> StructType:
     schema = StructType.fromDDL(STAGING_DDL[name])
     return schema if stamped else StructType([f for f in schema.fields if f.name != "inserted_at"])
 
 
-def _typed(column: Column, to: DataType, name: str) -> Column:
-    if isinstance(to, VarcharType):
-        text = column.cast(StringType())
-        too_long = F.raise_error(F.lit(f"value too long for {name} varchar({to.length})"))
-        return F.when(F.length(text) > to.length, too_long).otherwise(text)
-    return column.cast(to)
+def stored_schema(name: str, *partitions: str) -> StructType:
+    """The staging schema as read back from files: sized texts are plain strings there."""
+    fields = [
+        StructField(f.name, StringType() if isinstance(f.dataType, VarcharType) else f.dataType)
+        for f in staging_schema(name).fields
+    ]
+    return StructType(fields + [StructField(day, DateType()) for day in partitions])
+
+
+def _typed(field: StructField) -> str:
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, VarcharType):
+        text, size = f"cast({name} as string)", field.dataType.length
+        return f"if(length({text}) > {size}, raise_error('{field.name} is longer than {size}'), {text}) as {name}"
+    return f"cast({name} as {field.dataType.simpleString()}) as {name}"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -51,7 +61,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     ANSI casts apply: a value that does not fit its type fails the query.
     """
-    return df.select(*[_typed(F.col(f"`{f.name}`"), f.dataType, f.name).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[_typed(f) for f in schema.fields])
 
 
 def replace_table(df: DataFrame, table: str, root: str) -> DataFrame:
