@@ -353,9 +353,9 @@ def _model_tests_sql() -> str:
         "dim_coins": ("dim_coins", "coin_id"),
         "dim_categories": ("dim_categories", "category_id"),
         "fact_coin_market": ("fact", "coin_id"),
-        "market_overview_daily": ("overview", "snapshot_date"),
-        "coin_explorer": ("explorer", "coin_id"),
-        "sector_performance": ("sectors", "category_id"),
+        "vw_market_overview_daily": ("overview", "snapshot_date"),
+        "vw_coin_explorer": ("explorer", "coin_id"),
+        "vw_sector_performance": ("sectors", "category_id"),
     }
     references = [
         ("fact_coin_market", "fact", "coin_id", "dim_coins"),

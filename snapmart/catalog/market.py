@@ -84,7 +84,7 @@ def fact_coin_market(t: Tables):
 
 @query("market_overview", market_sql("SELECT * FROM overview", OVERVIEW_SQL))
 def market_overview(t: Tables):
-    return models(t)["market_overview_daily"]
+    return models(t)["vw_market_overview_daily"]
 
 
 @query(
@@ -107,7 +107,7 @@ FROM overview""",
     ),
 )
 def overview_kpis(t: Tables):
-    overview = models(t)["market_overview_daily"]
+    overview = models(t)["vw_market_overview_daily"]
     both = union_labelled(
         [("latest", charts.overview_latest(overview)), ("trend", charts.overview_trend(overview))], label="scope"
     )
@@ -124,12 +124,12 @@ FROM explorer""",
     ),
 )
 def entity_explorer(t: Tables):
-    return models(t)["coin_explorer"]
+    return models(t)["vw_coin_explorer"]
 
 
 @query("sector_performance", market_sql("SELECT * FROM sectors", SECTORS_SQL))
 def sector_performance(t: Tables):
-    return models(t)["sector_performance"]
+    return models(t)["vw_sector_performance"]
 
 
 MOMENTUM_SELECT = f"SELECT * REPLACE ({ts_sql('date_added_at')} AS date_added_at) FROM momentum"
@@ -137,7 +137,7 @@ MOMENTUM_SELECT = f"SELECT * REPLACE ({ts_sql('date_added_at')} AS date_added_at
 
 @query("momentum_daily", market_sql(MOMENTUM_SELECT, MOMENTUM_SQL))
 def momentum_daily(t: Tables):
-    return models(t)["coin_momentum_daily"]
+    return models(t)["vw_coin_momentum_daily"]
 
 
 LATEST_DAY = "snapshot_date = (SELECT max(snapshot_date) FROM momentum)"
@@ -145,7 +145,7 @@ LATEST_DAY = "snapshot_date = (SELECT max(snapshot_date) FROM momentum)"
 
 @query("momentum_latest", market_sql(f"{MOMENTUM_SELECT} WHERE {LATEST_DAY}", MOMENTUM_SQL))
 def momentum_latest(t: Tables):
-    return charts.momentum_latest(models(t)["coin_momentum_daily"])
+    return charts.momentum_latest(models(t)["vw_coin_momentum_daily"])
 
 
 @query(
@@ -163,7 +163,7 @@ SELECT * FROM (
     ),
 )
 def rank_movers(t: Tables):
-    latest = charts.momentum_latest(models(t)["coin_momentum_daily"])
+    latest = charts.momentum_latest(models(t)["vw_coin_momentum_daily"])
     return union_labelled(
         [("gainers", charts.rank_movers(latest, up=True)), ("losers", charts.rank_movers(latest, up=False))],
         label="side",
@@ -181,7 +181,7 @@ FROM momentum WHERE is_new_entry""",
     ),
 )
 def new_entries(t: Tables):
-    return charts.new_entries(models(t)["coin_momentum_daily"])
+    return charts.new_entries(models(t)["vw_coin_momentum_daily"])
 
 
 @query(
@@ -194,7 +194,7 @@ WHERE cmc_rank <= 10 GROUP BY ALL""",
     ),
 )
 def rank_history(t: Tables):
-    return charts.rank_history(models(t)["coin_momentum_daily"])
+    return charts.rank_history(models(t)["vw_coin_momentum_daily"])
 
 
 @query(
@@ -207,7 +207,7 @@ GROUP BY coin_symbol ORDER BY volatility DESC NULLS LAST, coin_symbol LIMIT 20""
     ),
 )
 def volatility_top(t: Tables):
-    top = charts.volatility_top(models(t)["coin_momentum_daily"])
+    top = charts.volatility_top(models(t)["vw_coin_momentum_daily"])
     return top.withColumn("volatility", F.round("volatility", 6))
 
 
@@ -222,7 +222,7 @@ FROM explorer ORDER BY cmc_rank, coin_id LIMIT 100""",
     ),
 )
 def top_table(t: Tables):
-    return charts.top_table(models(t)["coin_explorer"])
+    return charts.top_table(models(t)["vw_coin_explorer"])
 
 
 @query(
@@ -235,7 +235,7 @@ GROUP BY coin_symbol ORDER BY market_cap DESC NULLS LAST, coin_symbol LIMIT 500"
     ),
 )
 def bubble_points(t: Tables):
-    return charts.bubble_points(models(t)["coin_explorer"])
+    return charts.bubble_points(models(t)["vw_coin_explorer"])
 
 
 @query(
@@ -254,7 +254,7 @@ SELECT * FROM (
     ),
 )
 def ratio_top(t: Tables):
-    explorer = models(t)["coin_explorer"]
+    explorer = models(t)["vw_coin_explorer"]
     dilution = charts.dilution_top(explorer, min_market_cap=10_000).withColumnRenamed("fdv_mc_ratio", "ratio")
     utilization = charts.utilization_top(explorer).withColumnRenamed("supply_utilization", "ratio")
     return union_labelled([("dilution", dilution), ("utilization", utilization)], label="chart")
@@ -270,7 +270,7 @@ ORDER BY mc_tvl_ratio NULLS LAST, coin_id LIMIT 50""",
     ),
 )
 def ratio_bottom(t: Tables):
-    return charts.cheapest_by_tvl(models(t)["coin_explorer"])
+    return charts.cheapest_by_tvl(models(t)["vw_coin_explorer"])
 
 
 @query(
@@ -284,7 +284,7 @@ FROM explorer WHERE is_new_coin_90d""",
     ),
 )
 def new_coin_performance(t: Tables):
-    return charts.new_coin_performance(models(t)["coin_explorer"])
+    return charts.new_coin_performance(models(t)["vw_coin_explorer"])
 
 
 @query(
@@ -306,7 +306,7 @@ SELECT * FROM (SELECT 'volume', category_name, volume_24h AS measure FROM sector
     ),
 )
 def sector_top(t: Tables):
-    sectors = models(t)["sector_performance"]
+    sectors = models(t)["vw_sector_performance"]
     parts = {
         "treemap": charts.sector_treemap(sectors),
         "change_7d": charts.sector_change(sectors, "7d"),
@@ -327,7 +327,7 @@ def sector_top(t: Tables):
     ),
 )
 def sector_table(t: Tables):
-    return charts.sector_table(models(t)["sector_performance"])
+    return charts.sector_table(models(t)["vw_sector_performance"])
 
 
 @query(
@@ -338,5 +338,5 @@ def sector_table(t: Tables):
     ),
 )
 def time_range(t: Tables):
-    momentum = models(t)["coin_momentum_daily"]
+    momentum = models(t)["vw_coin_momentum_daily"]
     return charts.with_symbol(charts.days_between(momentum, date(2024, 1, 10), date(2024, 1, 12)), "S7")

@@ -31,8 +31,8 @@ class Universe:
 
     @classmethod
     def of(cls, keys: DataFrame, limit: int = BROADCAST_KEYS) -> Universe:
-        """Counts at most ``limit + 1`` keys to decide."""
-        return cls(keys, keys.limit(limit + 1).count() <= limit)
+        """Counts the keys (one narrow scan) to decide."""
+        return cls(keys, keys.count() <= limit)
 
 
 def scoped(df: DataFrame, universe: DataFrame, key: str) -> DataFrame:

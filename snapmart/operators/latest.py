@@ -37,12 +37,32 @@ def latest_per_key(
     return top_per_group(df, keys, order, 1)
 
 
+def latest_whole_rows(df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Same rows as ``latest_per_key``, for a result that several branches of one query read.
+
+    The newest row is aggregated as one value (also map-side), so no branch prunes columns from it:
+    all branches have the same shuffle, and Spark scans and shuffles the history once for all.
+    """
+    payload = [c for c in df.columns if c not in keys]
+    order = F.struct(F.col(at).isNull(), F.col(at), *ties)
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def latest_per_key_day(
-    df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = (), day: str = "snapshot_date"
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    ties: Sequence[str] = (),
+    day: str = "snapshot_date",
+    whole_rows: bool = False,
 ) -> DataFrame:
-    """The newest row for each key and calendar day of ``at``, with the day as a column."""
-    dated = df.withColumn(day, day_of(at))
-    return latest_per_key(dated, [*keys, day], at, ties)
+    """The newest row for each key and calendar day of ``at``, with the day as a column.
+
+    ``whole_rows`` chooses the form that several branches can share.
+    """
+    newest = latest_whole_rows if whole_rows else latest_per_key
+    return newest(df.withColumn(day, day_of(at)), [*keys, day], at, ties)
 
 
 def latest_batch(df: DataFrame, at: str, day: str | None = None) -> DataFrame:

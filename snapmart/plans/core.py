@@ -29,6 +29,7 @@ FACT_FROM_QUOTES = (
     "percent_change_24h", "percent_change_7d", "percent_change_30d", "percent_change_60d",
     "percent_change_90d", "market_cap", "market_cap_dominance_pct", "fully_diluted_market_cap", "tvl",
 )
+FACT = (*FACT_FROM_LISTINGS, *FACT_FROM_QUOTES, "last_updated_at", "inserted_at")
 
 
 def coins(stg_map: DataFrame, stg_info: DataFrame) -> DataFrame:

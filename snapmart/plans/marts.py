@@ -22,11 +22,13 @@ def market_overview_daily(stg_quotes: DataFrame) -> DataFrame:
     """Whole-market totals per day over the newest quote of each coin and day.
 
     Day totals are a plain aggregate. The top coins of a day come from a bounded rank, so a day is
-    never gathered in one task; both small results meet on the day.
+    never gathered in one task; both small results meet on the day. The two branches share one scan
+    and shuffle of the history.
     """
     amounts = ("market_cap", "volume_24h", "cex_volume_24h", "dex_volume_24h")
     rows = stg_quotes.select("coin_id", "inserted_at", "last_updated_at", "market_cap_dominance_pct", *amounts)
-    daily = latest_per_key_day(rows, ["coin_id"], "inserted_at", ties=["last_updated_at", "market_cap"])
+    ties = ["last_updated_at", "market_cap"]
+    daily = latest_per_key_day(rows, ["coin_id"], "inserted_at", ties, whole_rows=True)
     totals = daily.groupBy(DAY).agg(
         *[F.sum(c).alias(f"total_{c}") for c in amounts],
         F.max(F.when(F.col("coin_id") == LEAD_COIN, F.col("market_cap_dominance_pct"))).alias("btc_dominance_pct"),

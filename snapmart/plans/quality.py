@@ -221,9 +221,9 @@ def model_tests(models: Mapping[str, DataFrame]) -> DataFrame:
         ("dim_coins", "coin_id"),
         ("dim_categories", "category_id"),
         ("fact_coin_market", "coin_id"),
-        ("market_overview_daily", "snapshot_date"),
-        ("coin_explorer", "coin_id"),
-        ("sector_performance", "category_id"),
+        ("vw_market_overview_daily", "snapshot_date"),
+        ("vw_coin_explorer", "coin_id"),
+        ("vw_sector_performance", "category_id"),
     ]
     filled_columns = [*unique_columns, ("bridge_category_coin", "category_id"), ("bridge_category_coin", "coin_id")]
     references = [

@@ -9,15 +9,18 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType, TimestampNTZType
 
-from snapmart.operators.history import DAY, commit_snapshot, read_history
+from snapmart.operators.history import DAY, backfill_stamp, commit_snapshot, read_history, replace_days
 from snapmart.operators.joins import Universe
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
 from snapmart.schemas import DATASETS, DataSet, datasets_of, record_schema
+from snapmart.sources.files import read_csv_text, write_csv
 from snapmart.sources.payloads import derive_quotes, land_records, read_if_landed, require_rows
 from snapmart.sources.tables import conform, create_layers, layer_name, replace_table, staging_schema, stored_schema
+from snapmart.streaming.ingest import commit_runs, ingest_available
 
 
 @dataclass(frozen=True)
@@ -66,13 +69,49 @@ def load_dataset(spark: SparkSession, layout: Layout, dataset: DataSet, run_ts:
     )
     if records is None:
         return None
-    rows = parse(records, dataset)
-    if dataset.historical:
-        commit_snapshot(rows, layout.history(dataset.name), run_ts, list(dataset.keys))
+    rows = parse(records, dataset).persist()  # one run's batch: compared, written and counted
+    try:
+        if dataset.historical:
+            commit_snapshot(rows, layout.history(dataset.name), run_ts, list(dataset.keys))
+        else:
+            create_layers(spark, layout.warehouse)
+            replace_table(rows, f"staging_layer.{dataset.name}", layout.warehouse)
+        return rows.count()
+    finally:
+        rows.unpersist()
+
+
+def ingest_dataset(spark: SparkSession, layout: Layout, name: str) -> None:
+    """Commit the runs of a stamped data set that have landed since the last call.
+
+    Streaming form of ``load_dataset``: each run is a folder ``run_ts=<time>`` below the payload's
+    folder, and is parsed, compared and committed in the order of the runs.
+    """
+    dataset = DATASETS[name]
+    schema = StructType().add("data", ArrayType(record_schema(name))).add("run_ts", TimestampNTZType())
+    payloads = spark.readStream.schema(schema).option("multiLine", layout.whole_file).json(layout.payload(name))
+    records = payloads.select("run_ts", F.explode("data").alias("_record")).select("run_ts", "_record.*")
+    commit = commit_runs(layout.history(name), list(dataset.keys), "run_ts", lambda rows: parse(rows, dataset))
+    ingest_available(records, commit, f"{layout.warehouse}/checkpoints/{name}")
+
+
+def import_csv(spark: SparkSession, layout: Layout, name: str, path: str, run_ts: datetime) -> None:
+    """Load a CSV file with header into its staging table, by column name.
+
+    A history keeps its stamps, and each of its days is replaced; one that predates stamping is stamped
+    with this run. A current-state table is replaced as a unit. A missing file is an error.
+    """
+    rows = read_csv_text(spark, path)
+    if DATASETS[name].historical:
+        replace_days(conform(backfill_stamp(rows, run_ts), staging_schema(name)), layout.history(name))
     else:
         create_layers(spark, layout.warehouse)
-        replace_table(rows, f"staging_layer.{dataset.name}", layout.warehouse)
-    return rows.count()
+        replace_table(conform(rows, staging_schema(name)), f"staging_layer.{name}", layout.warehouse)
+
+
+def export_csv(spark: SparkSession, layout: Layout, name: str, path: str) -> None:
+    """Write a staging table as CSV files with header."""
+    write_csv(staging_tables(spark, layout)[name].select(*staging_schema(name).names), path)
 
 
 def load_group(
@@ -113,33 +152,43 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 Model = Callable[["Models"], DataFrame]
 
-# Namespace and materialisation of each model. Staging models and marts are views;
+# Namespace and materialisation of each model. Intermediate models and marts are views;
 # dimensions and bridge are tables; the fact is a view, so that it always shows the newest load.
 MATERIALISED = {
+    "int_coins": ("intermediate_layer", "view"),
+    "int_category_snapshot": ("intermediate_layer", "view"),
+    "int_coin_market_snapshot": ("intermediate_layer", "view"),
+    "int_category_coin_bridge": ("intermediate_layer", "view"),
     "dim_coins": ("olap", "table"),
     "dim_categories": ("olap", "table"),
     "fact_coin_market": ("olap", "view"),
     "bridge_category_coin": ("olap", "table"),
-    "market_overview_daily": ("analytics", "view"),
-    "coin_explorer": ("analytics", "view"),
-    "sector_performance": ("analytics", "view"),
-    "coin_momentum_daily": ("analytics", "view"),
+    "vw_market_overview_daily": ("analytics", "view"),
+    "vw_coin_explorer": ("analytics", "view"),
+    "vw_sector_performance": ("analytics", "view"),
+    "vw_coin_momentum_daily": ("analytics", "view"),
 }
 
 
 def model_functions(as_of: datetime) -> dict[str, Model]:
     """Each model as a function of the models it reads."""
     return {
-        "dim_coins": lambda m: core.coins(m["stg_map"], m["stg_info"]),
-        "dim_categories": lambda m: core.categories(m["stg_categories"], core.known_categories(m["stg_categories"])),
-        "fact_coin_market": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m.tracked),
-        "bridge_category_coin": lambda m: core.bridge(m["stg_category_details"], m.tracked),
-        "market_overview_daily": lambda m: marts.market_overview_daily(m["stg_quotes"]),
-        "coin_explorer": lambda m: marts.coin_explorer(m["fact_coin_market"], m["dim_coins"], as_of),
-        "sector_performance": lambda m: marts.sector_performance(
+        "int_coins": lambda m: core.coins(m["stg_map"], m["stg_info"]),
+        "int_category_snapshot": lambda m: core.categories(
+            m["stg_categories"], core.known_categories(m["stg_categories"])
+        ),
+        "int_coin_market_snapshot": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m.tracked),
+        "int_category_coin_bridge": lambda m: core.bridge(m["stg_category_details"], m.tracked),
+        "dim_coins": lambda m: m["int_coins"].select(*core.DIM_COINS),
+        "dim_categories": lambda m: m["int_category_snapshot"].select(*core.DIM_CATEGORIES),
+        "fact_coin_market": lambda m: m["int_coin_market_snapshot"].select(*core.FACT),
+        "bridge_category_coin": lambda m: m["int_category_coin_bridge"].select(*core.BRIDGE),
+        "vw_market_overview_daily": lambda m: marts.market_overview_daily(m["stg_quotes"]),
+        "vw_coin_explorer": lambda m: marts.coin_explorer(m["fact_coin_market"], m["dim_coins"], as_of),
+        "vw_sector_performance": lambda m: marts.sector_performance(
             m["bridge_category_coin"], m["fact_coin_market"], m["dim_categories"]
         ),
-        "coin_momentum_daily": lambda m: marts.coin_momentum_daily(
+        "vw_coin_momentum_daily": lambda m: marts.coin_momentum_daily(
             m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]
         ),
     }

@@ -23,3 +23,8 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Typed read; a value that does not parse fails the query."""
     return spark.read.options(**_OPTIONS).option("mode", "FAILFAST").schema(schema).csv(path)
+
+
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every column of the header as text, for a load that casts by name."""
+    return spark.read.options(**_OPTIONS).csv(path)

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from snapmart.operators.latest import latest_batch, latest_per_key, latest_per_key_day
+from snapmart.operators.latest import latest_batch, latest_per_key, latest_per_key_day, latest_whole_rows
 from snapmart.operators.ranking import rank_in_group, top_k, top_per_group, with_previous
 
 D = datetime
@@ -32,8 +32,24 @@ def test_newest_row_per_key(history, as_rows, few_keys):
     assert found == [(1, 12, "c"), (2, 21, "z"), (3, 30, "n"), (None, 40, "p")]
 
 
-def test_newest_row_per_key_and_day(history, as_rows):
-    found = as_rows(latest_per_key_day(history, ["k"], "at", ["v"]), "k", "v")
+def test_newest_whole_row_per_key(history, as_rows):
+    found = latest_whole_rows(history, ["k"], "at", ["v"])
+    assert found.columns == history.columns
+    assert as_rows(found, "k", "v", "s") == [(1, 12, "c"), (2, 21, "z"), (3, 30, "n"), (None, 40, "p")]
+
+
+def test_whole_rows_are_shuffled_once_for_two_branches(history):
+    daily = latest_per_key_day(history, ["k"], "at", ["v"], whole_rows=True)
+    texts = daily.groupBy("snapshot_date").agg(F.max("s").alias("s"))
+    both = texts.join(daily.groupBy("snapshot_date").agg(F.sum("v").alias("v")), "snapshot_date")
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("whole_rows", [False, True])
+def test_newest_row_per_key_and_day(history, as_rows, whole_rows):
+    found = as_rows(latest_per_key_day(history, ["k"], "at", ["v"], whole_rows=whole_rows), "k", "v")
     assert found == [(1, 11), (1, 12), (2, 21), (3, 30), (3, 31), (None, 40)]
 
 

@@ -6,7 +6,16 @@ import pytest
 
 from snapmart.operators.history import read_history
 from snapmart.plans import charts, panels, quality
-from snapmart.plans.refresh import Layout, Models, load_group, run_pipeline, staging_tables
+from snapmart.plans.refresh import (
+    Layout,
+    Models,
+    export_csv,
+    import_csv,
+    ingest_dataset,
+    load_group,
+    run_pipeline,
+    staging_tables,
+)
 from snapmart.sources.tables import create_layers, create_staging_tables, layer_name, staging_schema
 from tests.market import category, info, land, listing, mapped
 
@@ -111,7 +120,7 @@ def test_listing_without_quote_stays_in_the_fact(spark, layout, market):
 
 
 def test_market_overview(market):
-    overview = by(market["models"]["market_overview_daily"], "snapshot_date")
+    overview = by(market["models"]["vw_market_overview_daily"], "snapshot_date")
     assert set(overview) == {date(2024, 5, 1), date(2024, 5, 2), date(2024, 5, 4)}
     day = overview[date(2024, 5, 1)]
     assert float(day["total_market_cap"]) == 121_000 and day["num_coins"] == 3
@@ -121,7 +130,7 @@ def test_market_overview(market):
 
 
 def test_momentum(market):
-    moves = by(market["models"]["coin_momentum_daily"], "coin_id", "snapshot_date")
+    moves = by(market["models"]["vw_coin_momentum_daily"], "coin_id", "snapshot_date")
     d1, d2, d4 = date(2024, 5, 1), date(2024, 5, 2), date(2024, 5, 4)
     assert (moves[1, d1]["prev_cmc_rank"], moves[1, d1]["rank_change"], moves[1, d1]["is_new_entry"]) == (1, 0, True)
     assert (moves[2, d2]["rank_change"], moves[2, d2]["is_new_entry"]) == (1, False)
@@ -132,7 +141,7 @@ def test_momentum(market):
 
 
 def test_explorer_ratios_and_flags(market):
-    explorer = by(market["models"]["coin_explorer"], "coin_id")
+    explorer = by(market["models"]["vw_coin_explorer"], "coin_id")
     assert len(explorer[1]) == 33
     assert explorer[1]["fdv_mc_ratio"] == 2.0 and explorer[1]["supply_utilization"] == 0.505
     assert explorer[1]["mc_tvl_ratio"] == pytest.approx(10.0) and explorer[2]["mc_tvl_ratio"] is None
@@ -146,14 +155,14 @@ def test_explorer_zero_denominators_and_infinite_supply(spark, layout, market):
         "case id when 1 then true when 2 then false end as infinite_supply",
         "cast(case id when 2 then 0 else 100 end as decimal(30,4)) as max_supply",
     )
-    explorer = by(Models({**tables, "listings_latest": listings}, RUN3)["coin_explorer"], "coin_id")
+    explorer = by(Models({**tables, "listings_latest": listings}, RUN3)["vw_coin_explorer"], "coin_id")
     assert explorer[1]["supply_utilization"] is None  # infinite
     assert explorer[2]["supply_utilization"] is None  # zero maximum
     assert explorer[3]["supply_utilization"] == 0.505  # unknown counts as finite
 
 
 def test_sectors_cover_tracked_coins_only(market):
-    sectors = by(market["models"]["sector_performance"], "category_id")
+    sectors = by(market["models"]["vw_sector_performance"], "category_id")
     assert set(sectors) == {"x"}
     row = sectors["x"]
     assert row["num_coins"] == 2 and float(row["market_cap"]) == 146_000
@@ -163,17 +172,17 @@ def test_sectors_cover_tracked_coins_only(market):
 
 def test_charts_over_the_marts(market):
     m = market["models"]
-    latest = charts.momentum_latest(m["coin_momentum_daily"])
+    latest = charts.momentum_latest(m["vw_coin_momentum_daily"])
     assert [r["coin_id"] for r in charts.rank_movers(latest, up=True).collect()] == [9, 1, 2]
     assert [r["coin_id"] for r in charts.rank_movers(latest, up=False).collect()] == [2, 1, 9]
     assert charts.new_entries(latest).count() == 0
-    assert charts.overview_latest(m["market_overview_daily"]).first()["snapshot_date"] == date(2024, 5, 4)
-    assert [r["coin_symbol"] for r in charts.top_table(m["coin_explorer"]).collect()] == ["C1", "C2", "C3"]
-    assert charts.dilution_top(m["coin_explorer"], 50_000).collect()[0]["fdv_mc_ratio"] == 2.0
-    assert charts.cheapest_by_tvl(m["coin_explorer"]).count() == 2
-    history = by(charts.rank_history(m["coin_momentum_daily"]), "snapshot_date", "coin_symbol")
+    assert charts.overview_latest(m["vw_market_overview_daily"]).first()["snapshot_date"] == date(2024, 5, 4)
+    assert [r["coin_symbol"] for r in charts.top_table(m["vw_coin_explorer"]).collect()] == ["C1", "C2", "C3"]
+    assert charts.dilution_top(m["vw_coin_explorer"], 50_000).collect()[0]["fdv_mc_ratio"] == 2.0
+    assert charts.cheapest_by_tvl(m["vw_coin_explorer"]).count() == 2
+    history = by(charts.rank_history(m["vw_coin_momentum_daily"]), "snapshot_date", "coin_symbol")
     assert history[date(2024, 5, 1), "C2"]["inverted_rank"] == -2
-    assert charts.days_between(m["market_overview_daily"], date(2024, 5, 2), date(2024, 5, 4)).count() == 2
+    assert charts.days_between(m["vw_market_overview_daily"], date(2024, 5, 2), date(2024, 5, 4)).count() == 2
 
 
 def test_model_tests_pass(market):
@@ -187,6 +196,8 @@ def test_tables_and_views_can_be_queried_by_name(spark, layout, market):
     assert spark.sql("select max(cmc_rank) from fact_coin_market").first()[0] == 3
     assert spark.sql("select count(*) from staging_layer.map").first()[0] == 3
     assert spark.sql("select count(*) from stg_quotes").first()[0] == 10
+    assert spark.sql("select count(*) from int_category_coin_bridge").first()[0] == 2
+    assert spark.sql("select max(num_coins) from vw_sector_performance").first()[0] == 2
 
 
 def test_declared_checks_over_staging(spark, layout, market):
@@ -263,3 +274,43 @@ def test_declaring_tables_is_idempotent(spark, tmp_path):
         "listings_latest", "quotes", "categories", "category_details", "map", "info",
     }
     assert layer_name(None) == "analytics" and layer_name(" olap ") == "olap"
+
+
+def test_landed_runs_are_ingested_incrementally(spark, tmp_path):
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "warehouse"))
+
+    def land_run(run, records):
+        land(f"{layout.landing}/category_details", f"run_ts={run.isoformat(sep=' ').replace(':', '%3A')}", records)
+
+    def stamps():
+        ingest_dataset(spark, layout, "category_details")
+        history = read_history(spark, layout.history("category_details"))
+        return sorted((r["inserted_at"], r["coins_id"]) for r in history.collect())
+
+    land_run(RUN2, [category("x", [1])])  # repeats the first run
+    land_run(RUN1, [category("x", [1])])
+    assert stamps() == [(RUN1, 1)]
+    land_run(RUN3, [category("x", [1, 2])])
+    assert stamps() == [(RUN1, 1), (RUN3, 1), (RUN3, 2)]
+
+
+def test_csv_history_can_be_moved_in_and_out(spark, layout, market, tmp_path, as_rows):
+    path = str(tmp_path / "categories.csv")
+    export_csv(spark, layout, "categories", path)
+    other = Layout(str(tmp_path / "landing"), str(tmp_path / "warehouse"))
+    import_csv(spark, other, "categories", path, RUN3)
+    names = staging_schema("categories").names
+    moved, kept = (read_history(spark, x.history("categories")).select(*names) for x in (other, layout))
+    assert as_rows(moved) == as_rows(kept)
+    assert moved.first()["description"] == 'multi\nline, "quoted"'
+
+
+def test_csv_without_stamps_is_stamped(spark, tmp_path):
+    layout = Layout(str(tmp_path / "landing"), str(tmp_path / "warehouse"))
+    columns = [n for n in staging_schema("categories").names if n != "inserted_at"]
+    (tmp_path / "old.csv").write_text(",".join(columns) + "\nx,Sector x,T,,1.5,3,,7,,,2024-01-01T00:00:00.000Z\n")
+    import_csv(spark, layout, "categories", str(tmp_path / "old.csv"), RUN1)
+    row = read_history(spark, layout.history("categories")).first()
+    assert row["inserted_at"] == RUN1 and row["last_updated"] == datetime(2024, 1, 1) and row["num_tokens"] == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        import_csv(spark, layout, "categories", str(tmp_path / "absent.csv"), RUN1)
