@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from snapmart.catalog.registry import Tables, query, ts_sql
 from snapmart.catalog.roles import (
     AS_OF,
+    CHECKED_COLUMNS,
+    CHECKED_SQL,
     EXPLORER_SQL,
     OVERVIEW_SQL,
     SECTORS_SQL,
@@ -342,7 +344,32 @@ def market_missing(t: Tables):
     return panels.market_missing_status(staging_roles(t))
 
 
-@query("market_checks")
+def _market_checks_sql() -> str:
+    """Every declared check as its own SELECT over the staging tables in their roles."""
+    rows = []
+    for table, checks in quality.MARKET_CHECKS.items():
+        known = CHECKED_COLUMNS[table].split()
+        for check in checks:
+            relation = f"st_{table}" if check.partition == quality.WHOLE else _newest(f"st_{table}", "inserted_at")
+            columns = [c if c in known else "id" for c in check.columns]
+            column = columns[0] if columns else ""
+            if check.kind == "unique":
+                relation = _groups(relation, ", ".join(columns))
+            measured, passed = {
+                "rows_above": ("count(*)", f"> {check.limit}"),
+                "rows_between": ("count(*)", f"BETWEEN {check.limit} AND {check.upper}"),
+                "missing_count": (_nulls(column), "= 0"),
+                "missing_percent_below": (_share(column), f"< {check.limit}"),
+                "minimum": (f"min({column})", f">= {check.limit}"),
+                "fresh_within": (_age(column), f"<= {check.limit}"),
+                "unique": ("count(*)", "= 0"),
+            }[check.kind]
+            names = ", ".join(check.columns)
+            rows.append(_check_sql(table, check.partition, relation, check.name, names, measured, passed))
+    return f"WITH {CHECKED_SQL}\n" + "\nUNION ALL\n".join(rows)
+
+
+@query("market_checks", _market_checks_sql())
 def market_checks(t: Tables):
     """All declared checks of the staging tables over the tables in their roles."""
     return quality.run_checks(staging_roles(t), quality.MARKET_CHECKS, AS_OF)

@@ -26,16 +26,16 @@ FACT_DOUBLES = (
 )
 
 
-@query(
-    "dim_coins",
-    market_sql(
-        f"""
+DIM_COINS_SQL = market_sql(
+    f"""
 SELECT coin_id, coin_name, coin_symbol, coin_slug, is_active, NULL::VARCHAR AS first_historical_data_at,
        NULL::VARCHAR AS last_historical_data_at, coin_category, coin_description, logo_url,
        {ts_sql("date_launched_at")} AS date_launched_at
 FROM dim_coins"""
-    ),
 )
+
+
+@query("dim_coins", DIM_COINS_SQL)
 def dim_coins(t: Tables):
     return models(t)["dim_coins"]
 

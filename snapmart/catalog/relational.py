@@ -64,7 +64,7 @@ def newest_orders(t: Tables):
 @query(
     "filter_predicates",
     """
-SELECT d.doc_id, lang, n_chars, quality, toxic, quality IS NULL AS unlabelled, n_chars >= 1000 AS is_long
+SELECT d.doc_id, lang, n_chars, quality::BIGINT AS quality, toxic::BIGINT AS toxic, quality IS NULL AS unlabelled, n_chars >= 1000 AS is_long
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 WHERE (quality IS NULL AND n_chars BETWEEN 100 AND 5000) OR (quality IS NOT NULL AND toxic = 0 AND n_chars >= 100)""",
 )

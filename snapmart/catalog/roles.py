@@ -128,6 +128,39 @@ def models(t: Tables) -> Models:
     return Models(staging_roles(t), AS_OF)
 
 
+# The staging tables in SQL, as far as the declared checks read them. Columns that are always filled
+# in their role are stood in for by the key.
+CHECKED_SQL = """
+st_events AS (
+  SELECT user_id AS id, ts AS inserted_at, event_type, json_extract_string(props, '$.k')::INT AS k FROM events
+), st_listings_latest AS (
+  SELECT id, inserted_at, CASE WHEN event_type <> 'click' THEN id END AS infinite_supply,
+         CASE WHEN event_type <> 'signup' THEN k END AS max_supply, NULL::INT AS tvl_ratio,
+         NULL::INT AS self_reported_circulating_supply, NULL::INT AS self_reported_market_cap
+  FROM st_events
+), st_quotes AS (
+  SELECT id, inserted_at, 2781 AS quote_id, CASE WHEN event_type <> 'purchase' THEN k END AS quote_percent_change_7d,
+         CASE WHEN event_type <> 'error' THEN k END AS quote_market_cap,
+         CASE WHEN event_type <> 'view' THEN k END AS quote_tvl
+  FROM st_events
+), st_category_details AS (
+  SELECT l_suppkey AS id, l_partkey AS coins_id, l_shipdate AS inserted_at, l_extendedprice AS volume,
+         l_extendedprice * 10 AS market_cap, l_quantity AS num_tokens,
+         CASE WHEN l_returnflag <> 'R' THEN l_tax END AS market_cap_change
+  FROM lineitem
+), st_categories AS (SELECT * EXCLUDE (coins_id) FROM st_category_details
+), st_info AS (
+  SELECT p_partkey AS id, CASE WHEN p_size > 5 THEN p_size END AS date_launched FROM part
+)"""
+CHECKED_COLUMNS = {
+    "listings_latest": "id inserted_at infinite_supply max_supply tvl_ratio self_reported_circulating_supply "
+    "self_reported_market_cap",
+    "quotes": "id inserted_at quote_id quote_percent_change_7d quote_market_cap quote_tvl",
+    "category_details": "id coins_id inserted_at volume market_cap num_tokens market_cap_change",
+    "categories": "id inserted_at volume market_cap num_tokens market_cap_change",
+    "info": "id date_launched",
+}
+
 # The same roles in SQL. Amounts are exact decimals until a ratio is formed.
 STAGING_SQL = """
 ev AS (

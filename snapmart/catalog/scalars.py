@@ -82,14 +82,14 @@ def fn_math(t: Tables):
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text, o_orderdate::DATE::VARCHAR AS day,
        o_orderdate >= TIMESTAMP '2001-08-01' - INTERVAL 90 DAY AS is_recent,
        date_trunc('day', o_orderdate)::DATE::VARCHAR AS day_start,
-       {ts_sql("o_orderdate + to_hours(o_custkey % 48)")} AS due_at,
+       {ts_sql("o_orderdate + to_hours(left(o_orderpriority, 1)::INT)")} AS due_at,
        (epoch_us(TIMESTAMP '2001-08-01') - epoch_us(o_orderdate)) / 60000000.0 AS minutes_old
 FROM orders""",
 )
 def fn_datetime(t: Tables):
     ordered = F.col("o_orderdate")
     as_of = F.lit(ORDERS_AS_OF).cast("timestamp_ntz")
-    hours = (F.col("o_custkey") % 48).cast("int")
+    hours = F.substring("o_orderpriority", 1, 1).cast("int")
     return t["orders"].select(
         "o_orderkey",
         day_text("o_orderdate").alias("day_text"),

@@ -29,3 +29,8 @@ def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and order-free hash sum: unequal fingerprints prove unequal relations."""
     digest = F.xxhash64(*sorted(df.columns)).cast("decimal(20,0)")
     return df.agg(F.count("*").alias("n"), F.sum(digest).alias("digest"))
+
+
+def same_fingerprint(left: DataFrame, right: DataFrame) -> bool:
+    """Whether the fingerprints agree; both are computed in one job."""
+    return fingerprint(left).union(fingerprint(right)).distinct().count() == 1

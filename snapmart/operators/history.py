@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapmart.functions import day_of
-from snapmart.operators.compare import fingerprint, same_rows
+from snapmart.operators.compare import same_fingerprint, same_rows
 from snapmart.operators.latest import latest_batch
 
 STAMP = "inserted_at"
@@ -86,14 +86,12 @@ def replace_days(stamped: DataFrame, path: str, at: str = STAMP) -> None:
 def unchanged(batch: DataFrame, last: DataFrame | None, keys: list[str]) -> bool:
     """Whether the batch equals the newest snapshot: same columns, same rows, any order.
 
-    False without a snapshot or without the key columns. A count and hash sum decide most unequal
-    pairs; only equal ones are compared row by row.
+    False without a snapshot, without declared keys or without their columns. A count and hash sum
+    decide most unequal pairs; only equal ones are compared row by row.
     """
-    if last is None or not set(keys) <= set(last.columns) or set(last.columns) != set(batch.columns):
+    if last is None or not keys or not set(keys) <= set(last.columns) or set(last.columns) != set(batch.columns):
         return False
-    if fingerprint(batch).first() != fingerprint(last).first():
-        return False
-    return same_rows(batch, last).first()["same"]
+    return same_fingerprint(batch, last) and same_rows(batch, last).first()["same"]
 
 
 def commit_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> bool:
