@@ -145,7 +145,7 @@ st_events AS (
   FROM st_events
 ), st_category_details AS (
   SELECT l_suppkey AS id, l_partkey AS coins_id, l_shipdate AS inserted_at, l_extendedprice AS volume,
-         l_extendedprice * 10 AS market_cap, l_quantity AS num_tokens,
+         l_extendedprice::DECIMAL(18,2) * 10 AS market_cap, l_quantity AS num_tokens,
          CASE WHEN l_returnflag <> 'R' THEN l_tax END AS market_cap_change
   FROM lineitem
 ), st_categories AS (SELECT * EXCLUDE (coins_id) FROM st_category_details
