@@ -107,10 +107,10 @@ FROM overview""",
     ),
 )
 def overview_kpis(t: Tables):
-    overview = models(t)["vw_market_overview_daily"]
-    both = union_labelled(
-        [("latest", charts.overview_latest(overview)), ("trend", charts.overview_trend(overview))], label="scope"
-    )
+    m = models(t)
+    overview = m["vw_market_overview_daily"]
+    latest = charts.overview_latest(overview, charts.newest_day(m["stg_quotes"]))
+    both = union_labelled([("latest", latest), ("trend", charts.overview_trend(overview))], label="scope")
     return both.withColumn("btc_dominance_pct", F.coalesce("btc_dominance_pct", F.lit(-1)))
 
 
@@ -145,6 +145,12 @@ LATEST_DAY = "snapshot_date = (SELECT max(snapshot_date) FROM momentum)"
 
 @query("momentum_latest", market_sql(f"{MOMENTUM_SELECT} WHERE {LATEST_DAY}", MOMENTUM_SQL))
 def momentum_latest(t: Tables):
+    return models(t)["vw_coin_momentum_latest"]
+
+
+@query("momentum_newest_day", market_sql(f"{MOMENTUM_SELECT} WHERE {LATEST_DAY}", MOMENTUM_SQL))
+def momentum_newest_day(t: Tables):
+    """The same rows as a filter on the daily mart."""
     return charts.momentum_latest(models(t)["vw_coin_momentum_daily"])
 
 
@@ -163,7 +169,7 @@ SELECT * FROM (
     ),
 )
 def rank_movers(t: Tables):
-    latest = charts.momentum_latest(models(t)["vw_coin_momentum_daily"])
+    latest = models(t)["vw_coin_momentum_latest"]
     return union_labelled(
         [("gainers", charts.rank_movers(latest, up=True)), ("losers", charts.rank_movers(latest, up=False))],
         label="side",

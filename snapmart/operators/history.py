@@ -11,10 +11,9 @@ from pyspark.sql.types import StructType
 
 from snapmart.functions import day_of
 from snapmart.operators.compare import same_fingerprint, same_rows
-from snapmart.operators.latest import latest_batch
+from snapmart.operators.latest import DAY, latest_batch
 
 STAMP = "inserted_at"
-DAY = "snapshot_date"
 
 
 def stamp(batch: DataFrame, run_ts: datetime) -> DataFrame:

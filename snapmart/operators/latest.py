@@ -12,9 +12,33 @@ from snapmart.functions import day_of
 from snapmart.operators.ranking import top_per_group
 
 
+DAY = "snapshot_date"  # the day of a row's time; the partition column of a stored history
 FAR_FUTURE = datetime(9999, 12, 31, 23, 59, 59, 999999)  # stands in for a null time, which counts as newest
 
 
+def dated(df: DataFrame, at: str, day: str = DAY) -> DataFrame:
+    """With the calendar day of ``at``. A stored history has it already, as its partition column, and
+    filters on it prune the scan."""
+    return df if day in df.columns else df.withColumn(day, day_of(at))
+
+
+def _rows_at_newest_time(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """Rows at the greatest time of their key, found with a broadcast of the (few) newest times."""
+    names = [F.col(k).alias(f"_{k}") for k in keys]
+    same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    if DAY in df.columns:
+        # The day takes part in the join, so only partitions that hold a newest row are read again
+        # (dynamic partition pruning, which Spark plans for a filtered side).
+        known = F.col("_newest") <= F.lit(FAR_FUTURE).cast(df.schema[at].dataType)
+        newest = df.groupBy(*names).agg(F.max(at).alias("_newest")).where(known).withColumn("_day", day_of("_newest"))
+        matches = [*same_key, F.col(at) == F.col("_newest"), F.col(DAY) == F.col("_day")]
+        undated = df.where(F.col(DAY).isNull())
+        return df.join(F.broadcast(newest), matches, "left_semi").unionByName(undated)
+    known = F.coalesce(F.col(at), F.lit(FAR_FUTURE).cast(df.schema[at].dataType))
+    newest = df.groupBy(*names).agg(F.max(known).alias("_newest"))
+    return df.join(F.broadcast(newest), [*same_key, known == F.col("_newest")], "left_semi")
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = (), few_keys: bool = False
 ) -> DataFrame:
@@ -29,10 +53,7 @@ def latest_per_key(
     only the rows at those times are ranked: the history itself is neither sorted nor shuffled.
     """
     if few_keys:
-        known = F.coalesce(F.col(at), F.lit(FAR_FUTURE).cast(df.schema[at].dataType))
-        newest = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(known).alias("_newest"))
-        matches = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [known == F.col("_newest")]
-        df = df.join(F.broadcast(newest), matches, "left_semi")
+        df = _rows_at_newest_time(df, keys, at)
     order = [F.col(at).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in ties]]
     return top_per_group(df, keys, order, 1)
 
@@ -54,7 +75,7 @@ def latest_per_key_day(
     keys: Sequence[str],
     at: str,
     ties: Sequence[str] = (),
-    day: str = "snapshot_date",
+    day: str = DAY,
     whole_rows: bool = False,
 ) -> DataFrame:
     """The newest row for each key and calendar day of ``at``, with the day as a column.
@@ -62,7 +83,7 @@ def latest_per_key_day(
     ``whole_rows`` chooses the form that several branches can share.
     """
     newest = latest_whole_rows if whole_rows else latest_per_key
-    return newest(df.withColumn(day, day_of(at)), [*keys, day], at, ties)
+    return newest(dated(df, at, day), [*keys, day], at, ties)
 
 
 def latest_batch(df: DataFrame, at: str, day: str | None = None) -> DataFrame:

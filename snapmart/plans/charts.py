@@ -9,8 +9,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.operators.latest import DAY, dated
 from snapmart.operators.ranking import top_k
-from snapmart.plans.marts import DAY
 
 # Row limits and filters of the charts.
 TOP_TABLE_ROWS = 100
@@ -54,10 +54,21 @@ def overview_trend(overview: DataFrame, metrics: Sequence[str] = TREND_METRICS)
     return overview.groupBy(DAY).agg(*[F.max(m).alias(m) for m in metrics])
 
 
-def overview_latest(overview: DataFrame, metrics: Sequence[str] = TREND_METRICS) -> DataFrame:
-    """Big numbers: the metrics of the newest day."""
-    newest = overview.select(F.max(DAY)).scalar()
-    return overview_trend(overview.where(F.col(DAY) == newest), metrics)
+def overview_latest(
+    overview: DataFrame, newest: Column | None = None, metrics: Sequence[str] = TREND_METRICS
+) -> DataFrame:
+    """Big numbers: the metrics of the newest day.
+
+    ``newest`` gives that day where a cheaper relation knows it (see ``newest_day``); the filter then
+    reaches the scan, and no other day is read.
+    """
+    day = overview.select(F.max(DAY)).scalar() if newest is None else newest
+    return overview_trend(overview.where(F.col(DAY) == day), metrics)
+
+
+def newest_day(stg: DataFrame) -> Column:
+    """The newest day of a staging model, as a scalar."""
+    return dated(stg, "inserted_at").select(F.max(DAY)).scalar()
 
 
 def top_table(explorer: DataFrame) -> DataFrame:
@@ -118,7 +129,7 @@ def sector_table(sectors: DataFrame) -> DataFrame:
 
 
 def momentum_latest(momentum: DataFrame) -> DataFrame:
-    """The newest day of the momentum mart."""
+    """The newest day of the momentum mart. (``vw_coin_momentum_latest`` has the same rows for less work.)"""
     return momentum.where(F.col(DAY) == momentum.select(F.max(DAY)).scalar())
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.operators.joins import Universe, enrich, scoped_latest
-from snapmart.operators.latest import latest_per_key
+from snapmart.operators.latest import DAY, latest_per_key
 
 # Output columns of the models, in order.
 DIM_COINS = (
@@ -32,6 +32,11 @@ FACT_FROM_QUOTES = (
 FACT = (*FACT_FROM_LISTINGS, *FACT_FROM_QUOTES, "last_updated_at", "inserted_at")
 
 
+def rows_of(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and the day of a stored history."""
+    return df.select(*columns, *[c for c in df.columns if c == DAY])
+
+
 def coins(stg_map: DataFrame, stg_info: DataFrame) -> DataFrame:
     """Coin dimension: every mapped coin, with its info where there is one."""
     return enrich(stg_map, stg_info, "coin_id").select(*DIM_COINS)
@@ -44,9 +49,10 @@ def known_categories(stg_categories: DataFrame) -> Universe:
 
 def categories(stg_categories: DataFrame, known: Universe) -> DataFrame:
     """Category dimension: the newest row per category."""
-    rows = stg_categories.select(*DIM_CATEGORIES)
+    rows = rows_of(stg_categories, *DIM_CATEGORIES)
     ties = ["last_updated_at", "market_cap", "volume_24h"]
-    return latest_per_key(rows, ["category_id"], "inserted_at", ties, few_keys=known.small)
+    newest = latest_per_key(rows, ["category_id"], "inserted_at", ties, few_keys=known.small)
+    return newest.select(*DIM_CATEGORIES)
 
 
 def tracked_coins(stg_map: DataFrame) -> Universe:
@@ -56,7 +62,7 @@ def tracked_coins(stg_map: DataFrame) -> Universe:
 
 def bridge(stg_category_details: DataFrame, tracked: Universe) -> DataFrame:
     """Category-coin pairs of tracked coins, newest row per pair."""
-    rows = stg_category_details.select(*BRIDGE)
+    rows = rows_of(stg_category_details, *BRIDGE)
     pair = ["category_id", "coin_id"]
     return scoped_latest(rows, tracked, "coin_id", pair, "inserted_at", ties=["last_updated_at"]).select(*BRIDGE)
 
@@ -68,8 +74,8 @@ def coin_market(stg_listings: DataFrame, stg_quotes: DataFrame, tracked: Univers
     before it meets the other, so that join has no hot keys.
     """
     times = ("last_updated_at", "inserted_at")
-    listing_rows = stg_listings.select(*FACT_FROM_LISTINGS, *times)
-    quote_rows = stg_quotes.select("coin_id", *FACT_FROM_QUOTES, *times)
+    listing_rows = rows_of(stg_listings, *FACT_FROM_LISTINGS, *times)
+    quote_rows = rows_of(stg_quotes, "coin_id", *FACT_FROM_QUOTES, *times)
 
     def newest(rows: DataFrame, last_tie: str) -> DataFrame:
         return scoped_latest(rows, tracked, "coin_id", ["coin_id"], "inserted_at", ["last_updated_at", last_tie])

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import ratio, within_days
-from snapmart.operators.joins import enrich
-from snapmart.operators.latest import latest_per_key_day
+from snapmart.operators.joins import Universe, enrich, scoped_latest
+from snapmart.operators.latest import DAY, dated, latest_per_key, latest_per_key_day
 from snapmart.operators.ranking import top_per_group, with_previous
+from snapmart.plans.core import rows_of
 
-DAY = "snapshot_date"
 LEAD_COIN = 1  # fixed value: the coin whose dominance is reported
 TOP_COINS = 10  # fixed value: the coins of the top share
 NEW_COIN_DAYS = 90  # fixed value: age limit of a new coin
@@ -26,7 +26,9 @@ def market_overview_daily(stg_quotes: DataFrame) -> DataFrame:
     and shuffle of the history.
     """
     amounts = ("market_cap", "volume_24h", "cex_volume_24h", "dex_volume_24h")
-    rows = stg_quotes.select("coin_id", "inserted_at", "last_updated_at", "market_cap_dominance_pct", *amounts)
+    rows = rows_of(
+        stg_quotes, "coin_id", "inserted_at", "last_updated_at", "market_cap_dominance_pct", *amounts
+    )
     ties = ["last_updated_at", "market_cap"]
     daily = latest_per_key_day(rows, ["coin_id"], "inserted_at", ties, whole_rows=True)
     totals = daily.groupBy(DAY).agg(
@@ -103,34 +105,65 @@ def sector_performance(bridge: DataFrame, fact: DataFrame, dim_categories: DataF
     )
 
 
-def coin_momentum_daily(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coins: DataFrame) -> DataFrame:
-    """Rank movement per coin and day against the coin's previous appearance.
+LISTING_COLUMNS = ("coin_id", "inserted_at", "cmc_rank", "date_added_at", "last_updated_at")
+LISTING_TIES = ("last_updated_at", "cmc_rank")
+QUOTE_COLUMNS = ("coin_name", "coin_symbol", "price", "market_cap", "volume_24h", "percent_change_24h")
+QUOTE_TIES = ("last_updated_at", "market_cap")
+MOMENTUM_COLUMNS = (
+    "cmc_rank", "prev_cmc_rank", "rank_change", "is_new_entry", f"prev_{DAY}", "price", "market_cap", "volume_24h",
+    "percent_change_24h", "date_added_at",
+)
 
-    Names come from the dimension, or from the day's quote for coins it does not hold yet.
-    """
-    listing_rows = stg_listings.select("coin_id", "inserted_at", "cmc_rank", "date_added_at", "last_updated_at")
-    listed = latest_per_key_day(listing_rows, ["coin_id"], "inserted_at", ties=["last_updated_at", "cmc_rank"])
-    quote_columns = ("coin_name", "coin_symbol", "price", "market_cap", "volume_24h", "percent_change_24h")
-    quote_rows = stg_quotes.select("coin_id", "inserted_at", "last_updated_at", *quote_columns)
-    quoted = latest_per_key_day(quote_rows, ["coin_id"], "inserted_at", ties=["last_updated_at", "market_cap"])
 
-    # Both sides are hash-partitioned by coin and day already, so this join adds no shuffle.
-    priced = listed.join(quoted.drop("inserted_at", "last_updated_at"), on=["coin_id", DAY], how="left")
-    moves = with_previous(priced, ["coin_id"], DAY, "cmc_rank").alias("q")
+def _named(moves: DataFrame, dim_coins: DataFrame) -> DataFrame:
+    """Names from the dimension, or from the day's quote for coins it does not hold yet."""
     names = dim_coins.select("coin_id", "coin_name", "coin_symbol").alias("d")
-    return moves.join(names, on=["coin_id"], how="left").select(
+    return moves.alias("q").join(names, on=["coin_id"], how="left").select(
         DAY,
         "coin_id",
         F.coalesce("d.coin_name", "q.coin_name").alias("coin_name"),
         F.coalesce("d.coin_symbol", "q.coin_symbol").alias("coin_symbol"),
-        "cmc_rank",
-        "prev_cmc_rank",
-        "rank_change",
-        "is_new_entry",
-        f"prev_{DAY}",
-        "price",
-        "market_cap",
-        "volume_24h",
-        "percent_change_24h",
-        "date_added_at",
+        *MOMENTUM_COLUMNS,
+    )
+
+
+def coin_momentum_daily(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coins: DataFrame) -> DataFrame:
+    """Rank movement per coin and day against the coin's previous appearance."""
+    listing_rows = rows_of(stg_listings, *LISTING_COLUMNS)
+    quote_rows = rows_of(stg_quotes, "coin_id", "inserted_at", "last_updated_at", *QUOTE_COLUMNS)
+    listed = latest_per_key_day(listing_rows, ["coin_id"], "inserted_at", LISTING_TIES)
+    quoted = latest_per_key_day(quote_rows, ["coin_id"], "inserted_at", QUOTE_TIES)
+    # Both sides are hash-partitioned by coin and day already, so this join adds no shuffle.
+    priced = listed.join(quoted.drop("inserted_at", "last_updated_at"), on=["coin_id", DAY], how="left")
+    return _named(with_previous(priced, ["coin_id"], DAY, "cmc_rank"), dim_coins)
+
+
+def coin_momentum_latest(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coins: DataFrame) -> DataFrame:
+    """The newest day of ``coin_momentum_daily``, without ranking the days before it.
+
+    A coin's previous appearance is its newest row before that day. The coins of one day are counted;
+    when they are few, the earlier history is read for two columns and never shuffled.
+    """
+    listings = dated(rows_of(stg_listings, *LISTING_COLUMNS), "inserted_at")
+    quotes = dated(rows_of(stg_quotes, "coin_id", "inserted_at", "last_updated_at", *QUOTE_COLUMNS), "inserted_at")
+    day, newest = F.col(DAY), listings.select(F.max(DAY)).scalar()
+    listed = latest_per_key(listings.where(day == newest), ["coin_id"], "inserted_at", LISTING_TIES)
+    quoted = latest_per_key(quotes.where(day == newest), ["coin_id"], "inserted_at", QUOTE_TIES)
+    seen = scoped_latest(
+        listings.where(day < newest),
+        Universe.of(listed.select("coin_id")),
+        "coin_id",
+        ["coin_id"],
+        "inserted_at",
+        LISTING_TIES,
+    )
+    previous = seen.select("coin_id", F.col("cmc_rank").alias("_before"), day.alias(f"prev_{DAY}"))
+    rank, before = F.col("cmc_rank"), F.col("_before")
+    moves = (
+        listed.join(quoted.drop("inserted_at", "last_updated_at", DAY), on=["coin_id"], how="left")
+        .join(previous, on=["coin_id"], how="left")
+        .withColumn("prev_cmc_rank", F.coalesce(before, rank))
+        .withColumn("rank_change", F.col("prev_cmc_rank") - rank)
+        .withColumn("is_new_entry", before.isNull())
     )
+    return _named(moves, dim_coins)

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType, TimestampNTZType
 
-from snapmart.operators.history import DAY, backfill_stamp, commit_snapshot, read_history, replace_days
+from snapmart.operators.history import backfill_stamp, commit_snapshot, read_history, replace_days
 from snapmart.operators.joins import Universe
+from snapmart.operators.latest import DAY
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
@@ -167,6 +168,7 @@ MATERIALISED = {
     "vw_coin_explorer": ("analytics", "view"),
     "vw_sector_performance": ("analytics", "view"),
     "vw_coin_momentum_daily": ("analytics", "view"),
+    "vw_coin_momentum_latest": ("analytics", "view"),
 }
 
 
@@ -191,6 +193,9 @@ def model_functions(as_of: datetime) -> dict[str, Model]:
         "vw_coin_momentum_daily": lambda m: marts.coin_momentum_daily(
             m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]
         ),
+        "vw_coin_momentum_latest": lambda m: marts.coin_momentum_latest(
+            m["stg_listings_latest"], m["stg_quotes"], m["dim_coins"]
+        ),
     }
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from snapmart.operators.latest import DAY
+
 # Model column <- table column [: type]. ``flag`` turns a 0/1 number into a boolean.
 COLUMNS = {
     "listings_latest": """
@@ -100,5 +102,9 @@ def _expression(line: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """The staging model of one table. Decimal columns keep their declared precision."""
-    return df.selectExpr(*[_expression(line) for line in COLUMNS[name].strip().splitlines()])
+    """The staging model of one table. Decimal columns keep their declared precision.
+
+    The partition column of a stored history is carried along, so that marts can prune by day.
+    """
+    columns = [_expression(line) for line in COLUMNS[name].strip().splitlines()]
+    return df.selectExpr(*columns, *[c for c in df.columns if c == DAY])

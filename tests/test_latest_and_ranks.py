@@ -32,6 +32,13 @@ def test_newest_row_per_key(history, as_rows, few_keys):
     assert found == [(1, 12, "c"), (2, 21, "z"), (3, 30, "n"), (None, 40, "p")]
 
 
+@pytest.mark.parametrize("few_keys", [False, True])
+def test_newest_row_per_key_of_a_dated_history(history, as_rows, few_keys):
+    df = history.withColumn("snapshot_date", F.to_date("at"))
+    found = as_rows(latest_per_key(df, ["k"], "at", ["v"], few_keys=few_keys), "k", "v", "s")
+    assert found == [(1, 12, "c"), (2, 21, "z"), (3, 30, "n"), (None, 40, "p")]
+
+
 def test_newest_whole_row_per_key(history, as_rows):
     found = latest_whole_rows(history, ["k"], "at", ["v"])
     assert found.columns == history.columns

@@ -140,6 +140,22 @@ def test_momentum(market):
     assert moves[8, d2]["is_new_entry"] is True
 
 
+def test_newest_day_of_momentum_is_the_same_both_ways(market, as_rows):
+    m = market["models"]
+    short, full = m["vw_coin_momentum_latest"], charts.momentum_latest(m["vw_coin_momentum_daily"])
+    assert short.columns == full.columns
+    assert as_rows(short) == as_rows(full) and short.count() == 3
+
+
+def test_marts_prune_the_history_by_day(market):
+    m = market["models"]
+    day = charts.days_between(m["vw_market_overview_daily"], date(2024, 5, 2), date(2024, 5, 2))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+    fact = m["fact_coin_market"]._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in fact
+
+
 def test_explorer_ratios_and_flags(market):
     explorer = by(market["models"]["vw_coin_explorer"], "coin_id")
     assert len(explorer[1]) == 33
