@@ -32,7 +32,9 @@ def _portable(field: T.StructField) -> Column:
     if isinstance(kind, T.DateType):
         column = column.cast("string")
     elif isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        text = column.cast("string")  # no formatting function: those go through the session's time zone
+        fraction = F.rpad(F.substring(text, 21, 6), 6, "0")
+        column = F.concat(F.substring(text, 1, 19), F.lit("."), fraction)
     elif isinstance(kind, (T.DecimalType, T.FloatType)):
         column = column.cast("double")
     elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):

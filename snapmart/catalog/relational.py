@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from snapmart.catalog.registry import Tables, query, ts_sql
-from snapmart.functions import day_of, money, ratio
+from snapmart.functions import day_of, moment, money, ratio
 from snapmart.operators.aggregates import counts_per_day, delimited_chunks, duplicate_keys, joined_names
 from snapmart.operators.joins import enrich, join_same_day, orphans, rows_at_group_max, scoped, union_labelled
 from snapmart.operators.latest import latest_batch, latest_per_key, latest_per_key_day
@@ -308,5 +308,5 @@ SELECT {EVENT_COLUMNS} FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12' AND event_type = 'purchase'""",
 )
 def event_window(t: Tables):
-    first, last = (F.lit(datetime(2024, 1, d)).cast("timestamp_ntz") for d in (10, 12))
+    first, last = (moment(datetime(2024, 1, d)) for d in (10, 12))
     return t["events"].where(F.col("ts").between(first, last)).where("event_type = 'purchase'")

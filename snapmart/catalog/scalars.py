@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from snapmart.catalog.registry import Tables, query, ts_sql
-from snapmart.functions import cut_text, day_of, day_text, escape_markup, minutes_between, money, ratio, within_days
+from snapmart.functions import cut_text, day_of, day_text, escape_markup, minutes_between, moment, money, ratio, within_days
 from snapmart.operators.joins import enrich
 
 ORDERS_AS_OF = datetime(2001, 8, 1)
@@ -88,7 +88,7 @@ FROM orders""",
 )
 def fn_datetime(t: Tables):
     ordered = F.col("o_orderdate")
-    as_of = F.lit(ORDERS_AS_OF).cast("timestamp_ntz")
+    as_of = moment(ORDERS_AS_OF)
     hours = F.substring("o_orderpriority", 1, 1).cast("int")
     return t["orders"].select(
         "o_orderkey",

@@ -8,6 +8,7 @@ from snapmart.functions.scalars import (
     interval_hours,
     micros_between,
     minutes_between,
+    moment,
     money,
     percent_of,
     ratio,
@@ -24,6 +25,7 @@ __all__ = [
     "interval_hours",
     "micros_between",
     "minutes_between",
+    "moment",
     "money",
     "percent_of",
     "ratio",

@@ -37,6 +37,12 @@ def money(value: Column | str) -> Column:
     return _col(value).cast("decimal(18,2)")
 
 
+def moment(at: datetime) -> Column:
+    """A zone-less time as a column. A plain literal would be taken as an instant and shifted into the
+    session's time zone."""
+    return F.lit(at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def as_flag(value: Column | str) -> Column:
     """0/1 number to boolean; null stays null."""
     return _col(value) == 1
@@ -47,7 +53,7 @@ def day_of(at: Column | str) -> Column:
 
 
 def day_text(at: Column | str) -> Column:
-    return F.date_format(_col(at), "yyyy-MM-dd")
+    return _col(at).cast("date").cast("string")
 
 
 def micros_between(later: Column, earlier: Column) -> Column:
@@ -73,7 +79,7 @@ def interval_hours(hours: Column) -> Column:
 
 def within_days(at: Column | str, as_of: datetime, days: int) -> Column:
     """True when ``at`` is at most ``days`` before ``as_of``; null when ``at`` is null."""
-    return _col(at) >= F.lit(as_of).cast("timestamp_ntz") - F.expr(f"interval {int(days)} days")
+    return _col(at) >= moment(as_of) - F.expr(f"interval {int(days)} days")
 
 
 def escape_markup(text: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from snapmart.functions import day_of
+from snapmart.functions import day_of, moment
 from snapmart.operators.compare import same_fingerprint, same_rows
 from snapmart.operators.latest import DAY, latest_batch
 
@@ -18,7 +18,7 @@ STAMP = "inserted_at"
 
 def stamp(batch: DataFrame, run_ts: datetime) -> DataFrame:
     """Mark the whole batch with one run time, to the second."""
-    return batch.withColumn(STAMP, F.lit(run_ts.replace(microsecond=0)).cast("timestamp_ntz"))
+    return batch.withColumn(STAMP, moment(run_ts.replace(microsecond=0)))
 
 
 def backfill_stamp(df: DataFrame, run_ts: datetime) -> DataFrame:

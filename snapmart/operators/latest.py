@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import day_of
+from snapmart.functions import day_of, moment
 from snapmart.operators.ranking import top_per_group
 
 
@@ -29,12 +29,12 @@ def _rows_at_newest_time(df: DataFrame, keys: Sequence[str], at: str) -> DataFra
     if DAY in df.columns:
         # The day takes part in the join, so only partitions that hold a newest row are read again
         # (dynamic partition pruning, which Spark plans for a filtered side).
-        known = F.col("_newest") <= F.lit(FAR_FUTURE).cast(df.schema[at].dataType)
+        known = F.col("_newest") <= moment(FAR_FUTURE).cast(df.schema[at].dataType)
         newest = df.groupBy(*names).agg(F.max(at).alias("_newest")).where(known).withColumn("_day", day_of("_newest"))
         matches = [*same_key, F.col(at) == F.col("_newest"), F.col(DAY) == F.col("_day")]
         undated = df.where(F.col(DAY).isNull())
         return df.join(F.broadcast(newest), matches, "left_semi").unionByName(undated)
-    known = F.coalesce(F.col(at), F.lit(FAR_FUTURE).cast(df.schema[at].dataType))
+    known = F.coalesce(F.col(at), moment(FAR_FUTURE).cast(df.schema[at].dataType))
     newest = df.groupBy(*names).agg(F.max(known).alias("_newest"))
     return df.join(F.broadcast(newest), [*same_key, known == F.col("_newest")], "left_semi")
 

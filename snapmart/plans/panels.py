@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import hours_between, interval_hours, minutes_between
+from snapmart.functions import hours_between, interval_hours, minutes_between, moment
 from snapmart.operators.aggregates import counts_per_day, duplicate_keys, missing_percent, success_rate
 from snapmart.operators.history import STAMP
 from snapmart.operators.joins import rows_at_group_max, union_labelled
@@ -94,7 +94,7 @@ def freshness(watched: Mapping[str, Watched]) -> DataFrame:
 def freshness_sla(watched: Mapping[str, Watched], as_of: datetime) -> DataFrame:
     """Age of each table against its limit. An empty table shows OK: its age is unknown, and the row
     count checks report it."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = moment(as_of)
     newest = union_labelled(
         [
             (n, w.df.agg(F.max(w.at).alias("last_inserted")).withColumn("sla_hours", F.lit(w.sla_hours)))
@@ -179,6 +179,6 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 def run_success(runs: DataFrame, first: datetime, last: datetime) -> DataFrame:
     inside = runs.where(
-        F.col("start_date").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"))
+        F.col("start_date").between(moment(first), moment(last))
     )
     return success_rate(inside, "job_id", F.col("state") == "success")

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import escape_markup, hours_between
+from snapmart.functions import escape_markup, hours_between, moment
 from snapmart.operators.aggregates import duplicate_keys, duplicate_values, joined_names
 from snapmart.operators.history import STAMP
 from snapmart.operators.joins import orphans
@@ -187,7 +187,7 @@ def run_checks(
     partition column of the histories, if they have one. A check without a measure (empty table)
     fails. Nothing stops on failure: the result is a report.
     """
-    moment = F.lit(as_of).cast("timestamp_ntz")
+    now = moment(as_of)
     parts: list[DataFrame] = []
     for table, rules in checks.items():
         stamp_column = at if isinstance(at, str) else at.get(table, STAMP)
@@ -196,11 +196,11 @@ def run_checks(
             mine = [c for c in rules if c.partition == partition]
             simple = [c for c in mine if c.kind != "unique"]
             if simple:
-                measures = [_measure(c, moment).cast("double").alias(f"m{i}") for i, c in enumerate(simple)]
-                parts.append(_rows(df.agg(*measures), table, partition, simple, moment))
+                measures = [_measure(c, now).cast("double").alias(f"m{i}") for i, c in enumerate(simple)]
+                parts.append(_rows(df.agg(*measures), table, partition, simple, now))
             for rule in (c for c in mine if c.kind == "unique"):
                 groups = duplicate_keys(df, rule.columns).agg(F.count("*").cast("double").alias("m0"))
-                parts.append(_rows(groups, table, partition, [rule], moment))
+                parts.append(_rows(groups, table, partition, [rule], now))
     out = parts[0]
     for df in parts[1:]:
         out = out.unionByName(df)

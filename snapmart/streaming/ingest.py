@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.functions import moment
 from snapmart.operators.history import STAMP, commit_snapshot, replace_days
 
 Commit = Callable[[DataFrame, int], None]
@@ -45,7 +46,7 @@ def commit_runs(
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         for row in batch.select(run).distinct().orderBy(run).collect():
-            rows = batch.where(F.col(run) == F.lit(row[run])).drop(run)
+            rows = batch.where(F.col(run) == moment(row[run])).drop(run)
             commit_snapshot(prepare(rows) if prepare else rows, path, row[run], keys)
 
     return commit

@@ -177,3 +177,16 @@ def test_failed_commit_fails_the_ingest(spark, tmp_path):
 
     with pytest.raises(Exception, match="no commit"):
         ingest_available(stream, broken, str(tmp_path / "checkpoint"))
+
+
+def test_stamps_do_not_depend_on_the_session_zone(spark, path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    late = datetime(2024, 5, 1, 23, 30)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        commit_snapshot(make(spark, (1, 1, "a")), path, late, ["id"])
+        assert commit_snapshot(make(spark, (1, 1, "a")), path, DAY2, ["id"]) is False
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    row = read_history(spark, path).first()
+    assert row["inserted_at"] == late and row["snapshot_date"] == date(2024, 5, 1)

@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.functions import (
+    day_text,
     escape_markup,
     hours_between,
     interval_hours,
     minutes_between,
+    moment,
     percent_of,
     ratio,
     within_days,
@@ -138,13 +140,18 @@ def test_time_differences_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         later, earlier = (F.expr(f"timestamp_ntz'{t}'") for t in ("2024-03-10 05:00:00", "2024-03-09 23:30:00.5"))
         row = spark.range(1).select(
-            hours_between(later, earlier), minutes_between(earlier, later), later - earlier > interval_hours(F.lit(5))
+            hours_between(later, earlier),
+            minutes_between(earlier, later),
+            later - earlier > interval_hours(F.lit(5)),
+            day_text(later),
+            moment(D(2024, 3, 10, 2, 30, 0, 5)).cast("string"),
         ).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert row[0] == pytest.approx((5.5 * 3600 - 0.5) / 3600, abs=1e-12)
     assert row[1] == pytest.approx(-(5.5 * 60 - 0.5 / 60), abs=1e-9)
-    assert row[2] is True
+    assert row[2] is True and row[3] == "2024-03-10"
+    assert row[4] == "2024-03-10 02:30:00.000005"  # no such time in that zone
 
 
 def test_recency_flag(spark):
