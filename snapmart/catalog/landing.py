@@ -4,45 +4,31 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from snapmart.catalog.market import DIM_COINS_SQL
 from snapmart.catalog.registry import Tables, query
 from snapmart.catalog.roles import COIN_INFO, COIN_MAP, EVENTS_WITH_AMOUNT
 from snapmart.operators.history import read_history
 from snapmart.operators.latest import latest_per_key
 from snapmart.plans import core
-from snapmart.plans.refresh import Layout, land_quotes, load_dataset
+from snapmart.plans.refresh import Layout, land_lines, land_quotes, load_dataset
 from snapmart.plans.staging import staged
 from snapmart.schemas import DATASETS
 from snapmart.session import shared_dir
-from snapmart.sources.payloads import land_records
 
 RUN = datetime(2024, 2, 1, 6)
 
 
 def new_layout(t: Tables) -> Layout:
     root = shared_dir(t.spark, "market")
-    return Layout(f"{root}/landing", f"{root}/warehouse", whole_file=False)
-
-
-def land(records: DataFrame, layout: Layout, name: str) -> None:
-    """One envelope per line: an array of one record, or a map of one for a keyed payload."""
-    record = F.struct(*records.columns)
-    if DATASETS[name].keyed:
-        data = F.create_map(F.col("id").cast("string"), record)
-    else:
-        data = F.array(record)
-    land_records(records.select(data.alias("data")), layout.payload(name))
+    return Layout(f"{root}/landing", f"{root}/warehouse", lines=frozenset(DATASETS))
 
 
 @query("landed_dim_coins", DIM_COINS_SQL)
 def landed_dim_coins(t: Tables):
     """Coin dimension from landed array and keyed payloads."""
     layout = new_layout(t)
-    land(t["supplier"].selectExpr(*COIN_MAP), layout, "map")
-    land(t["part"].selectExpr(*COIN_INFO), layout, "info")
+    land_lines(t["supplier"].selectExpr(*COIN_MAP), layout, "map")
+    land_lines(t["part"].selectExpr(*COIN_INFO), layout, "info")
     for name in ("map", "info"):
         load_dataset(t.spark, layout, DATASETS[name], RUN)
     stg_map, stg_info = (staged(t.spark.table(f"staging_layer.{name}"), name) for name in ("map", "info"))
@@ -72,7 +58,7 @@ def landed_quotes(t: Tables):
         """named_struct('USD', if(event_type = 'error', null,
              map('price', cast(v as string), 'market_cap', cast(v * 1000 as string)))) as quote""",
     )
-    land(listings, layout, "listings_latest")
+    land_lines(listings, layout, "listings_latest")
     land_quotes(t.spark, layout)
     load_dataset(t.spark, layout, DATASETS["quotes"], RUN)
     quotes = staged(read_history(t.spark, layout.history("quotes")), "quotes")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
@@ -19,22 +19,34 @@ from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
 from snapmart.schemas import DATASETS, DataSet, datasets_of, record_schema
 from snapmart.sources.files import read_csv_text, write_csv
-from snapmart.sources.payloads import derive_quotes, land_records, read_if_landed, require_rows
+from snapmart.sources.payloads import (
+    derive_quotes,
+    land_records,
+    merge_keyed,
+    read_entity_payloads,
+    read_if_landed,
+    read_keyed_envelope,
+    require_rows,
+)
 from snapmart.sources.tables import conform, create_layers, layer_name, replace_table, staging_schema, stored_schema
 from snapmart.streaming.ingest import commit_runs, ingest_available
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one warehouse. ``whole_file`` tells whether payload documents span lines."""
+    """Folders of one warehouse. Payloads are documents that span lines, apart from the data sets in
+    ``lines``, whose files hold one envelope per line (derived and merged payloads are landed so)."""
 
     landing: str
     warehouse: str
-    whole_file: bool = True
+    lines: frozenset[str] = frozenset({"quotes"})
 
     def payload(self, name: str) -> str:
         return f"{self.landing}/{name}"
 
+    def whole_file(self, name: str) -> bool:
+        return name not in self.lines
+
     def history(self, name: str) -> str:
         return f"{self.warehouse}/staging_layer/{name}"
 
@@ -49,14 +61,34 @@ def parse(records: DataFrame, dataset: DataSet) -> DataFrame:
 
 def land_quotes(spark: SparkSession, layout: Layout) -> None:
     """Derive the quotes payload from the landed listings."""
+    name = "listings_latest"
     listings = read_if_landed(
-        spark, layout.payload("listings_latest"), record_schema("listings_latest"), whole_file=layout.whole_file
+        spark, layout.payload(name), record_schema(name), whole_file=layout.whole_file(name)
     )
     if listings is None:
         raise RuntimeError("listings are not landed; quotes are derived from them")
     quotes = require_rows(derive_quotes(listings), "no quotes could be derived from the listings")
-    envelope = quotes.select(F.array(F.struct(*quotes.columns)).alias("data"))
-    land_records(envelope, layout.payload("quotes"))
+    land_lines(quotes, layout, "quotes")
+
+
+def land_lines(records: DataFrame, layout: Layout, name: str) -> None:
+    """Land records as one envelope per line: an array of one record, or a map of one for a keyed payload."""
+    record = F.struct(*records.columns)
+    keyed = DATASETS[name].keyed
+    data = F.create_map(F.col("id").cast("string"), record) if keyed else F.array(record)
+    land_records(records.select(data.alias("data")), layout.payload(name))
+
+
+def land_entities(spark: SparkSession, layout: Layout, name: str, paths: Sequence[str]) -> None:
+    """Land one payload from per-entity payloads; those without data are skipped."""
+    land_lines(read_entity_payloads(spark, paths, record_schema(name)), layout, name)
+
+
+def land_keyed_batches(spark: SparkSession, layout: Layout, name: str, paths: Sequence[str]) -> None:
+    """Land one keyed payload from several; a record of a later payload replaces an earlier one, and
+    payloads without data are skipped."""
+    batches = [read_keyed_envelope(spark, path, record_schema(name), required=False) for path in paths]
+    land_lines(require_rows(merge_keyed(batches, "id"), f"no {name} record in any payload"), layout, name)
 
 
 def load_dataset(spark: SparkSession, layout: Layout, dataset: DataSet, run_ts: datetime) -> int | None:
@@ -64,9 +96,9 @@ def load_dataset(spark: SparkSession, layout: Layout, dataset: DataSet, run_ts:
 
     Stamped data sets join their history, current-state ones replace their table as a unit.
     """
-    whole_file = layout.whole_file and dataset.name != "quotes"  # derived quotes are landed as lines
+    name = dataset.name
     records = read_if_landed(
-        spark, layout.payload(dataset.name), record_schema(dataset.name), dataset.keyed, whole_file
+        spark, layout.payload(name), record_schema(name), dataset.keyed, layout.whole_file(name)
     )
     if records is None:
         return None
@@ -90,7 +122,7 @@ def ingest_dataset(spark: SparkSession, layout: Layout, name: str) -> None:
     """
     dataset = DATASETS[name]
     schema = StructType().add("data", ArrayType(record_schema(name))).add("run_ts", TimestampNTZType())
-    payloads = spark.readStream.schema(schema).option("multiLine", layout.whole_file).json(layout.payload(name))
+    payloads = spark.readStream.schema(schema).option("multiLine", layout.whole_file(name)).json(layout.payload(name))
     records = payloads.select("run_ts", F.explode("data").alias("_record")).select("run_ts", "_record.*")
     commit = commit_runs(layout.history(name), list(dataset.keys), "run_ts", lambda rows: parse(rows, dataset))
     ingest_available(records, commit, f"{layout.warehouse}/checkpoints/{name}")

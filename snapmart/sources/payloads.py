@@ -35,11 +35,16 @@ def read_envelope(
 
 
 def read_keyed_envelope(
-    spark: SparkSession, paths: str | Sequence[str], record: StructType, whole_file: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    record: StructType,
+    whole_file: bool = True,
+    required: bool = True,
 ) -> DataFrame:
-    """Records of a ``data`` map, without their keys."""
+    """Records of a ``data`` map, without their keys; a payload without ``data`` fails if it is required."""
     raw = _read(spark, paths, f"map<string,{record.simpleString()}>", whole_file)
-    return raw.select(F.explode(F.map_values(_data_or_error())).alias("_record")).select("_record.*")
+    data = _data_or_error() if required else F.col("data")
+    return raw.select(F.explode(F.map_values(data)).alias("_record")).select("_record.*")
 
 
 def read_entity_payloads(

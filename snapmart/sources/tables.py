@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, StringType, StructField, StructType, VarcharType
+from pyspark.sql.types import DataType, DateType, NullType, StringType, StructField, StructType, VarcharType
 
 from snapmart.schemas import STAGING_DDL
 
@@ -48,20 +48,26 @@ def stored_schema(name: str, *partitions: str) -> StructType:
     return StructType(fields + [StructField(day, DateType()) for day in partitions])
 
 
-def _typed(field: StructField) -> str:
-    name = f"`{field.name}`"
-    if isinstance(field.dataType, VarcharType):
-        text, size = f"cast({name} as string)", field.dataType.length
-        return f"if(length({text}) > {size}, raise_error('{field.name} is longer than {size}'), {text}) as {name}"
-    return f"cast({name} as {field.dataType.simpleString()}) as {name}"
+def _typed(field: StructField, source: DataType) -> str:
+    name, kind = f"`{field.name}`", field.dataType
+    if isinstance(kind, VarcharType):
+        text = f"cast({name} as string)"
+        error = f"raise_error('{field.name} is longer than {kind.length}')"
+        return f"if(length({text}) > {kind.length}, {error}, {text}) as {name}"
+    if source in (kind, NullType()):
+        return f"cast({name} as {kind.simpleString()}) as {name}"
+    # Checked by hand, so that a bad value also fails in a session without ANSI casts.
+    value = f"try_cast({name} as {kind.simpleString()})"
+    error = f"raise_error(concat('bad value for {field.name}: ', cast({name} as string)))"
+    return f"if({name} is not null and {value} is null, {error}, {value}) as {name}"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Declared columns by name, cast to their declared types; other source columns are ignored.
 
-    ANSI casts apply: a value that does not fit its type fails the query.
+    A value that does not fit its type fails the query.
     """
-    return df.selectExpr(*[_typed(f) for f in schema.fields])
+    return df.selectExpr(*[_typed(f, df.schema[f.name].dataType) for f in schema.fields])
 
 
 def replace_table(df: DataFrame, table: str, root: str) -> DataFrame:

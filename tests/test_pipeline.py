@@ -12,6 +12,8 @@ from snapmart.plans.refresh import (
     export_csv,
     import_csv,
     ingest_dataset,
+    land_entities,
+    land_keyed_batches,
     load_group,
     run_pipeline,
     staging_tables,
@@ -275,7 +277,7 @@ def test_bad_load_keeps_the_old_table(spark, layout, market, tmp_path):
     good = spark.createDataFrame([("1", "a", "d", "l", "2020-01-01 00:00:00")], "id string, category string, description string, logo string, date_launched string")
     table = replace_table(conform(good, schema), "info_copy", str(tmp_path))
     assert table.count() == 1
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT|invalid"):
+    with pytest.raises(Exception, match="bad value for id: x"):
         replace_table(conform(good.selectExpr("'x' as id", "category", "description", "logo", "date_launched"), schema), "info_copy", str(tmp_path))
     assert spark.table("info_copy").first()["id"] == 1
     replace_table(conform(good.selectExpr("'2' as id", "category", "description", "logo", "date_launched"), schema), "info_copy", str(tmp_path))
@@ -330,3 +332,45 @@ def test_csv_without_stamps_is_stamped(spark, tmp_path):
     assert row["inserted_at"] == RUN1 and row["last_updated"] == datetime(2024, 1, 1) and row["num_tokens"] == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         import_csv(spark, layout, "categories", str(tmp_path / "absent.csv"), RUN1)
+
+
+def test_bad_value_fails_without_ansi_casts(spark):
+    from snapmart.sources.tables import conform
+
+    df = spark.createDataFrame([("12.0", "1e3")], "num_tokens string, volume string")
+    schema = staging_schema("categories")
+    volume, tokens = ([f for f in schema.fields if f.name == n] for n in ("volume", "num_tokens"))
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        assert conform(df, type(schema)(volume)).first()["volume"] == 1000
+        over = df.selectExpr("'1e40' as volume")
+        with pytest.raises(Exception, match="bad value for volume: 1e40"):
+            conform(over, type(schema)(volume)).collect()
+        with pytest.raises(Exception, match="bad value for num_tokens: x"):
+            conform(df.selectExpr("'x' as num_tokens"), type(schema)(tokens)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
+def test_per_entity_and_batched_payloads_are_landed_as_one(spark, tmp_path):
+    layout = Layout(
+        str(tmp_path / "landing"), str(tmp_path / "warehouse"), frozenset({"quotes", "category_details", "info"})
+    )
+    fetched = str(tmp_path / "fetched")
+    for key, data in (("x", category("x", [1, 2])), ("y", category("y", []))):
+        land(fetched, key, data)
+    (tmp_path / "fetched" / "empty").mkdir()
+    (tmp_path / "fetched" / "empty" / "payload.json").write_text('{"status": {"error_code": 500}}')
+    land_entities(spark, layout, "category_details", [f"{fetched}/{k}" for k in ("x", "y", "empty")])
+    land(fetched, "first", {"1": info(1), "2": info(2)})
+    land(fetched, "second", {"2": {**info(2), "category": "token"}, "3": info(3)})
+    land_keyed_batches(spark, layout, "info", [f"{fetched}/{k}" for k in ("first", "empty", "second")])
+    with pytest.raises(RuntimeError, match="no info record"):
+        land_keyed_batches(spark, layout, "info", [f"{fetched}/empty"])
+    land(layout.landing, "map", [mapped(1), mapped(2)])
+    assert load_group(spark, layout, "monthly", RUN1)[0] == {"map": 2, "info": 3}
+    counts_, errors = load_group(spark, layout, "weekly", RUN1)
+    assert (counts_, errors) == ({"category_details": 3}, {})
+    dim = by(Models(staging_tables(spark, layout), RUN1)["dim_coins"], "coin_id")
+    assert dim[1]["coin_category"] == "coin" and dim[2]["coin_category"] == "token"
