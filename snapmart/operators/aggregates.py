@@ -79,7 +79,7 @@ def joined_names(df: DataFrame, key: str, name: str, separator: str = ", ") -> D
 def delimited_chunks(df: DataFrame, key: str, size: int = 500) -> DataFrame:
     """Distinct integer keys as comma-joined texts, one per key range of ``size``, so that no group
     holds more than ``size`` keys."""
-    keys = df.select(key).distinct().withColumn("chunk", F.floor(F.col(key) / size).cast("bigint"))
+    keys = df.select(key).distinct().withColumn("chunk", F.expr(f"`{key}` div {int(size)}"))
     return keys.groupBy("chunk").agg(
         F.count("*").alias("n_keys"),
         F.concat_ws(",", F.transform(F.sort_array(F.collect_list(key)), lambda k: k.cast("string"))).alias("keys"),

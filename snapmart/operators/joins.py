@@ -35,9 +35,11 @@ class Universe:
         return cls(keys, keys.count() <= limit)
 
 
-def scoped(df: DataFrame, universe: DataFrame, key: str) -> DataFrame:
-    """Rows whose key belongs to the universe."""
-    return df.join(universe.select(key), on=[key], how="inner")
+def scoped(df: DataFrame, universe: Universe, key: str) -> DataFrame:
+    """Rows whose key belongs to the universe: filtered on the map side when it is small, else by a
+    shuffled join, whose skewed partitions AQE splits."""
+    keys = universe.keys.select(key)
+    return df.join(F.broadcast(keys) if universe.small else keys, on=[key], how="inner")
 
 
 def scoped_latest(
@@ -51,9 +53,8 @@ def scoped_latest(
     ``key`` would gather a hot key.
     """
     if universe.small:
-        inside = scoped(df, F.broadcast(universe.keys), key)
-        return latest_per_key(inside, keys, at, ties, few_keys=list(keys) == [key])
-    return scoped(latest_per_key(df, keys, at, ties), universe.keys, key)
+        return latest_per_key(scoped(df, universe, key), keys, at, ties, few_keys=list(keys) == [key])
+    return scoped(latest_per_key(df, keys, at, ties), universe, key)
 
 
 def join_same_day(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str) -> DataFrame:

@@ -43,9 +43,10 @@ def test_left_enrich_keeps_unmatched(spark, as_rows):
     assert as_rows(enrich(left, right, "k")) == [(1, "a"), (2, None), (None, None)]
 
 
-def test_scope_drops_untracked(spark, as_rows):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_scope_drops_untracked(spark, as_rows, limit):
     df = spark.createDataFrame([(1, "x"), (2, "y"), (1, "z")], "k int, s string")
-    assert as_rows(scoped(df, spark.createDataFrame([(1, 9)], "k int, other int"), "k")) == [(1, "x"), (1, "z")]
+    assert as_rows(scoped(df, Universe.of(spark.createDataFrame([(1, 9)], "k int, other int"), limit), "k")) == [(1, "x"), (1, "z")]
 
 
 @pytest.mark.parametrize("limit", [0, 100])
