@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import ratio, within_days
+from snapmart.functions import day_of, ratio, within_days
 from snapmart.operators.joins import Universe, enrich, scoped_latest
 from snapmart.operators.latest import DAY, dated, latest_per_key, latest_per_key_day
 from snapmart.operators.ranking import top_per_group, with_previous
@@ -149,15 +149,12 @@ def coin_momentum_latest(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coi
     day, newest = F.col(DAY), listings.select(F.max(DAY)).scalar()
     listed = latest_per_key(listings.where(day == newest), ["coin_id"], "inserted_at", LISTING_TIES)
     quoted = latest_per_key(quotes.where(day == newest), ["coin_id"], "inserted_at", QUOTE_TIES)
-    seen = scoped_latest(
-        listings.where(day < newest),
-        Universe.of(listed.select("coin_id")),
-        "coin_id",
-        ["coin_id"],
-        "inserted_at",
-        LISTING_TIES,
-    )
-    previous = seen.select("coin_id", F.col("cmc_rank").alias("_before"), day.alias(f"prev_{DAY}"))
+    earlier = listings.where(day < newest)
+    if DAY not in stg_listings.columns:
+        earlier = earlier.drop(DAY)  # only a stored day prunes partitions
+    of_day = Universe.of(listed.select("coin_id"))
+    seen = scoped_latest(earlier, of_day, "coin_id", ["coin_id"], "inserted_at", LISTING_TIES)
+    previous = seen.select("coin_id", F.col("cmc_rank").alias("_before"), day_of("inserted_at").alias(f"prev_{DAY}"))
     rank, before = F.col("cmc_rank"), F.col("_before")
     moves = (
         listed.join(quoted.drop("inserted_at", "last_updated_at", DAY), on=["coin_id"], how="left")
