@@ -25,11 +25,13 @@ _P = "__quality_"
 #: Windows of so many words that come twice make their words repeated ones.
 WINDOW = 3
 
-#: Rounds of expectation-maximisation, and the weight in documents of what is believed beforehand.
-ROUNDS, PRIOR_WEIGHT = 60, 20.0
+#: Rounds of expectation-maximisation, and the weight of what is believed beforehand as a share of all documents, so
+#: that corpora of any size are judged alike.
+ROUNDS, PRIOR_WEIGHT = 60, 0.5
 
-#: Belief before any document is seen: share of good documents, and how often a vote is right.
-PRIOR_GOOD, PRIOR_RIGHT = 0.8, 0.85
+#: Belief before any document is seen: share of good documents, and how often a rule finds fault with a bad and with
+#: a good document. A bad document seldom breaks more than a rule or two, so a good vote says little; a bad one much.
+PRIOR_GOOD, PRIOR_CAUGHT, PRIOR_FALSE = 0.7, 0.3, 0.01
 
 
 def _c(name: str) -> Column:
@@ -37,7 +39,8 @@ def _c(name: str) -> Column:
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the helper columns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper, n_lines."""
+    """Adds the helper columns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
+    n_upper, n_letters and n_marks."""
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     out = docs.withColumns(
         {
@@ -46,6 +49,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             f"{_P}word_chars": F.length(F.regexp_replace(value, r"[\x20\x09-\x0D]+", "")).cast("long"),
             f"{_P}n_symbols": (F.length(value) - F.length(F.regexp_replace(value, r"[#*$%&|<>]+", ""))).cast("long"),
             f"{_P}n_upper": (F.length(value) - F.length(F.regexp_replace(value, r"\p{Lu}+", ""))).cast("long"),
+            f"{_P}n_letters": (F.length(value) - F.length(F.regexp_replace(value, r"\p{L}+", ""))).cast("long"),
             f"{_P}n_marks": (F.length(value) - F.length(F.regexp_replace(value, r"[!?]+", ""))).cast("long"),
         }
     )
@@ -117,7 +121,7 @@ def votes() -> dict[str, Column]:
     return {
         "length": _vote(n < 50, n >= 80),
         "repeats": _vote(2 * _c("n_repeat_words") > n, 5 * _c("n_repeat_words") < n, some),
-        "symbols": _vote(2 * _c("n_symbols") > n, 10 * _c("n_symbols") < n, some),
+        "symbols": _vote(8 * _c("n_symbols") > n, 12 * _c("n_symbols") < n, some),
         "lines": _vote(
             10 * _c("n_dup_lines") > 3 * _c("n_lines"), 10 * _c("n_dup_lines") < _c("n_lines"), _c("n_lines") > 2
         ),
@@ -126,6 +130,9 @@ def votes() -> dict[str, Column]:
             (_c("word_chars") >= 3 * n) & (_c("word_chars") <= 12 * n),
             some,
         ),
+        "letters": _vote(
+            100 * _c("n_letters") < 87 * _c("word_chars"), 100 * _c("n_letters") > 92 * _c("word_chars"), some
+        ),
         "capitals": _vote(2 * _c("n_upper") > _c("word_chars"), 5 * _c("n_upper") < _c("word_chars"), some),
         "marks": _vote(2 * _c("n_marks") > n, 5 * _c("n_marks") < n, some),
     }
@@ -134,21 +141,23 @@ def votes() -> dict[str, Column]:
 def fit(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float, list[dict[int, float]]]:
     """Log odds of a good document, and what each rule's vote adds to them.
 
-    The two classes start from the beliefs above, which also stay as `PRIOR_WEIGHT` documents of evidence; so no rule
-    can turn its meaning round on a corpus where few documents are bad. An abstention adds nothing.
+    The two classes start from the beliefs above, which also stay as evidence of the weight `PRIOR_WEIGHT`; so the
+    classes can't become something else than good and bad on a corpus where few documents are bad. An abstention adds nothing.
     """
     rules = len(patterns[0][0]) if patterns else 0
     good = PRIOR_GOOD
-    up = [[1 - PRIOR_RIGHT, PRIOR_RIGHT] for _ in range(rules)]  # up[rule][class]: a vote of a document of the class is 1
+    believed = (1 - PRIOR_CAUGHT, 1 - PRIOR_FALSE)
+    up = [list(believed) for _ in range(rules)]  # up[rule][class]: a vote on a document of the class is 1
 
     def weights() -> tuple[float, list[dict[int, float]]]:
         add = [{1: math.log(u[1] / u[0]), 0: math.log((1 - u[1]) / (1 - u[0]))} for u in up]
         return math.log(good / (1 - good)), add
 
+    weight = PRIOR_WEIGHT * max(1, sum(count for _, count in patterns))
     for _ in range(ROUNDS):
         bias, add = weights()
-        seen = [[[PRIOR_WEIGHT * (1 - p), PRIOR_WEIGHT * p] for p in (1 - PRIOR_RIGHT, PRIOR_RIGHT)] for _ in range(rules)]
-        share, total = PRIOR_WEIGHT * PRIOR_GOOD, PRIOR_WEIGHT
+        seen = [[[weight * (1 - p), weight * p] for p in believed] for _ in range(rules)]
+        share, total = weight * PRIOR_GOOD, weight
         for pattern, count in patterns:
             odds = bias + sum(add[r][v] for r, v in enumerate(pattern) if v is not None)
             p = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
