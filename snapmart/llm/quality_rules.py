@@ -5,7 +5,8 @@ trusted is not set by hand: expectation-maximisation on the counts of all vote p
 each rule how often it votes either way on good and on bad documents, and a document is kept if its posterior
 probability of being good is at least one half.
 
-The texts are read twice, once for the pattern counts and once for the verdicts; nothing of a text is shuffled. Only
+A report keeps the statistics in a written table; a filter reads the texts twice, once for the pattern counts and once
+for the verdicts. Nothing of a text is shuffled. Only
 the pattern counts (at most 3 ** number of rules rows, whatever the corpus) reach the driver.
 
 Null and empty texts have no words; all counts are 0 and the document fails the base rules. Repeated rows are judged
@@ -19,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.llm.common import written
+
 #: Prefix of helper columns, which are dropped again.
 _P = "__quality_"
 
@@ -171,13 +174,11 @@ def fit(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float, list
     return weights()
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All rows with the helper columns of `with_statistics`, and posterior (probability of a good document)."""
-    stats = with_statistics(docs, text)
+def with_posterior(rows: DataFrame, stats: DataFrame) -> DataFrame:
+    """`rows` and posterior (probability of a good document); both have statistics, those of `stats` are learned from."""
     rules = votes()
     counted = (
-        with_statistics(docs.select(text), text)
-        .select(*[rule.alias(f"r{i}") for i, rule in enumerate(rules.values())])
+        stats.select(*[rule.alias(f"r{i}") for i, rule in enumerate(rules.values())])
         .groupBy(*[f"r{i}" for i in range(len(rules))])
         .count()
         .collect()
@@ -186,7 +187,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     odds = F.lit(bias)
     for rule, vote in zip(rules.values(), add or [{0: 0.0, 1: 0.0}] * len(rules), strict=True):
         odds = odds + F.when(rule == 1, F.lit(vote[1])).when(rule == 0, F.lit(vote[0])).otherwise(F.lit(0.0))
-    return stats.withColumn(f"{_P}posterior", 1 / (1 + F.exp(-odds)))
+    return rows.withColumn(f"{_P}posterior", 1 / (1 + F.exp(-odds)))
 
 
 def kept() -> Column:
@@ -195,7 +196,8 @@ def kept() -> Column:
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """One row per document: statistics, base_failed, kept and the posterior."""
-    return judge(docs.select("doc_id", "text")).select(
+    stats = written(with_statistics(docs.select("doc_id", "text")).drop("text"), "quality")
+    return with_posterior(stats, stats).select(
         "doc_id",
         *[_c(x).alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         base_failed().alias("base_failed"),
@@ -206,4 +208,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are kept, with their own columns."""
-    return judge(docs, text).where(kept()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = with_posterior(with_statistics(docs, text), with_statistics(docs.select(text), text))
+    return judged.where(kept()).select(*[F.col(f"`{c}`") for c in docs.columns])
