@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+import snapmart
 from snapmart.session import shared_dir
 
 #: A document is predicted to have a label from this score on.
@@ -15,6 +22,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as --py-files would; Spark hands the file out itself."""
+    context = spark.sparkContext
+    if getattr(context, "_snapmart_shipped", False):
+        return
+    root = Path(snapmart.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="snapmart-py-"), "snapmart_package.zip")  # read by the driver's file server only
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))
+    context._snapmart_shipped = True
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
+    """`mapInArrow` with functions of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, and lost executors cost no earlier work."""
     path = shared_dir(df.sparkSession, label)

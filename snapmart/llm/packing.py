@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.llm.common import written
+from snapmart.llm.common import map_arrow, written
 
 WINDOW = 2048
 END_ID = 1
@@ -79,9 +79,8 @@ def tokenized(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> Dat
                     names=["doc_id", "ids", "n", "part", "start"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        encode, "doc_id long, ids binary, n long, part int, start long"
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_arrow(rows, encode, "doc_id long, ids binary, n long, part int, start long")
 
 
 _PIECES = T.StructType(
@@ -132,4 +131,4 @@ def pack(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 names=_PIECES.names,
             )
 
-    return tokens.mapInArrow(cut, _PIECES)
+    return map_arrow(tokens, cut, _PIECES)

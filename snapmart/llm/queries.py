@@ -5,14 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapmart.llm import packing, quality_rules
-from snapmart.llm.common import table
+from snapmart.llm import language_ppm, packing, quality_knn, quality_rules, toxicity_ftrl
+from snapmart.llm.common import CUT, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def op1_quality_knn(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality_knn.fit(docs, labels.where(~held_out))
+    return quality_knn.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
+    )
+
+
+def op4_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = toxicity_ftrl.fit(docs, labels.where(~held_out))
+    return toxicity_ftrl.with_score(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", toxicity_ftrl.predicted(F.col("score")).alias("predicted")
+    )
+
+
+def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = language_ppm.fit(docs.where(~held_out))
+    return language_ppm.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, folder, "documents"))
 
@@ -21,5 +47,5 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
-for _query in (op7_quality_rules, op8_packing):
+for _query in (op1_quality_knn, op4_toxicity_ftrl, op6_language_ppm, op7_quality_rules, op8_packing):
     QUERIES[_query.__name__] = _query

@@ -1,7 +1,8 @@
 """Vectorised reading of text columns: words, their hashes and windows of them, straight from Arrow buffers.
 
-Words are maximal runs of bytes other than space and \\t \\n \\x0b \\x0c \\r. A word's hash is a 64-bit hash
-of its bytes with A-Z lower-cased. Nothing here depends on the order or grouping of rows.
+Words are maximal runs of bytes other than space and \\t \\n \\x0b \\x0c \\r, or, where a function is told so, of
+letters and digits (every byte from 128 on counts as a letter). A word's hash is a 64-bit hash of its bytes with A-Z
+lower-cased. Nothing here depends on the order or grouping of rows.
 """
 
 from __future__ import annotations
@@ -15,10 +16,17 @@ import pyarrow as pa
 #: Text is read in slices of about so many bytes; a longer text is read in blocks cut at white space.
 SLICE_BYTES = 2 << 20
 
+#: At most so many rows are in a slice.
+SLICE_ROWS = 4096
+
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_NO_LETTER = np.ones(256, bool)
+_NO_LETTER[128:] = False
+for _first, _last in ("09", "AZ", "az"):
+    _NO_LETTER[ord(_first) : ord(_last) + 1] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -65,7 +73,9 @@ class Slice:
         return len(self.offsets) - 1
 
 
-def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[Slice]:
+def text_slices(
+    column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS
+) -> Iterator[Slice]:
     """The rows of a string column in slices of at most `limit` bytes, or of one row. Null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -79,14 +89,15 @@ def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) ->
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+        to = min(to, at + rows)
         yield Slice(at, raw[ends[at] : ends[to]], ends[at : to + 1] - ends[at])
         at = to
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First bytes and ends of all words; no word reaches over the end of a row."""
     space = np.ones(len(data) + 1, bool)
-    np.take(_SPACE, data, out=space[:-1])
+    space[:-1] = gaps[data]
     inner = offsets[1:-1]
     inner = inner[inner < len(data)]
     word = ~space
@@ -99,30 +110,78 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _powers.upto(len(data) + 1)
+def _totals(data: np.ndarray) -> np.ndarray:
+    up, _ = _powers.upto(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * up[: len(data)], out=total[1:])
+    return total
+
+
+def _hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    _, down = _powers.upto(len(total))
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(part: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a slice, and for each row the number of words before its first (one more at the end)."""
+#: Kinds of bytes in a word's shape: symbols, marks, digits, upper case, other letters.
+_SYMBOLS, _MARKS, _DIGITS, _UPPER = b"#*$%&|<>=@_/\\", b"!?", b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LENGTHS = np.array([3, 6, 10, 16])
+SHAPES = 128
+
+
+def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A code below SHAPES for each word: its case, whether it has symbols, marks and digits, and its length."""
+
+    def count(kind: bytes) -> np.ndarray:
+        flag = np.zeros(256, np.int32)
+        flag[list(kind)] = 1
+        total = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(flag[data], out=total[1:])
+        return total[ends] - total[starts]
+
+    length, upper = ends - starts, count(_UPPER)
+    case = np.where(upper == 0, 0, np.where((upper >= 2) & (2 * upper >= length), 2, 1))
+    code = case * 2 + (count(_SYMBOLS) > 0)
+    code = (code * 2 + (count(_MARKS) > 0)) * 2 + (count(_DIGITS) > 0)
+    return (code * 5 + np.searchsorted(_LENGTHS, length, "right")).astype(np.uint8)
+
+
+@dataclass
+class Words:
+    """The words of a slice: hashes and each row's bounds among them; if asked for, shapes, and for some numbers of
+    bytes the hashes of the words' beginnings (of the whole word if it is shorter)."""
+
+    hashes: np.ndarray
+    bounds: np.ndarray
+    shapes: np.ndarray | None = None
+    beginnings: tuple[np.ndarray, ...] = ()
+
+
+def words_of(part: Slice, letters_only: bool = False, shapes: bool = False, begin: tuple[int, ...] = ()) -> Words:
+    """All words of a slice. A text far beyond the slice limit is read block by block."""
+    gaps = _NO_LETTER if letters_only else _SPACE
+
+    def read(data: np.ndarray, offsets: np.ndarray) -> tuple:
+        starts, ends = word_bounds(data, offsets, gaps)
+        total = _totals(data)
+        found = [_hashes(total, starts, ends), *(_hashes(total, starts, np.minimum(starts + k, ends)) for k in begin)]
+        return starts, found, _shapes(data, starts, ends) if shapes else None
+
     if len(part.data) <= 2 * SLICE_BYTES:
-        starts, ends = word_bounds(part.data, part.offsets)
-        return _hashes(part.data, starts, ends), np.searchsorted(starts, part.offsets)
-    found, at, size = [], 0, len(part.data)  # one very long text
+        starts, hashes, codes = read(part.data, part.offsets)
+        return Words(hashes[0], np.searchsorted(starts, part.offsets), codes, tuple(hashes[1:]))
+    found, at, size = [], 0, len(part.data)
     while at < size:
         to = min(size, at + SLICE_BYTES)
-        while to < size and not (gaps := np.flatnonzero(_SPACE[part.data[at:to]])).size:
+        while to < size and not (cuts := np.flatnonzero(gaps[part.data[at:to]])).size:
             to = min(size, to + SLICE_BYTES)
         if to < size:
-            to = at + int(gaps[-1]) + 1
+            to = at + int(cuts[-1]) + 1
         block = part.data[at:to]
-        found.append(_hashes(block, *word_bounds(block, np.array([0, len(block)]))))
+        found.append(read(block, np.array([0, len(block)])))
         at = to
-    words = np.concatenate(found)
-    return words, np.array([0, len(words)])
+    hashes = [np.concatenate(x) for x in zip(*(block[1] for block in found), strict=True)]
+    codes = np.concatenate([x[2] for x in found]) if shapes else None
+    return Words(hashes[0], np.array([0, len(hashes[0])]), codes, tuple(hashes[1:]))
 
 
 def rows_of(bounds: np.ndarray) -> np.ndarray:
