@@ -173,7 +173,8 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "
                 weighty = np.flatnonzero(dense[found])
                 rows, found, counts = _counted(rows[weighty], found[weighty])
                 total = np.bincount(rows, dense[found] * _values(counts), len(part)) + shared.value.bias
-                out[part.first : part.first + len(part)] = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
+                with np.errstate(over="ignore"):
+                    out[part.first : part.first + len(part)] = 1 / (1 + np.exp(-total))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=names)
 
     fields = [*docs.schema.fields]
