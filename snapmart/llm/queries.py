@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard_join, language_ppm, packing, quality_knn, quality_rules, toxicity_ftrl
+from snapmart.llm import jaccard_join, language_ppm, packing, quality_knn, quality_rules, toxicity_ftrl, url_graph, vector_graph
 from snapmart.llm.common import CUT, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,68 @@ def op1_quality_knn(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: The rules of the url query.
+URL_RULES = (
+    url_graph.Rule("allow", "org", "/"),
+    url_graph.Rule("block", "example.org", "/es/"),
+    url_graph.Rule("block", "example.org", "/en/1"),
+    url_graph.Rule("allow", "com", "/fr/"),
+    url_graph.Rule("block", "com", "/de/"),
+)
+
+
+def op2_url_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return url_graph.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+def _url_sql() -> str:
+    """The same in SQL, with the steps of the propagation written one after the other."""
+
+    def host(url: str) -> str:
+        return f"translate(regexp_extract({url}, '://([^/?#]*)', 1), '{url_graph.UPPER}', '{url_graph.LOWER}')"
+
+    cases = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.text}'"
+        for r in sorted(URL_RULES, key=lambda r: -len(r.text))
+    )
+    verdicts = " ".join(f"WHEN '{r.text}' THEN '{r.verdict}'" for r in URL_RULES)
+    steps = "".join(
+        f""", s{k + 1} AS (
+  SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+    SELECT host, {1 - url_graph.DAMPING} * trust AS trust, {1 - url_graph.DAMPING} * distrust AS distrust FROM s0
+    UNION ALL SELECT dst, {url_graph.DAMPING} * links / total_out * trust, 0 FROM links JOIN s{k} ON src = host
+    UNION ALL SELECT src, 0, {url_graph.DAMPING} * links / total_in * distrust FROM links JOIN s{k} ON dst = host)
+  GROUP BY host)"""
+        for k in range(url_graph.STEPS)
+    )
+    return f"""
+WITH parts AS (
+  SELECT page_id, coalesce({host("url")}, '') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
+ruled AS (SELECT page_id, host, path, CASE {cases} END AS rule FROM parts),
+judged AS (SELECT *, CASE rule {verdicts} END AS ruled FROM ruled),
+hrefs AS (
+  SELECT host AS src, unnest(list_distinct(
+    regexp_extract_all(html, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1))) AS link FROM parts),
+targets AS (
+  SELECT src, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {host("link")}
+    WHEN starts_with(link, '//') THEN {host("(':' || link)")} END AS dst FROM hrefs),
+counted AS (
+  SELECT src, dst, count(*)::DOUBLE AS links FROM targets WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY 1, 2),
+links AS (
+  SELECT *, sum(links) OVER (PARTITION BY src) AS total_out, sum(links) OVER (PARTITION BY dst) AS total_in FROM counted),
+s0 AS (
+  SELECT host, count(*) FILTER (ruled = 'allow')::DOUBLE AS trust, count(*) FILTER (ruled = 'block')::DOUBLE AS distrust
+  FROM judged WHERE ruled IS NOT NULL GROUP BY host){steps}
+SELECT page_id, j.host, path, rule,
+  coalesce(ruled, CASE WHEN distrust > {url_graph.RATIO} * trust THEN 'block' END, 'allow') AS verdict
+FROM judged j LEFT JOIN s{url_graph.STEPS} s ON j.host = s.host
+"""
+
+
+ORACLES["op2_url_graph"] = _url_sql()
+
+
 def op4_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -55,11 +117,11 @@ ORACLES["op9_jaccard_join"] = """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(
     string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                       '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+                       '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM words),
 classes AS (SELECT list_sort(s) AS s, min(doc_id) AS c, len(any_value(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY 1),
 shingles AS (SELECT c, n, unnest(s) AS g FROM classes),
@@ -75,5 +137,18 @@ FROM sets d LEFT JOIN classes k ON len(d.s) > 0 AND list_sort(d.s) = k.s LEFT JO
 """
 
 
-for _query in (op1_quality_knn, op4_toxicity_ftrl, op6_language_ppm, op9_jaccard_join, op7_quality_rules, op8_packing):
+def op10_vector_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_graph.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+for _query in (
+    op1_quality_knn,
+    op2_url_graph,
+    op4_toxicity_ftrl,
+    op6_language_ppm,
+    op7_quality_rules,
+    op8_packing,
+    op9_jaccard_join,
+    op10_vector_graph,
+):
     QUERIES[_query.__name__] = _query
