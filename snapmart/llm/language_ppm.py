@@ -157,10 +157,14 @@ def fit(
 ) -> Model:
     """Trees of the languages in `docs` (doc_id, text, lang); rows without a language or an id take no part."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    place = F.xxhash64("doc_id")
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    # Hashes below a share of their range, for twice the documents wanted: so a frequent language isn't ranked whole.
+    share = F.least(2.0 * per_language / F.col("count"), F.lit(1.0))
     chosen = (
         known.join(F.broadcast(frequent), "lang")
+        .where((place.cast("double") + 2.0**63) <= share * 2.0**64)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
         .select("doc_id", F.col("lang").alias("of"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard_join, language_ppm, packing, quality_knn, quality_rules, toxicity_ftrl, url_graph, vector_graph
+from snapmart.llm import jaccard_join, language_ppm, packing, pii_crf, quality_knn, quality_rules, toxicity_ftrl, url_graph, vector_graph
 from snapmart.llm.common import CUT, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,18 @@ FROM judged j LEFT JOIN s{url_graph.STEPS} s ON j.host = s.host
 ORACLES["op2_url_graph"] = _url_sql()
 
 
+def op3_pii_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii_crf.with_spans(docs, pii_crf.fit(docs))
+    counts = [pii_crf.of_kind("base", kind).alias(f"n_{kind}") for kind in pii_crf.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii_crf.joined(F.col("base")), 256).alias("base_sha256"),
+        pii_crf.joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op4_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -144,6 +156,7 @@ def op10_vector_graph(spark: SparkSession, folder: str) -> DataFrame:
 for _query in (
     op1_quality_knn,
     op2_url_graph,
+    op3_pii_crf,
     op4_toxicity_ftrl,
     op6_language_ppm,
     op7_quality_rules,
