@@ -418,7 +418,7 @@ def masked_text(text: str, spans: list[Span]) -> str:
 def mask(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows and columns, with the spans of the text replaced by their kinds. Null texts stay null."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -433,6 +433,6 @@ def mask(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     out.append(value)
                 columns = [*rows.columns]
                 columns[place] = pa.array(out, pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_arrow(docs, run, docs.schema)

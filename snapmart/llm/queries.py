@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard_join, language_ppm, packing, pii_crf, quality_knn, quality_rules, toxicity_ftrl, url_graph, vector_graph
+from snapmart.llm import jaccard_join, language_ppm, packing, pii_crf, piece_scan, quality_knn, quality_rules, toxicity_ftrl, url_graph, vector_graph
 from snapmart.llm.common import CUT, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,10 @@ def op4_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_piece_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_scan.checksums(piece_scan.encode(table(spark, folder, "documents")))
+
+
 def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = fold(F.col("doc_id"), 3) == 1
@@ -158,6 +162,7 @@ for _query in (
     op2_url_graph,
     op3_pii_crf,
     op4_toxicity_ftrl,
+    op5_piece_scan,
     op6_language_ppm,
     op7_quality_rules,
     op8_packing,
