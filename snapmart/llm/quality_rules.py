@@ -209,4 +209,6 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are kept, with their own columns."""
     judged = with_posterior(with_statistics(docs, text), with_statistics(docs.select(text), text))
-    return judged.where(kept()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The filter must stay above the statistics: below them it would hold their expressions, each one many times over.
+    judged = judged.withColumn(f"{_P}row", F.monotonically_increasing_id())
+    return judged.where(kept() & (_c("row") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
