@@ -66,11 +66,12 @@ class Encoder:
         special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(size)]
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.utf8 = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.pieces)]
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i] and i not in self.byte_of}
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids))
+        self.valid = {p for p in self.ids if self.merged(p) == [p]}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
         self.known: dict[str, list[int]] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -93,6 +94,8 @@ class Encoder:
             return True
         known = self.fits.get((a, b))
         if known is None:
+            if len(self.fits) >= REMEMBERED:
+                self.fits.clear()
             known = self.fits[a, b] = self.merged(a + b) == [a, b]
         return known
 
@@ -101,12 +104,8 @@ class Encoder:
         out = [text[at]]
         for end in range(at + 2, min(len(text), at + self.longest) + 1):
             piece = text[at:end]
-            if piece in self.ids:
-                good = self.whole.get(piece)
-                if good is None:
-                    good = self.whole[piece] = self.merged(piece) == [piece]
-                if good:
-                    out.append(piece)
+            if piece in self.valid:
+                out.append(piece)
         return out
 
     def over(self, text: str, at: int) -> list[tuple[int, str]]:
@@ -203,41 +202,39 @@ class Encoder:
 
     def decode(self, ids: list[int], first: bool = True) -> str:
         """The text of ids; `first` if they are a text's first ones, whose leading word mark is not part of it."""
-        out, held = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                held.append(self.byte_of[i])
-                continue
-            if held:
-                out.append(held.decode(errors="replace"))
-                held.clear()
-            out.append(self.pieces[i])
-        out.append(held.decode(errors="replace"))
-        text = "".join(out).replace(MARK, " ")
+        text = b"".join(map(self.utf8.__getitem__, ids)).decode(errors="replace").replace(MARK, " ")
         return text[1:] if first else text
 
 
-_RESULT = "doc_id long, chunk int, chunks int, ids array<int>"
+_IDS = "doc_id long, chunk int, chunks int, ids array<int>"
+_DIGEST = "doc_id long, chunk int, chunks int, n_ids long, ids_crc32 long, n_chars long"
+
+
+def _rows(model: Encoder, places: list, numbers: list[int], ids: list[list[int]], digest: bool) -> pa.RecordBatch:
+    """Encoded chunks, or only their ids' number and checksum and the length of the text that the ids give back."""
+    if not digest:
+        return pa.RecordBatch.from_arrays([*places, pa.array(ids, pa.list_(pa.int32()))], names=_IDS_NAMES)
+    sizes = pa.array([len(x) for x in ids], pa.int64())
+    sums = pa.array([zlib.crc32(np.array(x, "<u4")) for x in ids], pa.int64())
+    lengths = pa.array([len(model.decode(x, n == 0)) if x else 0 for x, n in zip(ids, numbers, strict=True)], pa.int64())
+    return pa.RecordBatch.from_arrays([*places, sizes, sums, lengths], names=_DIGEST_NAMES)
+
 
+_IDS_NAMES = ["doc_id", "chunk", "chunks", "ids"]
+_DIGEST_NAMES = ["doc_id", "chunk", "chunks", "n_ids", "ids_crc32", "n_chars"]
 
-def _short(docs: DataFrame, name: str) -> DataFrame:
+
+def _short(docs: DataFrame, name: str, digest: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(name)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 ids = [model.encode(t.as_py() or "") for t in rows.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0),
-                        pa.array(np.zeros(len(ids), np.int32)),
-                        pa.array(np.ones(len(ids), np.int32)),
-                        pa.array(ids, pa.list_(pa.int32())),
-                    ],
-                    names=["doc_id", "chunk", "chunks", "ids"],
-                )
+                places = [rows.column(0), pa.array(np.zeros(len(ids), np.int32)), pa.array(np.ones(len(ids), np.int32))]
+                yield _rows(model, places, [0] * len(ids), ids, digest)
 
-    return map_arrow(docs, run, _RESULT)
+    return map_arrow(docs, run, _DIGEST if digest else _IDS)
 
 
 def _chunks(docs: DataFrame, chunk: int, margin: int) -> DataFrame:
@@ -333,7 +330,7 @@ def _chunk_ends(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": rows.row, "chunk": rows.chunk, "before": [first, *middle], "after": [*middle, last]})
 
 
-def _giant(docs: DataFrame, name: str, chunk: int, margin: int) -> DataFrame:
+def _giant(docs: DataFrame, name: str, chunk: int, margin: int, digest: bool) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     parts = written(_chunks(docs, chunk, margin).repartition("row", "chunk"), "chunks")
@@ -377,25 +374,33 @@ def _giant(docs: DataFrame, name: str, chunk: int, margin: int) -> DataFrame:
                     out.append([])  # one piece spans the whole chunk
                     continue
                 out.append(model.ids_of(model.path(part, start, end, first, last)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.int32()))],
-                names=["doc_id", "chunk", "chunks", "ids"],
-            )
+            yield _rows(model, batch.columns[:3], batch.column(1).to_pylist(), out, digest)
 
     rows = parts.join(boundaries, ["row", "chunk"]).select(
         "doc_id", "chunk", "chunks", "left", "part", "before", "after"
     )
-    return map_arrow(rows, backtrace, _RESULT)
+    return map_arrow(rows, backtrace, _DIGEST if digest else _IDS)
 
 
-def encode(docs: DataFrame, name: str = "piece_bpe_32k.model", chunk: int = CHUNK) -> DataFrame:
-    """doc_id, chunk, chunks and ids: one row for each chunk of each document. A chunk must hold two longest pieces."""
+def _encoded(docs: DataFrame, name: str, chunk: int, digest: bool) -> DataFrame:
     margin = encoder(name).longest
     if chunk < 2 * margin:
         raise ValueError(f"a chunk needs {2 * margin} characters at least")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     long = F.coalesce(F.length("text"), F.lit(0)) >= chunk
-    return _short(rows.where(~long), name).unionByName(_giant(rows.where(long), name, chunk, margin))
+    short = _short(rows.where(~long), name, digest)
+    return short.unionByName(_giant(rows.where(long), name, chunk, margin, digest))
+
+
+def encode(docs: DataFrame, name: str = "piece_bpe_32k.model", chunk: int = CHUNK) -> DataFrame:
+    """doc_id, chunk, chunks and ids: one row for each chunk of each document. A chunk must hold two longest pieces."""
+    return _encoded(docs, name, chunk, digest=False)
+
+
+def checksums(docs: DataFrame, name: str = "piece_bpe_32k.model", chunk: int = CHUNK) -> DataFrame:
+    """doc_id, chunk, chunks, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids) and n_chars of the text that the
+    chunk's ids give back, in one pass."""
+    return _encoded(docs, name, chunk, digest=True)
 
 
 def decode(encoded: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
@@ -416,27 +421,3 @@ def decode(encoded: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
 
     rows = encoded.select("doc_id", "chunk", "chunks", "ids")
     return map_arrow(rows, run, "doc_id long, chunk int, chunks int, text string")
-
-
-def checksums(encoded: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
-    """doc_id, chunk, chunks, n_ids, ids_crc32 (little-endian unsigned 32-bit ids) and n_chars of the decoded chunk."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(name)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                lists = rows.column(3).to_pylist()
-                numbers = rows.column(1).to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *rows.columns[:3],
-                        pa.array([len(x) for x in lists], pa.int64()),
-                        pa.array([zlib.crc32(np.array(x, "<u4").tobytes()) for x in lists], pa.int64()),
-                        pa.array([len(model.decode(x, n == 0)) for x, n in zip(lists, numbers, strict=True)], pa.int64()),
-                    ],
-                    names=["doc_id", "chunk", "chunks", "n_ids", "ids_crc32", "n_chars"],
-                )
-
-    rows = encoded.select("doc_id", "chunk", "chunks", "ids")
-    return map_arrow(rows, run, "doc_id long, chunk int, chunks int, n_ids long, ids_crc32 long, n_chars long")

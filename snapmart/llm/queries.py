@@ -107,7 +107,7 @@ def op4_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_piece_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return piece_scan.checksums(piece_scan.encode(table(spark, folder, "documents")))
+    return piece_scan.checksums(table(spark, folder, "documents"))
 
 
 def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
