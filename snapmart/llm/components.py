@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import written
@@ -30,23 +30,20 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """For each node of the links (a, b): (node, root), root being the smallest node that it reaches.
+    """For each node of the links (a, b), a written table: (node, root), root being the smallest node that it reaches.
 
     Every round shortens the paths to the roots, so the rounds grow with the logarithm of the longest path; each
     round's links are written to the shared folder. Only their number and a checksum reach the driver.
     """
-    links = written(
-        links.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "links",
-    )
+    links = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     last = None
     while True:
-        links = written(_small_star(_large_star(links)).distinct(), "links")
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == last:
+        seen = Observation()
+        checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("checksum")
+        stars = _small_star(_large_star(links)).distinct()
+        links = written(stars.observe(seen, F.count(F.lit(1)).alias("n"), checksum), "links")
+        if seen.get == last:
             break
-        last = state
+        last = seen.get
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -87,13 +87,13 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+                counts = _unpacked(counts.as_buffer()).astype(np.int64)
                 sums[chunk] = sums[chunk] + counts if chunk in sums else counts
         yield from rows(sums)
 
     def rows(chunks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         if chunks:
-            packed = [np.minimum(c, 2**32 - 1).astype(np.uint32).tobytes() for c in chunks.values()]
+            packed = [_packed(np.minimum(c, 2**32 - 1).astype(np.uint32)) for c in chunks.values()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(chunks), pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"]
             )
@@ -102,7 +102,24 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     counted = map_arrow(docs.select("text"), count, schema).repartition("chunk")
     out = np.zeros(1 << SKETCH_BITS, np.uint32)
     for row in map_arrow(counted, add, schema).collect():  # one row for each chunk
-        out[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(bytes(row["counts"]), np.uint32)
+        out[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = _unpacked(row["counts"])
+    return out
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters of a chunk; of few that are not 0 only these, as places and counts."""
+    used = np.flatnonzero(counts)
+    if 6 * len(used) >= counts.nbytes:
+        return counts.tobytes()
+    return used.astype(np.uint16).tobytes() + counts[used].tobytes()
+
+
+def _unpacked(packed) -> np.ndarray:
+    if len(packed) == 4 * _CHUNK:
+        return np.frombuffer(packed, np.uint32)
+    n = len(packed) // 6
+    out = np.zeros(_CHUNK, np.uint32)
+    out[np.frombuffer(packed, np.uint16, n)] = np.frombuffer(packed, np.uint32, n, 2 * n)
     return out
 
 
@@ -403,7 +420,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
         sets = written(_sets(docs, classes, _ends(second), size), "sets")
-        roots = components(links.unionByName(_linked(second, sets, percent)))
+        roots = components(links.unionByName(written(_linked(second, sets, percent), "linked")))
 
     found = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
