@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from snapmart.catalog.registry import Tables, query, ts_sql
 from snapmart.functions import day_of, moment, money, ratio
 from snapmart.operators.aggregates import counts_per_day, delimited_chunks, duplicate_keys, joined_names
-from snapmart.operators.joins import Universe, enrich, join_same_day, orphans, rows_at_group_max, scoped, union_labelled
+from snapmart.operators.joins import enrich, join_same_day, orphans, rows_at_group_max, scoped, union_labelled
 from snapmart.operators.latest import latest_batch, latest_per_key, latest_per_key_day
 from snapmart.operators.ranking import rank_in_group, top_k, top_per_group
 
@@ -96,8 +96,7 @@ WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'
 )
 def scope_inner(t: Tables):
     builders = t["customer"].where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user_id"))
-    universe = Universe.of(builders)
-    return scoped(t["events"].select("event_id", "user_id", "event_type", "value"), universe, "user_id")
+    return scoped(t["events"].select("event_id", "user_id", "event_type", "value"), builders, "user_id")
 
 
 @query(

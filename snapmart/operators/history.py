@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from snapmart.functions import day_of, moment
 from snapmart.operators.compare import same_fingerprint, same_rows
 from snapmart.operators.latest import DAY, latest_batch
+from snapmart.session import shared_dir
 
 STAMP = "inserted_at"
 
@@ -55,15 +56,40 @@ def read_history(
         raise
 
 
-def newest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows of the newest run with the columns that run had; only its day partition is read."""
-    history = read_history(spark, path)
-    if history is None:
-        return None
-    day = history.select(F.max(DAY)).first()[0]
-    if day is None:
-        return None
-    return latest_batch(spark.read.parquet(f"{path}/{DAY}={day.isoformat()}"), STAMP).drop(STAMP)
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """The days of a stored history, oldest first, from the names of its partitions; no file is opened."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(place)]
+    days = [name.removeprefix(f"{DAY}=") for name in names if name.startswith(f"{DAY}=")]
+    return sorted(date.fromisoformat(day) for day in days if day[:1].isdigit())
+
+
+def stored_day(spark: SparkSession, path: str, day: date) -> DataFrame:
+    return spark.read.parquet(f"{path}/{DAY}={day.isoformat()}")
+
+
+def newest_snapshot(spark: SparkSession, path: str, before: datetime | None = None) -> DataFrame | None:
+    """The rows of the newest run (before a time) with the columns that run had.
+
+    Only its day partition is read, and the partition of ``before`` if that has no earlier run.
+    """
+    for day in reversed(stored_days(spark, path)):
+        if before is not None and day > before.date():
+            continue
+        rows = stored_day(spark, path, day)
+        if before is not None and day == before.date():
+            rows = rows.where(F.col(STAMP) < moment(before))
+            if rows.isEmpty():
+                continue
+        return latest_batch(rows, STAMP).drop(STAMP)
+    return None
 
 
 def replace_days(stamped: DataFrame, path: str, at: str = STAMP) -> None:
@@ -96,12 +122,51 @@ def unchanged(batch: DataFrame, last: DataFrame | None, keys: list[str]) -> bool
 def commit_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> bool:
     """Add one run to the history; returns False when it repeats the newest snapshot.
 
-    An unchanged batch is skipped before the same-day rule is applied; a changed one replaces the
-    run's calendar day.
+    A run is compared with the newest one before its own time, so a retried or late run is judged as it
+    was, or would have been, in its turn. An unchanged batch is skipped before the same-day rule is
+    applied; a changed one replaces the run's calendar day, unless that already holds a later run.
     """
-    if unchanged(batch, newest_snapshot(batch.sparkSession, path), keys):
+    spark, at = batch.sparkSession, run_ts.replace(microsecond=0)
+    if at.date() in stored_days(spark, path):
+        newest = stored_day(spark, path, at.date()).select(F.max(STAMP)).first()[0]
+        if newest is not None and newest > at:
+            return False
+    if unchanged(batch, newest_snapshot(spark, path, at), keys):
         return False
-    replace_days(stamp(batch, run_ts), path)
+    replace_days(stamp(batch, at), path)
+    return True
+
+
+def commit_part(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> bool:
+    """Add a part of a run: rows of the same run that came before stay, unless the part holds their keys.
+
+    A part that comes again changes nothing. What a run's parts were compared with is remembered if
+    they were skipped, so that a later part completes the unchanged rows instead of replacing them.
+    """
+    spark, at = batch.sparkSession, run_ts.replace(microsecond=0)
+    files, skipped = _file_system(spark, f"{path}/_skipped/{at:%Y-%m-%dT%H%M%S}")
+    known, stored = None, False
+    if at.date() in stored_days(spark, path):
+        known = stored_day(spark, path, at.date()).where(F.col(STAMP) == moment(at)).drop(STAMP)
+        stored = not known.isEmpty()
+    if not stored:
+        known = newest_snapshot(spark, path, at) if files.exists(skipped) else None
+    if known is None:
+        done = commit_snapshot(batch, path, at, keys)
+        if not done:
+            files.mkdirs(skipped)
+        return done
+    if keys and set(keys) <= set(known.columns):
+        whole = append_by_name(known.join(batch.select(*keys), keys, "left_anti"), batch)
+    else:
+        whole = append_by_name(known, batch).distinct()
+    columns = [c for c in whole.columns if c != DAY]
+    copy = shared_dir(spark, "run")
+    whole.select(*columns).write.parquet(copy)  # the day that is read is also the one that is replaced
+    whole = spark.read.parquet(copy)
+    if not stored:
+        return commit_snapshot(whole, path, at, keys)
+    replace_days(stamp(whole, at), path)
     return True
 
 

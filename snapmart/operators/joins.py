@@ -1,10 +1,9 @@
-"""Equi-joins of the warehouse. Apart from counted key sets, broadcasts are left to the size check of Catalyst and AQE
+"""Equi-joins of the warehouse. Broadcasts are left to the size check of Catalyst and AQE
 (``autoBroadcastJoinThreshold``); larger sides are shuffled, and AQE splits skewed partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,43 +17,21 @@ def enrich(df: DataFrame, attributes: DataFrame, key: str) -> DataFrame:
     return df.join(attributes, on=[key], how="left")
 
 
-BROADCAST_KEYS = 1_000_000  # a key set up to this size is sent to every executor (tens of MB)
-
-
-@dataclass(frozen=True)
-class Universe:
-    """The keys of a tracked universe (unique by its checks) and whether they are few enough to send
-    to every executor."""
-
-    keys: DataFrame
-    small: bool
-
-    @classmethod
-    def of(cls, keys: DataFrame, limit: int = BROADCAST_KEYS) -> Universe:
-        """Counts the keys (one narrow scan) to decide."""
-        return cls(keys, keys.count() <= limit)
-
-
-def scoped(df: DataFrame, universe: Universe, key: str) -> DataFrame:
-    """Rows whose key belongs to the universe: filtered on the map side when it is small, else by a
-    shuffled join, whose skewed partitions AQE splits."""
-    keys = universe.keys.select(key)
-    return df.join(F.broadcast(keys) if universe.small else keys, on=[key], how="inner")
+def scoped(df: DataFrame, universe: DataFrame, key: str) -> DataFrame:
+    """Rows whose key belongs to the universe, each once however often the universe repeats a key."""
+    return df.join(universe.select(key), on=[key], how="left_semi")
 
 
 def scoped_latest(
-    df: DataFrame, universe: Universe, key: str, keys: Sequence[str], at: str, ties: Sequence[str] = ()
+    df: DataFrame, universe: DataFrame, key: str, keys: Sequence[str], at: str, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Newest row per ``keys`` (``key`` is one of them) within the universe.
 
-    The scope depends on the key alone, so it may come before or after the newest row is taken. A
-    small universe filters the history on the map side, before anything is shuffled, and bounds the
-    number of keys. A large one is joined to the newest rows instead: shuffling the whole history on
-    ``key`` would gather a hot key.
+    The scope depends on the key alone, so it comes first: it is a filter on the map side wherever AQE
+    finds the universe small enough to send, and a join whose skewed partitions it splits elsewhere.
+    The rows are the same either way.
     """
-    if universe.small:
-        return latest_per_key(scoped(df, universe, key), keys, at, ties, few_keys=list(keys) == [key])
-    return scoped(latest_per_key(df, keys, at, ties), universe, key)
+    return latest_per_key(scoped(df, universe, key), keys, at, ties, few_keys=list(keys) == [key])
 
 
 def join_same_day(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str) -> DataFrame:

@@ -23,7 +23,7 @@ def dated(df: DataFrame, at: str, day: str = DAY) -> DataFrame:
 
 
 def _rows_at_newest_time(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """Rows at the greatest time of their key, found with a broadcast of the (few) newest times."""
+    """Rows at the greatest time of their key. The join is on key and time, so a hot key's rows spread over the tasks."""
     names = [F.col(k).alias(f"_{k}") for k in keys]
     same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     if DAY in df.columns:
@@ -33,10 +33,10 @@ def _rows_at_newest_time(df: DataFrame, keys: Sequence[str], at: str) -> DataFra
         newest = df.groupBy(*names).agg(F.max(at).alias("_newest")).where(known).withColumn("_day", day_of("_newest"))
         matches = [*same_key, F.col(at) == F.col("_newest"), F.col(DAY) == F.col("_day")]
         undated = df.where(F.col(DAY).isNull())
-        return df.join(F.broadcast(newest), matches, "left_semi").unionByName(undated)
+        return df.join(newest, matches, "left_semi").unionByName(undated)
     known = F.coalesce(F.col(at), moment(FAR_FUTURE).cast(df.schema[at].dataType))
     newest = df.groupBy(*names).agg(F.max(known).alias("_newest"))
-    return df.join(F.broadcast(newest), [*same_key, known == F.col("_newest")], "left_semi")
+    return df.join(newest, [*same_key, known == F.col("_newest")], "left_semi")
 
 
 def latest_per_key(
@@ -48,9 +48,9 @@ def latest_per_key(
     map side (WindowGroupLimit), so every task sends at most one row per key and a hot key costs no
     more than a cold one. Columns that are not used later are pruned from the scan.
 
-    ``few_keys`` says that the caller has counted the keys and found them few enough to send to every
-    executor (see ``Universe``). Then the newest times are aggregated first, from two columns, and
-    only the rows at those times are ranked: the history itself is neither sorted nor shuffled.
+    ``few_keys`` chooses the form for keys that are far fewer than rows, with the same result: the newest
+    times are aggregated first, from two columns, and only the rows at those times are ranked. Where
+    AQE can send the newest times to every executor, the history is neither sorted nor shuffled.
     """
     if few_keys:
         df = _rows_at_newest_time(df, keys, at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.operators.joins import Universe, enrich, scoped_latest
+from snapmart.operators.joins import enrich, scoped_latest
 from snapmart.operators.latest import DAY, latest_per_key
 
 # Output columns of the models, in order.
@@ -42,32 +42,27 @@ def coins(stg_map: DataFrame, stg_info: DataFrame) -> DataFrame:
     return enrich(stg_map, stg_info, "coin_id").select(*DIM_COINS)
 
 
-def known_categories(stg_categories: DataFrame) -> Universe:
-    """All category keys, counted."""
-    return Universe.of(stg_categories.select("category_id").distinct())
-
-
-def categories(stg_categories: DataFrame, known: Universe) -> DataFrame:
+def categories(stg_categories: DataFrame) -> DataFrame:
     """Category dimension: the newest row per category."""
     rows = rows_of(stg_categories, *DIM_CATEGORIES)
     ties = ["last_updated_at", "market_cap", "volume_24h"]
-    newest = latest_per_key(rows, ["category_id"], "inserted_at", ties, few_keys=known.small)
+    newest = latest_per_key(rows, ["category_id"], "inserted_at", ties, few_keys=True)
     return newest.select(*DIM_CATEGORIES)
 
 
-def tracked_coins(stg_map: DataFrame) -> Universe:
+def tracked_coins(stg_map: DataFrame) -> DataFrame:
     """The coin universe: the keys of the coin dimension."""
-    return Universe.of(stg_map.select("coin_id"))
+    return stg_map.select("coin_id")
 
 
-def bridge(stg_category_details: DataFrame, tracked: Universe) -> DataFrame:
+def bridge(stg_category_details: DataFrame, tracked: DataFrame) -> DataFrame:
     """Category-coin pairs of tracked coins, newest row per pair."""
     rows = rows_of(stg_category_details, *BRIDGE)
     pair = ["category_id", "coin_id"]
     return scoped_latest(rows, tracked, "coin_id", pair, "inserted_at", ties=["last_updated_at"]).select(*BRIDGE)
 
 
-def coin_market(stg_listings: DataFrame, stg_quotes: DataFrame, tracked: Universe) -> DataFrame:
+def coin_market(stg_listings: DataFrame, stg_quotes: DataFrame, tracked: DataFrame) -> DataFrame:
     """Fact: the newest listing of each tracked coin, with its newest quote where there is one.
 
     Times are the later one of listing and quote. Each history is reduced to one row per coin

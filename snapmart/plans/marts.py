@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import day_of, ratio, within_days
-from snapmart.operators.joins import Universe, enrich, scoped_latest
+from snapmart.operators.joins import enrich, scoped_latest
 from snapmart.operators.latest import DAY, dated, latest_per_key, latest_per_key_day
 from snapmart.operators.ranking import top_per_group, with_previous
 from snapmart.plans.core import rows_of
@@ -141,8 +141,8 @@ def coin_momentum_daily(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coin
 def coin_momentum_latest(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coins: DataFrame) -> DataFrame:
     """The newest day of ``coin_momentum_daily``, without ranking the days before it.
 
-    A coin's previous appearance is its newest row before that day. The coins of one day are counted;
-    when they are few, the earlier history is read for two columns and never shuffled.
+    A coin's previous appearance is its newest row before that day, and only the coins of the newest day
+    are looked for in the earlier history.
     """
     listings = dated(rows_of(stg_listings, *LISTING_COLUMNS), "inserted_at")
     quotes = dated(rows_of(stg_quotes, "coin_id", "inserted_at", "last_updated_at", *QUOTE_COLUMNS), "inserted_at")
@@ -152,8 +152,7 @@ def coin_momentum_latest(stg_listings: DataFrame, stg_quotes: DataFrame, dim_coi
     earlier = listings.where(day < newest)
     if DAY not in stg_listings.columns:
         earlier = earlier.drop(DAY)  # only a stored day prunes partitions
-    of_day = Universe.of(listed.select("coin_id"))
-    seen = scoped_latest(earlier, of_day, "coin_id", ["coin_id"], "inserted_at", LISTING_TIES)
+    seen = scoped_latest(earlier, listed, "coin_id", ["coin_id"], "inserted_at", LISTING_TIES)
     previous = seen.select("coin_id", F.col("cmc_rank").alias("_before"), day_of("inserted_at").alias(f"prev_{DAY}"))
     rank, before = F.col("cmc_rank"), F.col("_before")
     moves = (

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType, TimestampNTZType
 
 from snapmart.operators.history import backfill_stamp, commit_snapshot, read_history, replace_days
-from snapmart.operators.joins import Universe
 from snapmart.operators.latest import DAY
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
@@ -208,9 +207,7 @@ def model_functions(as_of: datetime) -> dict[str, Model]:
     """Each model as a function of the models it reads."""
     return {
         "int_coins": lambda m: core.coins(m["stg_map"], m["stg_info"]),
-        "int_category_snapshot": lambda m: core.categories(
-            m["stg_categories"], core.known_categories(m["stg_categories"])
-        ),
+        "int_category_snapshot": lambda m: core.categories(m["stg_categories"]),
         "int_coin_market_snapshot": lambda m: core.coin_market(m["stg_listings_latest"], m["stg_quotes"], m.tracked),
         "int_category_coin_bridge": lambda m: core.bridge(m["stg_category_details"], m.tracked),
         "dim_coins": lambda m: m["int_coins"].select(*core.DIM_COINS),
@@ -240,7 +237,7 @@ class Models(dict):
         self._functions = model_functions(as_of)
 
     @cached_property
-    def tracked(self) -> Universe:
+    def tracked(self) -> DataFrame:
         return core.tracked_coins(self["stg_map"])
 
     def __missing__(self, name: str) -> DataFrame:

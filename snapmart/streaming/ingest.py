@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.functions import moment
-from snapmart.operators.history import STAMP, commit_snapshot, replace_days
+from snapmart.functions import day_of, moment
+from snapmart.operators.history import STAMP, append_by_name, commit_part, replace_days, stored_day, stored_days
+from snapmart.session import shared_dir
 
 Commit = Callable[[DataFrame, int], None]
 
@@ -16,8 +17,8 @@ Commit = Callable[[DataFrame, int], None]
 def ingest_available(stream: DataFrame, commit: Commit, checkpoint: str) -> None:
     """Run ``commit`` on everything that has landed since the last call, then stop.
 
-    The checkpoint remembers the files taken; the commits below replace whole days, so a batch that is
-    retried after a failure gives the same history.
+    The checkpoint remembers the files taken; the commits below keep what other batches brought and are
+    the same when repeated, so a batch that is retried after a failure gives the same history.
     """
     query = (
         stream.writeStream.foreachBatch(commit)
@@ -28,11 +29,34 @@ def ingest_available(stream: DataFrame, commit: Commit, checkpoint: str) -> None
     query.awaitTermination()
 
 
+BATCH = "ingest_batch"  # the micro-batch that brought a row
+
+
 def commit_days(path: str, at: str = STAMP) -> Commit:
-    """Commit rows that carry their own time: each micro-batch holds whole days and replaces them."""
+    """Commit rows that carry their own time to the days they belong to.
+
+    The rows of a day that other micro-batches brought stay, so a day may arrive in several files; a
+    micro-batch that is retried replaces its own rows only.
+    """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        replace_days(batch, path, at)
+        spark = batch.sparkSession
+        batch = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")).persist()
+        try:
+            days = [row[0] for row in batch.select(day_of(at)).distinct().collect()]
+            touched = [day for day in stored_days(spark, path) if day in days]
+            rows = batch
+            for day in touched:
+                rows = append_by_name(rows, stored_day(spark, path, day))
+            if touched:
+                own = F.coalesce(F.col(BATCH) == batch_id, F.lit(False))
+                rows = rows.where(~own).unionByName(batch, allowMissingColumns=True)
+                copy = shared_dir(spark, "days")
+                rows.write.parquet(copy)  # the days that are read are also the ones that are replaced
+                rows = spark.read.parquet(copy)
+            replace_days(rows, path, at)
+        finally:
+            batch.unpersist()
 
     return commit
 
@@ -42,11 +66,16 @@ def commit_runs(
 ) -> Commit:
     """Commit landed runs, oldest first. ``run`` holds the run time of each row; a micro-batch may hold
     several runs (their number is bounded by the landed folders, and only their times reach the
-    driver). Unchanged runs are skipped, changed ones replace their day."""
+    driver), and a run may come in several. Unchanged runs are skipped, changed ones replace their
+    day; a late run never replaces a later one of its day."""
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.select(run).distinct().orderBy(run).collect():
-            rows = batch.where(F.col(run) == moment(row[run])).drop(run)
-            commit_snapshot(prepare(rows) if prepare else rows, path, row[run], keys)
+        batch = batch.persist()
+        try:
+            for row in batch.select(run).distinct().orderBy(run).collect():
+                rows = batch.where(F.col(run) == moment(row[run])).drop(run)
+                commit_part(prepare(rows) if prepare else rows, path, row[run], keys)
+        finally:
+            batch.unpersist()
 
     return commit

@@ -152,7 +152,53 @@ def test_stream_commits_whole_days_and_restarts(spark, tmp_path):
     assert ingest() == [1, 2]
     assert ingest() == [1, 2]  # nothing new
     land("b", [(3, DAY2.replace(hour=9)), (4, DAY3)])
-    assert ingest() == [1, 3, 4]  # the second day is replaced
+    assert ingest() == [1, 2, 3, 4]  # the second day has come in two files
+
+
+def test_retried_batch_of_days_replaces_its_own_rows_only(spark, path):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "id bigint, at timestamp_ntz")
+
+    commit = commit_days(path, "at")
+    commit(rows((1, DAY1), (2, DAY2)), 0)
+    for _ in range(2):
+        commit(rows((3, DAY2), (3, DAY2), (4, DAY3)), 1)
+    assert sorted(r["id"] for r in read_history(spark, path).collect()) == [1, 2, 3, 3, 4]
+
+
+def runs_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "id bigint, price double, run_ts timestamp_ntz")
+
+
+def content(spark, path):
+    return sorted((r["inserted_at"].day, r["id"], r["price"]) for r in read_history(spark, path).collect())
+
+
+def test_retried_batch_of_runs_changes_nothing(spark, path):
+    commit = commit_runs(path, ["id"])
+    commit(runs_of(spark, (1, 1.0, DAY1)), 0)
+    for _ in range(2):  # the second day repeats the first
+        commit(runs_of(spark, (1, 1.0, DAY2), (1, 2.0, DAY3)), 1)
+    assert content(spark, path) == [(1, 1, 1.0), (3, 1, 2.0)]
+
+
+def test_late_run_is_compared_with_the_one_before_it(spark, path):
+    commit = commit_runs(path, ["id"])
+    commit(runs_of(spark, (1, 1.0, DAY1), (1, 3.0, DAY3)), 0)
+    commit(runs_of(spark, (1, 1.0, DAY2), (1, 9.0, DAY3.replace(hour=1))), 1)
+    assert content(spark, path) == [(1, 1, 1.0), (3, 1, 3.0)]  # unchanged, and older than its day's run
+    commit(runs_of(spark, (1, 2.0, DAY2)), 2)
+    assert content(spark, path) == [(1, 1, 1.0), (2, 1, 2.0), (3, 1, 3.0)]
+
+
+@pytest.mark.parametrize("first", [5.0, 1.0])
+def test_run_in_two_parts_keeps_both(spark, path, first):
+    commit = commit_runs(path, ["id"])
+    commit(runs_of(spark, (1, 1.0, DAY1)), 0)
+    commit(runs_of(spark, (1, first, DAY2)), 1)  # may repeat the first day so far
+    for _ in range(2):
+        commit(runs_of(spark, (2, 6.0, DAY2)), 2)
+    assert content(spark, path) == [(1, 1, 1.0), (2, 1, first), (2, 2, 6.0)]
 
 
 def test_stream_commits_runs_in_order(spark, tmp_path):

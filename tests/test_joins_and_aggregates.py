@@ -24,7 +24,6 @@ from snapmart.operators.aggregates import (
     success_rate,
 )
 from snapmart.operators.joins import (
-    Universe,
     enrich,
     join_same_day,
     orphans,
@@ -43,28 +42,37 @@ def test_left_enrich_keeps_unmatched(spark, as_rows):
     assert as_rows(enrich(left, right, "k")) == [(1, "a"), (2, None), (None, None)]
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_scope_drops_untracked(spark, as_rows, limit):
+@pytest.fixture(params=["-1", "10485760"])
+def threshold(spark, request):
+    """No broadcasts, and Spark's default."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_scope_drops_untracked_and_repeats_nothing(spark, as_rows, threshold):
     df = spark.createDataFrame([(1, "x"), (2, "y"), (1, "z")], "k int, s string")
-    assert as_rows(scoped(df, Universe.of(spark.createDataFrame([(1, 9)], "k int, other int"), limit), "k")) == [(1, "x"), (1, "z")]
+    universe = spark.createDataFrame([(1, 9), (1, 8), (None, 7)], "k int, other int")
+    assert as_rows(scoped(df, universe, "k")) == [(1, "x"), (1, "z")]
 
 
-@pytest.mark.parametrize("limit", [0, 100])
 @pytest.mark.parametrize("keys", [["k"], ["c", "k"]])
-def test_scoped_latest_is_the_same_for_any_universe_size(spark, as_rows, limit, keys):
+def test_scoped_latest_is_the_same_for_any_threshold_and_repeated_keys(spark, as_rows, threshold, keys):
     rows = [("a", 1, D(2024, 1, 1), 1), ("a", 1, D(2024, 1, 2), 2), ("b", 1, None, 3), ("b", 2, D(2024, 1, 9), 4), ("a", 3, D(2024, 1, 1), 5)]
     df = spark.createDataFrame(rows, "c string, k int, at timestamp_ntz, v int")
-    universe = Universe.of(spark.createDataFrame([(1,), (3,)], "k int"), limit)
-    assert universe.small is (limit > 0)
+    universe = spark.createDataFrame([(1,), (3,), (1,)], "k int")
     want = [(3,), (5,)] if keys == ["k"] else [(2,), (3,), (5,)]
     assert as_rows(scoped_latest(df, universe, "k", keys, "at"), "v") == want
 
 
-def test_small_universe_needs_no_shuffle_of_the_history(spark):
+def test_declaring_a_scope_runs_no_job(spark):
     df = spark.range(1000).selectExpr("id % 9 as k", "timestamp_ntz'2024-01-01' as at", "id as v")
-    universe = Universe.of(spark.range(5).selectExpr("id as k"))
-    plan = scoped_latest(df, universe, "k", ["k"], "at")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 3  # scope twice (times, rows), newest times once
+    spark.sparkContext.setJobGroup("declared", "")
+    scoped_latest(df, spark.range(5).selectExpr("id as k"), "k", ["k"], "at")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("declared") == []
+    spark.sparkContext.setJobGroup("default", "")
 
 
 def test_same_day_join(spark, as_rows):
