@@ -348,7 +348,7 @@ def _market_checks_sql() -> str:
     """Every declared check as its own SELECT over the staging tables in their roles."""
     rows = []
     for table, checks in quality.MARKET_CHECKS.items():
-        known = CHECKED_COLUMNS[table].split()
+        known = CHECKED_COLUMNS[table]
         for check in checks:
             relation = f"st_{table}" if check.partition == quality.WHOLE else _newest(f"st_{table}", "inserted_at")
             columns = [c if c in known else "id" for c in check.columns]

@@ -91,16 +91,11 @@ def market_overview(t: Tables):
     "overview_kpis",
     market_sql(
         """
-SELECT 'latest' AS scope, max(snapshot_date) AS snapshot_date, arg_max(total_market_cap, snapshot_date) AS total_market_cap,
-       arg_max(total_volume_24h, snapshot_date) AS total_volume_24h,
-       arg_max(coalesce(btc_dominance_pct, -1), snapshot_date) AS btc_dominance_pct,
-       arg_max(top10_market_cap_share, snapshot_date) AS top10_market_cap_share,
-       arg_max(total_cex_volume_24h, snapshot_date) AS total_cex_volume_24h,
-       arg_max(total_dex_volume_24h, snapshot_date) AS total_dex_volume_24h,
-       arg_max(dex_volume_share, snapshot_date) AS dex_volume_share
-FROM overview
+SELECT 'latest' AS scope, snapshot_date, total_market_cap, total_volume_24h, btc_dominance_pct,
+       top10_market_cap_share, total_cex_volume_24h, total_dex_volume_24h, dex_volume_share
+FROM overview JOIN (SELECT max(snapshot_date) AS snapshot_date FROM overview) USING (snapshot_date)
 UNION ALL
-SELECT 'trend', snapshot_date, total_market_cap, total_volume_24h, coalesce(btc_dominance_pct, -1),
+SELECT 'trend', snapshot_date, total_market_cap, total_volume_24h, btc_dominance_pct,
        top10_market_cap_share, total_cex_volume_24h, total_dex_volume_24h, dex_volume_share
 FROM overview""",
         OVERVIEW_SQL,
@@ -110,8 +105,7 @@ def overview_kpis(t: Tables):
     m = models(t)
     overview = m["vw_market_overview_daily"]
     latest = charts.overview_latest(overview, charts.newest_day(m["stg_quotes"]))
-    both = union_labelled([("latest", latest), ("trend", charts.overview_trend(overview))], label="scope")
-    return both.withColumn("btc_dominance_pct", F.coalesce("btc_dominance_pct", F.lit(-1)))
+    return union_labelled([("latest", latest), ("trend", charts.overview_trend(overview))], label="scope")
 
 
 @query(

@@ -153,12 +153,19 @@ st_events AS (
   SELECT p_partkey AS id, CASE WHEN p_size > 5 THEN p_size END AS date_launched FROM part
 )"""
 CHECKED_COLUMNS = {
-    "listings_latest": "id inserted_at infinite_supply max_supply tvl_ratio self_reported_circulating_supply "
-    "self_reported_market_cap",
-    "quotes": "id inserted_at quote_id quote_percent_change_7d quote_market_cap quote_tvl",
-    "category_details": "id coins_id inserted_at volume market_cap num_tokens market_cap_change",
-    "categories": "id inserted_at volume market_cap num_tokens market_cap_change",
-    "info": "id date_launched",
+    "listings_latest": (
+        "id",
+        "inserted_at",
+        "infinite_supply",
+        "max_supply",
+        "tvl_ratio",
+        "self_reported_circulating_supply",
+        "self_reported_market_cap",
+    ),
+    "quotes": ("id", "inserted_at", "quote_id", "quote_percent_change_7d", "quote_market_cap", "quote_tvl"),
+    "category_details": ("id", "coins_id", "inserted_at", "volume", "market_cap", "num_tokens", "market_cap_change"),
+    "categories": ("id", "inserted_at", "volume", "market_cap", "num_tokens", "market_cap_change"),
+    "info": ("id", "date_launched"),
 }
 
 # The same roles in SQL. Amounts are exact decimals until a ratio is formed.

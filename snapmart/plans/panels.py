@@ -14,6 +14,7 @@ from snapmart.operators.aggregates import counts_per_day, duplicate_keys, missin
 from snapmart.operators.history import STAMP
 from snapmart.operators.joins import rows_at_group_max, union_labelled
 from snapmart.operators.latest import latest_batch
+from snapmart.plans.quality import MARKET_CHECKS, WHOLE
 
 
 @dataclass(frozen=True)
@@ -50,29 +51,11 @@ MARKET_KEYS = {
     "category_details": ("id", "coins_id", "inserted_at"),
 }
 
-# Allowed missing percentage per column; columns without a number allow none.
-MARKET_MISSING = {
-    "categories": "id market_cap_change:15",
-    "category_details": "id coins_id market_cap_change:15",
-    "info": "date_launched:15",
-    "listings_latest": (
-        "id cmc_rank last_updated date_added num_market_pairs circulating_supply total_supply infinite_supply "
-        "minted_market_cap inserted_at max_supply:50 tvl_ratio:96 self_reported_circulating_supply:45 "
-        "self_reported_market_cap:45"
-    ),
-    "quotes": (
-        "id name symbol slug is_fiat quote_id quote_symbol quote_volume_24h quote_volume_change_24h "
-        "quote_cex_volume_24h quote_dex_volume_24h quote_percent_change_1h quote_percent_change_24h "
-        "quote_percent_change_7d quote_percent_change_30d quote_percent_change_60d quote_percent_change_90d "
-        "quote_market_cap_dominance quote_fully_diluted_market_cap quote_minted_market_cap quote_last_updated "
-        "inserted_at quote_price:1 quote_market_cap:1 quote_tvl:96"
-    ),
-}
-
-
 def allowed_missing(table: str) -> dict[str, int]:
-    pairs = (entry.partition(":") for entry in MARKET_MISSING[table].split())
-    return {column: int(percent or 0) for column, _, percent in pairs}
+    """Allowed missing percentage per column: the limits of the table's checks on all its rows."""
+    kinds = ("missing_count", "missing_percent_below")
+    checks = [c for c in MARKET_CHECKS[table] if c.kind in kinds and c.partition == WHOLE]
+    return {c.columns[0]: int(c.limit) for c in checks}
 
 
 def market_watch(tables: Mapping[str, DataFrame], day: str | None = None) -> dict[str, Watched]:
@@ -143,7 +126,7 @@ def market_missing_status(tables: Mapping[str, DataFrame], day: str | None = Non
     return missing_status(
         [
             (n, tables[n] if n == "info" else latest_batch(tables[n], STAMP, day), allowed_missing(n))
-            for n in MARKET_MISSING
+            for n in MARKET_CHECKS
         ]
     )
 

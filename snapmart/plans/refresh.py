@@ -58,15 +58,15 @@ def parse(records: DataFrame, dataset: DataSet) -> DataFrame:
     return conform(flat, staging_schema(dataset.name, stamped=False))
 
 
-def land_quotes(spark: SparkSession, layout: Layout) -> None:
-    """Derive the quotes payload from the landed listings."""
+def land_quotes(spark: SparkSession, layout: Layout, limit: int | None = None) -> None:
+    """Derive the quotes payload from the landed listings; ``limit`` as in ``derive_quotes``."""
     name = "listings_latest"
     listings = read_if_landed(
         spark, layout.payload(name), record_schema(name), whole_file=layout.whole_file(name)
     )
     if listings is None:
         raise RuntimeError("listings are not landed; quotes are derived from them")
-    quotes = require_rows(derive_quotes(listings), "no quotes could be derived from the listings")
+    quotes = require_rows(derive_quotes(listings, limit), "no quotes could be derived from the listings")
     land_lines(quotes, layout, "quotes")
 
 

@@ -6,105 +6,102 @@ from pyspark.sql import DataFrame
 
 from snapmart.operators.latest import DAY
 
-# Model column <- table column [: type]. ``flag`` turns a 0/1 number into a boolean.
+# The select list of each staging model. A 0/1 number becomes a boolean.
 COLUMNS = {
-    "listings_latest": """
-        coin_id <- id : bigint
-        is_infinite_supply <- infinite_supply : boolean
-        circulating_supply <- circulating_supply
-        total_supply <- total_supply
-        max_supply <- max_supply
-        date_added_at <- date_added : timestamp_ntz
-        num_market_pairs <- num_market_pairs : int
-        cmc_rank <- cmc_rank : int
-        last_updated_at <- last_updated : timestamp_ntz
-        tvl_ratio <- tvl_ratio
-        self_reported_circulating_supply <- self_reported_circulating_supply
-        self_reported_market_cap <- self_reported_market_cap
-        minted_market_cap <- minted_market_cap
-        inserted_at <- inserted_at : timestamp_ntz""",
-    "quotes": """
-        coin_id <- id : bigint
-        coin_name <- name : string
-        coin_symbol <- symbol : string
-        coin_slug <- slug : string
-        is_fiat <- is_fiat : flag
-        quote_currency_id <- quote_id : bigint
-        quote_currency_symbol <- quote_symbol : string
-        price <- quote_price
-        volume_24h <- quote_volume_24h
-        volume_change_24h_pct <- quote_volume_change_24h
-        cex_volume_24h <- quote_cex_volume_24h
-        dex_volume_24h <- quote_dex_volume_24h
-        percent_change_1h <- quote_percent_change_1h
-        percent_change_24h <- quote_percent_change_24h
-        percent_change_7d <- quote_percent_change_7d
-        percent_change_30d <- quote_percent_change_30d
-        percent_change_60d <- quote_percent_change_60d
-        percent_change_90d <- quote_percent_change_90d
-        market_cap <- quote_market_cap
-        market_cap_dominance_pct <- quote_market_cap_dominance
-        fully_diluted_market_cap <- quote_fully_diluted_market_cap
-        minted_market_cap <- quote_minted_market_cap
-        tvl <- quote_tvl
-        last_updated_at <- quote_last_updated : timestamp_ntz
-        inserted_at <- inserted_at : timestamp_ntz""",
-    "categories": """
-        category_id <- id : string
-        category_name <- name : string
-        category_title <- title : string
-        category_description <- description : string
-        volume_24h <- volume
-        num_tokens <- num_tokens : int
-        avg_price_change_pct <- avg_price_change
-        market_cap <- market_cap
-        market_cap_change_pct <- market_cap_change
-        volume_change_pct <- volume_change
-        last_updated_at <- last_updated : timestamp_ntz
-        inserted_at <- inserted_at : timestamp_ntz""",
-    "category_details": """
-        category_id <- id : string
-        category_name <- name : string
-        category_title <- title : string
-        category_description <- description : string
-        volume_24h <- volume
-        num_tokens <- num_tokens : int
-        last_updated_at <- last_updated : timestamp_ntz
-        avg_price_change_pct <- avg_price_change
-        market_cap <- market_cap
-        market_cap_change_pct <- market_cap_change
-        volume_change_pct <- volume_change
-        coin_id <- coins_id : bigint
-        inserted_at <- inserted_at : timestamp_ntz""",
-    "map": """
-        coin_id <- id : bigint
-        coin_name <- name : string
-        coin_symbol <- symbol : string
-        coin_slug <- slug : string
-        is_active <- is_active : flag
-        first_historical_data_at <- first_historical_data : timestamp_ntz
-        last_historical_data_at <- last_historical_data : timestamp_ntz""",
-    "info": """
-        coin_id <- id : bigint
-        coin_category <- category : string
-        coin_description <- description : string
-        logo_url <- logo : string
-        date_launched_at <- date_launched : timestamp_ntz""",
+    "listings_latest": (
+        "cast(id as bigint) as coin_id",
+        "cast(infinite_supply as boolean) as is_infinite_supply",
+        "circulating_supply as circulating_supply",
+        "total_supply as total_supply",
+        "max_supply as max_supply",
+        "cast(date_added as timestamp_ntz) as date_added_at",
+        "cast(num_market_pairs as int) as num_market_pairs",
+        "cast(cmc_rank as int) as cmc_rank",
+        "cast(last_updated as timestamp_ntz) as last_updated_at",
+        "tvl_ratio as tvl_ratio",
+        "self_reported_circulating_supply as self_reported_circulating_supply",
+        "self_reported_market_cap as self_reported_market_cap",
+        "minted_market_cap as minted_market_cap",
+        "cast(inserted_at as timestamp_ntz) as inserted_at",
+    ),
+    "quotes": (
+        "cast(id as bigint) as coin_id",
+        "cast(name as string) as coin_name",
+        "cast(symbol as string) as coin_symbol",
+        "cast(slug as string) as coin_slug",
+        "is_fiat = 1 as is_fiat",
+        "cast(quote_id as bigint) as quote_currency_id",
+        "cast(quote_symbol as string) as quote_currency_symbol",
+        "quote_price as price",
+        "quote_volume_24h as volume_24h",
+        "quote_volume_change_24h as volume_change_24h_pct",
+        "quote_cex_volume_24h as cex_volume_24h",
+        "quote_dex_volume_24h as dex_volume_24h",
+        "quote_percent_change_1h as percent_change_1h",
+        "quote_percent_change_24h as percent_change_24h",
+        "quote_percent_change_7d as percent_change_7d",
+        "quote_percent_change_30d as percent_change_30d",
+        "quote_percent_change_60d as percent_change_60d",
+        "quote_percent_change_90d as percent_change_90d",
+        "quote_market_cap as market_cap",
+        "quote_market_cap_dominance as market_cap_dominance_pct",
+        "quote_fully_diluted_market_cap as fully_diluted_market_cap",
+        "quote_minted_market_cap as minted_market_cap",
+        "quote_tvl as tvl",
+        "cast(quote_last_updated as timestamp_ntz) as last_updated_at",
+        "cast(inserted_at as timestamp_ntz) as inserted_at",
+    ),
+    "categories": (
+        "cast(id as string) as category_id",
+        "cast(name as string) as category_name",
+        "cast(title as string) as category_title",
+        "cast(description as string) as category_description",
+        "volume as volume_24h",
+        "cast(num_tokens as int) as num_tokens",
+        "avg_price_change as avg_price_change_pct",
+        "market_cap as market_cap",
+        "market_cap_change as market_cap_change_pct",
+        "volume_change as volume_change_pct",
+        "cast(last_updated as timestamp_ntz) as last_updated_at",
+        "cast(inserted_at as timestamp_ntz) as inserted_at",
+    ),
+    "category_details": (
+        "cast(id as string) as category_id",
+        "cast(name as string) as category_name",
+        "cast(title as string) as category_title",
+        "cast(description as string) as category_description",
+        "volume as volume_24h",
+        "cast(num_tokens as int) as num_tokens",
+        "cast(last_updated as timestamp_ntz) as last_updated_at",
+        "avg_price_change as avg_price_change_pct",
+        "market_cap as market_cap",
+        "market_cap_change as market_cap_change_pct",
+        "volume_change as volume_change_pct",
+        "cast(coins_id as bigint) as coin_id",
+        "cast(inserted_at as timestamp_ntz) as inserted_at",
+    ),
+    "map": (
+        "cast(id as bigint) as coin_id",
+        "cast(name as string) as coin_name",
+        "cast(symbol as string) as coin_symbol",
+        "cast(slug as string) as coin_slug",
+        "is_active = 1 as is_active",
+        "cast(first_historical_data as timestamp_ntz) as first_historical_data_at",
+        "cast(last_historical_data as timestamp_ntz) as last_historical_data_at",
+    ),
+    "info": (
+        "cast(id as bigint) as coin_id",
+        "cast(category as string) as coin_category",
+        "cast(description as string) as coin_description",
+        "cast(logo as string) as logo_url",
+        "cast(date_launched as timestamp_ntz) as date_launched_at",
+    ),
 }
 
 
-def _expression(line: str) -> str:
-    target, _, rest = line.strip().partition(" <- ")
-    source, _, to = rest.partition(" : ")
-    if to == "flag":
-        return f"{source} = 1 as {target}"
-    return f"cast({source} as {to}) as {target}" if to else f"{source} as {target}"
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The staging model of one table. Decimal columns keep their declared precision.
 
     The partition column of a stored history is carried along, so that marts can prune by day.
     """
-    columns = [_expression(line) for line in COLUMNS[name].strip().splitlines()]
-    return df.selectExpr(*columns, *[c for c in df.columns if c == DAY])
+    return df.selectExpr(*COLUMNS[name], *[c for c in df.columns if c == DAY])

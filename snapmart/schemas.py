@@ -64,7 +64,6 @@ USD_FIELDS = (
 # Constants of a derived quote record.
 USD_QUOTE_ID = 2781
 USD_SYMBOL = "USD"
-DEFAULT_LIMIT = 500
 
 # Record fields that are read from each payload. Numbers are read as text, which keeps every digit
 # for the cast to decimal; fields that are not named here are skipped by the JSON parser.

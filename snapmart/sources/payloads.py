@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from snapmart.schemas import DEFAULT_LIMIT, USD_FIELDS, USD_QUOTE_ID, USD_SYMBOL
+from snapmart.schemas import USD_FIELDS, USD_QUOTE_ID, USD_SYMBOL
 
 
 def _data_or_error() -> Column:
@@ -89,9 +89,9 @@ def merge_keyed(batches: Sequence[DataFrame], key: str) -> DataFrame:
     return merged.select(key, *[f"_row.{c}" for c in payload])
 
 
-def derive_quotes(listings: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
-    """Quote records from listing records: the first ``limit`` in source order, then only those with a
-    non-empty USD quote. ``minted_market_cap`` comes from the record, the rest from the quote."""
+def derive_quotes(listings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Quote records from listing records with a non-empty USD quote; with a ``limit``, from the first so many
+    records of each payload document, before quotes are looked at. ``minted_market_cap`` comes from the record, the rest from the quote."""
     if limit is not None:
         listings = listings.where(F.col("_pos") < limit)
     usd = F.col("quote.USD")

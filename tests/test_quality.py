@@ -105,7 +105,7 @@ def test_digest_groups_and_escapes_failed_checks(table):
 def test_declared_checks_are_complete():
     counts = {t: len(c) for t, c in quality.MARKET_CHECKS.items()}
     assert counts == {"categories": 10, "category_details": 12, "info": 2, "listings_latest": 20, "quotes": 31}
-    assert sum(len(panels.allowed_missing(t)) for t in panels.MARKET_MISSING) == 45
+    assert sum(len(panels.allowed_missing(t)) for t in panels.MARKET_CHECKS) == 45
 
 
 def test_run_log_panels(spark):
