@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from snapmart.catalog.registry import Tables, query, ts_sql
-from snapmart.functions import day_of
+from snapmart.functions import day_of, moment
 from snapmart.operators.compare import same_rows
 from snapmart.operators.history import (
     append_by_name,
@@ -19,7 +19,7 @@ from snapmart.operators.history import (
 )
 from snapmart.operators.joins import union_labelled
 from snapmart.session import shared_dir
-from snapmart.streaming.ingest import commit_days, ingest_available
+from snapmart.streaming.ingest import commit_days, commit_runs, ingest_available
 
 LAST_RUN = datetime(2024, 1, 30, 12, 0, 0)  # a run on the last day of the event history
 
@@ -129,3 +129,25 @@ def stream_ingest(t: Tables):
     stream = t.spark.readStream.schema(t["events"].schema).parquet(f"{t.folder}/events.parquet*")
     ingest_available(stream, commit_days(path, "ts"), shared_dir(t.spark, "stream-checkpoint"))
     return count_by_day(read_history(t.spark, path))
+
+
+@query(
+    "stream_runs",
+    """
+SELECT event_id, user_id, value, '2024-03-0' || (event_id % 3 + 1) || ' 06:00:00.000000' AS inserted_at FROM events""",
+)
+def stream_runs(t: Tables):
+    """Three runs in four micro-batches: a run in two parts, a late run, one that repeats another, and a retried batch."""
+    path = shared_dir(t.spark, "stream-runs")
+    third = F.col("event_id") % 3
+    run = F.make_timestamp_ntz(F.lit(2024), F.lit(3), (third + 1).cast("int"), F.lit(6), F.lit(0), F.lit(0))
+    events = t["events"].select("event_id", "user_id", "value", run.alias("run_ts"))
+    first, second, last = (events.where(third == k) for k in range(3))
+    half = F.col("event_id") % 2 == 0
+    repeated = last.withColumn("run_ts", moment(datetime(2024, 3, 4, 6)))
+    commit = commit_runs(path, ["event_id"])
+    commit(first.unionByName(last.where(half)), 0)
+    for _ in range(2):
+        commit(second.unionByName(last.where(~half)), 1)
+    commit(repeated, 2)
+    return read_history(t.spark, path).select("event_id", "user_id", "value", "inserted_at")

@@ -176,12 +176,12 @@ def rank_movers(t: Tables):
         f"""
 SELECT snapshot_date, coin_id, coin_symbol, coin_name, cmc_rank, market_cap,
        {ts_sql("date_added_at")} AS date_added_at
-FROM momentum WHERE is_new_entry""",
+FROM momentum WHERE is_new_entry AND {LATEST_DAY}""",
         MOMENTUM_SQL,
     ),
 )
 def new_entries(t: Tables):
-    return charts.new_entries(models(t)["vw_coin_momentum_daily"])
+    return charts.new_entries(models(t)["vw_coin_momentum_latest"])
 
 
 @query(

@@ -162,14 +162,13 @@ def flatten_struct(t: Tables):
 @query(
     "explode_outer",
     r"""
-WITH lists AS (
-  SELECT doc_id, [x FOR x IN string_split(text, chr(10)) IF length(x) >= 200] AS long_line FROM documents
-)
-SELECT doc_id, unnest(CASE WHEN len(long_line) = 0 THEN [NULL] ELSE long_line END) AS long_line FROM lists""",
+WITH lists AS (SELECT doc_id, regexp_extract_all(text, '[0-9]+') AS number FROM documents)
+SELECT doc_id, unnest(CASE WHEN len(number) > 0 THEN number ELSE [NULL] END) AS number FROM lists""",
 )
 def explode_outer(t: Tables):
-    lines = F.filter(F.split("text", "\n"), lambda line: F.length(line) >= 200)
-    return explode_list(t["documents"].select("doc_id", lines.alias("long_line")), "long_line")
+    """All runs of digits of each text; a text without any stays as one row."""
+    numbers = F.regexp_extract_all("text", F.lit("([0-9]+)"))
+    return explode_list(t["documents"].select("doc_id", numbers.alias("number")), "number")
 
 
 @query(

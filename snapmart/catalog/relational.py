@@ -12,6 +12,7 @@ from snapmart.operators.aggregates import counts_per_day, delimited_chunks, dupl
 from snapmart.operators.joins import enrich, join_same_day, orphans, rows_at_group_max, scoped, union_labelled
 from snapmart.operators.latest import latest_batch, latest_per_key, latest_per_key_day
 from snapmart.operators.ranking import rank_in_group, top_k, top_per_group
+from snapmart.plans.panels import Watched, rows_per_day
 
 EVENT_COLUMNS = f"event_id, {ts_sql('ts')} AS ts, user_id, event_type, value, props"
 
@@ -223,6 +224,25 @@ def row_count_per_day(t: Tables):
     )
 
 
+@query(
+    "row_count_in_range",
+    """
+WITH counts AS (
+  SELECT ts::DATE AS day, 'events' AS metric, count(*) AS n FROM events
+  WHERE ts BETWEEN TIMESTAMP '1996-07-01 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00' GROUP BY ALL
+  UNION ALL SELECT o_orderdate::DATE, 'orders', count(*) FROM orders
+  WHERE o_orderdate BETWEEN TIMESTAMP '1996-07-01 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00' GROUP BY ALL
+)
+SELECT day::VARCHAR AS day, max(CASE WHEN metric = 'events' THEN n END) AS events,
+       max(CASE WHEN metric = 'orders' THEN n END) AS orders
+FROM counts GROUP BY day""",
+)
+def row_count_in_range(t: Tables):
+    """The rows-per-day panel within a time range."""
+    watched = {"events": Watched(t["events"], "ts"), "orders": Watched(t["orders"], "o_orderdate")}
+    return rows_per_day(watched, datetime(1996, 7, 1), datetime(2024, 1, 20, 12))
+
+
 @query(
     "duplicate_keys",
     """

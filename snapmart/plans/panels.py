@@ -131,8 +131,25 @@ def market_missing_status(tables: Mapping[str, DataFrame], day: str | None = Non
     )
 
 
-def rows_per_day(watched: Mapping[str, Watched]) -> DataFrame:
-    return counts_per_day([(n, w.df, w.at) for n, w in watched.items()])
+def rows_per_day(
+    watched: Mapping[str, Watched], since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """Rows of each table by day, within the panel's time range (both ends belong to it) if one is given.
+
+    The range is also a filter on a stored history's day, so only its partitions are read.
+    """
+
+    def ranged(watch: Watched) -> DataFrame:
+        rows = watch.df
+        for end, after in ((since, True), (until, False)):
+            if end is not None:
+                rows = rows.where(F.col(watch.at) >= moment(end) if after else F.col(watch.at) <= moment(end))
+                if watch.day is not None:
+                    day = F.lit(end.date())
+                    rows = rows.where(F.col(watch.day) >= day if after else F.col(watch.day) <= day)
+        return rows
+
+    return counts_per_day([(name, ranged(watch), watch.at) for name, watch in watched.items()])
 
 
 def batch_size_status(watched: Mapping[str, Watched]) -> DataFrame:
