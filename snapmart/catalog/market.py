@@ -163,11 +163,7 @@ SELECT * FROM (
     ),
 )
 def rank_movers(t: Tables):
-    latest = models(t)["vw_coin_momentum_latest"]
-    return union_labelled(
-        [("gainers", charts.rank_movers(latest, up=True)), ("losers", charts.rank_movers(latest, up=False))],
-        label="side",
-    )
+    return charts.both_movers(models(t)["vw_coin_momentum_latest"])
 
 
 @query(

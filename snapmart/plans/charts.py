@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.operators.latest import DAY, dated
-from snapmart.operators.ranking import top_k
+from snapmart.operators.ranking import top_k, top_per_group
 
 # Row limits and filters of the charts.
 TOP_TABLE_ROWS = 100
@@ -140,6 +140,18 @@ def rank_movers(latest: DataFrame, up: bool, rows: int = MOVER_ROWS) -> DataFram
     return top_k(latest.where(change.isNotNull()), order, rows).select(*columns)
 
 
+def both_movers(latest: DataFrame, rows: int = MOVER_ROWS) -> DataFrame:
+    """Gainers and losers from one reading of the newest day, marked by ``side``."""
+    change = F.col("rank_change")
+    sides = F.array(
+        F.struct(F.lit("gainers").alias("side"), (-change).alias("place")),
+        F.struct(F.lit("losers").alias("side"), change.alias("place")),
+    )
+    columns = ("coin_id", "coin_symbol", "coin_name", "cmc_rank", "prev_cmc_rank", "rank_change")
+    moved = latest.where(change.isNotNull()).select(F.explode(sides).alias("_s"), *columns).select("_s.*", *columns)
+    return top_per_group(moved, ["side"], [F.col("place"), F.col("coin_id")], rows).drop("place")
+
+
 def new_entries(latest: DataFrame) -> DataFrame:
     columns = (DAY, "coin_id", "coin_symbol", "coin_name", "cmc_rank", "market_cap", "date_added_at")
     return latest.where("is_new_entry").select(*columns).orderBy(F.col("cmc_rank").asc_nulls_last(), "coin_id")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import escape_markup, hours_between, moment
-from snapmart.operators.aggregates import duplicate_keys, duplicate_values, joined_names
+from snapmart.operators.aggregates import duplicate_keys, joined_names
 from snapmart.operators.history import STAMP
 from snapmart.operators.joins import orphans
 from snapmart.operators.latest import latest_batch
@@ -237,8 +237,22 @@ def model_tests(models: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(model).alias("model"), F.lit(test).alias("test"), F.lit(column).alias("column_name"), "failures"
         )
 
-    parts = [result(duplicate_values(models[m], c), m, "unique", c) for m, c in unique_columns]
-    parts += [result(models[m].where(F.col(c).isNull()), m, "not_null", c) for m, c in filled_columns]
+    def column_tests(model: str, column: str) -> DataFrame:
+        """Repeated values and nulls of a column, from one count per value."""
+        counts = models[model].groupBy(column).agg(F.count("*").alias("n"))
+        null = F.col(column).isNull()
+        found = counts.agg(
+            F.count(F.when(~null & (F.col("n") > 1), 1)).alias("repeated"),
+            F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("empty"),
+        )
+        tests = [F.struct(F.lit("not_null").alias("test"), F.col("empty").alias("failures"))]
+        if (model, column) in unique_columns:
+            tests.append(F.struct(F.lit("unique").alias("test"), F.col("repeated").alias("failures")))
+        return found.select(F.explode(F.array(*tests)).alias("t")).select(
+            F.lit(model).alias("model"), "t.test", F.lit(column).alias("column_name"), "t.failures"
+        )
+
+    parts = [column_tests(m, c) for m, c in filled_columns]
     parts += [result(orphans(models[m], c, models[to], c), m, "relationships", c) for m, c, to in references]
     pair = ["category_id", "coin_id"]
     parts.append(

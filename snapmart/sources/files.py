@@ -14,10 +14,15 @@ _OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Replace ``path`` by CSV files with header. A file with quoted line breaks is read by one task,
-    so the size of a file is bounded."""
-    df.write.mode("overwrite").options(**_OPTIONS).option("maxRecordsPerFile", rows_per_file).csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Replace ``path`` by CSV files with header.
+
+    A file with quoted line breaks is read by one task, so its bytes are bounded: the rebalance hint
+    lets AQE cut the rows into files of about its advisory partition size. ``rows_per_file`` may
+    bound the rows of a file too.
+    """
+    writer = df.hint("rebalance").write.mode("overwrite").options(**_OPTIONS)
+    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
