@@ -12,6 +12,8 @@ a margin of one longest piece:
    document (a text's size limits their number), and then the boundary pieces go back down to the chunks.
 3. Each chunk, now knowing the pieces over both its boundaries, finds its own path.
 
+As no piece spans the beginning of a word, the lattice is only needed up to a chunk's first and from its last one.
+
 Texts become pieces as the library has it: spaces are word marks, one mark comes first, and a character that is not in
 the vocabulary is its UTF-8 bytes. Decoding gives the text back, with a word mark character read as a space. Null and
 empty texts have no ids. Repeated rows are encoded as often as they come. Other columns are ignored.
@@ -36,13 +38,26 @@ RUN = 64
 MARK = "▁"
 
 #: Entries of a worker's memory of encoded pieces of text; it is emptied when full.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 20
 
 _NEVER = float("-inf")
 
 #: Word marks and what follows them: no vocabulary piece has a mark after anything else.
+_BEGIN = re.compile(f"[^{MARK}](?={MARK})")
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
+
+def _word_begins(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The first and the last place between two places of a text where a word begins."""
+    first = next((m.start() + 1 for m in _BEGIN.finditer(text, start, end)), None)
+    if first is None:
+        return None
+    last = text.rfind(MARK, first, end)
+    while text[last - 1] == MARK:
+        last -= 1
+    return first, max(first, last)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -141,36 +156,66 @@ class Encoder:
 
     def transfer(self, text: str, start: int, end: int, first: bool) -> list[int]:
         """Transfer matrix of a chunk text[start:end]: for each boundary piece over `end` the bit set of those over
-        `start` that reach it. A boundary piece may span the whole chunk and then reaches itself."""
+        `start` that reach it. A boundary piece may span the whole chunk and then reaches itself.
+
+        No piece spans the beginning of a word, so every path passes there: only the parts before the chunk's first and
+        after its last such place need the lattice.
+        """
         begin = [(0, "")] if first else self.over(text, start)
+        cut = _word_begins(text, start, end)
+        if cut:
+            through = 0
+            for s, p in self.over(text, cut[0]):
+                if s + len(p) == cut[0]:
+                    through |= self.reached(text, begin, cut[0], s, p)
+            begin, start = [(cut[1], "")], cut[1]
         reach = self.forward(text, begin, end)
         rows = []
         for s, p in self.over(text, end):
             if s >= start:
-                rows.append(reach[s].get(p, 0))
+                row = reach[s].get(p, 0)
+                rows.append(through if cut and row else row)
             else:
-                rows.append(sum(1 << k for k, b in enumerate(begin) if b == (s, p)))
+                rows.append(0 if cut else sum(1 << k for k, b in enumerate(begin) if b == (s, p)))
         return rows
 
+    def reached(self, text: str, begin: list[tuple[int, str]], end: int, s: int, p: str) -> int:
+        """The boundary pieces of `begin` from which a path ends with piece `p` at `s`."""
+        own = sum(1 << k for k, b in enumerate(begin) if b == (s, p))
+        return own | self.forward(text, begin, end)[s].get(p, 0)
+
     def path(self, text: str, start: int, end: int, before: tuple[int, str], after: tuple[int, str] | None) -> list[str]:
-        """The pieces that begin in text[start:end], between the boundary pieces; None ends with the text."""
+        """The pieces that begin in text[start:end], between the boundary pieces; None ends where `end` is."""
+        at = before[0] + len(before[1])
+        if after is None and at == end:
+            return []
         reach = self.forward(text, [before], end)
         if after is None:
-            at = end
             s, p = next((s, p) for s, p in self.over(text, end) if s + len(p) == end and reach[s].get(p))
         else:
             s, p = after
         out: list[str] = []
-        at, piece = s, p
-        while at >= max(start, before[0] + len(before[1])):
-            out.append(piece)
-            if at == before[0] + len(before[1]):
+        while s >= at:
+            out.append(p)
+            if s == at:
                 break
-            at, piece = next(
-                (s, p) for s, p in self.over(text, at) if s + len(p) == at and reach[s].get(p) and self.beside(p, piece)
+            s, p = next(
+                (q, r) for q, r in self.over(text, s) if q + len(r) == s and reach[q].get(r) and self.beside(r, p)
             )
         return out[::-1]
 
+    def chunk_ids(
+        self, text: str, start: int, end: int, before: tuple[int, str], after: tuple[int, str] | None
+    ) -> list[int]:
+        """Ids of the pieces that begin in a chunk: paths at its ends, whole words between them."""
+        cut = (start, end) if after is None and not before[1] else _word_begins(text, start, end)
+        if not cut:
+            return self.ids_of(self.path(text, start, end, before, after))
+        first, last = cut[0], end if after is None else cut[1]
+        head = self.ids_of(self.path(text, start, first, before, None)) if before[1] or first > start else []
+        tail = [] if after is None else self.ids_of(self.path(text, last, end, (last, ""), after))
+        return head + self.words_ids(text[first:last]) + tail
+
     def ids_of(self, pieces: list[str]) -> list[int]:
         out = []
         for p in pieces:
@@ -185,9 +230,13 @@ class Encoder:
         """Ids of a text of one chunk."""
         if not text:
             return []
+        return self.words_ids(MARK + text.replace(" ", MARK))
+
+    def words_ids(self, marked: str) -> list[int]:
+        """Ids of whole words, each found once while it is remembered."""
         out: list[int] = []
         known = self.known
-        for word in _WORD.findall(MARK + text.replace(" ", MARK)):
+        for word in _WORD.findall(marked):
             ids = known.get(word)
             if ids is None:
                 if len(word) <= 2 * self.longest:
@@ -373,7 +422,7 @@ def _giant(docs: DataFrame, name: str, chunk: int, margin: int, digest: bool) ->
                 if last is not None and last[0] < start:
                     out.append([])  # one piece spans the whole chunk
                     continue
-                out.append(model.ids_of(model.path(part, start, end, first, last)))
+                out.append(model.chunk_ids(part, start, end, first, last))
             yield _rows(model, batch.columns[:3], batch.column(1).to_pylist(), out, digest)
 
     rows = parts.join(boundaries, ["row", "chunk"]).select(
