@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import DataFrame
+
 from snapmart.catalog.market import DIM_COINS_SQL
-from snapmart.catalog.registry import Tables, query
+from snapmart.catalog.registry import Tables, query, ts_sql
 from snapmart.catalog.roles import COIN_INFO, COIN_MAP, EVENTS_WITH_AMOUNT
 from snapmart.operators.history import read_history
 from snapmart.operators.latest import latest_per_key
@@ -66,3 +68,76 @@ def landed_quotes(t: Tables):
         "coin_id", "coin_name", "is_fiat", "quote_currency_id", "quote_currency_symbol", "price", "market_cap",
         "minted_market_cap", "tvl", "inserted_at",
     )
+
+
+LOADED = "'2024-02-01 06:00:00.000000' AS inserted_at"
+
+
+def loaded(t: Tables, name: str, records: DataFrame) -> DataFrame:
+    """The staging model of records that were landed and loaded."""
+    layout = new_layout(t)
+    land_lines(records, layout, name)
+    load_dataset(t.spark, layout, DATASETS[name], RUN)
+    return staged(read_history(t.spark, layout.history(name)), name)
+
+
+@query(
+    "landed_categories",
+    f"""
+SELECT o_orderkey::VARCHAR AS category_id, o_orderpriority AS category_name, o_orderstatus AS category_title,
+       o_custkey::BIGINT AS num_tokens, o_totalprice AS market_cap, {LOADED} FROM orders""",
+)
+def landed_categories(t: Tables):
+    """Orders as category records."""
+    records = t["orders"].selectExpr(
+        "cast(o_orderkey as string) id",
+        "o_orderpriority name",
+        "o_orderstatus title",
+        "cast(o_custkey as string) num_tokens",
+        "cast(o_totalprice as string) market_cap",
+    )
+    found = loaded(t, "categories", records)
+    return found.select("category_id", "category_name", "category_title", "num_tokens", "market_cap", "inserted_at")
+
+
+@query(
+    "landed_category_details",
+    f"""
+WITH coins AS (
+  SELECT *, unnest(CASE WHEN l_returnflag = 'N' THEN [NULL] ELSE [l_partkey, l_suppkey + 1000000] END) AS coin_id
+  FROM lineitem)
+SELECT l_orderkey || '-' || l_linenumber AS category_id, l_linestatus AS category_name, coin_id::BIGINT AS coin_id,
+       l_extendedprice AS market_cap, {LOADED} FROM coins""",
+)
+def landed_category_details(t: Tables):
+    """Line items as category records with a list of two coins, or an empty one, which stays as one row."""
+    records = t["lineitem"].selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) id",
+        "l_linestatus name",
+        "cast(l_extendedprice as string) market_cap",
+        """if(l_returnflag = 'N', array(), array(
+             named_struct('id', bigint(l_partkey)), named_struct('id', bigint(l_suppkey + 1000000)))) coins""",
+    )
+    found = loaded(t, "category_details", records)
+    return found.select("category_id", "category_name", "coin_id", "market_cap", "inserted_at")
+
+
+@query(
+    "landed_listings",
+    f"""
+SELECT o_orderkey AS coin_id, o_orderstatus = 'F' AS is_infinite_supply, o_totalprice AS circulating_supply,
+       {ts_sql("o_orderdate")} AS date_added_at, o_custkey::BIGINT AS cmc_rank, {LOADED} FROM orders""",
+)
+def landed_listings(t: Tables):
+    """Orders as listing records; fields without a column are null."""
+    records = t["orders"].selectExpr(
+        "o_orderkey id",
+        "o_orderstatus = 'F' infinite_supply",
+        "cast(o_totalprice as string) circulating_supply",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") date_added",
+        "cast(o_custkey as string) cmc_rank",
+    )
+    found = loaded(t, "listings_latest", records)
+    return found.select(
+        "coin_id", "is_infinite_supply", "circulating_supply", "date_added_at", "cmc_rank", "inserted_at"
+    )
