@@ -58,7 +58,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int)
     """At most `per_class` labelled documents of each class, as (text, y).
 
     The documents with the smallest hashes of their text's row key are taken, so the choice depends on the rows
-    alone. Null labels, null ids and texts without a label take no part.
+    alone. Null labels, null ids and texts without a label take no part; of rows that repeat an id one text is taken.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("y")
@@ -67,4 +67,5 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int)
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", "y"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")

@@ -174,6 +174,8 @@ def fit(
         .select("doc_id", "text", "lang")
         .join(F.broadcast(chosen), "doc_id")
         .where(F.col("lang") == F.col("of"))
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))  # one text for an id that rows repeat
         .select("lang", "text")
         .collect()
     )
