@@ -122,7 +122,7 @@ def build(texts: dict[str, list[str]]) -> Model:
     model = Model(names, [])
     slices = {n: list(text_slices(pa.array(texts[n], pa.string()))) for n in names}
     places: list[tuple[Places, Places]] = []
-    for order in range(ORDER + 1):
+    for order in range(ORDER + 1) if names else ():
         counts = {}
         for name in names:
             found = []

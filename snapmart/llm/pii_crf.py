@@ -352,8 +352,11 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, longest: int
             )
 
     value = F.col(text)
-    texts = docs.where(value.rlike("[0-9@]") & (F.length(value) <= longest)).select(value.alias("text"))
-    texts = texts.orderBy(F.xxhash64("text"), "text").limit(sample)
+    texts = docs.where(value.rlike("[0-9@]") & (F.length(value) <= longest))
+    texts = texts.select(value.alias("text"), F.xxhash64(value).alias("hash"))
+    # The sample's largest hash first, from hashes alone: so no task gets more texts than are wanted.
+    last = texts.select("hash").distinct().orderBy("hash").limit(sample).agg(F.max("hash")).first()[0]
+    texts = texts.where(F.col("hash") <= F.lit(last)).groupBy("hash").agg(F.min("text").alias("text")).select("text")
     examples: Counter = Counter()
     schema = f"before string, stretch string, after string, spans {_SPANS}, n long"
     for r in map_arrow(texts, run, schema).collect():

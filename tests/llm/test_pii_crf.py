@@ -106,7 +106,8 @@ def test_query_and_odd_rows(spark, model):
     masked = p.mask(df, model)
     assert masked.columns == df.columns
     texts = {r.doc_id: r.text for r in masked.collect()}
-    assert texts[0] is None and texts[1] == "" and "@x-1" not in texts[2] and "1111" not in texts[3]
+    assert texts[0] is None and texts[1] == "" and "@x-1" not in texts[2]
+    assert texts[3].startswith("card [CARD] [CARD] ")
     assert p.with_spans(df.limit(0), model).count() == 0 and p.mask(df.limit(0), model).count() == 0
     assert p.with_spans(df, p.fit(df.limit(0))).select("added").where("size(added) > 0").count() == 0
 
