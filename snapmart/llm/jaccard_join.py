@@ -47,7 +47,7 @@ _CHUNK = 4096
 
 #: A list is cut into parts of about so many classes; round one tests so many neighbours of a class in a list.
 LIST_PART = 20_000
-NEIGHBOURS = 3
+NEIGHBOURS = 2
 
 
 def shingle_sets(part: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
