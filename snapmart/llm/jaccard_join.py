@@ -9,7 +9,7 @@ long ones by binary search until the required overlap is reached or out of reach
 1. All documents' shingles are counted in a sketch of 2 ** SKETCH_BITS counters. It is only used as the order from
    rare to frequent, the same for all documents, so its collisions cost time but no links. It is what is broadcast.
 2. Every document becomes a class id (hash of its shingle set; copies share it), its set's size, a signature (counts of
-   its shingles in SIGNATURE buckets) and its short lists. Copies within a task give no second set of lists.
+   its shingles in SIGNATURE buckets, modulo 16) and its short lists. Copies within a task give no second set of lists.
 3. Lists are merged; those with one class are dropped. Lists that the sketch shows to be long are cut into parts by the
    classes' hash, so no task gets an unbounded list.
 4. Round one tests, in each list, every class against the few before it in an order that differs from list to list: a
@@ -40,7 +40,9 @@ from snapmart.llm.components import components
 from snapmart.llm.text import Slice, mix, sorted_sets, text_slices, window_hashes, words_of
 
 SKETCH_BITS = 20
-SIGNATURE = 64
+
+#: Counters of a signature, each modulo 16 in half a byte.
+SIGNATURE = 128
 
 #: Counters of a sketch in one row of the shuffle that adds them.
 _CHUNK = 4096
@@ -149,8 +151,8 @@ def _profiles(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
                         short.append(None)
                         continue
                     seen.add(node)
-                    counts = np.bincount((own & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE)
-                    signatures.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                    counts = np.bincount((own & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) % 16
+                    signatures.append((counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes())
                     n = int(b - a)
                     rare = np.lexsort((own, often[a:b]))[: n - -(-percent * n // 100) + 1]
                     parts = np.maximum(often[a:b][rare].astype(np.int64) // LIST_PART, 1)
@@ -226,7 +228,14 @@ def _far(sum_of_sizes: np.ndarray, difference: np.ndarray, percent: int) -> np.n
 
 
 def _signatures(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int16)
+    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE // 2)
+    return np.concatenate([packed & 15, packed >> 4], axis=1).astype(np.int8)
+
+
+def _least_difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many shingles the sets differ at least: the counters' distances modulo 16 never exceed their true ones."""
+    apart = np.abs(x - y)
+    return np.minimum(apart, 16 - apart).sum(1, dtype=np.int64)
 
 
 def _near_signatures(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -237,7 +246,7 @@ def _near_signatures(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
             if batch.num_rows:
                 a, b, na, nb, sa, sb = batch.columns
                 sums = na.to_numpy() + nb.to_numpy()
-                least = np.abs(_signatures(sa) - _signatures(sb)).sum(1)
+                least = _least_difference(_signatures(sa), _signatures(sb))
                 keep = pa.array(~_far(sums, least, percent))
                 yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
@@ -281,7 +290,7 @@ def _cross_pairs(percent: int):
                 a, b = active[apart], other[apart]
                 for at in range(0, len(a), 8192):
                     i, j = a[at : at + 8192], b[at : at + 8192]
-                    good = ~_far(n[i] + n[j], np.abs(marks[i] - marks[j]).sum(1), percent)
+                    good = ~_far(n[i] + n[j], _least_difference(marks[i], marks[j]), percent)
                     if good.any():
                         x, y = node[i[good]], node[j[good]]
                         yield pa.RecordBatch.from_arrays(
