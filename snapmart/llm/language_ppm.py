@@ -7,8 +7,9 @@ context all 256 bytes are alike. The statistics are frozen before scoring, so a
 exact sum over its bytes, and the language with the shortest code is predicted. Texts are read as UTF-8 with upper-case
 ASCII and Latin-1 letters made lower case, each after ORDER line feeds.
 
-The trees are fitted on a bounded sample: at most `per_language` documents of up to `longest` characters for each of
-the `languages` most frequent languages. Nothing is shuffled for scoring, and every whole text is read.
+The trees are fitted on a bounded sample of every language: at most `per_language` documents that have a text, of
+which the first `longest` characters are read. Trees are laid out as tables a block of languages at a time, so that
+many languages need no more memory in a task than a few. Nothing is shuffled for scoring, and every whole text is read.
 
 Null texts and texts without a letter are `und` with score 0, as is every text if there is nothing to learn from.
 Equal code lengths go to the language that sorts first. Repeated rows get the same answer.
@@ -18,20 +19,28 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_arrow
+from snapmart.llm.common import map_arrow, written
 from snapmart.llm.text import Slice, text_slices
 
 ORDER = 3
 PER_LANGUAGE = 800
-LANGUAGES = 64
 LONGEST = 50_000
 
+#: Entries (windows x languages) of a block's tables; a block has one language at least.
+BLOCK_ENTRIES = 1 << 26
+
+#: Bytes of texts that are scored together if there are several blocks, and code lengths that are found at a time.
+GROUP_BYTES = 1 << 25
+COSTS = 1 << 22
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -116,30 +125,73 @@ class Model:
         return [(Places(x.windows), Places(x.contexts)) for x in self.levels]
 
 
+@dataclass(frozen=True)
+class Counts:
+    """For each language, ascending, how often the windows of 1 to ORDER + 1 bytes come: by order, the windows that do,
+    ascending, and their counts."""
+
+    names: list[str]
+    windows: list[list[tuple[np.ndarray, np.ndarray]]]
+
+    def blocks(self) -> Iterator[Model]:
+        """Trees of all languages in the order of their names, a block of them at a time."""
+        first, total = 0, 0
+        for k, levels in enumerate(self.windows):
+            size = sum(len(known) for known, _ in levels)
+            if k > first and (total + size) * (k + 1 - first) > BLOCK_ENTRIES:
+                yield _trees(self.names[first:k], self.windows[first:k])
+                first, total = k, 0
+            total += size
+        if self.names:
+            yield _trees(self.names[first:], self.windows[first:])
+
+    @cached_property
+    def single(self) -> list[tuple[Model, list[tuple[Places, Places]]]]:
+        """The block with its places if one block holds all languages, else nothing; kept for a worker's next tasks."""
+        blocks = list(islice(self.blocks(), 2))
+        return [(x, x.places()) for x in blocks] if len(blocks) == 1 else []
+
+
+def counted(part: Slice, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of `order` + 1 bytes of a slice's rows, and how often each comes."""
+    data, first = _bytes(part)
+    ends = np.concatenate([first[1:] - ORDER, [len(data)]])
+    own = np.concatenate([np.arange(a, b) for a, b in zip(first, ends, strict=True)] or [np.zeros(0, int)])
+    return np.unique(_grams(data, order + 1)[own - order], return_counts=True)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of several parts, ascending, with the sums of their counts."""
+    if not parts:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    windows, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
+    return windows, np.bincount(at, np.concatenate([n for _, n in parts]), len(windows)).astype(np.int64)
+
+
+def counts_of(texts: dict[str, list[str]]) -> Counts:
+    names = sorted(texts)
+    slices = {n: list(text_slices(pa.array(texts[n], pa.string()))) for n in names}
+    return Counts(names, [[_summed([counted(x, k) for x in slices[n]]) for k in range(ORDER + 1)] for n in names])
+
+
 def build(texts: dict[str, list[str]]) -> Model:
     """Frozen trees of the languages, in the order of their names."""
-    names = sorted(texts)
+    counts = counts_of(texts)
+    return _trees(counts.names, counts.windows)
+
+
+def _trees(names: list[str], counts: list[list[tuple[np.ndarray, np.ndarray]]]) -> Model:
     model = Model(names, [])
-    slices = {n: list(text_slices(pa.array(texts[n], pa.string()))) for n in names}
     places: list[tuple[Places, Places]] = []
     for order in range(ORDER + 1) if names else ():
-        counts = {}
-        for name in names:
-            found = []
-            for part in slices[name]:
-                data, first = _bytes(part)
-                ends = np.concatenate([first[1:] - ORDER, [len(data)]])
-                own = np.concatenate([np.arange(a, b) for a, b in zip(first, ends, strict=True)] or [np.zeros(0, int)])
-                found.append(_grams(data, order + 1)[own - order])
-            counts[name] = np.unique(np.concatenate(found), return_counts=True)
-        windows = np.unique(np.concatenate([w for w, _ in counts.values()]))
+        windows = np.unique(np.concatenate([levels[order][0] for levels in counts]))
         contexts = np.unique(windows >> np.uint32(8))
         escape = np.zeros((len(contexts), len(names)), np.float32)
         bits = np.empty((len(windows), len(names)), np.float32)
         lower = model.cost(windows & np.uint32((1 << 8 * order) - 1), order - 1, places)
         of = np.searchsorted(contexts, windows >> np.uint32(8))
-        for k, name in enumerate(names):
-            known, count = counts[name]
+        for k, levels in enumerate(counts):
+            known, count = levels[order]
             at = np.searchsorted(contexts, known >> np.uint32(8))
             total = np.bincount(at, count, len(contexts))
             distinct = np.bincount(at, minlength=len(contexts))
@@ -152,37 +204,39 @@ def build(texts: dict[str, list[str]]) -> Model:
     return model
 
 
-def fit(
-    docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, longest: int = LONGEST
-) -> Model:
-    """Trees of the languages in `docs` (doc_id, text, lang); rows without a language or an id take no part."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+def _sample(docs: DataFrame, per_language: int, longest: int) -> DataFrame:
+    """lang and text of the documents that are learned: rows with a language, an id and a text that isn't empty."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    known = written(usable.select("doc_id", "lang").distinct(), "languages")
+    sizes = known.groupBy("lang").count()
     place = F.xxhash64("doc_id")
     order = Window.partitionBy("lang").orderBy(place, "doc_id")
     # Hashes below a share of their range, for twice the documents wanted: so a frequent language isn't ranked whole.
-    share = F.least(2.0 * per_language / F.col("count"), F.lit(1.0))
+    # A language of few documents is ranked whole, as a share of them could be none.
+    share = F.when(F.col("count") <= 16 * per_language, 1.0).otherwise(2.0 * per_language / F.col("count"))
     chosen = (
-        known.join(F.broadcast(frequent), "lang")
+        known.join(F.broadcast(sizes), "lang")
         .where((place.cast("double") + 2.0**63) <= share * 2.0**64)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
         .select("doc_id", F.col("lang").alias("of"))
     )
-    rows = (
-        docs.where(F.length("text") <= longest)
-        .select("doc_id", "text", "lang")
+    return (
+        usable.select("doc_id", F.substring("text", 1, longest).alias("text"), "lang")
         .join(F.broadcast(chosen), "doc_id")
         .where(F.col("lang") == F.col("of"))
         .groupBy("doc_id", "lang")
         .agg(F.min("text").alias("text"))  # one text for an id that rows repeat
         .select("lang", "text")
-        .collect()
     )
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> Counts:
+    """Counts of the languages in `docs` (doc_id, text, lang); rows without a language, an id or a text take no part."""
     texts: dict[str, list[str]] = {}
-    for row in rows:
+    for row in _sample(docs, per_language, longest).collect():
         texts.setdefault(row["lang"], []).append(row["text"])
-    return build(texts)
+    return counts_of(texts)
 
 
 def _code_lengths(part: Slice, model: Model, places: list[tuple[Places, Places]]) -> np.ndarray:
@@ -191,7 +245,7 @@ def _code_lengths(part: Slice, model: Model, places: list[tuple[Places, Places]]
     keys = _grams(data, ORDER + 1)
     rows = np.repeat(np.arange(len(part)), np.diff(part.offsets))
     own = np.arange(len(rows)) + ORDER * rows  # the window before each own byte, with that byte last
-    step = 1 << 20
+    step = max(1, COSTS // len(model.names))
     for a in range(0, len(own), step):
         at = own[a : a + step]
         # Windows that are not in any tree are few; their cost follows the escapes down.
@@ -201,27 +255,60 @@ def _code_lengths(part: Slice, model: Model, places: list[tuple[Places, Places]]
     return sums
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """The batches, as many together as have `size` bytes."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
+class _Best:
+    """The shortest code of each row so far: the language's place, its bits, and the sum of 2 ** (its bits - bits)."""
+
+    def __init__(self, n: int):
+        self.at, self.bits, self.sum = np.zeros(n, int), np.full(n, np.inf), np.zeros(n)
+
+    def add(self, span: slice, bits: np.ndarray, first: int) -> None:
+        """Code lengths of the languages from place `first` on."""
+        old, low = self.bits[span], bits.min(1)
+        new = np.minimum(old, low)
+        self.at[span] = np.where(low < old, first + bits.argmin(1), self.at[span])
+        # Before any language the sum is 0, and what it would be moved by is infinite.
+        self.sum[span] *= np.exp2(np.clip(new - old, -1000, 0))
+        self.sum[span] += np.exp2(np.clip(new[:, None] - bits, -1000, 0)).sum(1)
+        self.bits[span] = new
+
+
+def predict(docs: DataFrame, model: Counts) -> DataFrame:
     """doc_id, lang_pred and score (the language's share of 2 ** -bits over all languages) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        places = known.places()
         names = np.array([*known.names, "und"], object)
-        for batch in batches:
-            letters = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            best, score = np.full(batch.num_rows, len(known.names)), np.zeros(batch.num_rows)
-            for part in text_slices(batch.column(1)) if known.names else ():
-                bits = _code_lengths(part, known, places)
-                span = slice(part.first, part.first + len(part))
-                best[span] = bits.argmin(1)
-                score[span] = 1 / np.exp2(np.clip(bits.min(1, keepdims=True) - bits, -1000, 0)).sum(1)
-            best[~letters], score[~letters] = len(known.names), 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[best], pa.string()), pa.array(score)],
-                names=["doc_id", "lang_pred", "score"],
-            )
+        for group in _groups(batches, 0 if known.single else GROUP_BYTES):
+            found = [_Best(batch.num_rows) for batch in group]
+            first = 0
+            for block, places in known.single or ((x, x.places()) for x in known.blocks()):
+                for batch, best in zip(group, found, strict=True):
+                    for part in text_slices(batch.column(1)):
+                        span = slice(part.first, part.first + len(part))
+                        best.add(span, _code_lengths(part, block, places), first)
+                first += len(block.names)
+            for batch, best in zip(group, found, strict=True):
+                letters = batch.column(2).to_numpy(zero_copy_only=False).astype(bool) & (len(known.names) > 0)
+                place = np.where(letters, best.at, len(known.names))
+                score = np.where(letters, 1 / np.maximum(best.sum, 1), 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(names[place], pa.string()), pa.array(score)],
+                    names=["doc_id", "lang_pred", "score"],
+                )
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     schema = docs.select("doc_id", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema

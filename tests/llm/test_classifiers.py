@@ -142,6 +142,36 @@ def test_code_lengths_agree_with_plain_version():
     assert got == pytest.approx(np.array(want), rel=1e-4, abs=1e-4)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """More languages than 64, one whose first ids have no text, one of long texts only, one of few repeated ids."""
+    of = {f"l{k:02d}": " ".join(chr(0x4E00 + 20 * k + i) * 3 for i in range(15)) for k in range(70)}
+    rows = [(100 * k + i, text, lang) for k, (lang, text) in enumerate(of.items()) for i in range(3)]
+    of |= {"long": "zebra quilt " * 5000, "void": "jovial fox ", "some": "mumm " * 9}
+    rows += [(8000 + i, of["long"], "long") for i in range(3)]
+    rows += [(9000 + i, [None, ""][i % 2] if i < 60 else of["void"], "void") for i in range(62)]
+    rows += [(9900 + i % 2, of["some"], "some") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language_ppm.fit(docs, per_language=3, longest=1000)
+    assert model.names == sorted(of)
+    want = language_ppm.counts_of({lang: [text[:1000]] * {"void": 2, "some": 2}.get(lang, 3) for lang, text in of.items()})
+    for got, plain in zip(model.windows, want.windows, strict=True):
+        assert all((g == p).all() for a, b in zip(got, plain, strict=True) for g, p in zip(a, b, strict=True))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language_ppm.predict(docs, model).collect()}
+    assert all(found[i][0] == lang for i, text, lang in rows if text)
+    monkeypatch.setattr(language_ppm, "BLOCK_ENTRIES", 5000)
+    assert len(list(model.blocks())) > 5 and sum((b.names for b in model.blocks()), []) == model.names
+    parts = list(text_slices(pa.array([t for _, t, _ in rows])))
+    whole = language_ppm._trees(model.names, model.windows)
+    for part in parts:
+        bits = language_ppm._code_lengths(part, whole, whole.places())
+        best, first = language_ppm._Best(len(part)), 0
+        for block in model.blocks():
+            best.add(slice(0, len(part)), language_ppm._code_lengths(part, block, block.places()), first)
+            first += len(block.names)
+        assert (best.at == bits.argmin(1)).all() and (best.bits == bits.min(1)).all()
+        assert best.sum == pytest.approx(np.exp2(np.clip(bits.min(1, keepdims=True) - bits, -1000, 0)).sum(1))
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     known = odd.select("doc_id", "y").selectExpr("doc_id", "y % 2 quality", "y % 2 toxic")
     q = {r.doc_id: r.score for r in quality_knn.score(odd, quality_knn.fit(odd, known)).collect()}
