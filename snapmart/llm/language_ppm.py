@@ -9,7 +9,8 @@ ASCII and Latin-1 letters made lower case, each after ORDER line feeds.
 
 The trees are fitted on a bounded sample of every language: at most `per_language` documents that have a text, of
 which the first `longest` characters are read. Trees are laid out as tables a block of languages at a time, so that
-many languages need no more memory in a task than a few. Nothing is shuffled for scoring, and every whole text is read.
+many languages need no more memory in a task than a few. The sample's windows are counted in tasks and summed by a
+shuffle; the driver gets each language's distinct windows with their counts, never a text. Nothing is shuffled for scoring, and every whole text is read.
 
 Null texts and texts without a letter are `und` with score 0, as is every text if there is nothing to learn from.
 Equal code lengths go to the language that sorts first. Repeated rows get the same answer.
@@ -24,6 +25,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -231,12 +233,48 @@ def _sample(docs: DataFrame, per_language: int, longest: int) -> DataFrame:
     )
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each window comes in the texts of a language (lang, text); its size is above the lower 32 bits."""
+    for batch in batches:
+        for lang in pc.unique(batch.column(0)):
+            for part in text_slices(batch.column(1).filter(pc.equal(batch.column(0), lang))):
+                for order in range(ORDER + 1):
+                    windows, n = counted(part, order)
+                    keys = windows.astype(np.int64) | order << 32
+                    langs = pa.repeat(lang, len(keys))
+                    yield pa.RecordBatch.from_arrays([langs, pa.array(keys), pa.array(n)], names=["lang", "window", "n"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows and counts of a language and order as 32-bit numbers, eight bytes for each."""
+    for batch in batches:
+        names = pc.unique(batch.column(0))
+        keys, n = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        of = pc.index_in(batch.column(0), names).to_numpy() * (ORDER + 1) + (keys >> 32)
+        place = np.argsort(of, kind="stable")
+        groups, first = np.unique(of[place], return_index=True)
+        spans = list(zip(first, [*first[1:], len(of)], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [
+                names.take(pa.array(groups // (ORDER + 1))),
+                pa.array(groups % (ORDER + 1), pa.int32()),
+                *(pa.array([x[place[a:b]].astype("<u4").tobytes() for a, b in spans], pa.binary()) for x in (keys, n)),
+            ],
+            names=["lang", "ord", "windows", "counts"],
+        )
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> Counts:
     """Counts of the languages in `docs` (doc_id, text, lang); rows without a language, an id or a text take no part."""
-    texts: dict[str, list[str]] = {}
-    for row in _sample(docs, per_language, longest).collect():
-        texts.setdefault(row["lang"], []).append(row["text"])
-    return counts_of(texts)
+    found = map_arrow(_sample(docs, per_language, longest), _count, "lang string, window long, n long")
+    summed = found.groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    packed = map_arrow(summed, _pack, "lang string, ord int, windows binary, counts binary")
+    parts: dict[str, list[list[tuple[np.ndarray, np.ndarray]]]] = {}
+    for row in packed.toLocalIterator():
+        levels = parts.setdefault(row["lang"], [[] for _ in range(ORDER + 1)])
+        levels[row["ord"]].append((np.frombuffer(row["windows"], "<u4"), np.frombuffer(row["counts"], "<u4")))
+    names = sorted(parts)
+    return Counts(names, [[_summed(level) for level in parts[n]] for n in names])
 
 
 def _code_lengths(part: Slice, model: Model, places: list[tuple[Places, Places]]) -> np.ndarray:

@@ -172,6 +172,23 @@ def test_every_language_is_learned(spark, monkeypatch):
         assert best.sum == pytest.approx(np.exp2(np.clip(bits.min(1, keepdims=True) - bits, -1000, 0)).sum(1))
 
 
+def test_fit_brings_no_texts_to_the_driver(spark, monkeypatch):
+    """Texts of 6 MB with few windows: the driver gets a few kilobytes."""
+    rows = [(i, "abc def " * 6000 + "xyz"[i % 3], "uvw"[i % 3]) for i in range(128)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = []
+    for name in ("collect", "toLocalIterator"):
+        real = getattr(type(docs), name)
+        monkeypatch.setattr(type(docs), name, lambda df, *a, real=real: got.extend(real(df, *a)) or iter(got))
+    model = language_ppm.fit(docs)
+    monkeypatch.undo()
+    assert got and sum(len(v) for r in got for v in r if isinstance(v, str | bytes | bytearray)) < 20_000
+    want = language_ppm.counts_of({n: [t for _, t, lang in rows if lang == n] for n in "uvw"})
+    assert model.names == want.names
+    for levels, plain in zip(model.windows, want.windows, strict=True):
+        assert all((g == p).all() for a, b in zip(levels, plain, strict=True) for g, p in zip(a, b, strict=True))
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     known = odd.select("doc_id", "y").selectExpr("doc_id", "y % 2 quality", "y % 2 toxic")
     q = {r.doc_id: r.score for r in quality_knn.score(odd, quality_knn.fit(odd, known)).collect()}
