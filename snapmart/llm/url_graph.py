@@ -6,9 +6,14 @@ from the trusted seeds along the links between hosts; distrust is the same from
 direction, so that it reaches hosts that link to blocked ones. A host's other pages are blocked if its distrust exceeds
 RATIO times its trust; a host that neither reaches is allowed.
 
+The walk goes on until no step changes a score by more than TOLERANCE of itself. As a newly reached host's score changes
+by all of itself, no host that a path leads to is left out, however long the path; what later steps would add to all
+scores together is at most TOLERANCE * DAMPING / (1 - DAMPING) of them.
+
 Links are the pages' href values, resolved to hosts; links within a host say nothing about it and are left out. They
 are counted for each pair of hosts before anything is joined, so a host with a third of all pages is as many rows as it
-has neighbours. Every few steps the scores are written to the shared folder. Nothing is collected.
+has neighbours. Every few steps the scores are written to the shared folder, and one number, the largest change, reaches
+the driver.
 
 A url that is null or has no `://` has an empty host and path, fits no rule and is allowed; so is an empty table's
 absence. Null html has no links. Repeated rows count as often as they come and are all judged. Other columns are
@@ -19,12 +24,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import written
 
 DAMPING = 0.85
+
+#: Scores are final when a step changes none by more than this share of itself.
+TOLERANCE = 1e-6
+
+#: Steps of the SQL form only, which agrees where paths and cycles are short.
 STEPS = 9
 
 #: Distrust blocks a host if it exceeds so many times its trust.
@@ -89,8 +99,8 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(seeds: DataFrame, links: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
-    """host, trust and distrust after some steps. `seeds` has these columns, `links` has src, dst and links."""
+def propagate(seeds: DataFrame, links: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """host, trust and distrust of the whole walk. `seeds` has these columns, `links` has src, dst and links."""
     links = written(links, "links")
     out = links.groupBy("src").agg(F.sum("links").alias("all"))
     into = links.groupBy("dst").agg(F.sum("links").alias("all"))
@@ -102,18 +112,27 @@ def propagate(seeds: DataFrame, links: DataFrame, steps: int = STEPS, damping: f
         F.col("dst").alias("host"), F.col("src").alias("to"), nothing.alias("t"), (F.col("links") / F.col("all")).alias("d")
     )
     messages = written(along.unionByName(against), "messages")
-    scores = seeds
-    kept = seeds.select("host", *[((1 - damping) * F.col(c)).alias(c) for c in ("trust", "distrust")])
-    for step in range(1, steps + 1):
-        sent = messages.join(scores, "host").select(
-            F.col("to").alias("host"),
-            (damping * F.col("t") * F.col("trust")).alias("trust"),
-            (damping * F.col("d") * F.col("distrust")).alias("distrust"),
-        )
-        scores = kept.unionByName(sent).groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust", "distrust")])
-        if step % WRITE_EVERY == 0 or step == steps:
-            scores = written(scores, "scores")
-    return scores
+    # Scores with what the last step added to them, which is all that the next step sends on.
+    start = [((1 - damping) * F.col(c)).alias(c) for c in ("trust", "distrust")]
+    scores = seeds.select("host", *start).withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
+    change = F.greatest(*[F.when(F.col(c) > 0, F.col(f"new_{c}") / F.col(c)) for c in ("trust", "distrust")])
+    largest = 1.0
+    while largest > tolerance:
+        for _ in range(WRITE_EVERY):
+            moving = scores.where((F.col("new_trust") > 0) | (F.col("new_distrust") > 0))
+            sent = messages.join(moving, "host").select(
+                F.col("to").alias("host"),
+                (damping * F.col("t") * F.col("new_trust")).alias("trust"),
+                (damping * F.col("d") * F.col("new_distrust")).alias("distrust"),
+            )
+            sent = sent.withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
+            kept = scores.withColumns({"new_trust": nothing, "new_distrust": nothing})
+            columns = ("trust", "distrust", "new_trust", "new_distrust")
+            scores = kept.unionByName(sent).groupBy("host").agg(*[F.sum(c).alias(c) for c in columns])
+        seen = Observation()
+        scores = written(scores.observe(seen, F.max(change).alias("change")), "scores")
+        largest = seen.get["change"] or 0.0
+    return scores.select("host", "trust", "distrust")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:

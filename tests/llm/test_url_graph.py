@@ -1,6 +1,7 @@
 """URL verdicts: rules by a plain version, propagation by hand and by SQL on linked pages, odd rows."""
 
 import duckdb
+import numpy as np
 import pytest
 
 from snapmart.llm import queries, url_graph
@@ -50,6 +51,43 @@ def test_propagation_agrees_with_sql(spark, pages):
     assert difference(url_graph.judge(pages, RULES), con, queries.ORACLES["op2_url_graph"]) is None
 
 
+def test_distrust_reaches_the_far_end_of_a_long_chain(spark):
+    """23 hosts, each with a link to the one before, the first with one to a blocked page; and a host without a path."""
+    rows = [page("bad.com", path="/de/1"), page("h0.net", "http://bad.com/de/1"), page("off.net", "http://other.net/")]
+    rows += [page(f"h{k}.net", f"http://h{k - 1}.net/") for k in range(1, 23)]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    verdict = {r.host: r.verdict for r in url_graph.judge(df, RULES).collect()}
+    assert {verdict[f"h{k}.net"] for k in range(23)} == {"block"}
+    assert verdict["off.net"] == "allow"
+
+
+def test_scores_are_those_of_the_whole_walk(spark):
+    """Cycles, a hub and dead ends, against the solved linear equations."""
+    rng = np.random.default_rng(5)
+    n, damping = 40, url_graph.DAMPING
+    counts = np.zeros((n, n))
+    counts[np.arange(n - 1), np.arange(1, n)] = 1
+    counts[rng.integers(0, n - 5, 30), rng.integers(0, n, 30)] = 3
+    counts[[10, 39], [2, 0]] = 2
+    np.fill_diagonal(counts, 0)
+    seeds = np.zeros((n, 2))
+    seeds[0], seeds[7], seeds[30] = (5, 0), (1, 2), (0, 4)
+    along = counts / np.maximum(counts.sum(1, keepdims=True), 1)
+    against = counts / np.maximum(counts.sum(0, keepdims=True), 1)
+    want = np.stack(
+        [np.linalg.solve(np.eye(n) - damping * m, (1 - damping) * seeds[:, k]) for k, m in enumerate((along.T, against))], 1
+    )
+    known = [(f"h{i}", float(t), float(d)) for i, (t, d) in enumerate(seeds) if t or d]
+    links = [(f"h{i}", f"h{j}", float(counts[i, j])) for i, j in zip(*np.nonzero(counts), strict=True)]
+    scores = url_graph.propagate(
+        spark.createDataFrame(known, "host string, trust double, distrust double"),
+        spark.createDataFrame(links, "src string, dst string, links double"),
+    )
+    got = {r.host: (r.trust, r.distrust) for r in scores.collect()}
+    assert set(got) == {f"h{i}" for i in range(n) if want[i].any()}
+    assert all(got[h] == pytest.approx(want[int(h[1:])], rel=1e-4, abs=1e-15) for h in got)
+
+
 @pytest.mark.parametrize(
     ("url", "rule"),
     [
