@@ -54,18 +54,24 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most `per_class` labelled documents of each class, as (text, y).
-
-    The documents with the smallest hashes of their text's row key are taken, so the choice depends on the rows
-    alone. Null labels, null ids and texts without a label take no part; of rows that repeat an id one text is taken.
+def label_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, longest: int | None = None
+) -> DataFrame:
+    """At most `per_class` labelled documents of each class, as (text, y), with the first `longest` characters if given.
+
+    Of the documents that have a text those with the smallest hashes of their text's row key are taken, so the choice
+    depends on the rows alone. Null labels, null ids, texts without a label, and null and empty texts take no part; of
+    rows that repeat an id one text is taken.
     """
+    usable = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0))
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("y")
     )
+    known = written(known.join(usable.select("doc_id").distinct(), "doc_id", "left_semi"), "labelled")
     chosen = None
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", "y"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    text = F.col("text") if longest is None else F.substring("text", 1, longest).alias("text")
+    found = usable.select("doc_id", text).join(F.broadcast(chosen), "doc_id")
     return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")

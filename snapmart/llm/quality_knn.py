@@ -2,8 +2,8 @@
 
 A document becomes the square roots of its shares of three kinds of terms: word shapes (case, symbols, digits, length),
 hashed words, and windows of three words that repeat or not. The leading directions of the labelled documents' term
-vectors are the latent space. At most `per_class` labelled documents of each class, of texts up to `longest`
-characters, are projected there and broadcast (2 * per_class * DIMENSIONS floats, about 1 MB). Every document is
+vectors are the latent space. At most `per_class` labelled documents of each class that have a text, whole,
+are projected there and broadcast (2 * per_class * DIMENSIONS floats, about 1 MB). Every document is
 compared with all of them by exact cosine products, a block of documents at a time, and the `neighbours` nearest vote
 with their similarity as weight.
 
@@ -30,7 +30,6 @@ TERMS = SHAPES + HASHED + 2
 DIMENSIONS = 48
 NEIGHBOURS = 15
 PER_CLASS = 2048
-LONGEST = 100_000
 
 #: Lengths of the parts of a term vector: shapes, words, repetition.
 SHAPE_WEIGHT, WORD_WEIGHT, REPEAT_WEIGHT = 1.0, 0.3, 1.0
@@ -85,13 +84,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, longest: int = LONGEST
-) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Latent space and labelled vectors from the texts of `docs` that have a label (0 or 1) in `labels`."""
-    sample = label_sample(docs, labels, label, per_class).where(
-        F.coalesce(F.length("text"), F.lit(0)) <= longest
-    )
+    sample = label_sample(docs, labels, label, per_class)
     rows = sorted((r["y"], bytes(r["terms"])) for r in map_arrow(sample, _sample_terms, "y int, terms binary").collect())
     x = np.frombuffer(b"".join(t for _, t in rows), np.float32).reshape(-1, TERMS)
     y = np.array([y for y, _ in rows], np.float32)

@@ -5,8 +5,8 @@ beginnings of a few bytes (words are runs of letters and digits, A-Z lower-cased
 the value log2(1 + c). FTRL-proximal keeps a learning rate per coordinate,
 and its L1 term holds every weight at zero that isn't worth it, so the model that is broadcast is a short list.
 
-The model is fitted on a bounded sample: at most `per_class` labelled documents of each class, of texts up to
-`longest` characters (a text's features are the only thing that grows with it). Their features go to the driver, where
+The model is fitted on a bounded sample: at most `per_class` labelled documents of each class that have a text, of which
+the first `longest` characters are read (a text's features are the only thing that grows with it). Their features go to the driver, where
 the updates run one document after the other. The bias is then moved from the sample's class shares to those of all
 labelled documents. Scoring reads every whole text once, without a shuffle.
 
@@ -81,9 +81,9 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(rows: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct rows and features, with how often they come (255 stands for more)."""
+    """Distinct rows and features, with how often they come."""
     keys, counts = np.unique(rows.astype(np.int64) << BITS | found, return_counts=True)
-    return keys >> BITS, (keys & ((1 << BITS) - 1)).astype(np.int32), np.minimum(counts, 255).astype(np.uint8)
+    return keys >> BITS, (keys & ((1 << BITS) - 1)).astype(np.int32), counts.astype(np.uint32)
 
 
 def _values(counts: np.ndarray) -> np.ndarray:
@@ -100,7 +100,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 [
                     batch.column(1).slice(part.first, len(part)),
                     pa.array([found[a:b].astype("<i4").tobytes() for a, b in spans], pa.binary()),
-                    pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([counts[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
                 ],
                 names=["y", "features", "counts"],
             )
@@ -140,16 +140,14 @@ def fit(
     how: Ftrl = Ftrl(),
 ) -> Model:
     """A model of `label` (0 or 1, by doc_id in `labels`) from the texts of `docs`."""
-    sample = label_sample(docs, labels, label, per_class).where(
-        F.coalesce(F.length("text"), F.lit(0)) <= longest
-    )
+    sample = label_sample(docs, labels, label, per_class, longest)
     rows = map_arrow(sample, _sample_features, "y int, features binary, counts binary").collect()
     examples = sorted((r["y"], bytes(r["features"]), bytes(r["counts"])) for r in rows)
     ones = sum(y for y, _, _ in examples)
     if not 0 < ones < len(examples):
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), -np.inf)
     weights, bias = train(
-        [(np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(c, np.uint8), y) for y, f, c in examples], how
+        [(np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(c, "<u4"), y) for y, f, c in examples], how
     )
     shares = {r[label]: r["count"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
     bias += np.log(shares[1] / shares[0]) - np.log(ones / (len(examples) - ones))

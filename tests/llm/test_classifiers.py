@@ -189,6 +189,26 @@ def test_fit_brings_no_texts_to_the_driver(spark, monkeypatch):
         assert all((g == p).all() for a, b in zip(levels, plain, strict=True) for g, p in zip(a, b, strict=True))
 
 
+def test_samples_are_chosen_among_texts_and_read_long_ones(spark):
+    """One class has long texts only, and most of its ids have no text."""
+    rows = [(i, f"calm river {i % 7} " * 5, 0) for i in range(20)]
+    rows += [(100 + i, f"vile brute {i % 7} " * 20_000 if i % 10 == 0 else [None, ""][i % 2], 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    known = df.selectExpr("doc_id", "y quality", "y toxic")
+    ends = {0: "calm river", 100: "vile brute"}
+    tests = spark.createDataFrame([(i, f"{t} 3 " * 10) for i, t in ends.items()], "doc_id long, text string")
+    toxic = toxicity_ftrl.with_score(tests, toxicity_ftrl.fit(df, known, per_class=4)).collect()
+    quality = quality_knn.score(tests, quality_knn.fit(df, known, per_class=4)).collect()
+    for rows in (toxic, quality):
+        score = {r.doc_id: r.score for r in rows}
+        assert score[100] > 0.3 > score[0]
+
+
+def test_counts_over_255_are_kept():
+    rows, found, counts = toxicity_ftrl._counted(np.zeros(70_000, int), np.full(70_000, 5, np.int32))
+    assert (rows.tolist(), found.tolist(), counts.tolist()) == ([0], [5], [70_000])
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     known = odd.select("doc_id", "y").selectExpr("doc_id", "y % 2 quality", "y % 2 toxic")
     q = {r.doc_id: r.score for r in quality_knn.score(odd, quality_knn.fit(odd, known)).collect()}
