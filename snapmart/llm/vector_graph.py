@@ -7,11 +7,11 @@ pruning keeps a neighbour only if no kept one is closer to it by the factor ALPH
 edges; each edge is also offered in reverse. To search for the largest inner product, vectors get one more component
 that makes all lengths equal, so that the nearest by distance is the one with the largest product.
 
-A query is searched in every shard, and its best results of all shards are ranked by the inner product of the original
+Vectors of each length are dealt to shards of their own. A query is searched in every shard of its length, and its best results of all shards are ranked by the inner product of the original
 vectors in double precision. A shard's queries come as a stream of batches, so a task holds one shard and one batch.
 
-Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id and vectors of
-another length than most. Equal scores are ranked by the smaller id. Rows that repeat an id count once. A table with
+Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id. A vector's
+neighbours are among the vectors of its own length. Equal scores are ranked by the smaller id. Rows that repeat an id count once. A table with
 fewer candidates than asked for gives all of them (small shards are compared whole). Other columns are ignored.
 """
 
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -152,8 +153,9 @@ def _distinct(shown: int):
             return out
 
         for batch in batches:
-            flat = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1) if batch.num_rows else ()
-            for vec_id, vector in zip(batch.column(0).to_pylist(), flat, strict=True):
+            flat = batch.column(1).flatten().to_numpy()
+            ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy())
+            for vec_id, vector in zip(batch.column(0).to_pylist(), np.split(flat, ends)[:-1], strict=True):
                 key = (vector + 0.0).tobytes()  # -0.0 and 0.0 are one value
                 ids[key] = _merged(ids.get(key, []), [vec_id], shown)
             if len(ids) >= 10_000:
@@ -171,21 +173,25 @@ def _merged(a: list[int], b: list[int], shown: int) -> list[int]:
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id and vector (array of double) of the rows that take part."""
     values = F.col("vector")
-    rows = vectors.select(
+    return vectors.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
     ).where(
         F.col("vec_id").isNotNull()
         & F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
         & F.exists(values, lambda v: v != 0)
     )
-    length = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("vector") == (length["d"] if length else 0))
 
 
 def build(vectors: DataFrame, shown: int = 20) -> DataFrame:
     """Index table of usable vectors: shard, node, vector, ids, edges."""
     distinct = written(map_arrow(vectors, _distinct(shown), "vector binary, ids array<long>"), "vectors")
-    shards = max(1, -(-distinct.count() // SHARD_ROWS))
+    distinct = distinct.withColumn("size", F.length("vector"))
+    dealing, shards = [], 0
+    for row in distinct.groupBy("size").count().orderBy("size").collect():  # one row for each length
+        own = -(-row["count"] // SHARD_ROWS)
+        dealing.append((row["size"], shards, own))
+        shards += own
+    dealing = distinct.sparkSession.createDataFrame(dealing, "size int, first int, own int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, nodes in _by_shard(batches, shown):
@@ -202,8 +208,9 @@ def build(vectors: DataFrame, shown: int = 20) -> DataFrame:
                 names=["shard", "node", "vector", "ids", "edges"],
             )
 
-    dealt = distinct.select(F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids")
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("vector", F.lit(1)), "vector")
+    shard = F.col("first") + F.pmod(F.xxhash64("vector"), F.col("own")).cast("int")
+    dealt = distinct.join(F.broadcast(dealing), "size").select(shard.alias("shard"), "vector", "ids")
+    dealt = dealt.repartition(max(shards, 1), "shard").sortWithinPartitions("shard", F.xxhash64("vector", F.lit(1)), "vector")
     schema = "shard int, node int, vector binary, ids array<long>, edges binary"
     return written(map_arrow(dealt, run, schema), "index")
 
@@ -249,8 +256,13 @@ def search(index: DataFrame, queries: DataFrame, shown: int = 20) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's nearest; queries are usable vectors."""
     shards = index.agg(F.max("shard")).first()[0]
     shards = 0 if shards is None else shards + 1
+    of_size = index.groupBy((F.length("vector") / 8).cast("int").alias("size")).agg(
+        F.min("shard").alias("first"), F.max("shard").alias("last")
+    )
     asked = (
-        queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards - 1, 0)))))
+        queries.withColumn("size", F.size("vector"))
+        .join(F.broadcast(of_size), "size")
+        .withColumn("shard", F.explode(F.sequence("first", "last")))
         .select(
             F.col("shard").cast("int").alias("shard"),
             F.lit(1).alias("kind"),

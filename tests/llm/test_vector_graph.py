@@ -67,3 +67,19 @@ def test_hot_vector_ties_and_odd_rows(spark):
         rows[:1] + rows[100:103], lambda i: i % 20 == 0, 20
     )
     assert vector_graph.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_every_length_has_its_own_shards(spark, monkeypatch):
+    """Two lengths alike often, one in a few rows, one in a single row."""
+    monkeypatch.setattr(vector_graph, "SHARD_ROWS", 100)
+    rng = np.random.default_rng(4)
+    size = {i: (4, 6)[i % 2] for i in range(400)} | {i: 3 for i in range(400, 410)} | {410: 5}
+    rows = [(i, rng.normal(size=n).tolist()) for i, n in size.items()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = found(vector_graph.nearest(df, F.col("vec_id") % 5 == 0, 10))
+    want = {}
+    for n in (3, 4, 6):
+        want |= brute([(i, v) for i, v in rows if len(v) == n], lambda i: i % 5 == 0, 10)
+    assert set(got) == set(want)
+    assert all(size[v] == size[q] for q, near in got.items() for v, _ in near)
+    assert all([v for v, _ in got[q]] == [v for v, _ in want[q]] for q in want)
