@@ -256,21 +256,26 @@ class Encoder:
 
 
 _IDS = "doc_id long, chunk int, chunks int, ids array<int>"
-_DIGEST = "doc_id long, chunk int, chunks int, n_ids long, ids_crc32 long, n_chars long"
+_DIGEST = "doc_id long, chunk int, chunks int, n_ids long, ids_crc32 long, n_chars long, text_crc32 long"
 
 
 def _rows(model: Encoder, places: list, numbers: list[int], ids: list[list[int]], digest: bool) -> pa.RecordBatch:
-    """Encoded chunks, or only their ids' number and checksum and the length of the text that the ids give back."""
+    """Encoded chunks, or only number and checksum of their ids, and length and checksum of the text that these give back."""
     if not digest:
         return pa.RecordBatch.from_arrays([*places, pa.array(ids, pa.list_(pa.int32()))], names=_IDS_NAMES)
     sizes = pa.array([len(x) for x in ids], pa.int64())
     sums = pa.array([zlib.crc32(np.array(x, "<u4")) for x in ids], pa.int64())
-    lengths = pa.array([len(model.decode(x, n == 0)) if x else 0 for x, n in zip(ids, numbers, strict=True)], pa.int64())
-    return pa.RecordBatch.from_arrays([*places, sizes, sums, lengths], names=_DIGEST_NAMES)
+    lengths, text_sums = [], []
+    for x, n in zip(ids, numbers, strict=True):
+        text = model.decode(x, n == 0) if x else ""
+        lengths.append(len(text))
+        text_sums.append(zlib.crc32(text.encode()))
+    back = pa.array(lengths, pa.int64()), pa.array(text_sums, pa.int64())
+    return pa.RecordBatch.from_arrays([*places, sizes, sums, *back], names=_DIGEST_NAMES)
 
 
 _IDS_NAMES = ["doc_id", "chunk", "chunks", "ids"]
-_DIGEST_NAMES = ["doc_id", "chunk", "chunks", "n_ids", "ids_crc32", "n_chars"]
+_DIGEST_NAMES = ["doc_id", "chunk", "chunks", "n_ids", "ids_crc32", "n_chars", "text_crc32"]
 
 
 def _short(docs: DataFrame, name: str, digest: bool) -> DataFrame:
@@ -447,8 +452,8 @@ def encode(docs: DataFrame, name: str = "piece_bpe_32k.model", chunk: int = CHUN
 
 
 def checksums(docs: DataFrame, name: str = "piece_bpe_32k.model", chunk: int = CHUNK) -> DataFrame:
-    """doc_id, chunk, chunks, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids) and n_chars of the text that the
-    chunk's ids give back, in one pass."""
+    """doc_id, chunk, chunks, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids), and n_chars and text_crc32 (of
+    UTF-8) of the text that the chunk's ids give back, in one pass."""
     return _encoded(docs, name, chunk, digest=True)
 
 

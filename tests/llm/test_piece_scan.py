@@ -60,3 +60,19 @@ def test_null_ids_repeats_and_empty_table(spark):
     assert piece_scan.encode(df.limit(0), NAME, 64).count() == 0
     with pytest.raises(ValueError, match="characters"):
         piece_scan.encode(df, NAME, 8)
+
+
+@pytest.mark.parametrize("chunk", [512, 1 << 16])
+def test_decoded_text_of_the_whole_table_is_the_source_text(spark, chunk):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {}
+    for r in sorted(piece_scan.checksums(docs, chunk=chunk).collect(), key=lambda r: (r.doc_id, r.chunk)):
+        found.setdefault(r.doc_id, []).append(r)
+    rows = docs.collect()
+    assert len(found) == len(rows)
+    for r in rows:
+        text, at = (r.text or "").replace(piece_scan.MARK, " "), 0
+        for got in found[r.doc_id]:
+            assert got.text_crc32 == zlib.crc32(text[at : at + got.n_chars].encode())
+            at += got.n_chars
+        assert at == len(text)
