@@ -363,6 +363,11 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Documents link if 100 * intersection >= percent * union of their shingle sets; component_id is the smallest
     doc_id that links reach.
     """
+    return _found(docs, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The rows of the join with the class of their shingles and the root of its component, null without shingles."""
     profiles = written(_profiles(docs, size, percent, frequency_sketch(docs, size)), "profiles")
     classes = written(
         profiles.where(F.col("node").isNotNull())
@@ -433,11 +438,13 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     found = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = found.join(names, "root").select("node", "component_id")
+    named = found.join(names, "root").select("node", "root", "component_id")
     return profiles.join(named, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "node",
+        "root",
     )
 
 
@@ -445,16 +452,32 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
+def _with_class(docs: DataFrame, size: int) -> DataFrame:
+    """All rows and columns of `docs`, and `__node`, the class of the row's shingles (null without any)."""
+    place = docs.columns.index("text")
+    names = [*docs.columns, "__node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = []
+            for part in text_slices(batch.column(place)):
+                hashes, bounds = shingle_sets(part, size)
+                nodes += [_class(hashes[a:b]) if b > a else None for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=names)
+
+    return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+
+
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents whose doc_id is the smallest of their component, with their own columns.
 
-    Rows with one id are one document: a single row of it stays, the one with the smallest text. Documents without an id
-    all stay, as nothing tells them apart; documents without shingles link with nothing and stay.
+    Rows that repeat an id are decided one by one, by the class of their shingles: a row goes if its own component has a
+    smaller id, and of an id's rows in one component, or without shingles, the one with the smallest text stays. Documents
+    without an id all stay, as nothing tells them apart; documents without shingles link with nothing and stay.
     """
-    found = join(docs, size, percent)
+    found = _found(docs, size, percent)
     key = F.col("doc_id").cast("long")
     gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    rest = docs.join(gone, key == F.col("__gone"), "left_anti")
     twice = written(
         found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(
             F.col("doc_id").alias("__twice")
@@ -462,8 +485,16 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         "repeated",
     )
     if twice.isEmpty():
-        return rest
-    rows = rest.join(twice, key == F.col("__twice"), "left_semi")
-    one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text").alias("row"))
-    one = one.select("row.*")
-    return rest.join(twice, key == F.col("__twice"), "left_anti").unionByName(one)
+        return docs.join(gone, key == F.col("__gone"), "left_anti")
+    once = docs.join(twice, key == F.col("__twice"), "left_anti").join(gone, key == F.col("__gone"), "left_anti")
+    stay = (
+        found.join(twice, F.col("doc_id") == F.col("__twice"), "left_semi")
+        .where(F.col("component_id") == F.col("doc_id"))
+        .select(F.col("doc_id").alias("__id"), F.col("node").alias("__of"), F.col("root").alias("__root"))
+        .distinct()
+    )
+    rows = _with_class(docs.join(twice, key == F.col("__twice"), "left_semi"), size)
+    rows = rows.join(stay, (key == F.col("__id")) & F.col("__node").eqNullSafe(F.col("__of")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = rows.groupBy("__id", "__root").agg(F.min_by(row, F.struct(F.col("text").isNull(), "text")).alias("row"))
+    return once.unionByName(one.select("row.*"))

@@ -72,6 +72,17 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted((r.doc_id for r in out.collect()), key=repr) == [3, 4, 7, 9, None]
 
 
+def test_rows_of_a_repeated_id_are_decided_by_their_own_text(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(50)) for x in "abcde")
+    rows = [(3, a), (9, a + " more"), (9, b), (11, c), (11, d), (12, e), (12, e + " more"), (12, e), (20, d)]
+    rows += [(30, None), (30, ""), (31, None), (31, None), (None, c)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id int, text string, extra int").repartition(3)
+    out = jaccard_join.one_of_each(df)
+    assert out.columns == df.columns and out.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    want = [(3, a), (9, b), (11, c), (11, d), (12, e), (30, ""), (31, None), (None, c)]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.join(df).count() == 0
