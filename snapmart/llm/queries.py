@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import jaccard_join, language_ppm, packing, pii_crf, piece_scan, quality_knn, quality_rules, toxicity_ftrl, url_graph, vector_graph
+from snapmart.llm import (
+    circulant_minhash,
+    jaccard_join,
+    language_ppm,
+    packing,
+    pii_crf,
+    piece_scan,
+    quality_knn,
+    quality_rules,
+    toxicity_ftrl,
+    url_graph,
+    vector_graph,
+)
 from snapmart.llm.common import CUT, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,6 +169,35 @@ def op10_vector_graph(spark: SparkSession, folder: str) -> DataFrame:
     return vector_graph.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
+
+
+ORACLES["op11_circulant_minhash"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM words),
+classes AS (SELECT list_sort(s) AS s, min(doc_id) AS c, len(any_value(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY 1),
+shingles AS (SELECT c, n, unnest(s) AS g FROM classes),
+shared AS (
+  SELECT x.c AS a, y.c AS b FROM shingles x JOIN shingles y ON x.g = y.g AND x.c < y.c
+    AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.c, y.c, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+both_ways AS (SELECT a, b FROM shared UNION SELECT b, a FROM shared UNION SELECT c, c FROM classes),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, t.b FROM reach r JOIN both_ways t ON r.b = t.a),
+roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(r.root, d.doc_id) AS component_id,
+  d.doc_id = coalesce(r.root, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes k ON len(d.s) > 0 AND list_sort(d.s) = k.s LEFT JOIN roots r ON r.a = k.c
+"""
+
+
 for _query in (
     op1_quality_knn,
     op2_url_graph,
@@ -168,5 +209,6 @@ for _query in (
     op8_packing,
     op9_jaccard_join,
     op10_vector_graph,
+    op11_circulant_minhash,
 ):
     QUERIES[_query.__name__] = _query
