@@ -5,18 +5,21 @@ and coordinate k is the smallest rank of the scattered shingles shifted by k aro
 signature of any length needs two fixed permutations instead of one for each coordinate.
 
 1. Every document becomes a class (hash of its shingle set; copies share it) with its set's size, the keys of its bands
-   (BANDS hashes of ROWS coordinates each) and its marks (the low four bits of every coordinate).
+   (BANDS hashes of ROWS coordinates each) and its tallies (how many of its shingles fall on each of TALLIES counters,
+   modulo 16).
 2. The classes that share a band's key are a bucket. Its leaders are the smallest and the largest class, found by an
    aggregate with a map-side part, so a bucket is never gathered; buckets of one class end here.
 3. Round one verifies each class against the LEADERS leaders with which it shares most buckets: a few pairs a class, also
    in a group of any size. Linked classes become components.
-4. Round two is complete: in the buckets that still hold several components, all pairs of classes of different components
-   that sizes and marks allow are verified. Only classes outside a bucket's largest component ask, so a group of
-   near copies costs its few strays, and large buckets are cut into blocks of at most PART by PART classes.
+4. Later rounds look at the buckets that still hold several components. Only classes outside a bucket's largest
+   component ask, so a group of near copies costs its few strays, and large buckets are cut into blocks of at most PART
+   by PART classes. In the JOINING rounds each component of a block names the pair that is closest by its tallies. The last
+   round is complete: it verifies all pairs of different components that sizes and tallies allow. The sum of the
+   tallies' differences never exceeds the sets' symmetric difference, so what they refuse is no link.
 5. Links are confirmed on the full sets: 100 * intersection >= percent * union.
 
-Two documents at similarity 0.8 share a bucket but for a chance of (1 - 0.8 ** 4) ** 40 = 7e-10, and marks reject a
-verifiable pair with a chance below 1e-9; nothing is capped. Lower limits of similarity ask for more bands (parameters).
+Two documents at similarity 0.8 share a bucket but for a chance of (1 - 0.8 ** 4) ** 40 = 7e-10; nothing is capped.
+Lower limits of similarity ask for more bands (parameters).
 
 Words are runs of other than white space with A-Z lower-cased, a shingle is `size` words, and a text with fewer words is
 one shingle of all of them. Null texts and texts without words have no shingles, link with nothing and are components of
@@ -44,9 +47,14 @@ ROWS = 4
 #: Round one verifies so many leaders of a class.
 LEADERS = 2
 
-#: Classes on either side of a block in round two.
+#: Rounds in which each component of a block names one pair.
+JOINING = 2
+
+#: Classes on either side of a block.
 PART = 2000
 
+TALLIES = 256
+
 #: Shingles that are ranked at once, to stay within the processor's cache.
 _BLOCK = 1 << 14
 
@@ -80,31 +88,36 @@ def band_keys(coordinates: np.ndarray, bands: int) -> np.ndarray:
     return keys.astype(np.int64)
 
 
-def marks(coordinates: np.ndarray) -> np.ndarray:
-    """The low four bits of the coordinates, two in a byte."""
-    low = (coordinates & np.uint64(15)).astype(np.uint8)
-    return low[:, ::2] | low[:, 1::2] << 4
+def tallies(hashes: np.ndarray) -> bytes:
+    """How many shingles fall on each counter, modulo 16, two counters in a byte."""
+    counts = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % TALLIES, minlength=TALLIES) % 16
+    return (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
 
 
 def _unpacked(column) -> np.ndarray:
     packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    return np.concatenate([packed & 15, packed >> 4], axis=1)
+    return np.concatenate([packed & 15, packed >> 4], axis=1).astype(np.int8)
+
 
+def _least_difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many shingles the sets differ at least: distances modulo 16 never exceed the true ones."""
+    apart = np.abs(x - y)
+    return np.minimum(apart, 16 - apart).sum(1, dtype=np.int64)
 
-def least_agreement(length: int, percent: int) -> int:
-    """Fewest equal marks of a pair that reaches the similarity, but for six and a half standard deviations."""
-    same = percent / 100 + (1 - percent / 100) / 16
-    return int(length * same - 6.5 * np.sqrt(length * same * (1 - same)))
+
+def _possible(sizes: np.ndarray, difference: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of this sum of sizes that differ in so many shingles can have 100 * intersection >= percent * union."""
+    return 100 * (sizes - difference) >= percent * (sizes + difference)
 
 
 def _class_of(hashes: np.ndarray) -> int:
     """Signed 64-bit hash of a set."""
-    total = mix(hashes + np.uint64(1)).sum(dtype=np.uint64) * _SCATTER + np.uint64(len(hashes))
-    return int(mix(np.array([total]))[0].astype(np.int64))
+    total = mix(hashes + np.uint64(1)).sum(dtype=np.uint64, keepdims=True)
+    return int(mix(total * _SCATTER + np.uint64(len(hashes)))[0].astype(np.int64))
 
 
 def _profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n, node (null without shingles), and for a class's first row in a task its keys and marks."""
+    """doc_id, n, node (null without shingles), and for a class's first row in a task its keys and tallies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task's input split
@@ -123,8 +136,8 @@ def _profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     sizes = np.diff(bounds)[fresh]
                     wanted = np.repeat(np.isin(np.arange(len(nodes)), fresh), np.diff(bounds))
                     found = signatures(hashes[wanted], np.concatenate([[0], np.cumsum(sizes)]), bands * rows)
-                    for k, own, sign in zip(fresh, band_keys(found, bands), marks(found), strict=True):
-                        keys[k], signs[k] = own, sign.tobytes()
+                    for k, own in zip(fresh, band_keys(found, bands), strict=True):
+                        keys[k], signs[k] = own, tallies(hashes[bounds[k] : bounds[k + 1]])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, len(part)),
@@ -133,10 +146,10 @@ def _profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                         pa.array(keys, pa.list_(pa.int64())),
                         pa.array(signs, pa.binary()),
                     ],
-                    names=["doc_id", "n", "node", "keys", "marks"],
+                    names=["doc_id", "n", "node", "keys", "tallies"],
                 )
 
-    schema = "doc_id long, n long, node long, keys array<long>, marks binary"
+    schema = "doc_id long, n long, node long, keys array<long>, tallies binary"
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
@@ -144,19 +157,20 @@ def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int, agree: int) -> DataFrame:
-    """The pairs (a, b) of classes that sizes and marks allow."""
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that sizes and tallies allow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b, x, y = batch.columns
-                keep = pa.array((_unpacked(x) == _unpacked(y)).sum(1) >= agree)
+                a, b, n, m, x, y = batch.columns
+                least = _least_difference(_unpacked(x), _unpacked(y))
+                keep = pa.array(_possible(n.to_numpy() + m.to_numpy(), least, percent))
                 yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    of = classes.select("node", "n", "marks")
-    both = pairs.join(of.toDF("a", "na", "x"), "a").join(of.toDF("b", "nb", "y"), "b")
-    both = both.where(_sizes_allow(F.col("na"), F.col("nb"), percent)).select("a", "b", "x", "y")
+    of = classes.select("node", "n", "tallies")
+    both = pairs.join(of.toDF("a", "n", "x"), "a").join(of.toDF("b", "m", "y"), "b")
+    both = both.where(_sizes_allow(F.col("n"), F.col("m"), percent)).select("a", "b", "n", "m", "x", "y")
     return map_arrow(both, run, "a long, b long")
 
 
@@ -217,7 +231,7 @@ def _leader_pairs(members: DataFrame) -> DataFrame:
 
 
 def _blocks(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of round two: (key, kind, low, high) is a block, in which rows of different `side` and root meet.
+    """The rows of a later round: (key, kind, low, high) is a block, in which rows of different `side` and root meet.
 
     Kind 0 holds classes of the bucket's largest component (side 0) and others (side 1); kind 1 holds others alone, whose
     side is their part, or their place in a block of one part, where all meet.
@@ -252,18 +266,21 @@ def _blocks(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFra
         F.transform(upto_others, lambda q: cell(1, F.least(part, q), F.greatest(part, q), part)),
     )
     cells = rows.select("key", "node", "root", F.explode(F.when(F.col("is_major"), of_major).otherwise(of_other)).alias("cell"))
-    return cells.join(classes.select("node", "n", "marks"), "node").select("key", "cell.*", "n", "node", "root", "marks")
+    return cells.join(classes.select("node", "n", "tallies"), "node").select("key", "cell.*", "n", "node", "root", "tallies")
 
 
-def _block_pairs(percent: int, agree: int):
-    """Pairs of different components that sizes and marks allow, from rows sorted by block and size."""
+def _block_pairs(percent: int, closest: bool):
+    """Pairs of different components that sizes and tallies allow, from rows sorted by block and size: all of them, or
+    of each block's component the one whose tallies differ least for its size."""
 
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         kind, low, high, side, n, node, root = (
             table.column(c).to_numpy() for c in ("kind", "low", "high", "side", "n", "node", "root")
         )
-        signs = _unpacked(table.column("marks").combine_chunks())
+        signs = _unpacked(table.column("tallies").combine_chunks())
         block = np.cumsum(_begins(table))
+        _, component = np.unique(np.stack([block, root]), axis=1, return_inverse=True) if closest else (None, None)
+        best: dict[int, tuple[float, int, int]] = {}
         alone = (kind == 1) & (low == high)
         here, lag = np.arange(len(n)), 0
         while len(here):  # once a row and the one `lag` after it differ too much in size, so do all later ones
@@ -275,12 +292,20 @@ def _block_pairs(percent: int, agree: int):
             a, b = here[ask], there[ask]
             for at in range(0, len(a), 8192):
                 i, j = a[at : at + 8192], b[at : at + 8192]
-                good = (signs[i] == signs[j]).sum(1) >= agree
-                if good.any():
-                    x, y = node[i[good]], node[j[good]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
-                    )
+                least = _least_difference(signs[i], signs[j])
+                good = _possible(n[i] + n[j], least, percent)
+                i, j, least = i[good], j[good], least[good]
+                if closest:
+                    rank = least / (n[i] + n[j])
+                    for c in np.unique(np.concatenate([component[i], component[j]])) if len(i) else ():
+                        own = np.flatnonzero((component[i] == c) | (component[j] == c))
+                        k = own[np.argmin(rank[own])]
+                        best[c] = min(best.get(c, (2.0, 0, 0)), (float(rank[k]), int(i[k]), int(j[k])))
+                elif len(i):
+                    yield _ordered(node[i], node[j])
+        if best:
+            i, j = np.array([p[1:] for p in best.values()]).T
+            yield _ordered(node[i], node[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -298,6 +323,11 @@ def _block_pairs(percent: int, agree: int):
     return run
 
 
+def _ordered(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
 def _begins(table: pa.Table) -> np.ndarray:
     """Where another block begins."""
     new = np.ones(table.num_rows, bool)
@@ -312,6 +342,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
+def _with(before: DataFrame | None, more: DataFrame) -> DataFrame:
+    return more if before is None else before.unionByName(more)
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -319,7 +353,6 @@ def near_duplicates(
 
     component_id is the smallest doc_id that links reach; the row with that id is kept.
     """
-    agree = least_agreement(bands * rows, percent)
     profiles = written(_profiles(docs, size, bands, rows), "signatures")
     classes = written(
         profiles.where(F.col("node").isNotNull())
@@ -328,7 +361,7 @@ def near_duplicates(
             F.min("doc_id").alias("doc_id"),
             F.first("n").alias("n"),
             F.first("keys", ignorenulls=True).alias("keys"),
-            F.first("marks", ignorenulls=True).alias("marks"),
+            F.first("tallies", ignorenulls=True).alias("tallies"),
         ),
         "classes",
     )
@@ -336,20 +369,21 @@ def near_duplicates(
     leaders = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     members = written(postings.join(leaders, "key"), "buckets")
 
-    first = written(_likely(_leader_pairs(members), classes, percent, agree), "pairs")
-    asked = _ends(first)
-    sets = written(_sets(docs, written(asked, "asked"), size), "sets")
-    links = written(_verified(first, sets, percent), "links")
-    roots = components(links)
-
-    blocks = _blocks(members, roots, classes).repartition("key", "kind", "low", "high")
-    blocks = blocks.sortWithinPartitions("key", "kind", "low", "high", "n", "node")
-    second = map_arrow(blocks, _block_pairs(percent, agree), "a long, b long").distinct()
-    second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        more = written(_ends(second).join(sets, "node", "left_anti"), "asked")
-        sets = sets.unionByName(written(_sets(docs, more, size), "sets"))
-        roots = components(links.unionByName(written(_verified(second, sets, percent), "links")))
+    found = written(_likely(_leader_pairs(members), classes, percent), "pairs")
+    tested, sets, links, roots = None, None, None, None
+    for step in range(JOINING + 2):
+        if step:
+            blocks = _blocks(members, roots, classes).repartition("key", "kind", "low", "high")
+            blocks = blocks.sortWithinPartitions("key", "kind", "low", "high", "n", "node")
+            found = map_arrow(blocks, _block_pairs(percent, step <= JOINING), "a long, b long").distinct()
+            found = written(found.join(tested, ["a", "b"], "left_anti"), "pairs")
+            if found.isEmpty():
+                continue
+        asked = _ends(found) if sets is None else _ends(found).join(sets, "node", "left_anti")
+        sets = _with(sets, written(_sets(docs, written(asked, "asked"), size), "sets"))
+        tested = _with(tested, found)
+        links = _with(links, written(_verified(found, sets, percent), "links"))
+        roots = components(links)
 
     found = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
