@@ -48,7 +48,7 @@ ROWS = 4
 LEADERS = 2
 
 #: Rounds in which each component of a block names one pair.
-JOINING = 2
+JOINING = 1
 
 #: Classes on either side of a block.
 PART = 2000
@@ -64,6 +64,9 @@ _SCATTER = np.uint64(0xD6E8FEB86659FD93)
 #: Buckets of class ids in the set that tells tasks which sets are asked for: a broadcast of at most 2 ** 20 bits.
 _ASKED = 1 << 20
 
+#: Up to so many asked classes their documents are picked by a broadcast of ids; beyond, tasks pick them by the set above.
+_FEW = 10_000
+
 
 def signatures(hashes: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
     """One row of `length` coordinates for each set of shingle hashes; sets are given by bounds and none is empty."""
@@ -174,11 +177,16 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both, run, "a long, b long")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """node and full set of the given classes, cut anew from the texts without moving any.
 
-    Tasks know the asked classes by the bucket of their id, from a set of fixed size; a join drops what else falls there.
+    Of few classes only one document each is cut. Otherwise tasks know the asked classes by the bucket of their id, from
+    a set of fixed size; a join drops what else falls there.
     """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if nodes.count() <= _FEW:
+        ids = F.broadcast(classes.join(nodes, "node").select(F.col("doc_id").alias("of")))
+        docs = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi")
     bucket = F.pmod("node", F.lit(_ASKED)).cast("int").alias("bucket")
     asked = np.zeros(_ASKED, bool)
     asked[[r["bucket"] for r in nodes.select(bucket).distinct().collect()]] = True
@@ -380,7 +388,7 @@ def near_duplicates(
             if found.isEmpty():
                 continue
         asked = _ends(found) if sets is None else _ends(found).join(sets, "node", "left_anti")
-        sets = _with(sets, written(_sets(docs, written(asked, "asked"), size), "sets"))
+        sets = _with(sets, written(_sets(docs, written(asked, "asked"), classes, size), "sets"))
         tested = _with(tested, found)
         links = _with(links, written(_verified(found, sets, percent), "links"))
         roots = components(links)

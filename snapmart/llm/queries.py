@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import (
     circulant_minhash,
+    conversation_repair,
     jaccard_join,
     language_ppm,
     packing,
@@ -198,6 +199,11 @@ FROM sets d LEFT JOIN classes k ON len(d.s) > 0 AND list_sort(d.s) = k.s LEFT JO
 """
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(rows), rows)
+
+
 for _query in (
     op1_quality_knn,
     op2_url_graph,
@@ -210,5 +216,6 @@ for _query in (
     op9_jaccard_join,
     op10_vector_graph,
     op11_circulant_minhash,
+    op12_conversation_repair,
 ):
     QUERIES[_query.__name__] = _query
