@@ -12,6 +12,7 @@ from snapmart.llm import (
     conversation_repair,
     jaccard_join,
     language_ppm,
+    max_sketch_search,
     packing,
     pii_crf,
     piece_scan,
@@ -204,6 +205,40 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.report(conversation_repair.damaged(rows), rows)
 
 
+def op13_max_sketch_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return max_sketch_search.search(docs, items.select("item_id", "text"), k=10, query_id="item_id")
+
+
+ORACLES["op13_max_sketch_search"] = """
+WITH terms AS (
+  SELECT doc_id, row_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS row_id FROM documents)),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark)
+  GROUP BY 1, 2),
+lengths AS (SELECT row_id, count(*) AS n FROM terms GROUP BY 1),
+corpus AS (SELECT count(*) AS documents, sum(n)::BIGINT AS length FROM lengths),
+counted AS (SELECT row_id, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM terms GROUP BY row_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, corpus GROUP BY term, documents),
+scored AS (
+  SELECT item_id, row_id, any_value(c.doc_id) AS doc_id,
+    sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // length))))::BIGINT AS score
+  FROM counted c JOIN asked USING (term) JOIN weights USING (term) JOIN lengths USING (row_id), corpus GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 for _query in (
     op1_quality_knn,
     op2_url_graph,
@@ -217,5 +252,6 @@ for _query in (
     op10_vector_graph,
     op11_circulant_minhash,
     op12_conversation_repair,
+    op13_max_sketch_search,
 ):
     QUERIES[_query.__name__] = _query
