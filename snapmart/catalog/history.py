@@ -151,3 +151,65 @@ def stream_runs(t: Tables):
         commit(second.unionByName(last.where(~half)), 1)
     commit(repeated, 2)
     return read_history(t.spark, path).select("event_id", "user_id", "value", "inserted_at")
+
+
+ALL_EVENTS = """
+SELECT event_id, user_id, event_type, value, CASE WHEN event_type <> 'error' THEN {ts} END AS ts FROM events"""
+EVENT_COLUMNS = ("event_id", "user_id", "event_type", "value", "ts")
+
+
+def landed_events(t: Tables) -> str:
+    """All events as files of two folders; errors have lost their time."""
+    landing = shared_dir(t.spark, "landing")
+    events = t["events"].withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts"))).select(*EVENT_COLUMNS)
+    for k in range(2):
+        events.where(F.col("event_id") % 2 == k).write.parquet(f"{landing}/{k}")
+    return landing
+
+
+@query("stream_exactly_once", ALL_EVENTS.format(ts=ts_sql("ts")))
+def stream_exactly_once(t: Tables):
+    """Two streams into one history, then one over both folders whose checkpoint is new: every row once, with its time."""
+    landing, path = landed_events(t), shared_dir(t.spark, "stream-history")
+    schema = t.spark.read.parquet(f"{landing}/0").schema
+    for folder in ("0", "1", "*"):
+        stream = t.spark.readStream.schema(schema).parquet(f"{landing}/{folder}")
+        ingest_available(stream, commit_days(path, "ts"), shared_dir(t.spark, "stream-checkpoint"))
+    return read_history(t.spark, path).select(*EVENT_COLUMNS)
+
+
+@query(
+    "same_day_contents",
+    f"""
+SELECT event_id, user_id, event_type, value, {ts_sql("ts")} AS ts FROM events {REPLACED}""",
+)
+def same_day_contents(t: Tables):
+    """The day of a rerun holds its rows only; it is read while another load of the day fails to become visible."""
+    path = shared_dir(t.spark, "history")
+    replace_days(t["events"], path, "ts")
+    replace_days(rerun_of_last_day(t), path, "ts")
+    found = read_history(t.spark, path).select(*EVENT_COLUMNS)
+    replace_days(t["events"].where("event_type = 'error'"), path, "ts")  # readers that are open keep what they have
+    return found
+
+
+@query(
+    "split_runs",
+    """
+SELECT o_orderkey, o_totalprice::DOUBLE AS o_totalprice, '2024-03-01 06:00:00.000000' AS inserted_at FROM orders
+UNION ALL
+SELECT o_orderkey, (o_totalprice + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END)::DOUBLE,
+       '2024-03-03 06:00:00.000000' FROM orders""",
+)
+def split_runs(t: Tables):
+    """Three runs in two parts each: the first, one that repeats it and is taken back, and one whose second part differs."""
+    path = shared_dir(t.spark, "split-runs")
+    orders = t["orders"].select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    even = F.col("o_orderkey") % 2 == 0
+    raised = orders.withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(18,2)"))
+    for day, second in ((1, orders), (2, orders), (3, raised)):
+        run = moment(datetime(2024, 3, day, 6))
+        commit = commit_runs(path, ["o_orderkey"])
+        commit(orders.where(~even).withColumn("run_ts", run), 0)
+        commit(second.where(even).withColumn("run_ts", run), 1)
+    return read_history(t.spark, path).select("o_orderkey", "o_totalprice", "inserted_at")

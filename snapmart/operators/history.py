@@ -1,18 +1,18 @@
-"""Append-only snapshot history: one Parquet partition per calendar day of the run stamp."""
+"""Append-only snapshot history: one Parquet partition per calendar day of the run stamp, in versions."""
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapmart.functions import day_of, moment
-from snapmart.operators.compare import same_fingerprint, same_rows
-from snapmart.operators.latest import DAY, latest_batch
-from snapmart.session import shared_dir
+from snapmart.operators.compare import fingerprint, same_fingerprint, same_rows
+from snapmart.operators.latest import DAY
+from snapmart.operators.versions import LEDGER, State, folders, new_name, read_state, write_state, write_version
 
 STAMP = "inserted_at"
 
@@ -47,65 +47,116 @@ def read_history(
     Give the ``schema`` where it is known. ``merge`` reads the columns of every file instead, for a
     history whose columns have changed; without it they are taken from one file.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", merge)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    return _read_days(spark, path, stored_state(spark, path).days, schema, merge)
 
 
-def _file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def stored_state(spark: SparkSession, path: str) -> State:
+    return read_state(spark, path, DAY)
 
 
 def stored_days(spark: SparkSession, path: str) -> list[date]:
-    """The days of a stored history, oldest first, from the names of its partitions; no file is opened."""
-    files, place = _file_system(spark, path)
-    if not files.exists(place):
-        return []
-    names = [entry.getPath().getName() for entry in files.listStatus(place)]
-    days = [name.removeprefix(f"{DAY}=") for name in names if name.startswith(f"{DAY}=")]
-    return sorted(date.fromisoformat(day) for day in days if day[:1].isdigit())
+    """The days of a stored history, oldest first, from its state; no file of rows is opened."""
+    return stored_state(spark, path).dates()
 
 
-def stored_day(spark: SparkSession, path: str, day: date) -> DataFrame:
-    return spark.read.parquet(f"{path}/{DAY}={day.isoformat()}")
+def _read_days(spark: SparkSession, path: str, days: dict[str, list[str]], schema=None, merge: bool = False) -> DataFrame | None:
+    """The rows of some days' versions with their day; None if there are none."""
+    found = None
+    for part, base in zip(folders(path, DAY, days), (path, path), strict=True):
+        if part:
+            reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", merge)
+            rows = reader.option("basePath", base).parquet(*part).drop("version")
+            rows = rows.withColumn(DAY, F.col(DAY).cast("date"))
+            found = rows if found is None else append_by_name(found, rows)
+    return found
 
 
-def newest_snapshot(spark: SparkSession, path: str, before: datetime | None = None) -> DataFrame | None:
-    """The rows of the newest run (before a time) with the columns that run had.
+def stored_day(spark: SparkSession, path: str, day: date, state: State | None = None) -> DataFrame:
+    state = state or stored_state(spark, path)
+    return _read_days(spark, path, {day.isoformat(): state.days[day.isoformat()]}).drop(DAY)
 
-    Only its day partition is read, and the partition of ``before`` if that has no earlier run.
-    """
-    for day in reversed(stored_days(spark, path)):
+
+def _newest_run(spark: SparkSession, path: str, state: State, before: datetime | None) -> tuple[date, datetime] | None:
+    """Day and time of the newest run (before a time), from the state; the rows of a day are read only if its runs
+    aren't known there."""
+    for day in reversed(state.dates()):
         if before is not None and day > before.date():
             continue
-        rows = stored_day(spark, path, day)
-        if before is not None and day == before.date():
-            rows = rows.where(F.col(STAMP) < moment(before))
-            if rows.isEmpty():
-                continue
-        return latest_batch(rows, STAMP).drop(STAMP)
+        known = [datetime.fromisoformat(run) for run in state.runs if run.startswith(day.isoformat())]
+        if not known:
+            known = [r[0] for r in stored_day(spark, path, day, state).select(STAMP).distinct().collect() if r[0] is not None]
+        earlier = [run for run in known if before is None or run < before]
+        if earlier:
+            return day, max(earlier)
     return None
 
 
+def newest_snapshot(
+    spark: SparkSession, path: str, before: datetime | None = None, state: State | None = None
+) -> DataFrame | None:
+    """The rows of the newest run (before a time) with the columns that run had; only its day is read."""
+    state = state or stored_state(spark, path)
+    newest = _newest_run(spark, path, state, before)
+    if newest is None:
+        return None
+    day, run = newest
+    return stored_day(spark, path, day, state).where(F.col(STAMP) == moment(run)).drop(STAMP)
+
+
+def _replaced(state: State, days: list[str], version: str) -> None:
+    """The days are that version only; what was known of their runs no longer holds."""
+    for day in days:
+        state.days[day] = [version]
+        state.runs = {run: facts for run, facts in state.runs.items() if not run.startswith(day)}
+
+
 def replace_days(stamped: DataFrame, path: str, at: str = STAMP) -> None:
-    """Write the batch as the only content of the days it holds; other days stay untouched.
+    """Make the rows the only content of the days they hold; other days stay untouched.
 
-    Rerunning it with the same rows gives the same files' content, so a retried micro-batch cannot
-    append twice. The rebalance hint lets AQE cut a large day into several files and pack small days.
+    All days change at once, and only when all rows are written: a reader that is open keeps the old days, and a
+    failure leaves them. Rows without a time are a day of their own. The rows may come from the history itself.
     """
-    (
-        stamped.withColumn(DAY, day_of(at))
-        .hint("rebalance", DAY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    spark = stamped.sparkSession
+    state = stored_state(spark, path)
+    name = new_name(state)
+    _replaced(state, write_version(stamped.withColumn(DAY, day_of(at)), path, name, DAY), name)
+    write_state(spark, path, state)
+
+
+def add_rows(rows: DataFrame, path: str, at: str = STAMP, sources: DataFrame | None = None) -> None:
+    """Add rows to the days they belong to, without reading or writing what is there.
+
+    ``sources`` (see ``taken_sources``) become known in the same step.
+    """
+    spark = rows.sparkSession
+    state = stored_state(spark, path)
+    name = new_name(state)
+    for day in write_version(rows.withColumn(DAY, day_of(at)), path, name, DAY):
+        state.days.setdefault(day, []).append(name)
+        state.runs = {run: facts for run, facts in state.runs.items() if not run.startswith(day)}
+    if sources is not None:
+        if len(state.ledger) >= LEDGER_PARTS:  # few large parts instead of many small ones
+            sources, state.ledger = sources.unionByName(_ledger(spark, path, state)), []
+        sources.write.parquet(f"{path}/{LEDGER}/{name}")
+        state.ledger.append(name)
+    write_state(spark, path, state)
+
+
+#: So many parts of the ledger are written before they are merged into one.
+LEDGER_PARTS = 50
+
+SOURCE_SCHEMA = "source string, length bigint, modified bigint"
+
+
+def _ledger(spark: SparkSession, path: str, state: State) -> DataFrame:
+    if not state.ledger:
+        return spark.createDataFrame([], SOURCE_SCHEMA)
+    return spark.read.schema(SOURCE_SCHEMA).parquet(*[f"{path}/{LEDGER}/{name}" for name in state.ledger])
+
+
+def taken_sources(spark: SparkSession, path: str) -> DataFrame:
+    """The sources (name, length, time of change) whose rows the history holds."""
+    return _ledger(spark, path, stored_state(spark, path))
 
 
 def unchanged(batch: DataFrame, last: DataFrame | None, keys: list[str]) -> bool:
@@ -119,6 +170,48 @@ def unchanged(batch: DataFrame, last: DataFrame | None, keys: list[str]) -> bool
     return same_fingerprint(batch, last) and same_rows(batch, last).first()["same"]
 
 
+def _facts(batch: DataFrame) -> dict:
+    """Columns, count and order-free hash sum of a run's rows, as the state keeps them."""
+    row = fingerprint(batch).first()
+    columns = {f.name: f.dataType.simpleString() for f in sorted(batch.schema.fields, key=lambda f: f.name)}
+    return {"columns": columns, "rows": row["n"], "digest": str(row["digest"])}
+
+
+def _repeats_newest(batch: DataFrame, facts: dict, path: str, at: datetime, keys: list[str], state: State) -> bool:
+    """Whether a run equals the newest one before it. One whose kept facts differ is unequal without being read."""
+    spark = batch.sparkSession
+    newest = _newest_run(spark, path, state, at)
+    if newest is None:
+        return False
+    last = state.runs.get(newest[1].isoformat(), {})
+    if last.get("columns") == facts["columns"] and (last["rows"], last["digest"]) != (facts["rows"], facts["digest"]):
+        return False
+    return unchanged(batch, newest_snapshot(spark, path, at, state), keys)
+
+
+def _commit_run(batch: DataFrame, facts: dict, path: str, at: datetime, state: State) -> None:
+    """The run becomes its day's only content; what it replaced is remembered, in case its last part takes it back."""
+    day, run = at.date().isoformat(), at.isoformat()
+    first = state.runs.get(run, {})
+    facts["over"] = first.get("over", state.days.get(day, []))
+    facts["over_runs"] = first.get("over_runs", {k: v for k, v in state.runs.items() if k.startswith(day) and k != run})
+    name = new_name(state)
+    _replaced(state, [day], name)
+    if not write_version(stamp(batch, at).withColumn(DAY, day_of(STAMP)), path, name, DAY):
+        state.days[day] = []  # a run without rows leaves its day empty
+    state.days = {k: v for k, v in state.days.items() if v}
+    state.runs[run] = facts
+    write_state(batch.sparkSession, path, state)
+
+
+def _is_later(spark: SparkSession, path: str, at: datetime, state: State) -> bool:
+    """Whether the run's day holds a later run."""
+    if at.date() not in state.dates():
+        return False
+    newest = _newest_run(spark, path, state, datetime.combine(at.date(), datetime.max.time()))
+    return newest is not None and newest[0] == at.date() and newest[1] > at
+
+
 def commit_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> bool:
     """Add one run to the history; returns False when it repeats the newest snapshot.
 
@@ -127,47 +220,58 @@ def commit_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[st
     applied; a changed one replaces the run's calendar day, unless that already holds a later run.
     """
     spark, at = batch.sparkSession, run_ts.replace(microsecond=0)
-    if at.date() in stored_days(spark, path):
-        newest = stored_day(spark, path, at.date()).select(F.max(STAMP)).first()[0]
-        if newest is not None and newest > at:
-            return False
-    if unchanged(batch, newest_snapshot(spark, path, at), keys):
+    state = stored_state(spark, path)
+    if _is_later(spark, path, at, state):
         return False
-    replace_days(stamp(batch, at), path)
+    facts = _facts(batch)
+    if _repeats_newest(batch, facts, path, at, keys, state):
+        return False
+    _commit_run(batch, facts, path, at, state)
     return True
 
 
 def commit_part(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> bool:
     """Add a part of a run: rows of the same run that came before stay, unless the part holds their keys.
 
-    A part that comes again changes nothing. What a run's parts were compared with is remembered if
-    they were skipped, so that a later part completes the unchanged rows instead of replacing them.
+    A part that comes again changes nothing. What is compared is the run so far: a run whose parts together repeat the one
+    before it is taken back, and its day is again what it was; a run that was skipped is remembered, so that a later part
+    completes the unchanged rows instead of replacing them. Returns whether the history holds the run.
     """
     spark, at = batch.sparkSession, run_ts.replace(microsecond=0)
-    files, skipped = _file_system(spark, f"{path}/_skipped/{at:%Y-%m-%dT%H%M%S}")
-    known, stored = None, False
-    if at.date() in stored_days(spark, path):
-        known = stored_day(spark, path, at.date()).where(F.col(STAMP) == moment(at)).drop(STAMP)
-        stored = not known.isEmpty()
-    if not stored:
-        known = newest_snapshot(spark, path, at) if files.exists(skipped) else None
-    if known is None:
-        done = commit_snapshot(batch, path, at, keys)
-        if not done:
-            files.mkdirs(skipped)
-        return done
-    if keys and set(keys) <= set(known.columns):
+    state, run, known = stored_state(spark, path), at.isoformat(), None
+    if _is_later(spark, path, at, state):
+        return False
+    if at.date() in state.dates():
+        known = stored_day(spark, path, at.date(), state).where(F.col(STAMP) == moment(at)).drop(STAMP)
+        known = None if known.isEmpty() else known
+    stored = known is not None
+    if known is None and run in state.skipped:
+        known = newest_snapshot(spark, path, at, state)
+    whole = batch
+    if known is not None and keys and set(keys) <= set(known.columns):
         whole = append_by_name(known.join(batch.select(*keys), keys, "left_anti"), batch)
-    else:
+    elif known is not None:
         whole = append_by_name(known, batch).distinct()
-    columns = [c for c in whole.columns if c != DAY]
-    copy = shared_dir(spark, "run")
-    whole.select(*columns).write.parquet(copy)  # the day that is read is also the one that is replaced
-    whole = spark.read.parquet(copy)
-    if not stored:
-        return commit_snapshot(whole, path, at, keys)
-    replace_days(stamp(whole, at), path)
-    return True
+    facts, undone = _facts(whole), _without_run(state, at)
+    if not _repeats_newest(whole, facts, path, at, keys, undone):
+        state.skipped = [r for r in state.skipped if r != run]
+        _commit_run(whole, facts, path, at, state)
+        return True
+    if stored or run not in state.skipped:
+        undone.skipped = [*[r for r in state.skipped if r != run], run]
+        write_state(spark, path, undone)
+    return False
+
+
+def _without_run(state: State, at: datetime) -> State:
+    """The state as it would be if the run had not replaced its day."""
+    day, run = at.date().isoformat(), at.isoformat()
+    if run not in state.runs:
+        return replace(state)
+    own = state.runs[run]
+    days = {**state.days, day: own.get("over", [])}
+    runs = {k: v for k, v in state.runs.items() if k != run} | own.get("over_runs", {})
+    return replace(state, days={k: v for k, v in days.items() if v}, runs=runs)
 
 
 def adopt_unstamped(old: DataFrame, batch: DataFrame, path: str, run_ts: datetime) -> None:
