@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from snapmart.catalog.market import DIM_COINS_SQL
 from snapmart.catalog.registry import Tables, query, ts_sql
@@ -12,10 +14,11 @@ from snapmart.catalog.roles import COIN_INFO, COIN_MAP, EVENTS_WITH_AMOUNT
 from snapmart.operators.history import read_history
 from snapmart.operators.latest import latest_per_key
 from snapmart.plans import core
-from snapmart.plans.refresh import Layout, land_lines, land_quotes, load_dataset
+from snapmart.plans.refresh import Layout, declare_warehouse, land_lines, land_quotes, load_dataset, run_pipeline
 from snapmart.plans.staging import staged
-from snapmart.schemas import DATASETS
+from snapmart.schemas import DATASETS, record_schema
 from snapmart.session import shared_dir
+from snapmart.sources.payloads import read_entity_payloads
 
 RUN = datetime(2024, 2, 1, 6)
 
@@ -141,3 +144,88 @@ def landed_listings(t: Tables):
     return found.select(
         "coin_id", "is_infinite_supply", "circulating_supply", "date_added_at", "cmc_rank", "inserted_at"
     )
+
+
+def event_listings(t: Tables) -> DataFrame:
+    """Every event as a listing; errors have no quote."""
+    return t["events"].selectExpr(*EVENTS_WITH_AMOUNT).selectExpr(
+        "event_id as id",
+        "'User ' || user_id as name",
+        "'U' || user_id as symbol",
+        "cast(event_id % 5000 as string) as cmc_rank",
+        """named_struct('USD', if(event_type = 'error', null,
+             map('price', cast(v as string), 'market_cap', cast(v * 1000 as string)))) as quote""",
+    )
+
+
+def named_layout(t: Tables) -> Layout:
+    """A warehouse whose namespaces no other query has."""
+    layout = new_layout(t)
+    return replace(layout, prefix=f"q{layout.warehouse.rsplit('/', 2)[-2].rsplit('-', 1)[-1]}_")
+
+
+@query(
+    "published_models",
+    """
+WITH prices AS (SELECT event_id, value, event_type FROM events)
+SELECT s_suppkey AS coin_id, s_name AS coin_name, value AS price, (value::DECIMAL(18,2) * 1000)::DOUBLE AS market_cap,
+       CASE WHEN event_id IS NOT NULL THEN event_id % 5000 END AS cmc_rank, '2024-02-01' AS snapshot_date
+FROM (SELECT * FROM supplier) LEFT JOIN prices ON event_id = s_suppkey
+WHERE event_id IS NOT NULL AND event_type <> 'error'""",
+)
+def published_models(t: Tables):
+    """Events landed as listings and suppliers as coins; then a session that knows only the names of the catalog asks."""
+    layout = named_layout(t)
+    declare_warehouse(t.spark, layout)
+    land_lines(t["supplier"].selectExpr(*COIN_MAP), layout, "map")
+    land_lines(t["part"].selectExpr(*COIN_INFO), layout, "info")
+    land_lines(event_listings(t), layout, "listings_latest")
+    run_pipeline(t.spark, layout, None, RUN)
+    other = t.spark.newSession()
+    explorer, quotes = (other.table(layout.model(name)) for name in ("vw_coin_explorer", "stg_quotes"))
+    found = explorer.where("price is not null").join(quotes.select("coin_id", "snapshot_date"), "coin_id")
+    return found.select("coin_id", "coin_name", "price", "market_cap", "cmc_rank", "snapshot_date")
+
+
+@query(
+    "pipeline_counts",
+    """
+SELECT 'map' AS dataset, count(*) AS row_count, false AS failed FROM supplier
+UNION ALL SELECT 'info', count(*), false FROM part
+UNION ALL SELECT 'listings_latest', count(*), false FROM events
+UNION ALL SELECT 'quotes', count(*), false FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'categories', NULL, true
+UNION ALL SELECT 'category_details', sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 2 END)::BIGINT, false FROM lineitem""",
+)
+def pipeline_counts(t: Tables):
+    """A whole run over all data sets, with one whose values don't fit their types."""
+    layout = named_layout(t)
+    land_lines(t["supplier"].selectExpr(*COIN_MAP), layout, "map")
+    land_lines(t["part"].selectExpr(*COIN_INFO), layout, "info")
+    land_lines(event_listings(t), layout, "listings_latest")
+    bad = t["orders"].selectExpr("cast(o_orderkey as string) id", "if(o_orderkey % 7 = 0, 'many', '1') num_tokens")
+    land_lines(bad, layout, "categories")
+    details = t["lineitem"].selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) id",
+        """if(l_returnflag = 'N', array(), array(
+             named_struct('id', bigint(l_partkey)), named_struct('id', bigint(l_suppkey + 1000000)))) coins""",
+    )
+    land_lines(details, layout, "category_details")
+    report = run_pipeline(t.spark, layout, None, RUN)
+    return report.select("dataset", "row_count", F.col("error").isNotNull().alias("failed"))
+
+
+@query(
+    "entity_payloads",
+    """
+SELECT c_custkey AS id, c_name AS name, c_mktsegment AS title FROM customer WHERE c_acctbal >= 0""",
+)
+def entity_payloads(t: Tables):
+    """Customers landed as one payload each, a file to a group of customers; those in debt answer without data."""
+    root = shared_dir(t.spark, "entities")
+    record = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("title"))
+    answer = t["customer"].select(F.when(F.col("c_acctbal") >= 0, record).alias("data"), (F.col("c_custkey") % 4).alias("shard"))
+    answer.write.partitionBy("shard").option("ignoreNullFields", True).json(root)
+    paths = [f"{root}/shard={k}" for k in range(4)]
+    found = read_entity_payloads(t.spark, paths, record_schema("categories"), whole_file=False)
+    return found.select(F.col("id").cast("bigint").alias("id"), "name", "title")

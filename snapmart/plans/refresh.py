@@ -16,6 +16,7 @@ from snapmart.operators.latest import DAY
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
+from snapmart.plans.views import create_views, staging_view, view_sql
 from snapmart.schemas import DATASETS, DataSet, datasets_of, record_schema
 from snapmart.sources.files import read_csv_text, write_csv
 from snapmart.sources.payloads import (
@@ -27,18 +28,29 @@ from snapmart.sources.payloads import (
     read_keyed_envelope,
     require_rows,
 )
-from snapmart.sources.tables import conform, create_layers, layer_name, replace_table, staging_schema, stored_schema
+from snapmart.sources.tables import (
+    conform,
+    create_layers,
+    create_staging_tables,
+    layer_name,
+    publish_history,
+    replace_table,
+    staging_schema,
+    stored_schema,
+)
 from snapmart.streaming.ingest import commit_runs, ingest_available
 
 
 @dataclass(frozen=True)
 class Layout:
     """Folders of one warehouse. Payloads are documents that span lines, apart from the data sets in
-    ``lines``, whose files hold one envelope per line (derived and merged payloads are landed so)."""
+    ``lines``, whose files hold one envelope per line (derived and merged payloads are landed so).
+    ``prefix`` stands before the names of its namespaces, for warehouses that share a catalog."""
 
     landing: str
     warehouse: str
     lines: frozenset[str] = frozenset({"quotes"})
+    prefix: str = ""
 
     def payload(self, name: str) -> str:
         return f"{self.landing}/{name}"
@@ -49,6 +61,15 @@ class Layout:
     def history(self, name: str) -> str:
         return f"{self.warehouse}/staging_layer/{name}"
 
+    def staging(self, name: str) -> str:
+        """Full name of a staging table."""
+        return f"{self.prefix}staging_layer.{name}"
+
+    def model(self, name: str) -> str:
+        """Full name of a model; staging models are in the default namespace."""
+        layer, _ = MATERIALISED.get(name, (None, "view"))
+        return f"{self.prefix}{layer_name(layer)}.{name}"
+
 
 def parse(records: DataFrame, dataset: DataSet) -> DataFrame:
     """Flat, typed rows of one data set, before they are stamped."""
@@ -106,8 +127,8 @@ def load_dataset(spark: SparkSession, layout: Layout, dataset: DataSet, run_ts:
         if dataset.historical:
             commit_snapshot(rows, layout.history(dataset.name), run_ts, list(dataset.keys))
         else:
-            create_layers(spark, layout.warehouse)
-            replace_table(rows, f"staging_layer.{dataset.name}", layout.warehouse)
+            create_layers(spark, layout.warehouse, prefix=layout.prefix)
+            replace_table(rows, layout.staging(dataset.name), layout.warehouse)
         return rows.count()
     finally:
         rows.unpersist()
@@ -137,8 +158,8 @@ def import_csv(spark: SparkSession, layout: Layout, name: str, path: str, run_ts
     if DATASETS[name].historical:
         replace_days(conform(backfill_stamp(rows, run_ts), staging_schema(name)), layout.history(name))
     else:
-        create_layers(spark, layout.warehouse)
-        replace_table(conform(rows, staging_schema(name)), f"staging_layer.{name}", layout.warehouse)
+        create_layers(spark, layout.warehouse, prefix=layout.prefix)
+        replace_table(conform(rows, staging_schema(name)), layout.staging(name), layout.warehouse)
 
 
 def export_csv(spark: SparkSession, layout: Layout, name: str, path: str) -> None:
@@ -176,7 +197,7 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
             df = read_history(spark, layout.history(name), schema)
         else:
             schema = stored_schema(name)
-            table = f"staging_layer.{name}"
+            table = layout.staging(name)
             df = spark.table(table) if spark.catalog.tableExists(table) else None
         tables[name] = df if df is not None else spark.createDataFrame([], schema)
     return tables
@@ -249,17 +270,36 @@ class Models(dict):
         return self[name]
 
 
+def declare_warehouse(spark: SparkSession, layout: Layout) -> None:
+    """Namespaces and staging tables; what exists stays as it is."""
+    create_layers(spark, layout.warehouse, prefix=layout.prefix)
+    create_staging_tables(spark, f"{layout.prefix}staging_layer")
+
+
+def publish(spark: SparkSession, layout: Layout, as_of: datetime | None = None) -> None:
+    """Make the warehouse known by name to every session of the catalog: the histories as tables partitioned by day, and
+    all models that aren't tables as views in their namespaces, in the order in which they read each other."""
+    declare_warehouse(spark, layout)
+    for name, dataset in DATASETS.items():
+        if dataset.historical:
+            publish_history(spark, layout.history(name), layout.staging(name))
+    texts = {f"stg_{name}": staging_view(name, layout.staging(name)) for name in DATASETS}
+    create_views(spark, texts | view_sql(layout.model, as_of), layout.model)
+
+
 def build_models(spark: SparkSession, layout: Layout, as_of: datetime) -> Models:
-    """Materialise the models: tables are written and replaced as a unit, the rest become views."""
-    create_layers(spark, layout.warehouse)
+    """Materialise the models: tables are written and replaced as a unit, the rest become views, both of the catalog
+    (``publish``) and, by their bare names, of this session."""
+    create_layers(spark, layout.warehouse, prefix=layout.prefix)
     models = Models(staging_tables(spark, layout), as_of)
     for name in DATASETS:
         models[f"stg_{name}"].createOrReplaceTempView(f"stg_{name}")
-    for name, (layer, kind) in MATERIALISED.items():
+    for name, (_, kind) in MATERIALISED.items():
         if kind == "table":
-            models[name] = replace_table(models[name], f"{layer_name(layer)}.{name}", layout.warehouse)
+            models[name] = replace_table(models[name], layout.model(name), layout.warehouse)
         else:
             models[name].createOrReplaceTempView(name)
+    publish(spark, layout, as_of)
     return models
 
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
+from datetime import date
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, DateType, NullType, StringType, StructField, StructType, VarcharType
 
-from snapmart.schemas import STAGING_DDL
+from snapmart.operators.history import replace_days, stored_day, stored_state
+from snapmart.operators.latest import DAY
+from snapmart.operators.versions import NO_DAY, folders
+from snapmart.schemas import DATASETS, STAGING_DDL
 
 # Layer namespaces and the default one.
 LAYERS = ("staging_layer", "intermediate_layer", "olap", "analytics")
@@ -21,16 +26,52 @@ def layer_name(custom: str | None) -> str:
     return DEFAULT_LAYER if custom is None else custom.strip()
 
 
-def create_layers(spark: SparkSession, root: str, names: Iterable[str] = LAYERS) -> None:
+def create_layers(spark: SparkSession, root: str, names: Iterable[str] = LAYERS, prefix: str = "") -> None:
     """Declare the namespaces below the warehouse folder; existing ones are left as they are."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root.rstrip('/')}/{name}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{name} LOCATION '{root.rstrip('/')}/{name}'")
 
 
 def create_staging_tables(spark: SparkSession, database: str = "staging_layer") -> None:
-    """Declare the six staging tables; existing ones are left as they are."""
+    """Declare the six staging tables; existing ones, and what they hold, are left as they are.
+
+    A history is partitioned by day; ``publish_history`` points its partitions to what has been loaded.
+    """
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     for name, ddl in STAGING_DDL.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet")
+        day = f", {DAY} DATE" if DATASETS[name].historical else ""
+        partitioned = f"PARTITIONED BY ({DAY})" if DATASETS[name].historical else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}{day}) USING parquet {partitioned} LOCATION '{root}/{name}'"
+        )
+
+
+def publish_history(spark: SparkSession, path: str, table: str) -> None:
+    """Point the partitions of a declared table to the days of a stored history, as its newest state has them.
+
+    Each day changes in one step and queries that are running keep what they have. Only days that changed since the table
+    was last published are touched; a table that showed another history is emptied first (its files stay, as
+    the table is external). A day that was added to in several steps is written as one version before.
+    """
+    state = stored_state(spark, path)
+    for day, versions in state.days.items():
+        if len(versions) > 1 and day != NO_DAY:
+            replace_days(stored_day(spark, path, date.fromisoformat(day), state), path)
+    state = stored_state(spark, path)
+    shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    known = json.loads(shown["published_days"]) if shown.get("published_history") == path else {}
+    stored = {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    places = {day: folders(path, DAY, {day: versions}) for day, versions in state.days.items() if day != NO_DAY}
+    for day in sorted(stored - set(places) | (stored if not known else set())):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY} = DATE '{day}')")
+    for day, (versioned, plain) in sorted(places.items()):
+        if known.get(day) != state.days[day]:
+            place = (versioned + plain)[0]
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({DAY} = DATE '{day}') LOCATION '{place}'")
+            spark.sql(f"ALTER TABLE {table} PARTITION ({DAY} = DATE '{day}') SET LOCATION '{place}'")
+    days = json.dumps({day: state.days[day] for day in places})
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('published_history' = '{path}', 'published_days' = '{days}')")
+    spark.catalog.refreshTable(table)
 
 
 @cache
