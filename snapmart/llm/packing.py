@@ -6,7 +6,7 @@ partition its global offset, and cuts each document where the global stream cros
 one number per partition goes through the driver. No row is shuffled in either pass; the places are part of the written
 table, so a retried task or another split of the files gives the same windows.
 
-Null and empty texts are one end-of-document id. Repeated rows are packed as often as they come. A document longer
+A text that holds the vocabulary's special token has that token's id there, as in the tokenizers library. Null and empty texts are one end-of-document id. Repeated rows are packed as often as they come. A document longer
 than a window is cut freely. An empty table gives no rows.
 """
 
@@ -27,6 +27,9 @@ from snapmart.llm.common import map_arrow, written
 WINDOW = 2048
 END_ID = 1
 
+#: Fixed value: the special token of the vocabulary, whose id is the one after the merged pieces.
+END_OF_TEXT = "<|endoftext|>"
+
 #: Spark's column batches hold many texts; so many bytes are encoded at once.
 ENCODE_BYTES = 4 << 20
 
@@ -45,7 +48,7 @@ def encoder(name: str):
         with open(public_tokenizers.path(name), "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         _encoders[name] = tiktoken.Encoding(
-            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)}
         )
     return _encoders[name]
 
@@ -63,7 +66,7 @@ def tokenized(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> Dat
                 ids, size, first = [], 0, at
                 while at < len(texts) and (size < ENCODE_BYTES or at == first):
                     text = texts[at].as_py() or ""
-                    ids.append(np.append(tokens.encode_to_numpy(text), END_ID).astype("<u2"))
+                    ids.append(np.append(tokens.encode_to_numpy(text, allowed_special="all"), END_ID).astype("<u2"))
                     size, at = size + len(text), at + 1
                 n = np.array([len(x) for x in ids], np.int64)
                 starts = before + np.cumsum(n) - n
