@@ -207,8 +207,11 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    judged = with_posterior(with_statistics(docs, text), with_statistics(docs.select(text), text))
-    # The filter must stay above the statistics: below them it would hold their expressions, each one many times over.
-    judged = judged.withColumn(f"{_P}row", F.monotonically_increasing_id())
-    return judged.where(kept() & (_c("row") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are kept, with their own columns, whatever their names.
+
+    Texts are counted once: the rows are written with their statistics, from which the rules are learned and applied.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(f"{_P}row")
+    rows = with_statistics(docs.select(row, F.col(f"`{text}`").alias("text"))).drop("text")
+    rows = written(rows, "quality")
+    return with_posterior(rows, rows).where(kept()).select(f"{_P}row.*")

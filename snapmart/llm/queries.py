@@ -115,7 +115,7 @@ def op4_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = fold(F.col("doc_id"), 4) == 2
     model = toxicity_ftrl.fit(docs, labels.where(~held_out))
-    return toxicity_ftrl.with_score(docs.select("doc_id", "text"), model).select(
+    return toxicity_ftrl.with_score(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "score", toxicity_ftrl.predicted(F.col("score")).alias("predicted")
     )
 

@@ -6,17 +6,18 @@ the value log2(1 + c). FTRL-proximal keeps a learning rate per coordinate,
 and its L1 term holds every weight at zero that isn't worth it, so the model that is broadcast is a short list.
 
 The model is fitted on a bounded sample: at most `per_class` labelled documents of each class that have a text, of which
-the first `longest` characters are read (a text's features are the only thing that grows with it). Their features go to the driver, where
-the updates run one document after the other. The bias is then moved from the sample's class shares to those of all
+the first `longest` characters are read (a text's features are the only thing that grows with it). Their features go to one
+task, where the updates run one document after the other, in an order that depends on the rows alone; only the
+sparse weights come back to the driver. The bias is then moved from the sample's class shares to those of all
 labelled documents. Scoring reads every whole text once, without a shuffle.
 
 Null and empty texts have no features and get the bias's probability. Repeated rows get the same score. Without any
-labelled document of both classes every score is 0. Other columns are ignored.
+labelled document of both classes every score is 0. Other columns are ignored; a score may not have the name of one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import CUT, label_sample, map_arrow
+from snapmart.llm.common import CUT, label_sample, map_arrow, written
 from snapmart.llm.text import Slice, Words, mix, rows_of, text_slices, words_of
 
 BITS = 20
@@ -141,24 +142,53 @@ def fit(
 ) -> Model:
     """A model of `label` (0 or 1, by doc_id in `labels`) from the texts of `docs`."""
     sample = label_sample(docs, labels, label, per_class, longest)
-    rows = map_arrow(sample, _sample_features, "y int, features binary, counts binary").collect()
-    examples = sorted((r["y"], bytes(r["features"]), bytes(r["counts"])) for r in rows)
-    ones = sum(y for y, _, _ in examples)
-    if not 0 < ones < len(examples):
+    rows = map_arrow(sample, _sample_features, "y int, features binary, counts binary")
+    learned = map_arrow(written(rows, "sample").coalesce(1), _trained(how), _LEARNED).collect()  # one row
+    if not learned:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), -np.inf)
-    weights, bias = train(
-        [(np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(c, "<u4"), y) for y, f, c in examples], how
-    )
+    found = learned[0]
     shares = {r[label]: r["count"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
-    bias += np.log(shares[1] / shares[0]) - np.log(ones / (len(examples) - ones))
-    kept = np.flatnonzero(weights)
-    return Model(kept.astype(np.int32), weights[kept].astype(np.float32), float(bias))
+    bias = found["bias"] + np.log(shares[1] / shares[0]) - np.log(found["ones"] / found["zeros"])
+    features, weights = np.frombuffer(found["features"], "<i4"), np.frombuffer(found["weights"], "<f4")
+    return Model(features.astype(np.int32), weights.astype(np.float32), float(bias))
 
 
-def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
-    """All rows and columns of `docs`, and the probability of the label."""
+_LEARNED = "features binary, weights binary, bias double, ones long, zeros long"
+
+
+def _trained(how: Ftrl) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From the whole sample in one task: the features with a weight, and the bias. No row without both classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            y, found, counts = batch.columns
+            rows += zip(y.to_pylist(), found.to_pylist(), counts.to_pylist(), strict=True)
+        rows.sort()
+        ones = sum(y for y, _, _ in rows)
+        if not 0 < ones < len(rows):
+            return
+        weights, bias = train([(np.frombuffer(f, "<i4"), np.frombuffer(c, "<u4"), y) for y, f, c in rows], how)
+        kept = np.flatnonzero(weights)
+        cells = [kept.astype("<i4").tobytes(), weights[kept].astype("<f4").tobytes(), bias, ones, len(rows) - ones]
+        names = ["features", "weights", "bias", "ones", "zeros"]
+        yield pa.RecordBatch.from_arrays([pa.array([c]) for c in cells], names=names)
+
+    return run
+
+
+def with_score(
+    docs: DataFrame, model: Model, text: str = "text", score: str = "score", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """All rows and columns of `docs`, or those named by `keep`, and the probability of the label.
+
+    Python sends only what is kept back to Spark.
+    """
+    if score in docs.columns:
+        raise ValueError(f"there is a column {score!r} already; name the score otherwise")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*docs.columns, score]
+    keep = list(docs.columns if keep is None else keep)
+    kept = [docs.columns.index(c) for c in keep]
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +203,9 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "
                 total = np.bincount(rows, dense[found] * _values(counts), len(part)) + shared.value.bias
                 with np.errstate(over="ignore"):
                     out[part.first : part.first + len(part)] = 1 / (1 + np.exp(-total))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(out)], names=[*keep, score])
 
-    fields = [*docs.schema.fields]
-    schema = docs.select(*[F.col(f"`{f.name}`") for f in fields], F.lit(0.0).alias(score)).schema
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(0.0).alias(score)).schema
     return map_arrow(docs, run, schema)
 
 

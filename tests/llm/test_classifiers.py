@@ -1,7 +1,9 @@
 """Quality, toxicity and language: held-out accuracy on the given tables, odd rows, plain versions of the scores."""
 
 import math
-from collections import Counter
+import random
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -227,3 +229,86 @@ def test_odd_rows_and_empty_tables(spark, odd):
     assert quality_knn.score(none, quality_knn.fit(odd, known)).count() == 0
     assert toxicity_ftrl.with_score(none, model).count() == 0
     assert language_ppm.predict(none, language_ppm.fit(odd)).count() == 0
+
+
+def plain_finish(x):
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ x >> 33) * factor % 2**64
+    return x ^ x >> 33
+
+
+def plain_hash(word):
+    value = sum(plain_finish(b + 1) * pow(0x9E3779B97F4A7C15, i, 2**64) for i, b in enumerate(word))
+    return plain_finish((value + len(word)) % 2**64)
+
+
+def plain_features(text):
+    """Hashed words, beginnings and pairs of a text, with log2(1 + count)."""
+    words = [w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())]
+    keys = [plain_hash(w) for w in words]
+    found = [plain_finish(k) for k in keys]
+    for size in toxicity_ftrl.BEGINNINGS:
+        found += [plain_finish((plain_hash(w[:size]) + (size << 32)) % 2**64) for w in words]
+    for distance in toxicity_ftrl.PAIR_DISTANCES:
+        for x, y in zip(keys, keys[distance:], strict=False):
+            found.append(plain_finish((x * (2 * distance + 1) + plain_finish(y)) % 2**64))
+    return Counter(f >> 64 - toxicity_ftrl.BITS for f in found)
+
+
+def plain_ftrl(examples, how):
+    """FTRL-proximal one coordinate at a time, in the operator's order of examples."""
+    z, n, bias = defaultdict(float), defaultdict(float), -1
+
+    def weight(i):
+        reach = abs(z[i]) - (0 if i == bias else how.l1)
+        return 0.0 if reach <= 0 else -math.copysign(reach, z[i]) / ((how.beta + math.sqrt(n[i])) / how.alpha + how.l2)
+
+    order = np.random.default_rng(0)
+    for _ in range(how.epochs):
+        for k in order.permutation(len(examples)):
+            y, counts = examples[k]
+            values = {i: math.log2(1 + c) for i, c in counts.items()} | {bias: 1.0}
+            w = {i: weight(i) for i in values}
+            error = 1 / (1 + math.exp(-sum(w[i] * x for i, x in values.items()))) - y
+            for i, x in values.items():
+                g = error * x
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / how.alpha * w[i]
+                n[i] += g * g
+    return {i: w for i in z if i != bias and (w := weight(i))}, weight(bias)
+
+
+def test_ftrl_agrees_with_a_plain_version(spark):
+    rng = random.Random(11)
+    clean, bad = [f"good{i}" for i in range(25)] + ["Été", "x1"], ["scum", "Idiot", "trash-talk", "verylongbadword"]
+    rows = []
+    for i in range(60):
+        words = rng.choices(clean, k=rng.randint(3, 40)) + rng.choices(bad, k=rng.randint(1, 4)) * (i % 3 == 0)
+        rng.shuffle(words)
+        rows.append((i, rng.choice([" ", ", ", "\n"]).join(words)))
+    df = spark.createDataFrame([*rows, (90, None), (91, "")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    how = toxicity_ftrl.Ftrl(l1=0.3)
+    model = toxicity_ftrl.fit(df, labels, how=how)
+    examples = [(int(i % 3 == 0), plain_features(t)) for i, t in rows]
+
+    def key(example):
+        found = sorted(example[1].items())
+        return example[0], *(np.array(c, d).tobytes() for c, d in zip(zip(*found, strict=True), ("<i4", "<u4"), strict=True))
+
+    weights, bias = plain_ftrl(sorted(examples, key=key), how)  # the sample has the shares of all labels
+    assert set(model.features.tolist()) == set(weights) and len(weights) > 20
+    assert all(w == pytest.approx(weights[f], rel=1e-4, abs=1e-6) for f, w in zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    assert model.bias == pytest.approx(bias, rel=1e-6)
+    scores = {r.doc_id: r.score for r in toxicity_ftrl.with_score(df, model, keep=["doc_id"]).collect()}
+    for i, text in [*rows, (90, None), (91, "")]:
+        total = bias + sum(weights.get(f, 0) * math.log2(1 + c) for f, c in plain_features(text).items())
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-5)
+
+
+def test_score_may_not_take_the_name_of_a_column(spark):
+    df = spark.createDataFrame([(1, "a", 0.5)], "doc_id long, text string, score double")
+    model = toxicity_ftrl.Model(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0)
+    with pytest.raises(ValueError, match="score"):
+        toxicity_ftrl.with_score(df, model)
+    out = toxicity_ftrl.with_score(df, model, score="toxicity")
+    assert [tuple(r) for r in out.collect()] == [(1, "a", 0.5, 0.5)]

@@ -50,9 +50,9 @@ def test_good_text_stays_and_loud_text_goes(spark):
 
 def test_kept_rows_have_their_own_columns(spark):
     df = docs(spark, [GOOD, "short"])
-    out = q.keep_good(df.drop("__quality_n_words"))
-    assert out.columns == ["doc_id", "text", "count"]
-    assert [r.doc_id for r in out.collect()] == [0]
+    out = q.keep_good(df.withColumn("__quality_row", df["count"]))
+    assert out.columns == ["doc_id", "text", "__quality_n_words", "count", "__quality_row"]
+    assert [(r.doc_id, r["__quality_n_words"], r["__quality_row"]) for r in out.collect()] == [(0, "extra", 0)]
 
 
 def test_empty_table(spark):
