@@ -26,8 +26,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Without the documents that are predicted to be toxic, by a model of the labelled ones outside the held-out fold."""
     labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 4) != 2)
     model = toxicity_ftrl.fit(docs, labels)
-    scored = toxicity_ftrl.with_score(docs, model, score="__toxicity")
-    return scored.where(F.col("__toxicity") < CUT).drop("__toxicity")
+    score = "toxicity" + "_" * max(map(len, docs.columns))  # longer than any column's name
+    return toxicity_ftrl.with_score(docs, model, score=score).where(F.col(score) < CUT).drop(score)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
