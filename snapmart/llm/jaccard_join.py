@@ -10,8 +10,9 @@ long ones by binary search until the required overlap is reached or out of reach
    rare to frequent, the same for all documents, so its collisions cost time but no links. It is what is broadcast.
 2. Every document becomes a class id (hash of its shingle set; copies share it), its set's size, a signature (counts of
    its shingles in SIGNATURE buckets, modulo 16) and its short lists. Copies within a task give no second set of lists.
-3. Lists are merged; those with one class are dropped. Lists that the sketch shows to be long are cut into parts by the
-   classes' hash, so no task gets an unbounded list.
+3. Lists are merged; those with one class are dropped, and so are classes that no other of their list can reach by size
+   and mark (the signature folded to MARKS counters, which travels with the lists). Lists that the sketch shows to be
+   long are cut into parts by the classes' hash, so no task gets an unbounded list.
 4. Round one tests, in each list, every class against the few before it in an order that differs from list to list: a
    number of pairs in proportion to the list's length. Signatures reject most pairs that are too far apart (the sum of
    the counts' differences never exceeds the sets' symmetric difference); the rest are tested on the whole sets.
@@ -44,6 +45,9 @@ SKETCH_BITS = 20
 #: Counters of a signature, each modulo 16 in half a byte.
 SIGNATURE = 128
 
+#: Counters of a mark, in two numbers of 64 bits.
+MARKS = 32
+
 #: Counters of a sketch in one row of the shuffle that adds them.
 _CHUNK = 4096
 
@@ -125,6 +129,12 @@ def _unpacked(packed) -> np.ndarray:
     return out
 
 
+def _nibbles(counts: np.ndarray) -> np.ndarray:
+    """Counters modulo 16, two in a byte."""
+    counts = counts % 16
+    return (counts[::2] | counts[1::2] << 4).astype(np.uint8)
+
+
 def _class(hashes: np.ndarray) -> int:
     """Signed 64-bit hash of a set; never null, and no set's order matters."""
     total = mix(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))
@@ -132,7 +142,7 @@ def _class(hashes: np.ndarray) -> int:
 
 
 def _profiles(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """doc_id, n, node (null without shingles), signature, and for a class's first row in a task its short lists."""
+    """doc_id, n, node (null without shingles), and for a class's first row in a task signature, mark and short lists."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +151,7 @@ def _profiles(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
             for part in text_slices(batch.column(1)):
                 hashes, bounds = shingle_sets(part, size)
                 often = shared.value[_buckets(hashes)]
-                nodes, signatures, short = [], [], []
+                nodes, signatures, short, folded = [], [], [], []
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                     own = hashes[a:b]
                     node = _class(own) if b > a else None
@@ -149,10 +159,12 @@ def _profiles(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
                     if b == a or node in seen:
                         signatures.append(None)
                         short.append(None)
+                        folded.append([None, None])
                         continue
                     seen.add(node)
-                    counts = np.bincount((own & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) % 16
-                    signatures.append((counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes())
+                    counts = np.bincount((own & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE)
+                    signatures.append(_nibbles(counts).tobytes())
+                    folded.append(_nibbles(counts.reshape(-1, MARKS).sum(0)).view(np.int64).tolist())
                     n = int(b - a)
                     rare = np.lexsort((own, often[a:b]))[: n - -(-percent * n // 100) + 1]
                     parts = np.maximum(often[a:b][rare].astype(np.int64) // LIST_PART, 1)
@@ -164,12 +176,13 @@ def _profiles(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
                         pa.array(np.diff(bounds).astype(np.int64)),
                         pa.array(nodes, pa.int64()),
                         pa.array(signatures, pa.binary()),
+                        *(pa.array([m[k] for m in folded], pa.int64()) for k in range(2)),
                         pa.array(lists, pa.list_(pa.struct([("token", pa.int64()), ("parts", pa.int64())]))),
                     ],
-                    names=["doc_id", "n", "node", "signature", "short"],
+                    names=["doc_id", "n", "node", "signature", "mark1", "mark2", "short"],
                 )
 
-    schema = "doc_id long, n long, node long, signature binary, short array<struct<token:long,parts:long>>"
+    schema = "doc_id long, n long, node long, signature binary, mark1 long, mark2 long, short array<struct<token:long,parts:long>>"
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
@@ -200,26 +213,65 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _merged_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of at least two classes (or parts of a cut list), without repeats, each class with those just before it."""
-    for table in _whole_lists(batches, 2):
-        token, part, parts, node = (_column(table, c) for c in ("token", "part", "parts", "node"))
-        fresh = np.ones(len(token), bool)
-        fresh[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1]) | (node[1:] != node[:-1])
-        token, part, parts, node = (x[fresh] for x in (token, part, parts, node))
-        begins = np.ones(len(token), bool)
-        begins[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(begins)
-        sizes = np.diff(np.append(first, len(token)))
-        place = np.arange(len(token)) - np.repeat(first, sizes)
-        keep = np.repeat(sizes, sizes) > 1
-        keep |= parts > 1
-        kept = np.flatnonzero(keep)
-        before = [[int(node[i - d]) for d in range(1, min(place[i], NEIGHBOURS) + 1)] for i in kept]
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(x[kept]) for x in (token, part, parts, node)), pa.array(before, pa.list_(pa.int64()))],
-            names=["token", "part", "parts", "node", "before"],
-        )
+def _merged_lists(percent: int):
+    """Lists without repeats, of the classes that another of the list can reach (all of a cut list's part), each class
+    with those of the NEIGHBOURS just before it that it can reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_lists(batches, 2):
+            token, part, parts, node, n, *folded = (
+                _column(table, c) for c in ("token", "part", "parts", "node", "n", "mark1", "mark2")
+            )
+            fresh = np.ones(len(token), bool)
+            fresh[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1]) | (node[1:] != node[:-1])
+            token, part, parts, node, n, *folded = (x[fresh] for x in (token, part, parts, node, n, *folded))
+            begins = np.ones(len(token), bool)
+            begins[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1])
+            which = np.cumsum(begins)
+            sizes = np.bincount(which)[which]
+            some = np.flatnonzero((sizes > 1) | (parts > 1))
+            token, part, parts, node, n, which, *folded = (x[some] for x in (token, part, parts, node, n, which, *folded))
+            marks = _split(np.stack(folded, 1).view(np.uint8))
+            kept = np.flatnonzero((parts > 1) | _reachable(which, n, marks, percent))
+            which, n, marks = which[kept], n[kept], marks[kept]
+            before: list[list[int]] = [[] for _ in kept]
+            for lag in range(1, NEIGHBOURS + 1):
+                here = np.flatnonzero(which[lag:] == which[:-lag]) + lag
+                for i in here[_allowed(n, marks, here, here - lag, percent)]:
+                    before[i].append(int(node[kept[i - lag]]))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x[kept]) for x in (token, part, parts, node)), pa.array(before, pa.list_(pa.int64()))],
+                names=["token", "part", "parts", "node", "before"],
+            )
+
+    return run
+
+
+def _allowed(n: np.ndarray, marks: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and marks allow the similarity."""
+    near = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+    for at in range(0, len(i), 1 << 16):
+        block = slice(at, at + (1 << 16))
+        near[block] &= ~_far(n[i[block]] + n[j[block]], _least_difference(marks[i[block]], marks[j[block]]), percent)
+    return near
+
+
+def _reachable(which: np.ndarray, n: np.ndarray, marks: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a class has another one in its list that sizes and marks allow; who has found one asks no more."""
+    order = np.lexsort((n, which))
+    which, n, marks = which[order], n[order], marks[order]
+    found = np.zeros(len(n), bool)
+    here, lag = np.arange(len(n)), 0
+    while len(here):
+        lag += 1
+        here = here[here + lag < len(n)]
+        here = here[(which[here + lag] == which[here]) & (100 * n[here] >= percent * n[here + lag])]
+        ask = here[~(found[here] & found[here + lag])]
+        good = ask[_allowed(n, marks, ask, ask + lag, percent)]
+        found[good] = found[good + lag] = True
+    out = np.zeros(len(n), bool)
+    out[order] = found
+    return out
 
 
 def _far(sum_of_sizes: np.ndarray, difference: np.ndarray, percent: int) -> np.ndarray:
@@ -228,7 +280,10 @@ def _far(sum_of_sizes: np.ndarray, difference: np.ndarray, percent: int) -> np.n
 
 
 def _signatures(column) -> np.ndarray:
-    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE // 2)
+    return _split(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE // 2))
+
+
+def _split(packed: np.ndarray) -> np.ndarray:
     return np.concatenate([packed & 15, packed >> 4], axis=1).astype(np.int8)
 
 
@@ -380,18 +435,21 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
         "classes",
     )
     postings = profiles.where(F.col("short").isNotNull()).select(
-        "node", F.explode("short").alias("s")
+        "node", "n", "mark1", "mark2", F.explode("short").alias("s")
     ).select(
         F.col("s.token").alias("token"),
         F.pmod(F.xxhash64("s.token", "node"), F.col("s.parts")).cast("int").alias("part"),
         F.col("s.parts").cast("int").alias("parts"),
         "node",
+        "n",
+        "mark1",
+        "mark2",
     )
     sorted_postings = postings.repartition("token", "part").sortWithinPartitions(
         "token", "part", F.xxhash64("token", "node"), "node"
     )
     lists = written(
-        map_arrow(sorted_postings, _merged_lists, "token long, part int, parts int, node long, before array<long>"),
+        map_arrow(sorted_postings, _merged_lists(percent), "token long, part int, parts int, node long, before array<long>"),
         "lists",
     )
 
