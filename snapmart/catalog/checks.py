@@ -405,3 +405,24 @@ def _model_tests_sql() -> str:
 @query("model_tests", _model_tests_sql())
 def model_tests(t: Tables):
     return quality.model_tests(models(t))
+
+
+@query(
+    "failing_rows",
+    """
+WITH failed AS (
+  SELECT 'missing_count(price) = 0' AS check_name, o_orderkey::VARCHAR AS failing_key, 1::BIGINT AS row_count
+  FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT 'min(price) >= 1500', o_orderkey::VARCHAR, 1 FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice < 1500
+  UNION ALL SELECT 'customer + day should be unique', o_custkey || ' | ' || o_orderdate::DATE, count(*) FROM orders
+  GROUP BY o_custkey, o_orderdate::DATE HAVING count(*) > 1)
+SELECT 'orders' AS table_name, 'all' AS partition_name, check_name, failing_key, row_count FROM failed
+QUALIFY row_number() OVER (PARTITION BY check_name ORDER BY failing_key) <= 100""",
+)
+def failing_rows(t: Tables):
+    """The least hundred keys behind each failed check of the orders."""
+    price = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price")
+    day = F.col("o_orderdate").cast("date").alias("day")
+    orders = t["orders"].select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), day, price)
+    checks = [*quality.no_missing("id", "price"), quality.Check("minimum", ("price",), 1500), quality.Check("unique", ("customer", "day"))]
+    return quality.failing_rows({"orders": orders}, {"orders": checks}, {"orders": ["id"]})

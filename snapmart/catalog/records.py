@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from snapmart.catalog.registry import Tables, query, ts_sql
 from snapmart.operators.nested import drop_columns, explode_flatten, explode_list, flatten
 from snapmart.session import shared_dir
-from snapmart.sources.files import read_csv, write_csv
+from snapmart.sources.files import read_csv, read_csv_split, write_csv
 from snapmart.sources.payloads import (
     derive_quotes,
     first_source_keys,
@@ -123,6 +123,15 @@ def csv_roundtrip(t: Tables):
     return read_csv(t.spark, path, documents.schema)
 
 
+@query("csv_split", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_split(t: Tables):
+    """The same with files that several tasks read, each a range of bytes that may begin inside a text."""
+    documents = t["documents"].select("doc_id", "text", "lang", "source", "n_chars")
+    path = shared_dir(t.spark, "csv")
+    write_csv(documents, path)
+    return read_csv_split(t.spark, path, documents.schema)
+
+
 @query(
     "staging_load",
     """

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import escape_markup, hours_between, moment
-from snapmart.operators.aggregates import duplicate_keys, joined_names
+from snapmart.operators.aggregates import duplicate_keys, duplicate_values, joined_names
 from snapmart.operators.history import STAMP
 from snapmart.operators.joins import orphans
 from snapmart.operators.latest import latest_batch
+from snapmart.operators.ranking import top_k, top_per_group
 
 WHOLE = "all"
 LATEST = "latest"
@@ -207,6 +208,82 @@ def run_checks(
     return out
 
 
+#: So many failing rows of a check are reported.
+FAILED_ROWS = 100
+
+_ROW_KINDS = ("missing_count", "minimum")
+
+
+def _key_text(columns: Sequence[str]) -> Column:
+    return F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
+
+
+def failing_rows(
+    tables: Mapping[str, DataFrame],
+    checks: Mapping[str, Sequence[Check]],
+    keys: Mapping[str, Sequence[str]],
+    at: str | Mapping[str, str] = STAMP,
+    day: str | None = None,
+    limit: int = FAILED_ROWS,
+) -> DataFrame:
+    """The rows behind failed checks: table_name, partition_name, check_name, failing_key and row_count.
+
+    For checks that a single row can fail (missing_count, minimum) the key of the row, as ``keys`` names its columns; for
+    uniqueness the key that comes more than once, with its rows. Of each check the ``limit`` least keys, as text. All row
+    checks of a table partition are one scan, and the limit holds in every task before rows are moved.
+    """
+    parts: list[DataFrame] = []
+    for table, rules in checks.items():
+        stamp_column = at if isinstance(at, str) else at.get(table, STAMP)
+        for partition in dict.fromkeys(c.partition for c in rules):
+            df = tables[table] if partition == WHOLE else latest_batch(tables[table], stamp_column, day)
+            mine = [c for c in rules if c.partition == partition]
+            by_row = [c for c in mine if c.kind in _ROW_KINDS]
+            if by_row:
+                failed = F.filter(F.array(*[F.when(_row_fails(c), F.lit(c.name)) for c in by_row]), lambda name: name.isNotNull())
+                rows = df.select(_key_text(keys[table]).alias("failing_key"), F.explode(failed).alias("check_name"))
+                rows = top_per_group(rows, ["check_name"], [F.col("failing_key")], limit)
+                parts.append(_failing(rows.withColumn("row_count", F.lit(1).cast("bigint")), table, partition))
+            for rule in (c for c in mine if c.kind == "unique"):
+                groups = duplicate_keys(df, rule.columns).withColumn("failing_key", _key_text(rule.columns))
+                groups = top_k(groups, [F.col("failing_key")], limit).withColumn("check_name", F.lit(rule.name))
+                parts.append(_failing(groups, table, partition))
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _row_fails(check: Check) -> Column:
+    column = F.col(check.columns[0])
+    return column.isNull() if check.kind == "missing_count" else column < check.limit
+
+
+def _failing(rows: DataFrame, table: str, partition: str) -> DataFrame:
+    return rows.select(
+        F.lit(table).alias("table_name"), F.lit(partition).alias("partition_name"), "check_name", "failing_key", "row_count"
+    )
+
+
+def offending_keys(models: Mapping[str, DataFrame]) -> DataFrame:
+    """All keys that break a model test, as (model, test, failing_key): repeated values, references without a
+    target, and repeated pairs of the bridge."""
+    parts = [
+        duplicate_values(models[m], c).select(F.lit(m).alias("model"), F.lit("unique").alias("test"), _key_text([c]).alias("failing_key"))
+        for m, c in UNIQUE_COLUMNS
+    ]
+    for m, c, to in REFERENCES:
+        lost = orphans(models[m], c, models[to], c).select(c).distinct()
+        parts.append(lost.select(F.lit(m).alias("model"), F.lit("relationships").alias("test"), _key_text([c]).alias("failing_key")))
+    pairs = duplicate_keys(models["bridge_category_coin"], BRIDGE_PAIR)
+    names = F.lit("bridge_category_coin").alias("model"), F.lit("unique_pair").alias("test")
+    parts.append(pairs.select(*names, _key_text(BRIDGE_PAIR).alias("failing_key")))
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 def alert_digest(results: DataFrame) -> DataFrame:
     """Failed checks per table as one escaped text; bounded by the number of declared checks."""
     failed = results.where(F.col("outcome") != "pass")
@@ -214,23 +291,26 @@ def alert_digest(results: DataFrame) -> DataFrame:
     return digest.select("table_name", F.col("n_names").alias("n_failed"), escape_markup("names").alias("failed_checks"))
 
 
+# Tested columns of the models, the models that hold the referenced keys, and the bridge's key.
+UNIQUE_COLUMNS = (
+    ("dim_coins", "coin_id"),
+    ("dim_categories", "category_id"),
+    ("fact_coin_market", "coin_id"),
+    ("vw_market_overview_daily", "snapshot_date"),
+    ("vw_coin_explorer", "coin_id"),
+    ("vw_sector_performance", "category_id"),
+)
+REFERENCES = (
+    ("fact_coin_market", "coin_id", "dim_coins"),
+    ("bridge_category_coin", "category_id", "dim_categories"),
+    ("bridge_category_coin", "coin_id", "dim_coins"),
+)
+BRIDGE_PAIR = ("category_id", "coin_id")
+
+
 def model_tests(models: Mapping[str, DataFrame]) -> DataFrame:
     """Offending rows per model test: unique, not_null, relationships and the bridge's pair key."""
-    # Tested columns of the models, and the models that hold the referenced keys.
-    unique_columns = [
-        ("dim_coins", "coin_id"),
-        ("dim_categories", "category_id"),
-        ("fact_coin_market", "coin_id"),
-        ("vw_market_overview_daily", "snapshot_date"),
-        ("vw_coin_explorer", "coin_id"),
-        ("vw_sector_performance", "category_id"),
-    ]
-    filled_columns = [*unique_columns, ("bridge_category_coin", "category_id"), ("bridge_category_coin", "coin_id")]
-    references = [
-        ("fact_coin_market", "coin_id", "dim_coins"),
-        ("bridge_category_coin", "category_id", "dim_categories"),
-        ("bridge_category_coin", "coin_id", "dim_coins"),
-    ]
+    filled_columns = [*UNIQUE_COLUMNS, ("bridge_category_coin", "category_id"), ("bridge_category_coin", "coin_id")]
 
     def result(df: DataFrame, model: str, test: str, column: str) -> DataFrame:
         return df.agg(F.count("*").alias("failures")).select(
@@ -246,18 +326,16 @@ def model_tests(models: Mapping[str, DataFrame]) -> DataFrame:
             F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("empty"),
         )
         tests = [F.struct(F.lit("not_null").alias("test"), F.col("empty").alias("failures"))]
-        if (model, column) in unique_columns:
+        if (model, column) in UNIQUE_COLUMNS:
             tests.append(F.struct(F.lit("unique").alias("test"), F.col("repeated").alias("failures")))
         return found.select(F.explode(F.array(*tests)).alias("t")).select(
             F.lit(model).alias("model"), "t.test", F.lit(column).alias("column_name"), "t.failures"
         )
 
     parts = [column_tests(m, c) for m, c in filled_columns]
-    parts += [result(orphans(models[m], c, models[to], c), m, "relationships", c) for m, c, to in references]
-    pair = ["category_id", "coin_id"]
-    parts.append(
-        result(duplicate_keys(models["bridge_category_coin"], pair), "bridge_category_coin", "unique_pair", "+".join(pair))
-    )
+    parts += [result(orphans(models[m], c, models[to], c), m, "relationships", c) for m, c, to in REFERENCES]
+    pairs = duplicate_keys(models["bridge_category_coin"], BRIDGE_PAIR)
+    parts.append(result(pairs, "bridge_category_coin", "unique_pair", "+".join(BRIDGE_PAIR)))
     out = parts[0]
     for df in parts[1:]:
         out = out.unionByName(df)

@@ -18,7 +18,7 @@ from snapmart.plans import core, marts
 from snapmart.plans.staging import staged
 from snapmart.plans.views import create_views, staging_view, view_sql
 from snapmart.schemas import DATASETS, DataSet, datasets_of, record_schema
-from snapmart.sources.files import read_csv_text, write_csv
+from snapmart.sources.files import read_csv_split, write_csv
 from snapmart.sources.payloads import (
     derive_quotes,
     land_records,
@@ -149,12 +149,12 @@ def ingest_dataset(spark: SparkSession, layout: Layout, name: str) -> None:
 
 
 def import_csv(spark: SparkSession, layout: Layout, name: str, path: str, run_ts: datetime) -> None:
-    """Load a CSV file with header into its staging table, by column name.
+    """Load a CSV file with header into its staging table, by column name; a large file is read by several tasks.
 
     A history keeps its stamps, and each of its days is replaced; one that predates stamping is stamped
     with this run. A current-state table is replaced as a unit. A missing file is an error.
     """
-    rows = read_csv_text(spark, path)
+    rows = read_csv_split(spark, path)
     if DATASETS[name].historical:
         replace_days(conform(backfill_stamp(rows, run_ts), staging_schema(name)), layout.history(name))
     else:

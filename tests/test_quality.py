@@ -122,3 +122,46 @@ def test_run_log_panels(spark):
     assert latest == [("a", "failed", None), ("a", "success", 2.6), ("b", "success", 60.0)]
     rates = panels.run_success(runs, datetime(2024, 5, 1), datetime(2024, 5, 2)).collect()
     assert [(r["job_id"], r["total_runs"], r["success_rate_pct"]) for r in rates] == [("a", 3, 33.3)]
+
+
+def test_failing_rows_are_named(spark, as_rows):
+    rows = [(1, 5.0, "a"), (2, None, "a"), (None, -1.0, "b"), (4, -2.0, None), (2, -3.0, "a")]
+    df = spark.createDataFrame(rows, "id int, price double, name string")
+    checks = {"t": [*quality.no_missing("price", "name"), quality.Check("minimum", ("price",), 0), quality.Check("unique", ("id", "name")), quality.rows_above(9)]}
+    found = quality.failing_rows({"t": df}, checks, {"t": ["id", "name"]})
+    assert as_rows(found, "check_name", "failing_key", "row_count") == [
+        ("id + name should be unique", "2 | a", 2),
+        ("min(price) >= 0", "2 | a", 1),
+        ("min(price) >= 0", "4 | null", 1),
+        ("min(price) >= 0", "null | b", 1),
+        ("missing_count(name) = 0", "4 | null", 1),
+        ("missing_count(price) = 0", "2 | a", 1),
+    ]
+    few = quality.failing_rows({"t": df}, checks, {"t": ["id", "name"]}, limit=1)
+    assert as_rows(few, "check_name", "failing_key")[1] == ("min(price) >= 0", "2 | a") and few.count() == 4
+
+
+def test_offending_keys_of_the_models(spark, as_rows):
+    def ids(name, *values):
+        return spark.createDataFrame([(v,) for v in values], f"{name} int")
+
+    bridge = spark.createDataFrame([(1, 7), (1, 7), (2, 8), (3, 9), (3, 9), (3, 9)], "category_id int, coin_id int")
+    models = {
+        "dim_coins": ids("coin_id", 7, 8, 8, None),
+        "dim_categories": ids("category_id", 1, 2),
+        "fact_coin_market": ids("coin_id", 7, 5, 5),
+        "vw_market_overview_daily": ids("snapshot_date", 1, 2),
+        "vw_coin_explorer": ids("coin_id", 7),
+        "vw_sector_performance": ids("category_id", 1, 1),
+        "bridge_category_coin": bridge,
+    }
+    assert as_rows(quality.offending_keys(models)) == [
+        ("bridge_category_coin", "relationships", "3"),
+        ("bridge_category_coin", "relationships", "9"),
+        ("bridge_category_coin", "unique_pair", "1 | 7"),
+        ("bridge_category_coin", "unique_pair", "3 | 9"),
+        ("dim_coins", "unique", "8"),
+        ("fact_coin_market", "relationships", "5"),
+        ("fact_coin_market", "unique", "5"),
+        ("vw_sector_performance", "unique", "1"),
+    ]
