@@ -229,3 +229,18 @@ def entity_payloads(t: Tables):
     paths = [f"{root}/shard={k}" for k in range(4)]
     found = read_entity_payloads(t.spark, paths, record_schema("categories"), whole_file=False)
     return found.select(F.col("id").cast("bigint").alias("id"), "name", "title")
+
+
+@query(
+    "limited_quotes",
+    """
+SELECT event_id AS id, 'User ' || user_id AS name, (value::DECIMAL(18,2) * 1000)::DOUBLE AS market_cap
+FROM (SELECT * FROM events ORDER BY event_id LIMIT 700) WHERE event_type <> 'error'""",
+)
+def limited_quotes(t: Tables):
+    """Quotes of the first 700 listings in the order in which all events were landed, one line each."""
+    layout = new_layout(t)
+    land_lines(event_listings(t).orderBy("id"), layout, "listings_latest")
+    land_quotes(t.spark, layout, limit=700)
+    load_dataset(t.spark, layout, DATASETS["quotes"], RUN)
+    return read_history(t.spark, layout.history("quotes")).selectExpr("id", "name", "quote_market_cap as market_cap")

@@ -91,6 +91,16 @@ def _newest_run(spark: SparkSession, path: str, state: State, before: datetime |
     return None
 
 
+def newest_batch(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of the newest run with stamp and day: ``latest_batch`` of a stored history, without looking for it."""
+    state = stored_state(spark, path)
+    newest = _newest_run(spark, path, state, None)
+    if newest is None:
+        return None
+    rows = _read_days(spark, path, {newest[0].isoformat(): state.days[newest[0].isoformat()]})
+    return rows.where(F.col(STAMP) == moment(newest[1]))
+
+
 def newest_snapshot(
     spark: SparkSession, path: str, before: datetime | None = None, state: State | None = None
 ) -> DataFrame | None:

@@ -181,19 +181,25 @@ def run_checks(
     as_of: datetime,
     at: str | Mapping[str, str] = STAMP,
     day: str | None = None,
+    latest: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Results of all checks: one aggregate per table partition, one grouped count per uniqueness rule.
 
     ``at`` is the stamp that marks the latest partition (one name, or one per table); ``day`` the
-    partition column of the histories, if they have one. A check without a measure (empty table)
-    fails. Nothing stops on failure: the result is a report.
+    partition column of the histories, if they have one; ``latest`` the newest batches where they are known, as from
+    ``newest_batches``. A check without a measure (empty table) fails. Nothing stops on failure: the result is a report.
     """
     now = moment(as_of)
     parts: list[DataFrame] = []
     for table, rules in checks.items():
         stamp_column = at if isinstance(at, str) else at.get(table, STAMP)
         for partition in dict.fromkeys(c.partition for c in rules):
-            df = tables[table] if partition == WHOLE else latest_batch(tables[table], stamp_column, day)
+            if partition == WHOLE:
+                df = tables[table]
+            elif table in (latest or {}):
+                df = latest[table]
+            else:
+                df = latest_batch(tables[table], stamp_column, day)
             mine = [c for c in rules if c.partition == partition]
             simple = [c for c in mine if c.kind != "unique"]
             if simple:

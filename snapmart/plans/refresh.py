@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType, TimestampNTZType
 
-from snapmart.operators.history import backfill_stamp, commit_snapshot, read_history, replace_days
+from snapmart.operators.history import backfill_stamp, commit_snapshot, newest_batch, read_history, replace_days
 from snapmart.operators.latest import DAY
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
@@ -23,6 +23,7 @@ from snapmart.sources.payloads import (
     derive_quotes,
     land_records,
     merge_keyed,
+    placed,
     read_entity_payloads,
     read_if_landed,
     read_keyed_envelope,
@@ -92,11 +93,14 @@ def land_quotes(spark: SparkSession, layout: Layout, limit: int | None = None) -
 
 
 def land_lines(records: DataFrame, layout: Layout, name: str) -> None:
-    """Land records as one envelope per line: an array of one record, or a map of one for a keyed payload."""
+    """Land records as one envelope per line: an array of one record with its place in source order, or a map of one for
+    a keyed payload, whose records have no order."""
     record = F.struct(*records.columns)
-    keyed = DATASETS[name].keyed
-    data = F.create_map(F.col("id").cast("string"), record) if keyed else F.array(record)
-    land_records(records.select(data.alias("data")), layout.payload(name))
+    if DATASETS[name].keyed:
+        lines = records.select(F.create_map(F.col("id").cast("string"), record).alias("data"))
+    else:
+        lines = placed(records.select(F.array(record).alias("data"))).select("place", "data")
+    land_records(lines, layout.payload(name))
 
 
 def land_entities(spark: SparkSession, layout: Layout, name: str, paths: Sequence[str]) -> None:
@@ -203,6 +207,17 @@ def staging_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return tables
 
 
+def newest_batches(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The newest run of each history. Its day and time come from the history's state, so no other day is looked at;
+    a history without a load is an empty table."""
+    found = {}
+    for name, dataset in DATASETS.items():
+        if dataset.historical:
+            rows = newest_batch(spark, layout.history(name))
+            found[name] = rows if rows is not None else spark.createDataFrame([], stored_schema(name, DAY))
+    return found
+
+
 Model = Callable[["Models"], DataFrame]
 
 # Namespace and materialisation of each model. Intermediate models and marts are views;

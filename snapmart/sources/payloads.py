@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapmart.schemas import USD_FIELDS, USD_QUOTE_ID, USD_SYMBOL
+from snapmart.session import shared_dir
 
 
 def _data_or_error() -> Column:
@@ -18,20 +19,41 @@ def _data_or_error() -> Column:
 
 
 def _read(spark: SparkSession, paths: str | Sequence[str], data_type: str, whole_file: bool) -> DataFrame:
-    return spark.read.schema(f"data {data_type}").option("multiLine", whole_file).json(paths)
+    return spark.read.schema(f"place bigint, data {data_type}").option("multiLine", whole_file).json(paths)
 
 
 def read_envelope(
     spark: SparkSession, paths: str | Sequence[str], record: StructType, whole_file: bool = True
 ) -> DataFrame:
-    """Records of the ``data`` array, with their position in it as ``_pos``.
+    """Records of the ``data`` array, with their place in the payload as ``_pos``: the position in the array, counted from
+    the envelope's ``place`` if it has one (see ``placed``).
 
     A payload without ``data`` fails the query with its path. With ``whole_file`` a document may span
     lines (an API response, bounded by its request limit); otherwise each line is one envelope and
     files are split over tasks.
     """
     raw = _read(spark, paths, f"array<{record.simpleString()}>", whole_file)
-    return raw.select(F.posexplode(_data_or_error()).alias("_pos", "_record")).select("_pos", "_record.*")
+    records = raw.select("place", F.posexplode(_data_or_error()).alias("_at", "_record"))
+    return records.select((F.coalesce("place", F.lit(0).cast("bigint")) + F.col("_at")).alias("_pos"), "_record.*")
+
+
+def placed(records: DataFrame, name: str = "place") -> DataFrame:
+    """Records with their number in source order, from 0, over all files and tasks.
+
+    The rows are written with their numbers within the task that read them, so that both passes see the same tasks.
+    The running sums of the tasks' row counts, one row a task, are the places at which their numbers begin. No row is
+    sorted or moved.
+    """
+    spark, copy = records.sparkSession, shared_dir(records.sparkSession, "placed")
+    numbered = records.withColumn("_id", F.monotonically_increasing_id())
+    numbered.write.parquet(copy)
+    numbered = spark.read.schema(numbered.schema).parquet(copy)
+    task, own = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = numbered.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    joined = numbered.withColumn("_task", task).join(F.broadcast(starts), "_task")
+    return joined.select(*[F.col(f"`{c}`") for c in records.columns], (F.col("_start") + own).alias(name))
 
 
 def read_keyed_envelope(
@@ -90,8 +112,9 @@ def merge_keyed(batches: Sequence[DataFrame], key: str) -> DataFrame:
 
 
 def derive_quotes(listings: DataFrame, limit: int | None = None) -> DataFrame:
-    """Quote records from listing records with a non-empty USD quote; with a ``limit``, from the first so many
-    records of each payload document, before quotes are looked at. ``minted_market_cap`` comes from the record, the rest from the quote."""
+    """Quote records from listing records with a non-empty USD quote; with a ``limit``, from the first so many records of
+    the payload in source order (of each, if several documents are read), before quotes are looked at.
+    ``minted_market_cap`` comes from the record, the rest from the quote."""
     if limit is not None:
         listings = listings.where(F.col("_pos") < limit)
     usd = F.col("quote.USD")

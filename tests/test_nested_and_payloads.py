@@ -160,3 +160,24 @@ def test_cadence_groups():
     assert len(datasets_of(None)) == 6
     with pytest.raises(ValueError, match="unknown group 'hourly'"):
         datasets_of("hourly")
+
+
+def test_lines_and_documents_have_the_same_places(spark, tmp_path):
+    from snapmart.plans.refresh import Layout, land_lines
+    from snapmart.schemas import record_schema
+    from snapmart.sources.payloads import derive_quotes, placed, read_envelope
+    from tests.market import land, listing
+
+    records = [listing(k, k, 1.0 * k, quoted=k % 3 > 0) for k in range(1, 41)]
+    land(tmp_path, "document", records)
+    schema = record_schema("listings_latest")
+    document = read_envelope(spark, str(tmp_path / "document"), schema)
+    layout = Layout(str(tmp_path), str(tmp_path))
+    land_lines(document.drop("_pos").repartitionByRange(7, "id").sortWithinPartitions("id"), layout, "listings_latest")
+    lines = read_envelope(spark, layout.payload("listings_latest"), schema, whole_file=False)
+    assert sorted((r["_pos"], r["id"]) for r in lines.collect()) == [(k, k + 1) for k in range(40)]
+    for limit in (None, 0, 1, 13, 99):
+        found = [sorted(r["id"] for r in derive_quotes(df, limit).collect()) for df in (document, lines)]
+        assert found[0] == found[1] == [k for k in range(1, 41) if k % 3 and (limit is None or k <= limit)]
+    numbers = placed(spark.range(1000).repartition(9).where("id % 7 > 0"))
+    assert sorted(r["place"] for r in numbers.collect()) == list(range(numbers.count()))

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 
 from snapmart.operators.history import read_history
+from snapmart.operators.latest import latest_batch
 from snapmart.plans import charts, panels, quality
 from snapmart.plans.refresh import (
     Layout,
@@ -15,6 +16,7 @@ from snapmart.plans.refresh import (
     land_entities,
     land_keyed_batches,
     load_group,
+    newest_batches,
     run_pipeline,
     staging_tables,
 )
@@ -231,6 +233,17 @@ def test_declared_checks_over_staging(spark, layout, market):
     assert outcome["quotes", "latest", "id + quote_id + inserted_at should be unique"] == "pass"
 
 
+def test_newest_batches_are_read_from_their_day_only(spark, layout, market, as_rows):
+    latest = newest_batches(spark, layout)
+    tables = staging_tables(spark, layout)
+    for name, rows in latest.items():
+        assert as_rows(rows, *tables[name].columns) == as_rows(latest_batch(tables[name], "inserted_at", "snapshot_date"), *tables[name].columns)
+        assert len({f.split("snapshot_date=")[1][:10] for f in rows.inputFiles()}) == 1
+    as_of = datetime(2024, 5, 5)
+    asked = [quality.run_checks(tables, quality.MARKET_CHECKS, as_of, day="snapshot_date", latest=x) for x in (None, latest)]
+    assert as_rows(asked[0], "table_name", "check_name", "outcome") == as_rows(asked[1], "table_name", "check_name", "outcome")
+
+
 def test_panels_over_staging(spark, layout, market):
     tables = staging_tables(spark, layout)
     watch = panels.market_watch(tables, day="snapshot_date")
