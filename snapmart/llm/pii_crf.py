@@ -7,7 +7,9 @@ an entity is scored as a whole for each kind: its digits, separators, check digi
 programming over the atoms chooses boundaries and kinds together; atoms under a fixed span are left to it.
 
 The weights maximise the conditional likelihood (forward and backward sums over all segmentations, gradient steps) of
-the fixed spans on a bounded sample of texts: at most SAMPLE texts of up to LONGEST characters. Stretches are first
+the fixed spans on a bounded sample: at most SAMPLE texts, and of one text with more than LONGEST characters the stretches
+in LONGEST / WINDOW of its windows, spread over the text by hash. Stretches are cut beside spans into parts of about
+PART characters, first
 reduced to their shapes and counted. Each is also shown with the check digit and the plus sign hidden, so that the model
 doesn't only learn the patterns again. About a hundred weights are broadcast. Whole texts are searched, without a shuffle.
 
@@ -19,6 +21,8 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +37,7 @@ from snapmart.llm.common import map_arrow
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 24
 SAMPLE, LONGEST = 3000, 20_000
+WINDOW, PART = 2000, 200
 
 #: Gradient steps, their size, the pull of weights to zero, and the weight of an example with hidden features.
 STEPS, RATE, DECAY, HIDDEN = 60, 0.5, 1e-3, 0.3
@@ -328,6 +333,28 @@ def _packed(spans: list[list[Span]]) -> pa.Array:
     return pa.array([[{"kind": k, "start": a, "end": b} for a, k, b in s] for s in spans], _SPAN_TYPE)
 
 
+def _parts(a: int, b: int, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """A stretch in parts of at most PART characters, or up to the end of the span that a cut would divide."""
+    while b - a > PART:
+        cut = a + PART
+        for p, _, q in base:
+            if p < cut < q:
+                cut = p if p > a else q
+        yield a, cut
+        a = cut
+    if b > a:
+        yield a, b
+
+
+def _windows(text: str, longest: int) -> set[int] | None:
+    """The windows of a long text that are learned from: those with the least hashes, so that they spread over it."""
+    if len(text) <= longest:
+        return None
+    own = zlib.crc32(text.encode("utf-8", "replace"))
+    order = sorted(range(-(-len(text) // WINDOW)), key=lambda k: (zlib.crc32(f"{own}:{k}".encode()), k))
+    return set(order[: max(1, longest // WINDOW)])
+
+
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, longest: int = LONGEST) -> Model:
     """Weights from the fixed spans of a sample of the texts with a digit or `@`, chosen by the texts' hashes."""
 
@@ -335,12 +362,15 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, longest: int
         for batch in batches:
             found: Counter = Counter()
             for value in batch.column(0).to_pylist():
-                base = base_spans(value)
-                for a, b in stretches(value):
-                    if b - a <= 200:
-                        inside = tuple((p - a, k, q - a) for p, k, q in base if a <= p and q <= b)
-                        left, right = _beside(value, a, b)
-                        found[_shape(left), _shape(value[a:b]), _shape(right), inside] += 1
+                base, chosen = sorted(base_spans(value)), _windows(value, longest)
+                begins = [p for p, _, _ in base]
+                for first, last in stretches(value):
+                    near = base[bisect_left(begins, first) : bisect_left(begins, last)]
+                    for a, b in _parts(first, last, near):
+                        if chosen is None or a // WINDOW in chosen:
+                            inside = tuple((p - a, k, q - a) for p, k, q in near if a <= p and q <= b)
+                            left, right = _beside(value, a, b)
+                            found[_shape(left), _shape(value[a:b]), _shape(right), inside] += 1
             keys = [(x, t, y, list(spans)) for x, t, y, spans in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -352,7 +382,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, longest: int
             )
 
     value = F.col(text)
-    texts = docs.where(value.rlike("[0-9@]") & (F.length(value) <= longest))
+    texts = docs.where(value.rlike("[0-9@]"))
     texts = texts.select(value.alias("text"), F.xxhash64(value).alias("hash"))
     # The sample's largest hash first, from hashes alone: so no task gets more texts than are wanted.
     last = texts.select("hash").distinct().orderBy("hash").limit(sample).agg(F.max("hash")).first()[0]

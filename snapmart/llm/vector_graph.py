@@ -11,7 +11,8 @@ Vectors of each length are dealt to shards of their own. A query is searched in
 vectors in double precision. A shard's queries come as a stream of batches, so a task holds one shard and one batch.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id. A vector's
-neighbours are among the vectors of its own length. Equal scores are ranked by the smaller id. Rows that repeat an id count once. A table with
+neighbours are among the vectors of its own length. Equal scores are ranked by the smaller id. Rows that repeat an id count once, with the least of their vectors by its
+components. A table with
 fewer candidates than asked for gives all of them (small shards are compared whole). Other columns are ignored.
 """
 
@@ -326,6 +327,15 @@ _TYPES = (pa.int64(), pa.int64(), pa.float64())
 
 def nearest(vectors: DataFrame, is_query: Column, shown: int = 20) -> DataFrame:
     """For the rows of `vectors` (vec_id, embedding) that are queries, their nearest other rows."""
-    rows = usable(vectors)
-    queries = rows.where(is_query).dropDuplicates(["vec_id"])
-    return search(build(rows, shown), queries, shown)
+    rows = _once(usable(vectors))
+    asked = vectors.where(is_query).select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
+    return search(build(rows, shown), rows.join(asked, "vec_id", "left_semi"), shown)
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row for each id: of unequal vectors with the same id the least one, whatever the order of the rows."""
+    twice = written(rows.groupBy("vec_id").count().where("count > 1").select("vec_id"), "repeated")
+    if twice.isEmpty():
+        return rows
+    least = rows.join(twice, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.join(twice, "vec_id", "left_anti").unionByName(least)

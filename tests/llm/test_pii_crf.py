@@ -123,3 +123,17 @@ def test_given_documents(spark):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) <= set(r.spans.split(",")) or not joined
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for _, x, _ in want) for k in p.KINDS)
+
+
+def test_long_texts_and_long_stretches_are_learned_from(spark):
+    item = "a.b@mail.example.com 10.20.30.40 4111 1111 1111 1111 +49 30 1234567 "
+    texts = [(i, (item * (31_200 // len(item) + 1))[:31_200] + str(i)) for i in range(20)]
+    model = p.fit(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert len(model.weights) > 10
+    spans = p.base_spans(texts[0][1])
+    for a, b in p.stretches(texts[0][1]):
+        parts = list(p._parts(a, b, sorted(spans)))
+        assert parts[0][0] == a and parts[-1][1] == b and all(x[1] == y[0] for x, y in zip(parts, parts[1:], strict=False))
+        assert not [s for s in spans for x, y in parts if s[0] < y < s[2]]
+        assert max(y - x for x, y in parts) <= p.PART
+    assert len(p._windows("x" * 100_000, 20_000)) == 10 and p._windows("x", 20_000) is None

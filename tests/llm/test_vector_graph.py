@@ -83,3 +83,12 @@ def test_every_length_has_its_own_shards(spark, monkeypatch):
     assert set(got) == set(want)
     assert all(size[v] == size[q] for q, near in got.items() for v, _ in near)
     assert all([v for v, _ in got[q]] == [v for v, _ in want[q]] for q in want)
+
+
+def test_repeated_ids_take_the_least_vector_in_any_order(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.1, 0.9]), (1, [0.9, 0.1]), (20, None)]
+    found = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(2)
+        found.append(sorted(tuple(r) for r in vector_graph.nearest(df, F.col("vec_id") % 20 == 0, 2).collect()))
+    assert found[0] == found[1] == [(0, 1, 2, pytest.approx(0.9)), (0, 2, 1, pytest.approx(0.1))]
