@@ -5,8 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from snapmart.operators import ranking
 from snapmart.operators.latest import latest_batch, latest_per_key, latest_per_key_day, latest_whole_rows
-from snapmart.operators.ranking import rank_in_group, top_k, top_per_group, with_previous
+from snapmart.operators.ranking import rank_in_group, rank_pieces, top_k, top_per_group, with_previous
 
 D = datetime
 
@@ -116,13 +117,50 @@ def test_full_rank_of_only_nulls(spark):
     assert sorted((r["k"], r["rank"]) for r in rank_in_group(df, ["g"], "v", "k").collect()) == [(1, 1), (2, 2)]
 
 
-def test_full_rank_splits_a_hot_group(spark):
-    """No window partition may hold more than a few pieces' worth of rows."""
-    df = spark.range(10_000).select(F.lit(1).alias("g"), F.lit(5.0).alias("v"), F.col("id").alias("k"))
+@pytest.mark.parametrize(
+    "value, key",
+    [
+        ("5.0D", "id"),
+        ("id % 3 * 1.0D", "CAST(NULL AS BIGINT)"),
+        ("CAST(NULL AS DOUBLE)", "7"),
+    ],
+)
+def test_full_rank_splits_a_hot_group(spark, value, key):
+    """One group with all rows but ten, equal values, equal and null ties: no piece has twice the median's rows."""
+    df = spark.range(10_000).select(F.when(F.col("id") < 10, 2).otherwise(1).alias("g"), F.expr(value).alias("v"), F.expr(key).alias("k"))
+    placed = rank_pieces(df, ["g"], "v", "k", "at", pieces=16)
+    sizes = sorted(r["count"] for r in placed.groupBy(F.shiftright("at", 33)).count().collect())
+    assert len(sizes) == 16 and sum(sizes) == 10_000 and sizes[-1] <= 2 * sizes[8]
     ranked = rank_in_group(df, ["g"], "v", "k", pieces=16)
-    assert ranked.agg(F.max("rank")).first()[0] == 10_000
-    windows = [line for line in ranked._jdf.queryExecution().executedPlan().toString().splitlines() if "row_number" in line]
-    assert windows and all("_piece" in line and "_part" in line for line in windows)
+    found = ranked.groupBy("g").agg(F.max("rank"), F.count_distinct("rank")).orderBy("g").collect()
+    assert [tuple(r) for r in found] == [(1, 9_990, 9_990), (2, 10, 10)]
+
+
+def test_full_rank_moves_rows_once_and_joins_counts(spark):
+    """No window over the rows: they are joined with one row of counts for each group and piece."""
+    df = spark.range(5_000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("v"), F.col("id").alias("k"))
+    plan = rank_in_group(df, ["g"], "v", "k", pieces=4)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_full_rank_counts_rows_for_its_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "PIECE_ROWS", 300)
+    df = spark.range(1_000).select(F.lit("x").alias("g"), F.col("id").cast("string").alias("v"), F.col("id").alias("k"))
+    placed = rank_pieces(df, ["g"], "v", "k", "at")
+    assert placed.select(F.shiftright("at", 33)).distinct().count() == 4
+    expected = {int(v): i + 1 for i, v in enumerate(sorted(map(str, range(1_000)), reverse=True))}
+    assert {r["k"]: r["rank"] for r in rank_in_group(df, ["g"], "v", "k").collect()} == expected
+
+
+def test_full_rank_of_odd_tables(spark):
+    """No row; repeated rows; helper names, a dot, a map and an old rank among the columns."""
+    schema = "`a.g` int, v double, k bigint, _place string, _piece int, _hash map<int,int>, rank int"
+    rows = [(1, 2.0, 1, "p", 9, {1: 2}, 77), (1, 2.0, 1, "p", 9, {1: 2}, 77), (None, None, None, None, None, None, None)]
+    ranked = rank_in_group(spark.createDataFrame(rows, schema), ["a.g"], "v", "k", pieces=3)
+    assert ranked.columns == ["a.g", "v", "k", "_place", "_piece", "_hash", "rank"]
+    found = sorted(((r["a.g"] or 0, r["_place"], r["_hash"], r["rank"]) for r in ranked.collect()), key=lambda r: (r[0], r[3]))
+    assert found == [(0, None, None, 1), (1, "p", {1: 2}, 1), (1, "p", {1: 2}, 2)]
+    assert rank_in_group(spark.createDataFrame([], schema), ["a.g"], "v", "k").count() == 0
 
 
 def test_top_per_group(spark, as_rows):
