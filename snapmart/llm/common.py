@@ -54,10 +54,32 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))
 
 
+#: Characters of a piece of a long text that is learned from.
+PIECE = 2000
+
+
+def spread_pieces(text: Column, key: Column, longest: int) -> Column:
+    """A text of up to `longest` characters whole; of a longer one pieces of PIECE characters, `longest` in all.
+
+    The pieces are those with the least crc32 of `key` and their number, so they spread over the whole text. They come
+    in the text's order, each on a line of its own; words at their ends are cut.
+    """
+    size = min(PIECE, longest)
+    numbers = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int"))
+    own = key.cast("string")
+    hashed = F.transform(
+        numbers,
+        lambda k: F.struct(F.crc32(F.concat_ws(":", own, k.cast("string")).cast("binary")).alias("h"), k.alias("k")),
+    )
+    chosen = F.array_sort(F.transform(F.slice(F.array_sort(hashed), 1, longest // size), lambda x: x["k"]))
+    pieces = F.transform(chosen, lambda k: text.substr(k * size + 1, F.lit(size)))
+    return F.when(F.length(text) <= longest, text).otherwise(F.array_join(pieces, "\n"))
+
+
 def label_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, longest: int | None = None
 ) -> DataFrame:
-    """At most `per_class` labelled documents of each class, as (text, y), with the first `longest` characters if given.
+    """At most `per_class` labelled documents of each class, as (text, y); of texts over `longest`, if given, pieces.
 
     Of the documents that have a text those with the smallest hashes of their text's row key are taken, so the choice
     depends on the rows alone. Null labels, null ids, texts without a label, and null and empty texts take no part; of
@@ -72,6 +94,7 @@ def label_sample(
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", "y"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    text = F.col("text") if longest is None else F.substring("text", 1, longest).alias("text")
-    found = usable.select("doc_id", text).join(F.broadcast(chosen), "doc_id")
+    found = usable.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    if longest is not None:
+        found = found.withColumn("text", spread_pieces(F.col("text"), F.col("doc_id"), longest))
     return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")

@@ -8,7 +8,7 @@ exact sum over its bytes, and the language with the shortest code is predicted.
 ASCII and Latin-1 letters made lower case, each after ORDER line feeds.
 
 The trees are fitted on a bounded sample of every language: at most `per_language` documents that have a text, of
-which the first `longest` characters are read. Trees are laid out as tables a block of languages at a time, so that
+which at most `longest` characters are read, of longer ones in pieces that spread over the text. Trees are laid out as tables a block of languages at a time, so that
 many languages need no more memory in a task than a few. The sample's windows are counted in tasks and summed by a
 shuffle; the driver gets each language's distinct windows with their counts, never a text. Nothing is shuffled for scoring, and every whole text is read.
 
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_arrow, written
+from snapmart.llm.common import map_arrow, spread_pieces, written
 from snapmart.llm.text import Slice, text_slices
 
 ORDER = 3
@@ -224,9 +224,10 @@ def _sample(docs: DataFrame, per_language: int, longest: int) -> DataFrame:
         .select("doc_id", F.col("lang").alias("of"))
     )
     return (
-        usable.select("doc_id", F.substring("text", 1, longest).alias("text"), "lang")
+        usable.select("doc_id", "text", "lang")
         .join(F.broadcast(chosen), "doc_id")
         .where(F.col("lang") == F.col("of"))
+        .withColumn("text", spread_pieces(F.col("text"), F.col("doc_id"), longest))
         .groupBy("doc_id", "lang")
         .agg(F.min("text").alias("text"))  # one text for an id that rows repeat
         .select("lang", "text")

@@ -6,8 +6,8 @@ the value log2(1 + c). FTRL-proximal keeps a learning rate per coordinate,
 and its L1 term holds every weight at zero that isn't worth it, so the model that is broadcast is a short list.
 
 The model is fitted on a bounded sample: at most `per_class` labelled documents of each class that have a text, of which
-the first `longest` characters are read (a text's features are the only thing that grows with it). Their features go to one
-task, where the updates run one document after the other, in an order that depends on the rows alone; only the
+at most `longest` characters are read, of longer texts in pieces that spread over the whole text (a text's features are
+the only thing that grows with it). Their features go to one task, where the updates run one document after the other, in an order that depends on the rows alone; only the
 sparse weights come back to the driver. The bias is then moved from the sample's class shares to those of all
 labelled documents. Scoring reads every whole text once, without a shuffle.
 

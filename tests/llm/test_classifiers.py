@@ -3,13 +3,15 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from snapmart.llm import language_ppm, quality_knn, queries, toxicity_ftrl
+from snapmart.llm import common, language_ppm, quality_knn, queries, toxicity_ftrl
 from snapmart.llm.common import table
 from snapmart.llm.text import sorted_sets, text_slices, window_hashes, words_of
 from tests.llm import brute
@@ -144,6 +146,43 @@ def test_code_lengths_agree_with_plain_version():
     assert got == pytest.approx(np.array(want), rel=1e-4, abs=1e-4)
 
 
+def plain_pieces(text, key, longest):
+    size = min(common.PIECE, longest)
+    if len(text) <= longest:
+        return text
+    cut = [text[a : a + size] for a in range(0, len(text), size)]
+    order = sorted(range(len(cut)), key=lambda k: (zlib.crc32(f"{key}:{k}".encode()), k))
+    return "\n".join(cut[k] for k in sorted(order[: longest // size]))
+
+
+@pytest.mark.parametrize("longest", [1, 7, 1999, 2000, 2001, 4500, 20_000])
+def test_long_texts_are_read_in_pieces_spread_over_them(spark, longest):
+    texts = ["", "é" * longest, "aé\u4e2d😀" * 6007, "x" * (longest + 1), "q\n" * 2000, None]
+    rows = [(None if i == 4 else i, text) for i, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = df.select("text", common.spread_pieces(F.col("text"), F.col("doc_id"), longest).alias("read")).collect()
+    for (key, text), row in zip(rows, got, strict=True):
+        if text is None:
+            assert row["read"] is None
+        elif key is None:  # the number alone is hashed
+            assert len(text) <= longest or 0 < len(row["read"]) < longest + longest // min(common.PIECE, longest)
+        else:
+            assert row["read"] == plain_pieces(text, key, longest)
+
+
+def test_fits_learn_from_the_ends_of_long_texts(spark):
+    """Texts of 60,000 characters that are alike but for their last 20,000."""
+    ends = ["calm river ", "vile brute "]
+    rows = [(i, "plain words here " * 2400 + ends[i % 2] * 1900, i % 2) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int").withColumn("lang", F.col("y").cast("string"))
+    tests = spark.createDataFrame([(i, t * 20) for i, t in enumerate(ends)], "doc_id long, text string")
+    model = toxicity_ftrl.fit(df, df.selectExpr("doc_id", "y toxic"))
+    score = {r.doc_id: r.score for r in toxicity_ftrl.with_score(tests, model).collect()}
+    assert score[1] > 0.6 > 0.4 > score[0]
+    lang = language_ppm.predict(tests, language_ppm.fit(df, longest=20_000)).collect()
+    assert {r.doc_id: r.lang_pred for r in lang} == {0: "0", 1: "1"}
+
+
 def test_every_language_is_learned(spark, monkeypatch):
     """More languages than 64, one whose first ids have no text, one of long texts only, one of few repeated ids."""
     of = {f"l{k:02d}": " ".join(chr(0x4E00 + 20 * k + i) * 3 for i in range(15)) for k in range(70)}
@@ -155,7 +194,9 @@ def test_every_language_is_learned(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
     model = language_ppm.fit(docs, per_language=3, longest=1000)
     assert model.names == sorted(of)
-    want = language_ppm.counts_of({lang: [text[:1000]] * {"void": 2, "some": 2}.get(lang, 3) for lang, text in of.items()})
+    texts = {lang: [text] * {"void": 2, "some": 2}.get(lang, 3) for lang, text in of.items()}
+    texts["long"] = [plain_pieces(of["long"], 8000 + i, 1000) for i in range(3)]
+    want = language_ppm.counts_of(texts)
     for got, plain in zip(model.windows, want.windows, strict=True):
         assert all((g == p).all() for a, b in zip(got, plain, strict=True) for g, p in zip(a, b, strict=True))
     found = {r.doc_id: (r.lang_pred, r.score) for r in language_ppm.predict(docs, model).collect()}
