@@ -12,8 +12,10 @@ scores together is at most TOLERANCE * DAMPING / (1 - DAMPING) of them.
 
 Links are the pages' href values, resolved to hosts; links within a host say nothing about it and are left out. They
 are counted for each pair of hosts before anything is joined, so a host with a third of all pages is as many rows as it
-has neighbours. Every few steps the scores are written to the shared folder, and one number, the largest change, reaches
-the driver.
+has neighbours. What a host sends to each neighbour is moved once, to the partition of the host, and kept there on the
+executors' disks for all steps: a step moves scores only. A host with more than PART neighbours is several parts, in
+partitions of their own. If an executor is lost, its partitions come again from the written table. Every few steps the
+scores are written to the shared folder, and one number, the largest change, reaches the driver.
 
 A url that is null or has no `://` has an empty host and path, fits no rule and is allowed; so is an empty table's
 absence. Null html has no links. Repeated rows count as often as they come and are all judged. Other columns are
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -43,6 +46,9 @@ RATIO = 2.0
 #: Scores are written after so many steps.
 WRITE_EVERY = 3
 
+#: Neighbours of a host that one partition holds.
+PART = 100_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -99,19 +105,49 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(seeds: DataFrame, links: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
-    """host, trust and distrust of the whole walk. `seeds` has these columns, `links` has src, dst and links."""
-    links = written(links, "links")
+def dealt_messages(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What hosts send (host, to, and the shares t of trust and d of distrust), by host and part; and hosts of many parts.
+
+    The second table has host and parts, one row for each PART messages at most.
+    """
     out = links.groupBy("src").agg(F.sum("links").alias("all"))
     into = links.groupBy("dst").agg(F.sum("links").alias("all"))
-    nothing = F.lit(0.0)
+    nothing, share = F.lit(0.0), F.col("links") / F.col("all")
     along = links.join(out, "src").select(
-        F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("links") / F.col("all")).alias("t"), nothing.alias("d")
+        F.col("src").alias("host"), F.col("dst").alias("to"), share.alias("t"), nothing.alias("d")
     )
     against = links.join(into, "dst").select(
-        F.col("dst").alias("host"), F.col("src").alias("to"), nothing.alias("t"), (F.col("links") / F.col("all")).alias("d")
+        F.col("dst").alias("host"), F.col("src").alias("to"), nothing.alias("t"), share.alias("d")
     )
     messages = written(along.unionByName(against), "messages")
+    parts = F.ceil(F.count(F.lit(1)) / PART).cast("int")
+    hubs = written(messages.groupBy("host").agg(parts.alias("parts")).where("parts > 1"), "hubs")
+    part = F.pmod(F.xxhash64("to"), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = messages.join(hubs, "host", "left").withColumn("part", part).drop("parts")
+    number = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(number, "host", "part"), hubs
+
+
+def step(messages: DataFrame, hubs: DataFrame, scores: DataFrame, damping: float) -> DataFrame:
+    """The scores after one step; what the last one added is sent on, to all parts of its host."""
+    nothing = F.lit(0.0)
+    moving = scores.where((F.col("new_trust") > 0) | (F.col("new_distrust") > 0)).join(hubs, "host", "left")
+    moving = moving.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    sent = messages.join(moving, ["host", "part"]).select(
+        F.col("to").alias("host"),
+        (damping * F.col("t") * F.col("new_trust")).alias("trust"),
+        (damping * F.col("d") * F.col("new_distrust")).alias("distrust"),
+    )
+    sent = sent.withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
+    kept = scores.withColumns({"new_trust": nothing, "new_distrust": nothing})
+    columns = ("trust", "distrust", "new_trust", "new_distrust")
+    return kept.unionByName(sent).groupBy("host").agg(*[F.sum(c).alias(c) for c in columns])
+
+
+def propagate(seeds: DataFrame, links: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """host, trust and distrust of the whole walk. `seeds` has these columns, `links` has src, dst and links."""
+    messages, hubs = dealt_messages(written(links, "links"))
+    messages = messages.persist(StorageLevel.DISK_ONLY)
     # Scores with what the last step added to them, which is all that the next step sends on.
     start = [((1 - damping) * F.col(c)).alias(c) for c in ("trust", "distrust")]
     scores = seeds.select("host", *start).withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
@@ -119,19 +155,11 @@ def propagate(seeds: DataFrame, links: DataFrame, tolerance: float = TOLERANCE,
     largest = 1.0
     while largest > tolerance:
         for _ in range(WRITE_EVERY):
-            moving = scores.where((F.col("new_trust") > 0) | (F.col("new_distrust") > 0))
-            sent = messages.join(moving, "host").select(
-                F.col("to").alias("host"),
-                (damping * F.col("t") * F.col("new_trust")).alias("trust"),
-                (damping * F.col("d") * F.col("new_distrust")).alias("distrust"),
-            )
-            sent = sent.withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
-            kept = scores.withColumns({"new_trust": nothing, "new_distrust": nothing})
-            columns = ("trust", "distrust", "new_trust", "new_distrust")
-            scores = kept.unionByName(sent).groupBy("host").agg(*[F.sum(c).alias(c) for c in columns])
+            scores = step(messages, hubs, scores, damping)
         seen = Observation()
         scores = written(scores.observe(seen, F.max(change).alias("change")), "scores")
         largest = seen.get["change"] or 0.0
+    messages.unpersist()
     return scores.select("host", "trust", "distrust")
 
 

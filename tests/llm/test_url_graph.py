@@ -109,3 +109,38 @@ def test_longest_rule_wins(spark, url, rule):
 
 def test_empty_table(pages):
     assert url_graph.judge(pages.limit(0), RULES).count() == 0
+
+
+def test_a_hub_is_several_parts_and_a_step_moves_scores_only(spark, monkeypatch):
+    """A host that links to all others: the same scores from parts of seven, and messages that stay where they are."""
+    links = [("hub", f"h{i}", 1.0 + i % 3) for i in range(60)] + [(f"h{i}", "hub", 2.0) for i in range(0, 60, 7)]
+    links = spark.createDataFrame(links, "src string, dst string, links double")
+    seeds = [("hub", 3.0, 0.0), ("h1", 0.0, 2.0), ("h7", 1.0, 1.0), ("lone", 1.0, 0.0)]
+    scores = spark.createDataFrame([(*s, s[1], s[2]) for s in seeds], "host string, trust double, distrust double, "
+                                   "new_trust double, new_distrust double")
+    found = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for part in (url_graph.PART, 7):
+            monkeypatch.setattr(url_graph, "PART", part)
+            messages, hubs = url_graph.dealt_messages(links)
+            assert {r.host: r.parts for r in hubs.collect()} == ({} if part > 100 else {"hub": 10})
+            messages = messages.persist()
+            after = url_graph.step(messages, hubs, scores, 0.85)
+            found.append(sorted((r.host, *(round(v, 9) for v in r[1:])) for r in after.collect()))
+            plan = after._jdf.queryExecution().executedPlan().toString().splitlines()
+            at = next(i for i, line in enumerate(plan) if "InMemoryTableScan" in line)
+            depth = plan[at].find("InMemoryTableScan")
+            above = []  # the operators that the scan feeds, up to the join
+            for line in reversed(plan[:at]):
+                own = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+                if own < depth:
+                    depth = own
+                    above.append(line)
+                if "SortMergeJoin" in line:
+                    break
+            assert "SortMergeJoin" in above[-1] and not any("Exchange" in line for line in above)
+            messages.unpersist()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[0] == found[1] and len(found[0]) == 62
