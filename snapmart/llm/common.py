@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def finished_shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of each job as it ends, not when the driver next collects its garbage.
+
+    For steps that write what they hand on; a plan that runs again, or a lost executor, makes its shuffles anew.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; null ids fall in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))
