@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import jaccard_join, packing, pii_crf, quality_rules, toxicity_ftrl
-from snapmart.llm.common import CUT, fold, table, written
+from snapmart.llm.common import CUT, finished_shuffles_removed, fold, table, written
 
 ORACLE_SQL = None
 
@@ -32,7 +32,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares at least 80 % of its shingles of five words."""
-    return jaccard_join.one_of_each(docs, size=5, percent=80)
+    with finished_shuffles_removed(spark):
+        return jaccard_join.one_of_each(docs, size=5, percent=80)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
