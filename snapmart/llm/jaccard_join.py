@@ -15,7 +15,9 @@ long ones by binary search until the required overlap is reached or out of reach
    long are cut into parts by the classes' hash, so no task gets an unbounded list.
 4. Round one tests, in each list, every class against the few before it in an order that differs from list to list: a
    number of pairs in proportion to the list's length. Signatures reject most pairs that are too far apart (the sum of
-   the counts' differences never exceeds the sets' symmetric difference); the rest are tested on the whole sets.
+   the counts' differences never exceeds the sets' symmetric difference), and outlines, counts in about as many buckets
+   as a set has shingles, reject nearly all others of these. Of the rest one pair of each class is tested on the whole
+   sets, and then those between different components.
 5. Round two is exact: in each list, and between the parts of a cut list, all pairs of classes in different components
    that sizes and signatures allow are tested. A pair within a component can't change it. So a group of thousands
    of near copies is joined by a few links a class, and no pair of different components is skipped.
@@ -28,7 +30,8 @@ unless it has no other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -355,8 +358,29 @@ def _cross_pairs(percent: int):
     return run
 
 
-def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """node and whole set of the given classes, from the text of one document of each."""
+def _outline(hashes: np.ndarray) -> bytes:
+    """A set's size, and its counts modulo 16 in as many buckets as the next power of two from SIGNATURE on."""
+    buckets = max(SIGNATURE, 1 << (len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) % 16
+    halves = counts[: buckets // 2] | counts[buckets // 2 :] << 4
+    return np.int64(len(hashes)).tobytes() + halves.astype(np.uint8).tobytes()
+
+
+def outlines_allow(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets with these outlines, as bytes, can reach the similarity; the longer is folded to the shorter."""
+    sizes = [int(o[:8].view(np.int64)[0]) for o in (x, y)]
+    counts = [_split(o[None, 8:]) for o in (x, y)]
+    width = min(c.shape[1] for c in counts)
+    counts = [(c.reshape(-1, width).sum(0, dtype=np.int64) % 16).astype(np.int8)[None] for c in counts]
+    return not _far(sum(sizes), int(_least_difference(*counts)[0]), percent)
+
+
+def _whole(hashes: np.ndarray) -> bytes:
+    return hashes.tobytes()
+
+
+def _of_classes(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int, form: Callable) -> DataFrame:
+    """node and `form` of the set of the given classes, from the text of one document of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,16 +389,16 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> D
                 sets = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 sets = [s for s in sets if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["node", "hashes"],
+                    [pa.array([_class(s) for s in sets], pa.int64()), pa.array([form(s) for s in sets], pa.binary())],
+                    names=["node", "value"],
                 )
 
     wanted = classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("of")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi"
     )
-    found = map_arrow(texts.select("text"), run, "node long, hashes binary")
-    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    found = map_arrow(texts.select("text"), run, "node long, value binary")
+    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("value").alias("value"))
 
 
 def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -395,23 +419,41 @@ def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return shared >= need
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
+def _passed(pairs: DataFrame, values: DataFrame, test: Callable[[np.ndarray, np.ndarray], bool], kind: type) -> DataFrame:
+    """The pairs (a, b) of classes whose values, as arrays of `kind`, pass the test."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = batch.columns
             keep = [
-                reaches(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64), percent)
+                test(np.frombuffer(p.as_buffer(), kind), np.frombuffer(q.as_buffer(), kind))
                 for p, q in zip(x, y, strict=True)
             ]
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    both = pairs.join(values.toDF("a", "x"), "a").join(values.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return map_arrow(both, run, "a long, b long")
 
 
+def _near_outlines(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """A written table of the pairs whose outlines allow the similarity."""
+    outlines = written(_of_classes(docs, classes, _ends(pairs), size, _outline), "outlines")
+    return written(_passed(pairs, outlines, partial(outlines_allow, percent=percent), np.uint8), "near")
+
+
+def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """A written table of the pairs whose whole sets reach the similarity."""
+    sets = written(_of_classes(docs, classes, _ends(pairs), size, _whole), "sets")
+    return written(_passed(pairs, sets, partial(reaches, percent=percent), np.uint64), "linked")
+
+
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components; a class without a root is one of its own."""
+    both = pairs.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+    return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
 def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """For every row of `docs` (doc_id, text): doc_id, n_shingles and component_id.
 
@@ -459,10 +501,14 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
     near = lists.select("node", F.explode("before").alias("other"))
     near = near.select(*ordered(F.col("node"), F.col("other"))).distinct()
     first = written(_near_signatures(near, classes, percent), "pairs")
-    links = written(
-        _linked(first, written(_sets(docs, classes, _ends(first), size), "sets"), percent), "linked"
-    )
+    near = _near_outlines(docs, classes, first, size, percent)
+    lead = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = _linked(docs, classes, written(lead, "lead"), size, percent)
     roots = components(links)
+    rest = written(_between(near, roots).join(lead, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        links = links.unionByName(_linked(docs, classes, rest, size, percent))
+        roots = components(links)
 
     # Round two. Only lists that still hold several components matter.
     rooted = (
@@ -491,8 +537,8 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
     second = map_arrow(blocks, _cross_pairs(percent), "a long, b long").distinct()
     second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
-        sets = written(_sets(docs, classes, _ends(second), size), "sets")
-        roots = components(links.unionByName(written(_linked(second, sets, percent), "linked")))
+        near = _near_outlines(docs, classes, second, size, percent)
+        roots = components(links.unionByName(_linked(docs, classes, near, size, percent)))
 
     found = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from snapmart.llm import jaccard_join
@@ -63,6 +64,22 @@ def test_components_agree_with_all_pairs(spark, monkeypatch, size, percent, part
     assert sorted((tuple(r) for r in got.collect()), key=repr) == plain(rows, size, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_outlines_allow_every_pair_that_reaches(percent):
+    rng = np.random.default_rng(percent)
+    refused = 0
+    for _ in range(400):
+        pool = np.unique(rng.integers(0, 2**64, rng.integers(2, 3000), np.uint64))
+        cut = sorted(rng.integers(0, len(pool) + 1, 2)) if rng.random() < 0.5 else (0, len(pool) * rng.integers(80, 101) // 100)
+        x, y = pool[: max(cut[1], 1)], pool[min(cut[0], len(pool) - 1) :]
+        outlines = [np.frombuffer(jaccard_join._outline(s), np.uint8) for s in (x, y)]
+        allowed = jaccard_join.outlines_allow(*outlines, percent)
+        assert allowed or not jaccard_join.reaches(x, y, percent)
+        assert allowed == jaccard_join.outlines_allow(*outlines[::-1], percent)
+        refused += not allowed
+    assert refused > 40
+
+
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(5, text), (3, text + " more"), (9, "other words"), (9, "other words"), (None, text), (4, None), (7, "")]
