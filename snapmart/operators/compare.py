@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,10 +25,15 @@ def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return row_difference(left, right).agg((F.count("*") == 0).alias("same"))
 
 
+def fingerprint_columns(df: DataFrame) -> list[Column]:
+    """Row count ``n`` and order-free hash sum ``digest``, as aggregates."""
+    digest = F.xxhash64(*sorted(df.columns)).cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("n"), F.sum(digest).alias("digest")]
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and order-free hash sum: unequal fingerprints prove unequal relations."""
-    digest = F.xxhash64(*sorted(df.columns)).cast("decimal(20,0)")
-    return df.agg(F.count("*").alias("n"), F.sum(digest).alias("digest"))
+    return df.agg(*fingerprint_columns(df))
 
 
 def same_fingerprint(left: DataFrame, right: DataFrame) -> bool:

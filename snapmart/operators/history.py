@@ -5,14 +5,23 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapmart.functions import day_of, moment
-from snapmart.operators.compare import fingerprint, same_fingerprint, same_rows
+from snapmart.operators.compare import fingerprint, fingerprint_columns, same_fingerprint, same_rows
 from snapmart.operators.latest import DAY
-from snapmart.operators.versions import LEDGER, State, folders, new_name, read_state, write_state, write_version
+from snapmart.operators.versions import (
+    LEDGER,
+    State,
+    folders,
+    new_name,
+    read_state,
+    remove_version,
+    write_state,
+    write_version,
+)
 
 STAMP = "inserted_at"
 
@@ -182,9 +191,12 @@ def unchanged(batch: DataFrame, last: DataFrame | None, keys: list[str]) -> bool
 
 def _facts(batch: DataFrame) -> dict:
     """Columns, count and order-free hash sum of a run's rows, as the state keeps them."""
-    row = fingerprint(batch).first()
+    return _named_facts(batch, fingerprint(batch).first().asDict())
+
+
+def _named_facts(batch: DataFrame, found: dict) -> dict:
     columns = {f.name: f.dataType.simpleString() for f in sorted(batch.schema.fields, key=lambda f: f.name)}
-    return {"columns": columns, "rows": row["n"], "digest": str(row["digest"])}
+    return {"columns": columns, "rows": found["n"], "digest": str(found["digest"])}
 
 
 def _repeats_newest(batch: DataFrame, facts: dict, path: str, at: datetime, keys: list[str], state: State) -> bool:
@@ -199,19 +211,32 @@ def _repeats_newest(batch: DataFrame, facts: dict, path: str, at: datetime, keys
     return unchanged(batch, newest_snapshot(spark, path, at, state), keys)
 
 
-def _commit_run(batch: DataFrame, facts: dict, path: str, at: datetime, state: State) -> None:
-    """The run becomes its day's only content; what it replaced is remembered, in case its last part takes it back."""
+def _write_run(batch: DataFrame, path: str, at: datetime, name: str) -> tuple[dict, bool]:
+    """Write a run as a version that no state names yet. Its facts, taken while it is written, and whether it has rows.
+
+    A run is of one day, so no row is moved: each task writes what it has read.
+    """
+    seen = Observation()
+    rows = stamp(batch.observe(seen, *fingerprint_columns(batch)), at).withColumn(DAY, day_of(STAMP))
+    days = write_version(rows, path, name, DAY, rebalance=False)
+    return _named_facts(batch, seen.get), bool(days)
+
+
+def _commit_run(
+    spark: SparkSession, facts: dict, path: str, at: datetime, state: State, name: str, any_rows: bool
+) -> None:
+    """The written run becomes its day's only content; what it replaced is remembered, in case its last part takes it
+    back."""
     day, run = at.date().isoformat(), at.isoformat()
     first = state.runs.get(run, {})
     facts["over"] = first.get("over", state.days.get(day, []))
     facts["over_runs"] = first.get("over_runs", {k: v for k, v in state.runs.items() if k.startswith(day) and k != run})
-    name = new_name(state)
     _replaced(state, [day], name)
-    if not write_version(stamp(batch, at).withColumn(DAY, day_of(STAMP)), path, name, DAY):
+    if not any_rows:
         state.days[day] = []  # a run without rows leaves its day empty
     state.days = {k: v for k, v in state.days.items() if v}
     state.runs[run] = facts
-    write_state(batch.sparkSession, path, state)
+    write_state(spark, path, state)
 
 
 def _is_later(spark: SparkSession, path: str, at: datetime, state: State) -> bool:
@@ -229,15 +254,30 @@ def commit_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[st
     was, or would have been, in its turn. An unchanged batch is skipped before the same-day rule is
     applied; a changed one replaces the run's calendar day, unless that already holds a later run.
     """
+    return load_snapshot(batch, path, run_ts, keys)[0]
+
+
+def load_snapshot(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> tuple[bool, int]:
+    """``commit_snapshot``, and the batch's number of rows.
+
+    The batch is computed once: its rows are written as a version while they are counted, and what was written is what
+    is compared. A version that repeats the newest run is removed before any state names it.
+    """
     spark, at = batch.sparkSession, run_ts.replace(microsecond=0)
     state = stored_state(spark, path)
     if _is_later(spark, path, at, state):
-        return False
-    facts = _facts(batch)
-    if _repeats_newest(batch, facts, path, at, keys, state):
-        return False
-    _commit_run(batch, facts, path, at, state)
-    return True
+        return False, _facts(batch)["rows"]
+    name = new_name(state)
+    facts, any_rows = _write_run(batch, path, at, name)
+    written = batch.limit(0)
+    if any_rows:
+        day = folders(path, DAY, {at.date().isoformat(): [name]})[0]
+        written = spark.read.schema(batch.schema).parquet(*day)
+    if _repeats_newest(written, facts, path, at, keys, state):
+        remove_version(spark, path, name)
+        return False, facts["rows"]
+    _commit_run(spark, facts, path, at, state, name, any_rows)
+    return True, facts["rows"]
 
 
 def commit_part(batch: DataFrame, path: str, run_ts: datetime, keys: list[str]) -> bool:
@@ -265,7 +305,8 @@ def commit_part(batch: DataFrame, path: str, run_ts: datetime, keys: list[str])
     facts, undone = _facts(whole), _without_run(state, at)
     if not _repeats_newest(whole, facts, path, at, keys, undone):
         state.skipped = [r for r in state.skipped if r != run]
-        _commit_run(whole, facts, path, at, state)
+        name = new_name(state)
+        _commit_run(spark, facts, path, at, state, name, _write_run(whole, path, at, name)[1])
         return True
     if stored or run not in state.skipped:
         undone.skipped = [*[r for r in state.skipped if r != run], run]

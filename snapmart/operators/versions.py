@@ -88,13 +88,14 @@ def new_name(state: State) -> str:
     return f"{state.number + 1:08d}-{uuid.uuid4().hex[:8]}"
 
 
-def write_version(rows: DataFrame, path: str, name: str, day_column: str) -> list[str]:
+def write_version(rows: DataFrame, path: str, name: str, day_column: str, rebalance: bool = True) -> list[str]:
     """Write rows, which have their day as a column, as a version, and return its days.
 
-    The rebalance hint lets AQE cut a large day into several files and pack small days.
+    The rebalance hint lets AQE cut a large day into several files and pack small days; rows of one day need no move.
     """
     folder = f"{path}/version={name}"
-    rows.hint("rebalance", day_column).write.partitionBy(day_column).parquet(folder)
+    rows = rows.hint("rebalance", day_column) if rebalance else rows
+    rows.write.partitionBy(day_column).parquet(folder)
     return [n.partition("=")[2] for n in _names(rows.sparkSession, folder) if n.startswith(f"{day_column}=")]
 
 
@@ -104,6 +105,12 @@ def folders(path: str, day_column: str, days: dict[str, list[str]]) -> tuple[lis
     return [f"{path}/version={v}/{day}" for v, day in own if v], [f"{path}/{day}" for v, day in own if not v]
 
 
+def remove_version(spark: SparkSession, path: str, name: str) -> None:
+    """Delete a version that no state names."""
+    files, place = file_system(spark, f"{path}/version={name}")
+    files.delete(place, True)
+
+
 def remove_unused(spark: SparkSession, path: str, day_column: str, keep: Callable[[str], bool] = lambda name: False) -> list[str]:
     """Delete versions that the newest state doesn't name and that ``keep`` doesn't hold back; readers that opened an
     older state must be done, and no commit may be running. Returns the names of the deleted versions."""
@@ -112,6 +119,5 @@ def remove_unused(spark: SparkSession, path: str, day_column: str, keep: Callabl
     stored = [name.partition("=")[2] for name in _names(spark, path) if name.startswith("version=")]
     unused = [name for name in stored if name not in needed and not keep(name)]
     for name in unused:
-        files, place = file_system(spark, f"{path}/version={name}")
-        files.delete(place, True)
+        remove_version(spark, path, name)
     return unused

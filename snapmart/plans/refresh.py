@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType, TimestampNTZType
 
-from snapmart.operators.history import backfill_stamp, commit_snapshot, newest_batch, read_history, replace_days
+from snapmart.operators.history import backfill_stamp, load_snapshot, newest_batch, read_history, replace_days
 from snapmart.operators.latest import DAY
 from snapmart.operators.nested import explode_flatten, flatten
 from snapmart.plans import core, marts
@@ -126,16 +126,11 @@ def load_dataset(spark: SparkSession, layout: Layout, dataset: DataSet, run_ts:
     )
     if records is None:
         return None
-    rows = parse(records, dataset).persist()  # one run's batch: compared, written and counted
-    try:
-        if dataset.historical:
-            commit_snapshot(rows, layout.history(dataset.name), run_ts, list(dataset.keys))
-        else:
-            create_layers(spark, layout.warehouse, prefix=layout.prefix)
-            replace_table(rows, layout.staging(dataset.name), layout.warehouse)
-        return rows.count()
-    finally:
-        rows.unpersist()
+    rows = parse(records, dataset)
+    if dataset.historical:
+        return load_snapshot(rows, layout.history(dataset.name), run_ts, list(dataset.keys))[1]
+    create_layers(spark, layout.warehouse, prefix=layout.prefix)
+    return replace_table(rows, layout.staging(dataset.name), layout.warehouse).count()
 
 
 def ingest_dataset(spark: SparkSession, layout: Layout, name: str) -> None:

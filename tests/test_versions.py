@@ -202,3 +202,28 @@ def test_a_commit_is_a_folder_and_a_state(spark, path):
     replace_days(rows(spark, (1, DAY1)), path)
     names = sorted(p.name for p in Path(path).iterdir())
     assert names[0] == "_commits" and names[1].startswith("version=00000001-") and len(names) == 2
+
+
+def test_a_run_is_computed_once_and_a_repeated_one_leaves_no_folder(spark, path):
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        computed.add(1)
+        return x
+
+    once = F.udf(counted, "bigint").asNondeterministic()
+    batch = spark.range(10, numPartitions=2).select(once("id").alias("id"), F.lit(1.0).alias("price"))
+    assert history.load_snapshot(batch, path, DAY1, ["id"]) == (True, 10)
+    assert computed.value == 10
+    names = sorted(p.name for p in Path(path).iterdir())
+    assert history.load_snapshot(batch, path, DAY2, ["id"]) == (False, 10)
+    assert computed.value == 20 and sorted(p.name for p in Path(path).iterdir()) == names
+    assert ids(read_history(spark, path)) == list(range(10))
+
+
+def test_runs_without_rows(spark, path):
+    none = priced(spark, (1, 1.0)).limit(0)
+    assert history.load_snapshot(none, path, DAY1, ["id"]) == (True, 0)
+    assert history.load_snapshot(priced(spark, (1, 1.0)), path, DAY2, ["id"]) == (True, 1)
+    assert history.load_snapshot(none, path, DAY3, ["id"]) == (True, 0)
+    assert ids(read_history(spark, path)) == [1]
