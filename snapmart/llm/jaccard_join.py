@@ -20,7 +20,9 @@ long ones by binary search until the required overlap is reached or out of reach
    sets, and then those between different components.
 5. Round two is exact: in each list, and between the parts of a cut list, all pairs of classes in different components
    that sizes and signatures allow are tested. A pair within a component can't change it. So a group of thousands
-   of near copies is joined by a few links a class, and no pair of different components is skipped.
+   of near copies is joined by a few links a class, and no pair of different components is skipped. A list is
+   taken as the pair's first, so the shingles from there on must reach the required overlap in both sets: that holds in
+   the first list of every link, and elsewhere it would name a pair again or one that shares too little.
 
 Words are runs of other than white space with A-Z lower-cased, a shingle is `size` words, and a text with fewer words is
 one shingle of all of them. Shingles and classes are 64-bit hashes. Null texts and texts without words have no shingles,
@@ -46,7 +48,10 @@ from snapmart.llm.text import Slice, mix, sorted_sets, text_slices, window_hashe
 SKETCH_BITS = 20
 
 #: Counters of a signature, each modulo 16 in half a byte.
-SIGNATURE = 128
+SIGNATURE = 512
+
+#: Counters of a signature that is folded for a first test, where many are compared.
+FOLDED = 128
 
 #: Counters of a mark, in two numbers of 64 bits.
 MARKS = 32
@@ -222,18 +227,20 @@ def _merged_lists(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_lists(batches, 2):
-            token, part, parts, node, n, *folded = (
-                _column(table, c) for c in ("token", "part", "parts", "node", "n", "mark1", "mark2")
+            token, part, parts, node, n, place, *folded = (
+                _column(table, c) for c in ("token", "part", "parts", "node", "n", "place", "mark1", "mark2")
             )
             fresh = np.ones(len(token), bool)
             fresh[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1]) | (node[1:] != node[:-1])
-            token, part, parts, node, n, *folded = (x[fresh] for x in (token, part, parts, node, n, *folded))
+            token, part, parts, node, n, place, *folded = (x[fresh] for x in (token, part, parts, node, n, place, *folded))
             begins = np.ones(len(token), bool)
             begins[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1])
             which = np.cumsum(begins)
             sizes = np.bincount(which)[which]
             some = np.flatnonzero((sizes > 1) | (parts > 1))
-            token, part, parts, node, n, which, *folded = (x[some] for x in (token, part, parts, node, n, which, *folded))
+            token, part, parts, node, n, place, which, *folded = (
+                x[some] for x in (token, part, parts, node, n, place, which, *folded)
+            )
             marks = _split(np.stack(folded, 1).view(np.uint8))
             kept = np.flatnonzero((parts > 1) | _reachable(which, n, marks, percent))
             which, n, marks = which[kept], n[kept], marks[kept]
@@ -243,8 +250,8 @@ def _merged_lists(percent: int):
                 for i in here[_allowed(n, marks, here, here - lag, percent)]:
                     before[i].append(int(node[kept[i - lag]]))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x[kept]) for x in (token, part, parts, node)), pa.array(before, pa.list_(pa.int64()))],
-                names=["token", "part", "parts", "node", "before"],
+                [*(pa.array(x[kept]) for x in (token, part, parts, node, place)), pa.array(before, pa.list_(pa.int64()))],
+                names=["token", "part", "parts", "node", "place", "before"],
             )
 
     return run
@@ -323,14 +330,16 @@ def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
 
 
 def _cross_pairs(percent: int):
-    """In each list, the pairs of classes of different components that sizes and signatures allow."""
+    """In each list, the pairs of classes of different components that sizes, signatures and their places in this list
+    allow (`_can_be_first`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_lists(batches, 3):
-            token, low, high, n, node, root, part = (
-                _column(table, c) for c in ("token", "low", "high", "n", "node", "root", "part")
+            token, low, high, n, node, root, part, place = (
+                _column(table, c) for c in ("token", "low", "high", "n", "node", "root", "part", "place")
             )
             marks = _signatures(table.column("signature").combine_chunks())
+            folded = marks.reshape(len(marks), -1, FOLDED).sum(1, dtype=np.int16).astype(np.int8) % 16
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
             which = np.cumsum(new)
@@ -345,12 +354,15 @@ def _cross_pairs(percent: int):
                 active, other = active[near], other[near]
                 # Rows of the same part of a cut list meet where both blocks are that part.
                 apart = (root[active] != root[other]) & ((low[active] == high[active]) | (part[active] != part[other]))
+                apart &= _can_be_first(n[active], n[other], place[active], place[other], percent)
                 a, b = active[apart], other[apart]
                 for at in range(0, len(a), 8192):
                     i, j = a[at : at + 8192], b[at : at + 8192]
-                    good = ~_far(n[i] + n[j], _least_difference(marks[i], marks[j]), percent)
-                    if good.any():
-                        x, y = node[i[good]], node[j[good]]
+                    for counters in (folded, marks):
+                        good = ~_far(n[i] + n[j], _least_difference(counters[i], counters[j]), percent)
+                        i, j = i[good], j[good]
+                    if len(i):
+                        x, y = node[i], node[j]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
                         )
@@ -358,6 +370,12 @@ def _cross_pairs(percent: int):
     return run
 
 
+def _can_be_first(n: np.ndarray, m: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes n and m whose first common shingle, from rare to frequent, is at places p and q (from 0) can
+    reach the similarity: what they share is not before these places."""
+    return (100 + percent) * np.minimum(n - p, m - q) >= percent * (n + m)
+
+
 def _outline(hashes: np.ndarray) -> bytes:
     """A set's size, and its counts modulo 16 in as many buckets as the next power of two from SIGNATURE on."""
     buckets = max(SIGNATURE, 1 << (len(hashes) - 1).bit_length())
@@ -477,13 +495,14 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
         "classes",
     )
     postings = profiles.where(F.col("short").isNotNull()).select(
-        "node", "n", "mark1", "mark2", F.explode("short").alias("s")
+        "node", "n", "mark1", "mark2", F.posexplode("short").alias("place", "s")
     ).select(
         F.col("s.token").alias("token"),
         F.pmod(F.xxhash64("s.token", "node"), F.col("s.parts")).cast("int").alias("part"),
         F.col("s.parts").cast("int").alias("parts"),
         "node",
         "n",
+        "place",
         "mark1",
         "mark2",
     )
@@ -491,7 +510,11 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
         "token", "part", F.xxhash64("token", "node"), "node"
     )
     lists = written(
-        map_arrow(sorted_postings, _merged_lists(percent), "token long, part int, parts int, node long, before array<long>"),
+        map_arrow(
+            sorted_postings,
+            _merged_lists(percent),
+            "token long, part int, parts int, node long, place int, before array<long>",
+        ),
         "lists",
     )
 
@@ -512,7 +535,7 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     # Round two. Only lists that still hold several components matter.
     rooted = (
-        lists.select("token", "part", "parts", "node")
+        lists.select("token", "part", "parts", "node", "place")
         .join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
@@ -530,6 +553,7 @@ def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
             "node",
             "root",
             "part",
+            "place",
             "signature",
         )
     )

@@ -104,3 +104,44 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.join(df).count() == 0
     assert jaccard_join.one_of_each(df).count() == 0
+
+
+def test_round_two_names_few_pairs_of_a_group_below_the_limit(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(40):  # pairs share about three quarters, so all stay components of their own
+        copy, at = list(base), rng.randrange(350)
+        copy[at : at + 47] = [f"x{i}.{k}" for k in range(47)]
+        rows.append((i, " ".join(copy)))
+    made, real = [], jaccard_join.map_arrow
+
+    def counted(df, function, schema):
+        out = real(df, function, schema)
+        if function.__qualname__.startswith("_cross_pairs"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "map_arrow", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_join.join(df, 5, 80)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain(rows, 5, 80)
+    assert len(made) == 1 and made[0] <= 10 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_first_common_shingle_of_a_link_is_early_enough(percent):
+    rng = random.Random(percent)
+    links = 0
+    for _ in range(2000):
+        pool = rng.sample(range(200), rng.randint(1, 60))
+        x, y = (sorted(set(rng.sample(pool, rng.randint(max(1, len(pool) * percent // 100), len(pool))))) for _ in range(2))
+        common = set(x) & set(y)
+        if 100 * len(common) >= percent * len(set(x) | set(y)):
+            links += 1
+            p, q = (np.array([s.index(min(common))]) for s in (x, y))
+            n, m = np.array([len(x)]), np.array([len(y)])
+            assert jaccard_join._can_be_first(n, m, p, q, percent)[0]
+            assert p[0] <= len(x) - -(-percent * len(x) // 100)  # in the short lists of both
+            assert q[0] <= len(y) - -(-percent * len(y) // 100)
+    assert links > 100
