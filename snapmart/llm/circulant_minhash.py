@@ -288,7 +288,7 @@ def _block_pairs(percent: int, closest: bool):
         signs = _unpacked(table.column("tallies").combine_chunks())
         block = np.cumsum(_begins(table))
         _, component = np.unique(np.stack([block, root]), axis=1, return_inverse=True) if closest else (None, None)
-        best: dict[int, tuple[float, int, int]] = {}
+        best = np.empty((0, 4))  # component, rank, i, j
         alone = (kind == 1) & (low == high)
         here, lag = np.arange(len(n)), 0
         while len(here):  # once a row and the one `lag` after it differ too much in size, so do all later ones
@@ -304,15 +304,11 @@ def _block_pairs(percent: int, closest: bool):
                 good = _possible(n[i] + n[j], least, percent)
                 i, j, least = i[good], j[good], least[good]
                 if closest:
-                    rank = least / (n[i] + n[j])
-                    for c in np.unique(np.concatenate([component[i], component[j]])) if len(i) else ():
-                        own = np.flatnonzero((component[i] == c) | (component[j] == c))
-                        k = own[np.argmin(rank[own])]
-                        best[c] = min(best.get(c, (2.0, 0, 0)), (float(rank[k]), int(i[k]), int(j[k])))
+                    best = _least_of_each(best, component[i], component[j], least / (n[i] + n[j]), i, j)
                 elif len(i):
                     yield _ordered(node[i], node[j])
-        if best:
-            i, j = np.array([p[1:] for p in best.values()]).T
+        if len(best):
+            i, j = best[:, 2:].astype(np.int64).T
             yield _ordered(node[i], node[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,6 +327,15 @@ def _block_pairs(percent: int, closest: bool):
     return run
 
 
+def _least_of_each(best: np.ndarray, x: np.ndarray, y: np.ndarray, rank: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Each component's row (component, rank, i, j) of least rank, of those so far and of pairs of components x and y."""
+    if not len(i):
+        return best
+    found = np.concatenate([best, np.stack([x, rank, i, j], 1), np.stack([y, rank, i, j], 1)])
+    found = found[np.lexsort(found.T[::-1])]
+    return found[np.append(True, found[1:, 0] != found[:-1, 0])]
+
+
 def _ordered(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
     pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])

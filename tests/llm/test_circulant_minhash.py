@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from snapmart.llm import circulant_minhash as cm
+from snapmart.llm import components as graph
 from tests.llm.test_jaccard_join import corpus, plain
 
 
@@ -85,3 +86,33 @@ def test_empty_table_and_texts_without_words(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
     got = sorted((tuple(r) for r in cm.near_duplicates(df).collect()), key=repr)
     assert got == sorted([(1, 0, 1, True), (2, 0, 2, True), (None, 0, None, True)], key=repr)
+
+
+def test_least_pair_of_each_component_over_several_blocks():
+    rng = np.random.default_rng(4)
+    best, seen = np.empty((0, 4)), {}
+    for _ in range(5):
+        x, y = rng.integers(0, 30, 200), rng.integers(30, 60, 200)
+        rank, i, j = rng.integers(0, 9, 200) / 9, rng.integers(0, 500, 200), rng.integers(500, 999, 200)
+        best = cm._least_of_each(best, x, y, rank, i, j)
+        for pair in zip(rank.tolist(), i.tolist(), j.tolist(), x.tolist(), y.tolist(), strict=True):
+            for c in pair[3:]:
+                seen[c] = min(seen.get(c, (2.0, 0, 0)), pair[:3])
+    assert {int(c): (r, int(i), int(j)) for c, r, i, j in best} == seen
+
+
+def test_stars_are_found_without_another_round(spark, monkeypatch):
+    rounds, real = [], graph.written
+
+    def counted(df, label):
+        rounds.append(label)
+        return real(df, label)
+
+    monkeypatch.setattr(graph, "written", counted)
+    stars = [(k, k // 10 * 10) for k in range(100) if k % 10]
+    got = graph.components(spark.createDataFrame(stars, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(k, k // 10 * 10) for k in range(100)] and len(rounds) == 1
+    path = [(k, k + 1) for k in range(40)] + [(7, 7), (50, 51)]
+    got = graph.components(spark.createDataFrame(path, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(k, 0) for k in range(41)] + [(50, 50), (51, 50)]
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
