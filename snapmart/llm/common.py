@@ -65,6 +65,45 @@ def finished_shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Words of 64 bits in a filter of ids.
+FILTER_WORDS = 1 << 18
+
+
+def _filtered(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
+    """`df` with `__maybe`: true for all rows whose key is in the first column of `ids`, and for few others.
+
+    An id sets two bits of one word. The words are broadcast, so no row of `df` is moved; with more ids there are not
+    more words, but more rows that pass.
+    """
+
+    def place(column: Column) -> tuple[Column, Column]:
+        code = F.xxhash64(column)
+        bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code, F.lit(m)).cast("int")) for m in (61, 64)]
+        return F.pmod(F.shiftrightunsigned(code, 24), F.lit(FILTER_WORDS)), bits[0].bitwiseOR(bits[1])
+
+    word, bits = place(ids[ids.columns[0]])
+    words = ids.select(word.alias("__word"), bits.alias("__bits")).groupBy("__word").agg(F.bit_or("__bits").alias("__bits"))
+    word, bits = place(key)
+    hit = F.coalesce(F.col("__bits").bitwiseAND(bits) == bits, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return df.join(F.broadcast(words), word == F.col("__word"), "left").select(*columns, hit.alias("__maybe"))
+
+
+def rows_with(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
+    """The rows of `df` whose key, null or not, is in the only column of `ids`; few others are moved to find them."""
+    wanted = ids.toDF("__id")
+    maybe = _filtered(df, key, wanted).where("__maybe").drop("__maybe")
+    return maybe.join(wanted, key.eqNullSafe(F.col("__id")), "left_semi")
+
+
+def rows_without(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
+    """The rows of `df` whose key is null or not in the only column of `ids`; few of them are moved to tell."""
+    gone = ids.toDF("__id")
+    asked = _filtered(df, key, gone)
+    kept = asked.where("__maybe").drop("__maybe").join(gone, key == F.col("__id"), "left_anti")
+    return asked.where(~F.col("__maybe")).drop("__maybe").unionByName(kept)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; null ids fall in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))

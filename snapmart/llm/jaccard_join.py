@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.llm.common import map_arrow, written
+from snapmart.llm.common import map_arrow, rows_with, rows_without, written
 from snapmart.llm.components import components
 from snapmart.llm.text import Slice, mix, sorted_sets, text_slices, window_hashes, words_of
 
@@ -411,10 +411,8 @@ def _of_classes(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
                     names=["node", "value"],
                 )
 
-    wanted = classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("of")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi"
-    )
+    wanted = written(classes.join(nodes, "node", "left_semi").select("doc_id").distinct(), "wanted")
+    texts = rows_with(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), F.col("doc_id"), wanted)
     found = map_arrow(texts.select("text"), run, "node long, value binary")
     return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("value").alias("value"))
 
@@ -605,7 +603,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     found = _found(docs, size, percent)
     key = F.col("doc_id").cast("long")
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    gone = written(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "gone")
     twice = written(
         found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(
             F.col("doc_id").alias("__twice")
@@ -613,15 +611,15 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         "repeated",
     )
     if twice.isEmpty():
-        return docs.join(gone, key == F.col("__gone"), "left_anti")
-    once = docs.join(twice, key == F.col("__twice"), "left_anti").join(gone, key == F.col("__gone"), "left_anti")
+        return rows_without(docs, key, gone)
+    once = rows_without(docs, key, gone.unionByName(twice.toDF("doc_id")).distinct())
     stay = (
         found.join(twice, F.col("doc_id") == F.col("__twice"), "left_semi")
         .where(F.col("component_id") == F.col("doc_id"))
         .select(F.col("doc_id").alias("__id"), F.col("node").alias("__of"), F.col("root").alias("__root"))
         .distinct()
     )
-    rows = _with_class(docs.join(twice, key == F.col("__twice"), "left_semi"), size)
+    rows = _with_class(rows_with(docs, key, twice), size)
     rows = rows.join(stay, (key == F.col("__id")) & F.col("__node").eqNullSafe(F.col("__of")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     one = rows.groupBy("__id", "__root").agg(F.min_by(row, F.struct(F.col("text").isNull(), "text")).alias("row"))
