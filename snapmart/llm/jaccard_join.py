@@ -63,6 +63,9 @@ _CHUNK = 4096
 LIST_PART = 20_000
 NEIGHBOURS = 2
 
+#: Texts are cut into words so many bytes at a time; their words and shingles take about fifty times that.
+TEXT_BYTES = 1 << 19
+
 
 def shingle_sets(part: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Each row's distinct shingle hashes, ascending, and the rows' bounds."""
@@ -93,7 +96,7 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for part in text_slices(batch.column(0)):
+            for part in text_slices(batch.column(0), TEXT_BYTES):
                 counts += np.bincount(_buckets(shingle_sets(part, size)[0]), minlength=len(counts))
         yield from rows(dict(enumerate(counts.reshape(-1, _CHUNK))))
 
@@ -156,7 +159,7 @@ def _profiles(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task's input split
         for batch in batches:
-            for part in text_slices(batch.column(1)):
+            for part in text_slices(batch.column(1), TEXT_BYTES):
                 hashes, bounds = shingle_sets(part, size)
                 often = shared.value[_buckets(hashes)]
                 nodes, signatures, short, folded = [], [], [], []
@@ -402,7 +405,7 @@ def _of_classes(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch.column(0)):
+            for part in text_slices(batch.column(0), TEXT_BYTES):
                 hashes, bounds = shingle_sets(part, size)
                 sets = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 sets = [s for s in sets if len(s)]
@@ -586,7 +589,7 @@ def _with_class(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = []
-            for part in text_slices(batch.column(place)):
+            for part in text_slices(batch.column(place), TEXT_BYTES):
                 hashes, bounds = shingle_sets(part, size)
                 nodes += [_class(hashes[a:b]) if b > a else None for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=names)
